@@ -149,7 +149,7 @@ def coerce(
         return _timestamp(x, k, t, epoch_numbers)
     if target.family == "date":
         return _utc_date(_timestamp(x, k, t, epoch_numbers))
-    return f.get(x, target.ddl)
+    return F.when(k.isNotNull(), f.get(x, target.ddl))
 
 
 def reject_reason(value: Column, k: Column, target: TargetType) -> Column:

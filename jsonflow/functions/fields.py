@@ -1,10 +1,11 @@
-"""Column expressions that read one dotted path of a parsed message.
+"""Column expressions that read one field of a parsed message.
 
-A message is a VARIANT column (``_doc`` unless told otherwise). Three states are
-kept apart, because filters depend on it:
+A field is a pair of columns: the variant ``x`` found at its path and the kind ``k`` of
+that variant (``jsonflow.operators.leaves`` makes them). Three states are kept apart,
+because filters depend on it:
 
-* missing   - the path is not in the message, or names an object: SQL NULL
-* JSON null - the path is there and holds null: a non-NULL variant
+* missing   - the path is not in the message, or names an object: ``k`` is NULL
+* JSON null - the path is there and holds null: ``k`` is VOID
 * a value   - number, text, boolean or array
 
 "Cannot be evaluated" is SQL NULL too, so AND, OR and NOT over these expressions
@@ -18,8 +19,6 @@ from itertools import product
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DOC = "_doc"
-
 # Text forms taken as numbers, and as true / false by `as_bool`.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
 NUMBER_TEXT = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
@@ -33,7 +32,7 @@ def kind(x: Column) -> Column:
 
 
 def is_number_kind(k: Column) -> Column:
-    return (k == "BIGINT") | k.startswith("DECIMAL") | (k == "DOUBLE")
+    return k.isin("BIGINT", "DOUBLE") | k.startswith("DECIMAL")
 
 
 def is_object_kind(k: Column) -> Column:
@@ -77,14 +76,13 @@ def spellings(path: str) -> list[tuple[str, ...]]:
     return sorted(chains, key=lambda chain: -len(chain))
 
 
-def nested(path: str, doc: str | Column = DOC) -> Column:
+def nested(path: str, doc: Column) -> Column:
     """The usual spelling of the path, objects included."""
-    return key_at(F.col(doc) if isinstance(doc, str) else doc, spellings(path)[0])
+    return key_at(doc, spellings(path)[0])
 
 
-def other_spellings(path: str, doc: str | Column = DOC) -> Column | None:
+def other_spellings(path: str, doc: Column) -> Column | None:
     """The leaf under a literal dotted key, or None if the path has no other spelling."""
-    doc = F.col(doc) if isinstance(doc, str) else doc
     found = [key_at(doc, chain) for chain in spellings(path)[1:]]
     if path == "":  # a message that is not an object is itself the value at ""
         found.append(doc)
@@ -94,23 +92,6 @@ def other_spellings(path: str, doc: str | Column = DOC) -> Column | None:
     return F.coalesce(*leaves) if len(leaves) > 1 else leaves[0]
 
 
-def leaf(path: str, doc: str | Column = DOC) -> Column:
-    """Variant at a dotted path; NULL when it is missing or names an object."""
-    x = nested(path, doc)
-    return F.when(~is_object_kind(kind(x)), x).otherwise(other_spellings(path, doc))
-
-
-def present(path: str, doc: str | Column = DOC) -> Column:
-    """True for any leaf, JSON null included; false for objects and absent keys."""
-    return leaf(path, doc).isNotNull()
-
-
-def is_json_null(path: str, doc: str | Column = DOC) -> Column:
-    """Whether the leaf is JSON null; NULL when the path is missing."""
-    x = leaf(path, doc)
-    return F.when(x.isNotNull(), F.is_variant_null(x))
-
-
 def number_text(x: Column, k: Column) -> Column:
     """A JSON number as plain text: 12.0 and 1.2e1 are both ``12``.
 
@@ -145,43 +126,46 @@ def number_to_double(x: Column) -> Column:
     return F.when(F.abs(d) < float("inf"), d)
 
 
-def as_string(path: str, doc: str | Column = DOC) -> Column:
+def present(x: Column, k: Column) -> Column:
+    """True for any leaf, JSON null included; false for objects and absent keys."""
+    return k.isNotNull()
+
+
+def is_null(x: Column, k: Column) -> Column:
+    """Whether the leaf is JSON null; NULL when the path is missing."""
+    return k == "VOID"
+
+
+def as_string(x: Column, k: Column) -> Column:
     """Text of a scalar leaf; NULL for null, arrays and missing paths."""
-    x = leaf(path, doc)
-    k = kind(x)
-    return F.when((k == "STRING") | (k == "BOOLEAN"), get(x, "string")).when(
+    return F.when(k.isin("STRING", "BOOLEAN"), get(x, "string")).when(
         is_number_kind(k), number_text(x, k)
     )
 
 
-def as_double(path: str, doc: str | Column = DOC) -> Column:
-    x = leaf(path, doc)
-    k = kind(x)
+def as_double(x: Column, k: Column) -> Column:
+    """Numbers and numeric text, if finite."""
     return F.when(k == "STRING", text_to_double(get(x, "string"))).when(
         is_number_kind(k), number_to_double(x)
     )
 
 
-def as_int(path: str, doc: str | Column = DOC) -> Column:
+def as_int(x: Column, k: Column) -> Column:
     """Numbers cut toward zero, or whole-number text."""
-    x = leaf(path, doc)
-    k = kind(x)
     return F.when(k == "STRING", text_to_int(get(x, "string"))).when(
         is_number_kind(k), get(x, "bigint")
     )
 
 
-def as_bool(path: str, doc: str | Column = DOC) -> Column:
-    x = leaf(path, doc)
-    k = kind(x)
+def as_bool(x: Column, k: Column) -> Column:
+    """Booleans and the usual words for them."""
     t = get(x, "string")
     of_text = F.when(t.isin(*TRUE_TEXT), True).when(t.isin(*FALSE_TEXT), False)
     return F.when(k == "BOOLEAN", get(x, "boolean")).when(k == "STRING", of_text)
 
 
-def as_type(path: str, ddl: str, doc: str | Column = DOC) -> Column:
-    """The leaf read as any Spark type, e.g. ``array<string>``; NULL if it does not fit."""
-    return get(leaf(path, doc), ddl)
+def as_variant(x: Column, k: Column) -> Column:
+    return F.when(k.isNotNull(), x)
 
 
 READERS = {
@@ -190,12 +174,12 @@ READERS = {
     "int": as_int,
     "bool": as_bool,
     "present": present,
-    "is_null": is_json_null,
-    "variant": leaf,
+    "is_null": is_null,
+    "variant": as_variant,
 }
 
 
-def read_as(path: str, how: str, doc: str | Column = DOC) -> Column:
-    """Read a path with a named reader, or as the Spark type ``how`` names."""
+def read_as(x: Column, k: Column, how: str) -> Column:
+    """A leaf read by a named reader, or as the Spark type ``how`` names (NULL if unfit)."""
     reader = READERS.get(how)
-    return reader(path, doc) if reader else as_type(path, how, doc)
+    return reader(x, k) if reader else F.when(k.isNotNull(), get(x, how))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_, or_
 from typing import Any
@@ -13,8 +13,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.functions import fields as f
 from jsonflow.operators.decode import DOC
+from jsonflow.operators.leaves import with_fields
 from jsonflow.plans.spec import FilterSpec
 
 VERDICT = "_verdict"
@@ -31,45 +31,66 @@ class FilterError(ValueError):
     """A filter that cannot be used: unknown language or operator, bad regex, bad SQL."""
 
 
-def rule_predicate(node: Mapping[str, Any], doc: str = DOC) -> Column:
-    """A rule tree as a predicate.
+def rule_fields(node: Mapping[str, Any]) -> list[tuple[str, str]]:
+    """What a rule tree reads: ``(path, how)`` pairs."""
+    if _is_group(node):
+        return [pair for child in node.get("children") or [] for pair in rule_fields(child)]
+    path, name = _path(node), node.get("operator") or "equals"
+    if not path:
+        return []
+    if name == "exists":
+        return [(path, "present")]
+    if name in ("equals", "contains", "regex"):
+        return [(path, "present"), (path, "string")]
+    if name in COMPARISONS:
+        return [(path, "present"), (path, "double")]
+    raise FilterError(f"unknown rule operator: {name}")
+
+
+def rule_predicate(node: Mapping[str, Any], read: Callable[[str, str], Column]) -> Column:
+    """A rule tree as a predicate over fields, which ``read(path, how)`` provides.
 
     A group is ``{"op": "AND"|"OR", "not": bool, "children": [..]}``; a rule is
     ``{"field": path, "operator": name, "value": text, "not": bool}``. An empty group and
     a rule without a field hold for every message.
     """
-    if "children" in node or node.get("kind") == "group":
-        parts = [rule_predicate(child, doc) for child in node.get("children") or []]
+    if _is_group(node):
+        parts = [rule_predicate(child, read) for child in node.get("children") or []]
         joined = reduce(_operator(node), parts) if parts else F.lit(True)
     else:
-        joined = _rule(node, doc)
+        joined = _rule(node, read)
     return ~joined if node.get("not") else joined
 
 
+def _is_group(node: Mapping[str, Any]) -> bool:
+    return "children" in node or node.get("kind") == "group"
+
+
 def _operator(group: Mapping[str, Any]):
     return and_ if str(group.get("op") or "AND").upper() == "AND" else or_
 
 
-def _rule(rule: Mapping[str, Any], doc: str) -> Column:
-    path = str(rule.get("field") or "").strip()
-    name = rule.get("operator") or "equals"
+def _path(rule: Mapping[str, Any]) -> str:
+    return str(rule.get("field") or "").strip()
+
+
+def _rule(rule: Mapping[str, Any], read: Callable[[str, str], Column]) -> Column:
+    path, name = _path(rule), rule.get("operator") or "equals"
     value = "" if rule.get("value") is None else str(rule["value"])
     if not path:
         return F.lit(True)
     if name == "exists":
-        return f.present(path, doc)
+        return read(path, "present")
     if name == "equals":
-        test = f.as_string(path, doc) == value
+        test = read(path, "string") == value
     elif name == "contains":
-        test = f.as_string(path, doc).contains(value)
+        test = read(path, "string").contains(value)
     elif name == "regex":
-        test = f.as_string(path, doc).rlike(portable_regex(value))
-    elif name in COMPARISONS:
-        test = COMPARISONS[name](f.as_double(path, doc), F.lit(operand(value)))
+        test = read(path, "string").rlike(portable_regex(value))
     else:
-        raise FilterError(f"unknown rule operator: {name}")
+        test = COMPARISONS[name](read(path, "double"), F.lit(operand(value)))
     # Absent fields make the rule false; a value the test cannot read leaves it NULL.
-    return F.when(f.present(path, doc), test).otherwise(False)
+    return read(path, "present") & test
 
 
 def operand(text: str) -> float:
@@ -123,17 +144,16 @@ def portable_regex(pattern: str) -> str:
     return "".join(out)
 
 
-def _sql_fields(spec: FilterSpec, taken: list[str], doc: str) -> list[Column]:
-    """The named fields of a SQL filter, as columns the expression can refer to."""
+def _sql_fields(spec: FilterSpec, taken: list[str]) -> list[tuple[str, str, str]]:
+    """The named fields of a SQL filter, which become columns the expression refers to."""
     clash = sorted(set(spec.fields) & set(taken))
     if clash:
         raise FilterError(f"filter fields named like columns of the frame: {', '.join(clash)}")
-    columns = []
+    fields = []
     for name, how in spec.fields.items():
         how = {"path": how} if isinstance(how, str) else how
-        reader = how.get("as") or "string"
-        columns.append(f.read_as(how.get("path") or name, reader, doc).alias(name))
-    return columns
+        fields.append((name, how.get("path") or name, how.get("as") or "string"))
+    return fields
 
 
 def is_off(spec: FilterSpec) -> bool:
@@ -145,38 +165,44 @@ def is_off(spec: FilterSpec) -> bool:
     return spec.language == "rules" and not spec.rules
 
 
-def with_verdict(
-    decoded: DataFrame, spec: FilterSpec, doc: str = DOC, verdict: str = VERDICT
-) -> DataFrame:
-    """Add the filter's outcome per message: true, false, or NULL if not evaluable.
+def with_verdict(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
+    """Add ``_verdict``, the filter's outcome: true, false, or NULL if not evaluable.
 
     A SQL filter names the fields it uses: ``{"email": {"path": "user.email", "as":
     "string"}}``, where ``as`` is string (the default), double, int, bool, present,
     is_null, variant, or any Spark type such as ``array<string>``. A field that is missing
     or unreadable as its type is NULL.
     """
+    columns = decoded.columns
     if is_off(spec):
-        return decoded.withColumn(verdict, F.lit(True))
+        return decoded.withColumn(VERDICT, F.lit(True))
     if spec.language == "rules":
-        return decoded.withColumn(verdict, rule_predicate(spec.rules, doc))
-    if spec.language != "sql":
+        reads = list(dict.fromkeys(rule_fields(spec.rules)))
+        names = {pair: f"_f{i}" for i, pair in enumerate(reads)}
+        fields = [(names[pair], *pair) for pair in reads]
+        verdict = rule_predicate(spec.rules, lambda path, how: F.col(names[path, how]))
+    elif spec.language == "sql":
+        fields, verdict = _sql_fields(spec, columns), F.expr(spec.expression)
+    else:
         raise FilterError(f"unsupported filter language: {spec.language}")
-    named = decoded.select("*", *_sql_fields(spec, decoded.columns, doc))
-    return named.select(*decoded.columns, F.expr(spec.expression).alias(verdict))
+    judged = with_fields(decoded, fields).select(*columns, verdict.alias("_judged"))
+    # As in decode: the explode keeps a filter on the verdict from being unfolded into
+    # every lookup the verdict was made of.
+    return judged.select(*columns, F.explode(F.array("_judged")).alias(VERDICT))
 
 
-def keep_matching(decoded: DataFrame, spec: FilterSpec, doc: str = DOC) -> DataFrame:
+def keep_matching(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
     """The parsed messages the filter is true for; a filter that is off adds no node."""
-    whole = decoded.filter(F.col(doc).isNotNull())
+    whole = decoded.filter(F.col(DOC).isNotNull())
     if is_off(spec):
         return whole
-    return with_verdict(whole, spec, doc).filter(F.col(VERDICT)).drop(VERDICT)
+    return with_verdict(whole, spec).filter(F.col(VERDICT)).drop(VERDICT)
 
 
-def evaluate_filter(decoded: DataFrame, spec: FilterSpec, doc: str = DOC) -> DataFrame:
+def evaluate_filter(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
     """What the filter would do with each parsed message: ``result`` and ``error``."""
-    whole = decoded.filter(F.col(doc).isNotNull())
-    tried = with_verdict(whole, spec, doc)
+    whole = decoded.filter(F.col(DOC).isNotNull())
+    tried = with_verdict(whole, spec)
     return tried.withColumns(
         {
             "result": F.coalesce(F.col(VERDICT), F.lit(False)),
@@ -185,10 +211,10 @@ def evaluate_filter(decoded: DataFrame, spec: FilterSpec, doc: str = DOC) -> Dat
     ).drop(VERDICT)
 
 
-def filter_summary(decoded: DataFrame, spec: FilterSpec, doc: str = DOC) -> DataFrame:
+def filter_summary(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
     """Messages kept, dropped and not evaluable over a whole frame, in one row."""
     error = F.col("error").isNotNull()
-    return evaluate_filter(decoded, spec, doc).agg(
+    return evaluate_filter(decoded, spec).agg(
         F.count_if(F.col("result")).alias("kept"),
         F.count_if(~F.col("result") & ~error).alias("dropped"),
         F.count_if(error).alias("errored"),
@@ -209,8 +235,8 @@ def check_filter(spark: SparkSession, spec: FilterSpec) -> None:
 
 
 def _patterns(node: Mapping[str, Any]) -> list[str]:
-    if "children" in node or node.get("kind") == "group":
+    if _is_group(node):
         return [p for child in node.get("children") or [] for p in _patterns(child)]
-    if node.get("operator") != "regex" or not str(node.get("field") or "").strip():
+    if node.get("operator") != "regex" or not _path(node):
         return []
     return [portable_regex(str(node.get("value") or ""))]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jsonflow.functions import coerce as c
 from jsonflow.functions import fields as f
 from jsonflow.operators.decode import DOC
+from jsonflow.operators.leaves import with_leaves
 from jsonflow.plans.spec import Field, quoted
 
 REJECTS = "_rejects"
@@ -25,57 +26,30 @@ def project(
     """One column per mapped field, in mapping order; a missing path gives NULL.
 
     With ``rejects`` a ``_rejects`` array lists ``column: reason`` for every field that
-    was there but did not fit its type. The work is laid out in stages so that each
-    lookup is done once per row; everything is narrow and stays in one codegen stage.
+    was there but did not fit its type. All steps are narrow.
     """
-    paths = list(dict.fromkeys(m.path for m in mapping))
-    x = {p: f"_x{i}" for i, p in enumerate(paths)}
-    k = {p: f"_k{i}" for i, p in enumerate(paths)}
-    t = {p: f"_t{i}" for i, p in enumerate(paths)}
-    others = {p: f.other_spellings(p) for p in paths}
-
-    found = decoded.select(*keep, DOC, *[f.nested(p).alias(x[p]) for p in paths])
-    if any(o is not None for o in others.values()):
-        found = found.select(*keep, *[_leaf(x[p], others[p]).alias(x[p]) for p in paths])
-    else:
-        found = found.select(*keep, *x.values())
-    kinds = found.select(*keep, *x.values(), *[f.kind(F.col(x[p])).alias(k[p]) for p in paths])
-
     targets = [c.target_type(m.type) for m in mapping]
     dates = list(dict.fromkeys(m.path for m, ty in zip(mapping, targets) if c.is_date(ty)))
     u = {p: f"_u{i}" for i, p in enumerate(dates)}
-    text = {p: F.when(F.col(k[p]) == "STRING", f.get(F.col(x[p]), "string")) for p in paths}
-    # An object is no leaf, so its kind reads as missing from here on.
-    leaf_kind = {p: F.when(~f.is_object_kind(F.col(k[p])), F.col(k[p])) for p in paths}
-    texts = kinds.select(
-        *keep,
-        *x.values(),
-        *[leaf_kind[p].alias(k[p]) for p in paths],
-        *[text[p].alias(t[p]) for p in paths],
+    found, leaves = with_leaves(decoded.select(*keep, DOC), [m.path for m in mapping])
+    t = {p: f"_t{i}" for i, p in enumerate(leaves)}
+    texts = found.drop(DOC).select(
+        "*", *[F.when(k == "STRING", f.get(x, "string")).alias(t[p]) for p, (x, k) in leaves.items()]
     )
     if dates:
         texts = texts.select("*", *[c.trimmed(F.col(t[p])).alias(u[p]) for p in dates])
 
     def value(m: Field, ty: c.TargetType):
         words = F.col(u[m.path] if c.is_date(ty) else t[m.path])
-        return c.coerce(F.col(x[m.path]), F.col(k[m.path]), words, ty, epoch_numbers)
+        return c.coerce(*leaves[m.path], words, ty, epoch_numbers).alias(m.column)
 
-    typed = texts.select(
-        *keep, *k.values(), *[value(m, ty).alias(m.column) for m, ty in zip(mapping, targets)]
-    )
-    columns = [F.col(quoted(m.column)) for m in mapping]
+    kinds = [k for _, k in leaves.values()] if rejects else []
+    typed = texts.select(*keep, *kinds, *[value(m, ty) for m, ty in zip(mapping, targets)])
     if not rejects:
-        return typed.select(*keep, *columns)
+        return typed
+    columns = [F.col(quoted(m.column)) for m in mapping]
     reasons = [
-        F.concat(F.lit(m.column + ": "), c.reject_reason(col, F.col(k[m.path]), ty))
+        F.concat(F.lit(m.column + ": "), c.reject_reason(col, leaves[m.path][1], ty))
         for m, ty, col in zip(mapping, targets, columns)
     ]
     return typed.select(*keep, *columns, F.array_compact(F.array(*reasons)).alias(REJECTS))
-
-
-def _leaf(nested: str, other):
-    """Nested spelling unless it is absent or an object; then the literal dotted key."""
-    x = F.col(nested)
-    if other is None:
-        return x
-    return F.when(~f.is_object_kind(f.kind(x)), x).otherwise(other)

@@ -14,10 +14,14 @@ RESULT_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# The JVM does not compile methods above this size; Spark then runs a stage as several
+# smaller steps instead of one method that would be interpreted.
+SPEED_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on to a running session."""
-    for key, value in RESULT_CONF.items():
+    """Apply the settings the operators rely on to a running session."""
+    for key, value in {**RESULT_CONF, **SPEED_CONF}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -1,8 +1,7 @@
 """Conversion of one message field to its declared column type.
 
-``coerce`` works on staged columns (the variant, its kind and its text), so each is
-computed once per row. Numeric getters are reached only for number kinds: asked for a
-number, a text variant goes through a cast that costs many times the lookup.
+Numeric getters are reached only for number kinds: asked for a number, a text variant goes
+through a cast that costs many times the lookup.
 
 A value that does not fit gives NULL and a reject reason, never a text in a typed column.
 """
@@ -64,31 +63,27 @@ def is_date(target: TargetType) -> bool:
     return target.family in ("date", "datetime")
 
 
-def _int(x: Column, k: Column, t: Column) -> Column:
+def _int(leaf: f.Leaf) -> Column:
+    t = leaf.text
     of_text = F.coalesce(f.text_to_int(t), f.text_to_double(t).try_cast("bigint"))
-    return F.when(f.is_number_kind(k), f.get(x, "bigint")).when(k == "STRING", of_text)
+    return F.when(f.is_number_kind(leaf.kind), leaf.get("bigint")).when(leaf.kind == "STRING", of_text)
 
 
-def _float(x: Column, k: Column, t: Column) -> Column:
-    return F.when(f.is_number_kind(k), f.number_to_double(x)).when(
-        k == "STRING", f.text_to_double(t)
-    )
-
-
-def _bool(x: Column, k: Column, t: Column) -> Column:
+def _bool(leaf: f.Leaf) -> Column:
+    t = leaf.text
     of_text = (
         F.when(t.isin("true", "TRUE", "1"), True)
         .when(t.isin("false", "FALSE", "0"), False)
         .otherwise(f.text_to_int(t) != 0)
     )
-    return F.when(k == "BOOLEAN", f.get(x, "boolean")).when(k == "STRING", of_text)
+    return F.when(leaf.kind == "BOOLEAN", leaf.get("boolean")).otherwise(of_text)
 
 
-def _string(x: Column, k: Column, t: Column) -> Column:
+def _string(leaf: f.Leaf) -> Column:
     return (
-        F.when(k == "STRING", t)
-        .when(f.is_number_kind(k), f.number_text(x, k))
-        .when(k != "VOID", f.get(x, "string"))
+        F.when(leaf.kind == "STRING", leaf.text)
+        .when(f.is_number_kind(leaf.kind), f.number_text(leaf))
+        .when(leaf.kind != "VOID", leaf.get("string"))
     )
 
 
@@ -116,40 +111,39 @@ def text_to_timestamp(u: Column) -> Column:
     )
 
 
-def _timestamp(x: Column, k: Column, t: Column, epoch_numbers: str) -> Column:
-    of_number = _from_epoch(f.get(x, "bigint"), millis_too=epoch_numbers == "auto")
-    return F.when(k == "STRING", text_to_timestamp(t)).when(f.is_number_kind(k), of_number)
+def _timestamp(leaf: f.Leaf, epoch_numbers: str) -> Column:
+    of_number = _from_epoch(leaf.get("bigint"), millis_too=epoch_numbers == "auto")
+    return F.when(leaf.kind == "STRING", text_to_timestamp(leaf.text)).when(
+        f.is_number_kind(leaf.kind), of_number
+    )
 
 
 def _utc_date(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
-def coerce(
-    x: Column, k: Column, t: Column, target: TargetType, epoch_numbers: str = "seconds"
-) -> Column:
+def coerce(leaf: f.Leaf, target: TargetType, epoch_numbers: str = "seconds") -> Column:
     """Value of a field in its column type; NULL when absent, null or unfit.
 
-    ``x`` is the leaf, ``k`` its kind and ``t`` its text (NULL unless it is text), which
-    is ``trimmed`` for date types.
-    ``epoch_numbers="auto"`` reads large JSON numbers as milliseconds, as is always done
-    for text; the default reads every JSON number as seconds.
+    Date types expect the text of the leaf ``trimmed``. ``epoch_numbers="auto"`` reads large
+    JSON numbers as milliseconds, as is always done for text; the default reads every JSON
+    number as seconds.
     """
     if epoch_numbers not in EPOCH_NUMBER_RULES:
         raise ValueError(f"epoch_numbers must be one of {EPOCH_NUMBER_RULES}")
     if target.family == "int":
-        return _int(x, k, t)
+        return _int(leaf)
     if target.family == "float":
-        return _float(x, k, t)
+        return f.as_double(leaf)
     if target.family == "bool":
-        return _bool(x, k, t)
+        return _bool(leaf)
     if target.family == "string":
-        return _string(x, k, t)
+        return _string(leaf)
     if target.family == "datetime":
-        return _timestamp(x, k, t, epoch_numbers)
+        return _timestamp(leaf, epoch_numbers)
     if target.family == "date":
-        return _utc_date(_timestamp(x, k, t, epoch_numbers))
-    return F.when(k.isNotNull(), f.get(x, target.ddl))
+        return _utc_date(_timestamp(leaf, epoch_numbers))
+    return f.read_as(leaf, target.ddl)
 
 
 def reject_reason(value: Column, k: Column, target: TargetType) -> Column:

@@ -1,11 +1,10 @@
 """Column expressions that read one field of a parsed message.
 
-A field is a pair of columns: the variant ``x`` found at its path and the kind ``k`` of
-that variant (``jsonflow.operators.leaves`` makes them). Three states are kept apart,
-because filters depend on it:
+A ``Leaf`` holds what was found at a path; ``jsonflow.operators.leaves`` makes it. Three
+states are kept apart, because filters depend on it:
 
-* missing   - the path is not in the message, or names an object: ``k`` is NULL
-* JSON null - the path is there and holds null: ``k`` is VOID
+* missing   - the path is not in the message, or names an object: the kind is NULL
+* JSON null - the path is there and holds null: the kind is VOID
 * a value   - number, text, boolean or array
 
 "Cannot be evaluated" is SQL NULL too, so AND, OR and NOT over these expressions
@@ -14,6 +13,7 @@ follow three-valued logic and ``filter`` drops what could not be evaluated.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import product
 
 from pyspark.sql import Column
@@ -26,6 +26,23 @@ TRUE_TEXT = ("1", "t", "T", "TRUE", "true", "True")
 FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """The columns of one field: its variant, the kind of it, and its text and number.
+
+    ``text`` is NULL unless the field is a string. ``number`` is the field as a double,
+    NULL unless it is a number (for text readers only: unless it is of kind DOUBLE).
+    """
+
+    x: Column
+    kind: Column
+    text: Column
+    number: Column
+
+    def get(self, ddl: str) -> Column:
+        return get(self.x, ddl)
+
+
 def kind(x: Column) -> Column:
     """BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
     return F.schema_of_variant(x)
@@ -92,22 +109,22 @@ def other_spellings(path: str, doc: Column) -> Column | None:
     return F.coalesce(*leaves) if len(leaves) > 1 else leaves[0]
 
 
-def number_text(x: Column, k: Column) -> Column:
+def number_text(leaf: Leaf) -> Column:
     """A JSON number as plain text: 12.0 and 1.2e1 are both ``12``.
 
     An exponent is written only below 1e-6 and from 1e21 on.
     """
-    d = get(x, "double")
+    d, size = leaf.number, F.abs(leaf.number)
     whole = d.cast("decimal(38,0)").cast("string")
     # 22 decimals hold every digit of a fractional double that is at least 1e-6.
     fraction = F.regexp_replace(d.cast("decimal(38,22)").cast("string"), r"0+$", "")
     exponent = F.regexp_replace(F.regexp_replace(d.cast("string"), r"\.0E", "E"), r"E(?=\d)", "E+")
     of_double = (
-        F.when((F.abs(d) < 1e21) & (d == F.rint(d)), whole)
-        .when((F.abs(d) < 1e21) & (F.abs(d) >= 1e-6), fraction)
-        .when(F.abs(d) < float("inf"), F.lower(exponent))
+        F.when((size < 1e21) & (d == F.rint(d)), whole)
+        .when((size < 1e21) & (size >= 1e-6), fraction)
+        .when(size < float("inf"), F.lower(exponent))
     )
-    return F.when(k == "DOUBLE", of_double).otherwise(get(x, "string"))
+    return F.when(leaf.kind == "DOUBLE", of_double).otherwise(leaf.get("string"))
 
 
 def text_to_int(t: Column) -> Column:
@@ -121,51 +138,49 @@ def text_to_double(t: Column) -> Column:
     return F.when(F.abs(d) < float("inf"), d)
 
 
-def number_to_double(x: Column) -> Column:
-    d = get(x, "double")
+def finite(d: Column) -> Column:
     return F.when(F.abs(d) < float("inf"), d)
 
 
-def present(x: Column, k: Column) -> Column:
+def present(leaf: Leaf) -> Column:
     """True for any leaf, JSON null included; false for objects and absent keys."""
-    return k.isNotNull()
+    return leaf.kind.isNotNull()
 
 
-def is_null(x: Column, k: Column) -> Column:
+def is_null(leaf: Leaf) -> Column:
     """Whether the leaf is JSON null; NULL when the path is missing."""
-    return k == "VOID"
+    return leaf.kind == "VOID"
 
 
-def as_string(x: Column, k: Column) -> Column:
+def as_string(leaf: Leaf) -> Column:
     """Text of a scalar leaf; NULL for null, arrays and missing paths."""
-    return F.when(k.isin("STRING", "BOOLEAN"), get(x, "string")).when(
-        is_number_kind(k), number_text(x, k)
+    return (
+        F.when(leaf.kind == "STRING", leaf.text)
+        .when(is_number_kind(leaf.kind), number_text(leaf))
+        .when(leaf.kind == "BOOLEAN", leaf.get("string"))
     )
 
 
-def as_double(x: Column, k: Column) -> Column:
+def as_double(leaf: Leaf) -> Column:
     """Numbers and numeric text, if finite."""
-    return F.when(k == "STRING", text_to_double(get(x, "string"))).when(
-        is_number_kind(k), number_to_double(x)
-    )
+    return F.when(leaf.kind == "STRING", text_to_double(leaf.text)).otherwise(finite(leaf.number))
 
 
-def as_int(x: Column, k: Column) -> Column:
+def as_int(leaf: Leaf) -> Column:
     """Numbers cut toward zero, or whole-number text."""
-    return F.when(k == "STRING", text_to_int(get(x, "string"))).when(
-        is_number_kind(k), get(x, "bigint")
+    return F.when(leaf.kind == "STRING", text_to_int(leaf.text)).when(
+        is_number_kind(leaf.kind), leaf.get("bigint")
     )
 
 
-def as_bool(x: Column, k: Column) -> Column:
+def as_bool(leaf: Leaf) -> Column:
     """Booleans and the usual words for them."""
-    t = get(x, "string")
-    of_text = F.when(t.isin(*TRUE_TEXT), True).when(t.isin(*FALSE_TEXT), False)
-    return F.when(k == "BOOLEAN", get(x, "boolean")).when(k == "STRING", of_text)
+    of_text = F.when(leaf.text.isin(*TRUE_TEXT), True).when(leaf.text.isin(*FALSE_TEXT), False)
+    return F.when(leaf.kind == "BOOLEAN", leaf.get("boolean")).otherwise(of_text)
 
 
-def as_variant(x: Column, k: Column) -> Column:
-    return F.when(k.isNotNull(), x)
+def as_variant(leaf: Leaf) -> Column:
+    return F.when(leaf.kind.isNotNull(), leaf.x)
 
 
 READERS = {
@@ -179,7 +194,7 @@ READERS = {
 }
 
 
-def read_as(x: Column, k: Column, how: str) -> Column:
+def read_as(leaf: Leaf, how: str) -> Column:
     """A leaf read by a named reader, or as the Spark type ``how`` names (NULL if unfit)."""
     reader = READERS.get(how)
-    return reader(x, k) if reader else F.when(k.isNotNull(), get(x, how))
+    return reader(leaf) if reader else F.when(leaf.kind.isNotNull(), leaf.get(how))

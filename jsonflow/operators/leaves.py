@@ -8,49 +8,56 @@ what the JVM compiles.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.functions import fields as f
 from jsonflow.operators.decode import DOC
 
-Leaf = tuple[Column, Column]
 
+def with_leaves(
+    df: DataFrame, reads: Iterable[tuple[str, str]]
+) -> tuple[DataFrame, dict[str, f.Leaf]]:
+    """Add what is found at each dotted path of ``(path, how it will be read)`` pairs.
 
-def with_leaves(df: DataFrame, paths: Sequence[str]) -> tuple[DataFrame, dict[str, Leaf]]:
-    """Add the variant and kind found at each dotted path; objects count as missing.
-
-    Returns the frame and, per path, its two columns.
+    Returns the frame and the columns of each path. Objects count as missing.
     """
-    paths = list(dict.fromkeys(paths))
-    doc, others = F.col(DOC), {}
-    x = {p: f"_x{i}" for i, p in enumerate(paths)}
-    k = {p: f"_k{i}" for i, p in enumerate(paths)}
-    for i, p in enumerate(paths):
-        other = f.other_spellings(p, doc)
-        if other is not None:
-            others[p] = (f"_o{i}", other)
+    hows: dict[str, set[str]] = {}
+    for path, how in reads:
+        hows.setdefault(path, set()).add(how)
+    paths, doc = list(hows), F.col(DOC)
+    names = {p: {part: f"_{part}{i}" for part in "xkotn"} for i, p in enumerate(paths)}
+
+    def col(p: str, part: str):
+        return F.col(names[p][part])
+
+    others = {p: o for p in paths if (o := f.other_spellings(p, doc)) is not None}
+    is_leaf = {p: ~f.is_object_kind(col(p, "k")) for p in paths}
+
+    df = df.select("*", *[f.nested(p, doc).alias(names[p]["x"]) for p in paths])
+    df = df.select("*", *[f.kind(col(p, "x")).alias(names[p]["k"]) for p in paths])
+    # Other spellings are looked at only where the nested one has no leaf.
+    found = {names[p]["o"]: F.when(is_leaf[p], None).otherwise(o) for p, o in others.items()}
+    df = df.withColumns(found) if found else df
+    final = {names[p]["k"]: F.when(is_leaf[p], col(p, "k")) for p in paths}
+    for p in others:
+        final[names[p]["x"]] = F.when(is_leaf[p], col(p, "x")).otherwise(col(p, "o"))
+        final[names[p]["k"]] = F.when(is_leaf[p], col(p, "k")).otherwise(f.kind(col(p, "o")))
+    df = df.withColumns(final).drop(*found)
 
-    df = df.select("*", *[f.nested(p, doc).alias(x[p]) for p in paths])
-    df = df.select("*", *[f.kind(F.col(x[p])).alias(k[p]) for p in paths])
-    is_leaf = {p: ~f.is_object_kind(F.col(k[p])) for p in paths}
-    if others:
-        # Looked at only where the nested spelling has no leaf.
-        df = df.select(
-            "*", *[F.when(is_leaf[p], None).otherwise(o).alias(name) for p, (name, o) in others.items()]
-        )
-    final = {}
+    parts = {}
     for p in paths:
-        if p in others:
-            o = F.col(others[p][0])
-            final[x[p]] = F.when(is_leaf[p], F.col(x[p])).otherwise(o)
-            final[k[p]] = F.when(is_leaf[p], F.col(k[p])).otherwise(f.kind(o))
-        else:
-            final[k[p]] = F.when(is_leaf[p], F.col(k[p]))
-    df = df.withColumns(final).drop(*[name for name, _ in others.values()])
-    return df, {p: (F.col(x[p]), F.col(k[p])) for p in paths}
+        x, k = col(p, "x"), col(p, "k")
+        if hows[p] - {"present", "is_null", "variant"}:
+            parts[names[p]["t"]] = F.when(k == "STRING", f.get(x, "string"))
+        if "double" in hows[p]:
+            parts[names[p]["n"]] = F.when(f.is_number_kind(k), f.get(x, "double"))
+        elif "string" in hows[p]:
+            parts[names[p]["n"]] = F.when(k == "DOUBLE", f.get(x, "double"))
+    df = df.withColumns(parts) if parts else df
+    return df, {p: f.Leaf(*[col(p, part) for part in "xktn"]) for p in paths}
 
 
 def with_fields(df: DataFrame, fields: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -59,7 +66,7 @@ def with_fields(df: DataFrame, fields: Sequence[tuple[str, str, str]]) -> DataFr
     The ways to read a field are string, double, int, bool, present, is_null, variant, or
     any Spark type.
     """
-    found, leaves = with_leaves(df, [path for _, path, _ in fields])
+    found, leaves = with_leaves(df, [(path, how) for _, path, how in fields])
     return found.select(
-        *df.columns, *[f.read_as(*leaves[path], how).alias(name) for name, path, how in fields]
+        *df.columns, *[f.read_as(leaves[path], how).alias(name) for name, path, how in fields]
     )

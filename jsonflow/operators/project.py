@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.functions import coerce as c
-from jsonflow.functions import fields as f
 from jsonflow.operators.decode import DOC
 from jsonflow.operators.leaves import with_leaves
 from jsonflow.plans.spec import Field, quoted
 
 REJECTS = "_rejects"
 
+# What a type family needs to know of a field.
+READ_AS = {"float": "double", "string": "string"}
+
 
 def project(
     decoded: DataFrame,
@@ -29,27 +32,25 @@ def project(
     was there but did not fit its type. All steps are narrow.
     """
     targets = [c.target_type(m.type) for m in mapping]
-    dates = list(dict.fromkeys(m.path for m, ty in zip(mapping, targets) if c.is_date(ty)))
-    u = {p: f"_u{i}" for i, p in enumerate(dates)}
-    found, leaves = with_leaves(decoded.select(*keep, DOC), [m.path for m in mapping])
-    t = {p: f"_t{i}" for i, p in enumerate(leaves)}
-    texts = found.drop(DOC).select(
-        "*", *[F.when(k == "STRING", f.get(x, "string")).alias(t[p]) for p, (x, k) in leaves.items()]
-    )
-    if dates:
-        texts = texts.select("*", *[c.trimmed(F.col(t[p])).alias(u[p]) for p in dates])
+    reads = [(m.path, READ_AS.get(ty.family, ty.family)) for m, ty in zip(mapping, targets)]
+    found, leaves = with_leaves(decoded.select(*keep, DOC), reads)
+    dated = {m.path: f"_u{i}" for i, (m, ty) in enumerate(zip(mapping, targets)) if c.is_date(ty)}
+    if dated:
+        found = found.withColumns({u: c.trimmed(leaves[p].text) for p, u in dated.items()})
 
     def value(m: Field, ty: c.TargetType):
-        words = F.col(u[m.path] if c.is_date(ty) else t[m.path])
-        return c.coerce(*leaves[m.path], words, ty, epoch_numbers).alias(m.column)
+        leaf = leaves[m.path]
+        if c.is_date(ty):
+            leaf = replace(leaf, text=F.col(dated[m.path]))
+        return c.coerce(leaf, ty, epoch_numbers).alias(m.column)
 
-    kinds = [k for _, k in leaves.values()] if rejects else []
-    typed = texts.select(*keep, *kinds, *[value(m, ty) for m, ty in zip(mapping, targets)])
+    kinds = [leaf.kind for leaf in leaves.values()] if rejects else []
+    typed = found.select(*keep, *kinds, *[value(m, ty) for m, ty in zip(mapping, targets)])
     if not rejects:
         return typed
     columns = [F.col(quoted(m.column)) for m in mapping]
     reasons = [
-        F.concat(F.lit(m.column + ": "), c.reject_reason(col, leaves[m.path][1], ty))
+        F.concat(F.lit(m.column + ": "), c.reject_reason(col, leaves[m.path].kind, ty))
         for m, ty, col in zip(mapping, targets, columns)
     ]
     return typed.select(*keep, *columns, F.array_compact(F.array(*reasons)).alias(REJECTS))

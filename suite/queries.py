@@ -6,6 +6,8 @@ Timestamps are compared as microseconds since 1970.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ from jsonflow.operators.decode import DOC, decode
 from jsonflow.operators.filters import evaluate_filter, filter_summary, keep_matching
 from jsonflow.operators.project import project
 from jsonflow.plans.load import classify, decoded_rows, load_rows, reject_counts, rejects_of
-from jsonflow.plans.spec import FilterSpec, LoadSpec, read_mapping
+from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, read_mapping
+from jsonflow.session import shared_dir
 from jsonflow.sources.generate import test_messages
+from jsonflow.streaming import jobs, sinks
 from suite import messages as m
 from suite.registry import query
 
@@ -565,7 +569,11 @@ def resolve_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks and streams --------------------------------------------------------------
 
 
-@query("SELECT event_id, ts_micros, event_type, value FROM (SELECT event_id, epoch_us(ts) + 1 AS ts_micros, event_type, value FROM events)")
+@query(
+    """
+    SELECT event_id, epoch_us(ts) + 1 AS ts_micros, event_type, value FROM events
+    """
+)
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice, the second time a microsecond later: the later one stays."""
     events = m.table(spark, sf_dir, "events").select(
@@ -573,3 +581,239 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = events.withColumn("ts_micros", F.col("ts_micros") + 1)
     return dedup.latest_per_key(events.unionByName(again), ["event_id"], ["ts_micros"])
+
+
+@query(
+    """
+    SELECT * FROM (VALUES ('event_ts', 'timestamp', 1), ('event_type', 'string', 2),
+      ('event_value', 'double', 3), ('user_email', 'string', 4), ('user_id', 'bigint', 5)) AS t(name, type, position)
+    CROSS JOIN (SELECT count(*) AS filled FROM events)
+    """
+)
+def target_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from a mapping and loaded; its columns and how often each is filled."""
+    name = f"jsonflow_{uuid.uuid4().hex}"
+    sink = SinkSpec(table=name, path=f"{shared_dir(spark)}/{name}", create_if_missing=True)
+    sinks.ensure_table(spark, sink, m.EVENT_MAPPING)
+    sinks.append(load_rows(m.event_messages(spark, sf_dir), LoadSpec("events", m.EVENT_MAPPING)), sink)
+    columns = [c.column for c in m.EVENT_MAPPING]
+    filled = spark.table(name).agg(*[F.count(c).alias(c) for c in columns])
+    counts = filled.unpivot([], columns, "name", "filled")
+    return sinks.target_columns(spark, name).join(counts, "name")
+
+
+def event_stream(spark: SparkSession, directory: str, sql: str = m.EVENT_MESSAGE, **options) -> DataFrame:
+    """Event files of a folder as a stream of messages."""
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    return spark.readStream.schema(schema).options(**options).parquet(directory).selectExpr(f"{sql} AS value")
+
+
+def drain(spark: SparkSession, *args, **options) -> None:
+    jobs.start(spark, *args, drain=True, **options).awaitTermination()
+
+
+@query(
+    """
+    SELECT epoch_us(ts) AS event_ts, event_type, value AS event_value,
+           'user' || user_id || '@example.com' AS user_email, user_id
+    FROM events WHERE event_type = 'purchase' AND value > 20
+    """
+)
+def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event load as a stream, run to the end, then started again: nothing loads twice."""
+    root = shared_dir(spark)
+    spec = LoadSpec("events", m.EVENT_MAPPING, sink=SinkSpec(path=f"{root}/rows"), filter=BIG_PURCHASES)
+    for _ in range(2):
+        stream = event_stream(spark, sf_dir, pathGlobFilter="events.parquet")
+        drain(spark, spec, f"{root}/checkpoint", messages=stream)
+    rows = spark.read.parquet(f"{root}/rows").drop("batch_id")
+    return rows.withColumn("event_ts", F.unix_micros("event_ts"))
+
+
+@query(
+    """
+    SELECT event_type, user_id, value AS event_value FROM events
+    WHERE CASE WHEN ts < '2024-01-11' THEN event_type = 'purchase' ELSE event_type = 'signup' END
+    """
+)
+def stream_filter_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter changed between micro-batches, then replaced by one that is invalid.
+
+    The events arrive in three parts. The second part meets the changed filter; the third
+    part meets an invalid one, so the changed filter stays in force.
+    """
+    root = shared_dir(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    mapping = [c for c in m.EVENT_MAPPING if c.column in ("event_type", "user_id", "event_value")]
+    first = rules(rule("event.type", "equals", "purchase"))
+    spec = LoadSpec("events", mapping, sink=SinkSpec(path=f"{root}/rows"), filter=first)
+    parts = [
+        (F.col("ts") < "2024-01-11", first),
+        (F.col("ts").between("2024-01-11", "2024-01-20 23:59:59.999999"), rules(rule("event.type", "equals", "signup"))),
+        (F.col("ts") > "2024-01-20 23:59:59.999999", sql("event_type ==== 'view'")),
+    ]
+    # One loader lives through the parts, as it does through the batches of a long run.
+    current = {}
+    loader = jobs.BatchLoader([spec], filter_source=lambda _: current["filter"])
+    for part, current["filter"] in parts:
+        events.filter(part).write.mode("append").parquet(f"{root}/in")
+        stream = event_stream(spark, f"{root}/in")
+        writer = stream.writeStream.foreachBatch(loader).option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select("event_type", "user_id", "event_value")
+
+
+@query(
+    """
+    SELECT 'purchases' AS job, event_type, user_id, value AS amount FROM events
+    WHERE event_type = 'purchase' AND value > 20
+    UNION ALL
+    SELECT 'people', event_type, user_id, CAST(-1 AS DOUBLE) FROM events WHERE event_type IN ('signup', 'click')
+    """
+)
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs with their own filter, mapping and sink on one stream that is parsed once."""
+    root = shared_dir(spark)
+    amounts = read_mapping(
+        [
+            {"fieldPath": "event.type", "column": "event_type", "type": "String"},
+            {"fieldPath": "user.id", "column": "user_id", "type": "Int64"},
+            {"fieldPath": "event.value", "column": "amount", "type": "Float64"},
+        ]
+    )
+    people = sql("type IN ('signup', 'click')", type="event.type")
+    specs = [
+        LoadSpec("purchases", amounts, sink=SinkSpec(path=f"{root}/purchases"), filter=BIG_PURCHASES),
+        LoadSpec("people", amounts[:2], sink=SinkSpec(path=f"{root}/people"), filter=people),
+    ]
+    stream = event_stream(spark, sf_dir, pathGlobFilter="events.parquet")
+    drain(spark, specs, f"{root}/checkpoint", messages=stream)
+    loaded = [
+        spark.read.parquet(f"{root}/{s.id}").drop("batch_id").withColumn("job", F.lit(s.id)) for s in specs
+    ]
+    every = loaded[0].unionByName(loaded[1], allowMissingColumns=True)
+    return every.withColumn("amount", F.coalesce("amount", F.lit(-1.0)))
+
+
+@query(
+    """
+    SELECT 'events' AS job, count(*) FILTER (event_id % 6 < 6) AS rows, 0 AS errors,
+           count(*) FILTER (event_id % 6 >= 4) + count(*) FILTER (event_id % 5 = 3) + count(*) FILTER (event_id % 6 >= 4) AS rejects
+    FROM events
+    """
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that also writes its rejects and a run log, added up afterwards."""
+    root = shared_dir(spark)
+    sink = SinkSpec(path=f"{root}/rows", rejects_path=f"{root}/rejects")
+    spec = LoadSpec("events", m.MIXED_MAPPING, sink=sink)
+    stream = event_stream(spark, sf_dir, m.MIXED_MESSAGE, pathGlobFilter="events.parquet")
+    drain(spark, spec, f"{root}/checkpoint", log_path=f"{root}/log", messages=stream)
+    log = jobs.read_log(spark, f"{root}/log")
+    sums = log.groupBy(F.col("pipeline").alias("job")).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("error").isNotNull()).cast("int").alias("errors")
+    )
+    return sums.crossJoin(spark.read.parquet(f"{root}/rejects").agg(F.count("*").alias("rejects")))
+
+
+# --- run statistics -----------------------------------------------------------------
+
+# Every event type stands for a job, every hour for a batch; dear events are errors.
+RUN_LOG = """
+run_log AS (
+  SELECT event_type AS pipeline, epoch_us(date_trunc('hour', ts)) // 3600000000 AS batch_id, count(*) AS n,
+         max(ts) AS logged, max(value) / 100 AS seconds, NULL AS error, NULL AS message
+  FROM events GROUP BY 1, 2
+  UNION ALL
+  SELECT event_type, event_id, 0, ts, 0, CASE WHEN user_id % 2 = 0 THEN 'insert' ELSE 'source' END,
+         'failed ' || event_id
+  FROM events WHERE value > 30)
+"""
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    hour = F.floor(F.unix_seconds("ts") / 3600).alias("batch_id")
+    none = F.lit(None).cast("string")
+    batches = events.groupBy(F.col("event_type").alias("pipeline"), hour).agg(
+        F.count("*").alias("rows"),
+        F.max("ts").alias("at"),
+        (F.max("value") / 100).alias("seconds"),
+        none.alias("error"),
+        none.alias("message"),
+    )
+    errors = events.filter("value > 30").select(
+        F.col("event_type").alias("pipeline"),
+        F.col("event_id").alias("batch_id"),
+        F.lit(0).cast("bigint").alias("rows"),
+        F.col("ts").alias("at"),
+        F.lit(0.0).alias("seconds"),
+        F.when(F.col("user_id") % 2 == 0, "insert").otherwise("source").alias("error"),
+        F.concat(F.lit("failed "), "event_id").alias("message"),
+    )
+    return batches.unionByName(errors)
+
+
+@query(
+    f"""
+    WITH {RUN_LOG}
+    SELECT pipeline, count(*) AS batches_total, CAST(sum(n) AS BIGINT) AS rows_total
+    FROM run_log WHERE error IS NULL GROUP BY pipeline
+    """
+)
+def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches and rows per job."""
+    return runlog.totals(run_log(spark, sf_dir))
+
+
+@query(
+    f"""
+    WITH {RUN_LOG},
+    bounds AS (SELECT unnest(['0.005', '0.01', '0.025', '0.05', '0.1', '0.25', '0.5', '1', '2.5', '5', '10', '+Inf']) AS le)
+    SELECT pipeline, le, count(*) FILTER (le = '+Inf' OR seconds <= TRY_CAST(le AS DOUBLE)) AS count
+    FROM run_log CROSS JOIN bounds WHERE error IS NULL GROUP BY pipeline, le
+    """
+)
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative latency buckets per job."""
+    return runlog.latency_histogram(run_log(spark, sf_dir))
+
+
+@query(
+    f"""
+    WITH {RUN_LOG}
+    SELECT pipeline, error AS kind, count(*) AS errors FROM run_log WHERE error IS NOT NULL GROUP BY ALL
+    """
+)
+def error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors per job and kind."""
+    return runlog.error_counts(run_log(spark, sf_dir))
+
+
+@query(
+    f"""
+    WITH {RUN_LOG},
+    jobs AS (SELECT DISTINCT event_type AS id, 'type ' || event_type AS name FROM events
+             UNION ALL SELECT n_name, 'nation ' || n_name FROM nation)
+    SELECT j.id, j.name, coalesce(CAST(sum(n) AS BIGINT), 0) AS total_rows,
+           coalesce(arg_max(n, row(logged, batch_id)) FILTER (error IS NULL), -1) AS last_batch,
+           coalesce(epoch_us(max(logged) FILTER (error IS NULL)), -1) AS last_batch_at,
+           coalesce(arg_max(message, row(logged, batch_id)) FILTER (error IS NOT NULL), '') AS last_error
+    FROM jobs j LEFT JOIN run_log l ON l.pipeline = j.id GROUP BY j.id, j.name
+    """
+)
+def job_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All registered jobs with their status; nations are jobs that never ran."""
+    types = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("id")).distinct()
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("id"))
+    specs = types.withColumn("name", F.concat(F.lit("type "), "id")).unionByName(
+        nations.withColumn("name", F.concat(F.lit("nation "), "id"))
+    )
+    listed = runlog.job_list(specs, run_log(spark, sf_dir))
+    return listed.withColumns(
+        {
+            "last_batch": F.coalesce("last_batch", F.lit(-1)),
+            "last_batch_at": F.coalesce(F.unix_micros("last_batch_at"), F.lit(-1)),
+            "last_error": F.coalesce("last_error", F.lit("")),
+        }
+    )

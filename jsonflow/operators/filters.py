@@ -122,8 +122,13 @@ def portable_regex(pattern: str) -> str:
             i += 2
             continue
         if in_class:
+            named = re.match(r"\[:(\^?)(\w+):\]", rest)
+            if named:
+                out.append(_named_class(named.group(2), bool(named.group(1))))
+                i += len(named.group(0))
+                continue
             in_class = ch != "]"
-            out.append("\\[" if ch == "[" and not rest.startswith("[:") else ch)
+            out.append("\\" + ch if ch in "[&" else ch)
         elif ch == "[":
             head = re.match(r"\[\^?\]?", rest).group(0)
             in_class = True
@@ -144,6 +149,14 @@ def portable_regex(pattern: str) -> str:
     return "".join(out)
 
 
+def _named_class(name: str, negated: bool) -> str:
+    """``digit`` of ``[[:digit:]]`` as Java writes it."""
+    if name == "word":
+        return "\\W" if negated else "\\w"
+    java = {"ascii": "ASCII", "xdigit": "XDigit"}.get(name, name.capitalize())
+    return f"\\{'P' if negated else 'p'}{{{java}}}"
+
+
 def _sql_fields(spec: FilterSpec, taken: list[str]) -> list[tuple[str, str, str]]:
     """The named fields of a SQL filter, which become columns the expression refers to."""
     clash = sorted(set(spec.fields) & set(taken))

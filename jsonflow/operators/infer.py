@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.functions import fields as f
-from jsonflow.operators.flatten import flatten
+from jsonflow.operators.flatten import flatten, nesting_depth
 from jsonflow.plans.spec import Field, read_mapping
+from jsonflow.session import ensure_checkpoint_dir
 
 # Doubles in this range are whole numbers a 64-bit integer can hold.
 INT_MIN, INT_END = -float(2**63), float(2**63)
@@ -17,12 +18,30 @@ def column_name(path: Column) -> Column:
     return F.regexp_replace(path, "[^A-Za-z0-9]", "_")
 
 
+# Levels opened before it is known how deep the messages go; an unused level costs little.
+LEVELS = 16
+
+
 def path_votes(decoded: DataFrame, depth: int | None = None) -> DataFrame:
     """Per path: can every non-null value be Bool, Int64, Float64; was any value null.
 
-    Values are reduced to four flags before the shuffle and the flags aggregate on the map
-    side, so what travels is one row per task and path, however often a path occurs.
+    Values are reduced to flags before the shuffle and the flags aggregate on the map side,
+    so what travels is one row per task and path, however often a path occurs.
+
+    ``depth`` is the number of object levels in the messages. Left out, the votes are taken
+    at once for a usual depth; only if some message turns out deeper is the depth measured
+    and the vote repeated.
     """
+    if depth is not None:
+        return _votes(decoded, depth)
+    ensure_checkpoint_dir(decoded.sparkSession)
+    votes = _votes(decoded, LEVELS).checkpoint()  # one small row per path
+    if votes.filter("unopened").isEmpty():
+        return votes
+    return _votes(decoded, nesting_depth(decoded))
+
+
+def _votes(decoded: DataFrame, depth: int) -> DataFrame:
     leaves = flatten(decoded, depth=depth, roots=False)
     k = F.col("_kind")
     kinds = leaves.select("path", "value", f.kind(F.col("value")).alias("_kind"))
@@ -37,12 +56,14 @@ def path_votes(decoded: DataFrame, depth: int | None = None) -> DataFrame:
         (null | (k == "BOOLEAN")).alias("_bool"),
         (null | (k == "BIGINT") | F.coalesce(whole, F.lit(False))).alias("_int"),
         (null | (k == "BIGINT") | n.isNotNull()).alias("_float"),
+        f.is_object_kind(k).alias("_object"),
     )
     return flags.groupBy("path").agg(
         F.bool_or("_null").alias("nullable"),
         F.bool_and("_bool").alias("is_bool"),
         F.bool_and("_int").alias("is_int"),
         F.bool_and("_float").alias("is_float"),
+        F.bool_or("_object").alias("unopened"),
         F.count("*").alias("values"),
     )
 

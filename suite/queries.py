@@ -148,7 +148,8 @@ def decode_drop_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
       ]) AS leaf FROM lineitem)
     SELECT leaf.path AS path, leaf.kind AS kind, count(*) AS n,
            CAST(sum(length(leaf.text)) AS BIGINT) AS chars,
-           min(leaf.text) AS first_text, max(leaf.text) AS last_text
+           CAST(sum(ascii(leaf.text)) AS BIGINT) AS first_codes,
+           CAST(sum(ascii(right(leaf.text, 1))) AS BIGINT) AS last_codes
     FROM leaves GROUP BY leaf.path, leaf.kind
     """
 )
@@ -160,12 +161,12 @@ def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     money = F.col("path").startswith("amount.")
     kind = F.when(money, "NUMBER").when(k.startswith("ARRAY"), "ARRAY").otherwise(k)
     text = F.when(money, "").otherwise(F.try_variant_get("value", "$", "string"))
-    leaves = flatten.flatten(decode(raw)).select("path", kind.alias("kind"), text.alias("text"))
+    leaves = flatten.flatten(decode(raw), depth=2).select("path", kind.alias("kind"), text.alias("text"))
     return leaves.groupBy("path", "kind").agg(
         F.count("*").alias("n"),
         F.sum(F.length("text")).alias("chars"),
-        F.min("text").alias("first_text"),
-        F.max("text").alias("last_text"),
+        F.sum(F.ascii("text")).alias("first_codes"),
+        F.sum(F.ascii(F.right("text", F.lit(1)))).alias("last_codes"),
     )
 
 

@@ -65,6 +65,15 @@ def test_infer_does_not_depend_on_order_or_partitions(texts):
     assert inferred(texts(*map(json.dumps, docs), partitions=7)) == want
 
 
+def test_infer_messages_deeper_than_usual(texts):
+    deep = 7
+    for level in range(infer.LEVELS + 4, 0, -1):
+        deep = {f"k{level}": deep}
+    path = ".".join(f"k{i}" for i in range(1, infer.LEVELS + 5))
+    rows = inferred(texts(json.dumps(deep), '{"a":1}'))
+    assert [(r[0], r[2]) for r in rows] == [("a", "Int64"), (path, "Int64")]
+
+
 def test_infer_nothing_and_name_clashes(texts):
     assert inferred(texts("nope", "5", "{}")) == []
     assert inferred(texts()) == []

@@ -14,6 +14,7 @@ from jsonflow.plans.load import load_rows
 from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, SourceSpec, read_mapping
 from jsonflow.session import shared_dir
 from jsonflow.sources.readers import read_messages, spread, stream_messages
+from jsonflow.sources.sampling import sample_topic
 from jsonflow.streaming import jobs, sinks
 
 MAPPING = read_mapping(
@@ -237,6 +238,18 @@ def test_sources(spark, root, feed, tmp_path):
     assert stream_messages(spark, SourceSpec("rate", value="timestamp")).isStreaming
 
 
+def test_topic_sample_reads_the_first_batch_only(spark, root, feed):
+    feed(*[message(i) for i in range(5)])
+    feed(*[message(i) for i in range(5, 9)])
+    topic = source(root, maxFilesPerTrigger="1")
+    first = sample_topic(spark, topic, 100, f"{root}/s1")
+    assert sorted(r.value for r in first.collect()) == [message(i) for i in range(5)]
+    assert sample_topic(spark, topic, 2, f"{root}/s2").count() == 2
+    os.mkdir(f"{root}/empty")
+    nothing = SourceSpec("parquet", path=f"{root}/empty", schema="value string")
+    assert sample_topic(spark, nothing, 5, f"{root}/s3", timeout=1).collect() == []
+
+
 def test_small_sources_are_spread(spark):
     assert spread(spark.range(0, 10, 1, 1), 4).rdd.getNumPartitions() == 4
     plenty = spark.range(0, 10, 1, 6)

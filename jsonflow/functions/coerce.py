@@ -103,12 +103,12 @@ def trimmed(t: Column) -> Column:
 def text_to_timestamp(u: Column) -> Column:
     """Date text, or an epoch as text. Text without a zone is UTC whatever the session says."""
     dotted = F.translate(u, ",", ".")
-    return (
-        F.when(u.rlike(ZONED_TEXT), dotted.try_cast("timestamp"))
-        .when(u.rlike(PLAIN_TEXT), F.concat(dotted, F.lit("Z")).try_cast("timestamp"))
-        .when(u.rlike(DATE_TEXT), F.concat(u, F.lit(" 00:00:00Z")).try_cast("timestamp"))
-        .otherwise(_from_epoch(f.text_to_int(u), millis_too=True))
+    dated = (
+        F.when(u.rlike(ZONED_TEXT), dotted)
+        .when(u.rlike(PLAIN_TEXT), F.concat(dotted, F.lit("Z")))
+        .when(u.rlike(DATE_TEXT), F.concat(u, F.lit(" 00:00:00Z")))
     )
+    return F.coalesce(dated.try_cast("timestamp"), _from_epoch(f.text_to_int(u), millis_too=True))
 
 
 def _timestamp(leaf: f.Leaf, epoch_numbers: str) -> Column:

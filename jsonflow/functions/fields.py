@@ -30,8 +30,8 @@ FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 class Leaf:
     """The columns of one field: its variant, the kind of it, and its text and number.
 
-    ``text`` is NULL unless the field is a string. ``number`` is the field as a double,
-    NULL unless it is a number (for text readers only: unless it is of kind DOUBLE).
+    ``text`` is NULL unless the field is a string. ``number`` is a number or numeric text as
+    a double; if the field is read as text only, it is NULL unless of kind DOUBLE.
     """
 
     x: Column
@@ -117,12 +117,14 @@ def number_text(leaf: Leaf) -> Column:
     d, size = leaf.number, F.abs(leaf.number)
     whole = d.cast("decimal(38,0)").cast("string")
     # 22 decimals hold every digit of a fractional double that is at least 1e-6.
-    fraction = F.regexp_replace(d.cast("decimal(38,22)").cast("string"), r"0+$", "")
-    exponent = F.regexp_replace(F.regexp_replace(d.cast("string"), r"\.0E", "E"), r"E(?=\d)", "E+")
+    fraction = F.rtrim(d.cast("decimal(38,22)").cast("string"), F.lit("0"))
+    exponent = d.cast("string")
+    for java, plain in ((".0E", "E"), ("E", "e+"), ("e+-", "e-")):
+        exponent = F.replace(exponent, F.lit(java), F.lit(plain))
     of_double = (
         F.when((size < 1e21) & (d == F.rint(d)), whole)
         .when((size < 1e21) & (size >= 1e-6), fraction)
-        .when(size < float("inf"), F.lower(exponent))
+        .when(size < float("inf"), exponent)
     )
     return F.when(leaf.kind == "DOUBLE", of_double).otherwise(leaf.get("string"))
 
@@ -133,13 +135,8 @@ def text_to_int(t: Column) -> Column:
 
 
 def text_to_double(t: Column) -> Column:
-    """Decimal text to a finite double. Blanks, hex, ``inf`` and ``nan`` are NULL."""
-    d = F.when(t.rlike(NUMBER_TEXT), t.try_cast("double"))
-    return F.when(F.abs(d) < float("inf"), d)
-
-
-def finite(d: Column) -> Column:
-    return F.when(F.abs(d) < float("inf"), d)
+    """Decimal text to a double, infinite if too large. Blanks, hex, words are NULL."""
+    return F.when(t.rlike(NUMBER_TEXT), t.try_cast("double"))
 
 
 def present(leaf: Leaf) -> Column:
@@ -163,7 +160,7 @@ def as_string(leaf: Leaf) -> Column:
 
 def as_double(leaf: Leaf) -> Column:
     """Numbers and numeric text, if finite."""
-    return F.when(leaf.kind == "STRING", text_to_double(leaf.text)).otherwise(finite(leaf.number))
+    return F.when(F.abs(leaf.number) < float("inf"), leaf.number)
 
 
 def as_int(leaf: Leaf) -> Column:

@@ -19,7 +19,7 @@ def column_name(path: Column) -> Column:
 
 
 # Levels opened before it is known how deep the messages go; an unused level costs little.
-LEVELS = 16
+LEVELS = 8
 
 
 def path_votes(decoded: DataFrame, depth: int | None = None) -> DataFrame:

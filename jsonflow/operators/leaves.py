@@ -47,16 +47,18 @@ def with_leaves(
         final[names[p]["k"]] = F.when(is_leaf[p], col(p, "k")).otherwise(f.kind(col(p, "o")))
     df = df.withColumns(final).drop(*found)
 
-    parts = {}
+    texts, numbers = {}, {}
     for p in paths:
-        x, k = col(p, "x"), col(p, "k")
+        x, k, t = col(p, "x"), col(p, "k"), col(p, "t")
         if hows[p] - {"present", "is_null", "variant"}:
-            parts[names[p]["t"]] = F.when(k == "STRING", f.get(x, "string"))
+            texts[names[p]["t"]] = F.when(k == "STRING", f.get(x, "string"))
         if "double" in hows[p]:
-            parts[names[p]["n"]] = F.when(f.is_number_kind(k), f.get(x, "double"))
+            number = F.when(f.is_number_kind(k), f.get(x, "double")).otherwise(f.text_to_double(t))
+            numbers[names[p]["n"]] = number
         elif "string" in hows[p]:
-            parts[names[p]["n"]] = F.when(k == "DOUBLE", f.get(x, "double"))
-    df = df.withColumns(parts) if parts else df
+            numbers[names[p]["n"]] = F.when(k == "DOUBLE", f.get(x, "double"))
+    for step in (texts, numbers):
+        df = df.withColumns(step) if step else df
     return df, {p: f.Leaf(*[col(p, part) for part in "xktn"]) for p in paths}
 
 

@@ -28,19 +28,26 @@ FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 
 @dataclass(frozen=True)
 class Leaf:
-    """The columns of one field: its variant, the kind of it, and its text and number.
+    """One field of a message: how to get it, and columns with its kind, text and number.
 
     ``text`` is NULL unless the field is a string. ``number`` is a number or numeric text as
     a double; if the field is read as text only, it is NULL unless of kind DOUBLE.
+
+    The field itself is no column. A variant carries all key names of its message along, so
+    a column of it per field would multiply the size of a row; it is looked up instead.
     """
 
-    x: Column
+    keys: tuple[str, ...]
+    doc: Column
+    other: Column | None
     kind: Column
     text: Column
     number: Column
 
     def get(self, ddl: str) -> Column:
-        return get(self.x, ddl)
+        """The field as a Spark type, from its other spelling if that is where it is."""
+        nested = key_at(self.doc, self.keys, ddl)
+        return nested if self.other is None else F.coalesce(get(self.other, ddl), nested)
 
 
 def kind(x: Column) -> Column:
@@ -60,8 +67,8 @@ def get(x: Column, ddl: str) -> Column:
     return F.try_variant_get(x, "$", ddl)
 
 
-def key_at(doc: Column, keys: tuple[str, ...]) -> Column:
-    """Variant under a chain of object keys; NULL when any key is absent."""
+def key_at(doc: Column, keys: tuple[str, ...], ddl: str = "variant") -> Column:
+    """What is under a chain of object keys; NULL when any key is absent."""
     here, path = doc, "$"
     for key in keys:
         if "'" not in key:
@@ -71,7 +78,7 @@ def key_at(doc: Column, keys: tuple[str, ...]) -> Column:
         else:  # the path syntax cannot quote a key holding both quote marks
             members = F.try_variant_get(here, path, "map<string,variant>")
             here, path = F.try_element_at(members, F.lit(key)), "$"
-    return F.try_variant_get(here, path, "variant")
+    return F.try_variant_get(here, path, ddl)
 
 
 def spellings(path: str) -> list[tuple[str, ...]]:
@@ -93,11 +100,6 @@ def spellings(path: str) -> list[tuple[str, ...]]:
     return sorted(chains, key=lambda chain: -len(chain))
 
 
-def nested(path: str, doc: Column) -> Column:
-    """The usual spelling of the path, objects included."""
-    return key_at(doc, spellings(path)[0])
-
-
 def other_spellings(path: str, doc: Column) -> Column | None:
     """The leaf under a literal dotted key, or None if the path has no other spelling."""
     found = [key_at(doc, chain) for chain in spellings(path)[1:]]
@@ -177,7 +179,7 @@ def as_bool(leaf: Leaf) -> Column:
 
 
 def as_variant(leaf: Leaf) -> Column:
-    return F.when(leaf.kind.isNotNull(), leaf.x)
+    return F.when(leaf.kind.isNotNull(), leaf.get("variant"))
 
 
 READERS = {

@@ -20,46 +20,46 @@ from jsonflow.operators.decode import DOC
 def with_leaves(
     df: DataFrame, reads: Iterable[tuple[str, str]]
 ) -> tuple[DataFrame, dict[str, f.Leaf]]:
-    """Add what is found at each dotted path of ``(path, how it will be read)`` pairs.
+    """Find the field at each dotted path of ``(path, how it will be read)`` pairs.
 
-    Returns the frame and the columns of each path. Objects count as missing.
+    Returns the frame, with columns added, and the fields. Objects count as missing.
     """
     hows: dict[str, set[str]] = {}
     for path, how in reads:
         hows.setdefault(path, set()).add(how)
-    paths, doc = list(hows), F.col(DOC)
-    names = {p: {part: f"_{part}{i}" for part in "xkotn"} for i, p in enumerate(paths)}
+    names = {p: {part: f"_{part}{i}" for part in "kotn"} for i, p in enumerate(hows)}
+    doc = F.col(DOC)
 
     def col(p: str, part: str):
         return F.col(names[p][part])
 
-    others = {p: o for p in paths if (o := f.other_spellings(p, doc)) is not None}
-    is_leaf = {p: ~f.is_object_kind(col(p, "k")) for p in paths}
+    keys = {p: f.spellings(p)[0] for p in hows}
+    others = {p: o for p in hows if (o := f.other_spellings(p, doc)) is not None}
+    leaves = {
+        p: f.Leaf(keys[p], doc, col(p, "o") if p in others else None, *[col(p, c) for c in "ktn"])
+        for p in hows
+    }
 
-    df = df.select("*", *[f.nested(p, doc).alias(names[p]["x"]) for p in paths])
-    df = df.select("*", *[f.kind(col(p, "x")).alias(names[p]["k"]) for p in paths])
+    df = df.select("*", *[f.kind(f.key_at(doc, keys[p])).alias(names[p]["k"]) for p in hows])
+    is_leaf = {p: ~f.is_object_kind(col(p, "k")) for p in hows}
     # Other spellings are looked at only where the nested one has no leaf.
     found = {names[p]["o"]: F.when(is_leaf[p], None).otherwise(o) for p, o in others.items()}
-    df = df.withColumns(found) if found else df
-    final = {names[p]["k"]: F.when(is_leaf[p], col(p, "k")) for p in paths}
-    for p in others:
-        final[names[p]["x"]] = F.when(is_leaf[p], col(p, "x")).otherwise(col(p, "o"))
-        final[names[p]["k"]] = F.when(is_leaf[p], col(p, "k")).otherwise(f.kind(col(p, "o")))
-    df = df.withColumns(final).drop(*found)
-
+    kinds = {}
+    for p in hows:
+        k = F.when(is_leaf[p], col(p, "k"))
+        kinds[names[p]["k"]] = k.otherwise(f.kind(col(p, "o"))) if p in others else k
     texts, numbers = {}, {}
-    for p in paths:
-        x, k, t = col(p, "x"), col(p, "k"), col(p, "t")
+    for p, leaf in leaves.items():
         if hows[p] - {"present", "is_null", "variant"}:
-            texts[names[p]["t"]] = F.when(k == "STRING", f.get(x, "string"))
+            texts[names[p]["t"]] = F.when(leaf.kind == "STRING", leaf.get("string"))
         if "double" in hows[p]:
-            number = F.when(f.is_number_kind(k), f.get(x, "double")).otherwise(f.text_to_double(t))
-            numbers[names[p]["n"]] = number
+            number = F.when(f.is_number_kind(leaf.kind), leaf.get("double"))
+            numbers[names[p]["n"]] = number.otherwise(f.text_to_double(leaf.text))
         elif "string" in hows[p]:
-            numbers[names[p]["n"]] = F.when(k == "DOUBLE", f.get(x, "double"))
-    for step in (texts, numbers):
+            numbers[names[p]["n"]] = F.when(leaf.kind == "DOUBLE", leaf.get("double"))
+    for step in (found, kinds, texts, numbers):
         df = df.withColumns(step) if step else df
-    return df, {p: f.Leaf(*[col(p, part) for part in "xktn"]) for p in paths}
+    return df, leaves
 
 
 def with_fields(df: DataFrame, fields: Sequence[tuple[str, str, str]]) -> DataFrame:

@@ -15,7 +15,7 @@ from jsonflow.operators import dedup, flatten, infer, resolve, runlog, sample
 from jsonflow.operators.decode import DOC, decode
 from jsonflow.operators.filters import evaluate_filter, filter_summary, keep_matching
 from jsonflow.operators.project import project
-from jsonflow.plans.load import classify, decoded_rows, load_rows, reject_counts, rejects_of
+from jsonflow.plans.load import classify, load_rows, reject_counts, rejects_of
 from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, read_mapping
 from jsonflow.session import shared_dir
 from jsonflow.sources.generate import test_messages
@@ -497,6 +497,41 @@ def infer_from_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.infer_mapping(decode(sample.sample_oldest(raw, 200, ["ts", "event_id"])))
 
 
+@query(
+    """
+    SELECT event_type, value AS event_value, user_id, 'user' || user_id || '@example.com' AS user_email,
+           strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_ts FROM events
+    """
+)
+def load_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole table loaded by the mapping its own messages propose."""
+    raw = m.event_messages(spark, sf_dir)
+    mapping = infer.accept(infer.infer_mapping(decode(raw)))
+    return load_rows(raw, LoadSpec("events", mapping))
+
+
+@query(
+    """
+    SELECT event_id, CASE event_id % 4 WHEN 3 THEN user_id + 1 ELSE user_id END AS n,
+           event_id % 4 <> 2 AS a_b_exists
+    FROM events
+    """
+)
+def path_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``a.b.c`` by nested and by dotted keys; the nested one wins; an object is no field."""
+    message = """
+    CASE event_id % 4
+      WHEN 0 THEN concat('{"a":{"b":{"c":', user_id, '}},"a.b":1}')
+      WHEN 1 THEN concat('{"a.b":1,"a":{"b.c":', user_id, '}}')
+      WHEN 2 THEN concat('{"a.b":{"c":', user_id, '}}')
+      ELSE concat('{"a.b.c":', user_id, ',"a":{"b":{"c":', user_id + 1, '}},"a.b":"x"}') END
+    """
+    raw = m.messages(spark, sf_dir, "events", ["event_id"], message)
+    exists = evaluate_filter(decode(raw, keep=["event_id"]), rules(rule("a.b", "exists")))
+    field = read_mapping([{"fieldPath": "a.b.c", "column": "n", "type": "Int64"}])
+    return project(exists, field, ["event_id", "result"]).withColumnRenamed("result", "a_b_exists")
+
+
 @query(
     """
     WITH turns AS (SELECT event_id, user_id % 8 AS p,
@@ -631,6 +666,19 @@ def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("event_ts", F.unix_micros("event_ts"))
 
 
+@query("SELECT event_id, event_type FROM events")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message delivered twice on a stream; repeats within a day are dropped."""
+    root = shared_dir(spark)
+    schema = "event_id long, ts timestamp_ntz, event_type string"
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    twice = events.selectExpr("event_id", "CAST(ts AS timestamp) AS ts", "event_type", "explode(array(1, 2)) AS copy")
+    once = dedup.first_seen(twice, ["event_id"], "ts", "1 day").drop("copy", "ts")
+    writer = once.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{root}/rows").awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
 @query(
     """
     SELECT event_type, user_id, value AS event_value FROM events

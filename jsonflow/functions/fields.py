@@ -30,8 +30,9 @@ FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 class Leaf:
     """One field of a message: how to get it, and columns with its kind, text and number.
 
-    ``text`` is NULL unless the field is a string. ``number`` is a number or numeric text as
-    a double; if the field is read as text only, it is NULL unless of kind DOUBLE.
+    ``text`` is NULL unless the field is a string. ``number`` names a column with a number or
+    numeric text as a double; if the field is read as text only, that is NULL unless the
+    field is of kind DOUBLE.
 
     The field itself is no column. A variant carries all key names of its message along, so
     a column of it per field would multiply the size of a row; it is looked up instead.
@@ -42,7 +43,7 @@ class Leaf:
     other: Column | None
     kind: Column
     text: Column
-    number: Column
+    number: str
 
     def get(self, ddl: str) -> Column:
         """The field as a Spark type, from its other spelling if that is where it is."""
@@ -111,23 +112,21 @@ def other_spellings(path: str, doc: Column) -> Column | None:
     return F.coalesce(*leaves) if len(leaves) > 1 else leaves[0]
 
 
+# Plain text of a double. 22 decimals hold every digit of a fractional one from 1e-6 on.
+DOUBLE_TEXT = """
+CASE WHEN abs({d}) < 1e21 AND {d} = rint({d}) THEN string(CAST({d} AS DECIMAL(38, 0)))
+     WHEN abs({d}) < 1e21 AND abs({d}) >= 1e-6 THEN rtrim('0', string(CAST({d} AS DECIMAL(38, 22))))
+     WHEN abs({d}) < double('infinity')
+       THEN replace(replace(replace(string({d}), '.0E', 'E'), 'E', 'e+'), 'e+-', 'e-') END
+"""
+
+
 def number_text(leaf: Leaf) -> Column:
     """A JSON number as plain text: 12.0 and 1.2e1 are both ``12``.
 
     An exponent is written only below 1e-6 and from 1e21 on.
     """
-    d, size = leaf.number, F.abs(leaf.number)
-    whole = d.cast("decimal(38,0)").cast("string")
-    # 22 decimals hold every digit of a fractional double that is at least 1e-6.
-    fraction = F.rtrim(d.cast("decimal(38,22)").cast("string"), F.lit("0"))
-    exponent = d.cast("string")
-    for java, plain in ((".0E", "E"), ("E", "e+"), ("e+-", "e-")):
-        exponent = F.replace(exponent, F.lit(java), F.lit(plain))
-    of_double = (
-        F.when((size < 1e21) & (d == F.rint(d)), whole)
-        .when((size < 1e21) & (size >= 1e-6), fraction)
-        .when(size < float("inf"), exponent)
-    )
+    of_double = F.expr(DOUBLE_TEXT.format(d=leaf.number))
     return F.when(leaf.kind == "DOUBLE", of_double).otherwise(leaf.get("string"))
 
 
@@ -162,7 +161,8 @@ def as_string(leaf: Leaf) -> Column:
 
 def as_double(leaf: Leaf) -> Column:
     """Numbers and numeric text, if finite."""
-    return F.when(F.abs(leaf.number) < float("inf"), leaf.number)
+    d = F.col(leaf.number)
+    return F.when(F.abs(d) < float("inf"), d)
 
 
 def as_int(leaf: Leaf) -> Column:

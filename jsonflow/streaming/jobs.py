@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -43,8 +44,9 @@ def filter_file(path: str) -> FilterSource:
 class BatchLoader:
     """Loads micro-batches for one or several jobs that share a source.
 
-    The messages are parsed once. They are kept (in memory, else on disk) only if more than
-    one output is written from them; a single output is one pass from source to sink.
+    A single job whose filter does not change is planned once, on the stream; its batches
+    are only written. Otherwise each batch is parsed once and planned per job. Frames are
+    kept (in memory, else on disk) only if more than one output is written from them.
     """
 
     def __init__(
@@ -58,46 +60,51 @@ class BatchLoader:
         self.log_path = log_path
         self.filter_source = filter_source
         self.value = value
+        self.planned = False
         self._seen: FilterSpec | None = None
 
+    def plan(self, messages: DataFrame) -> DataFrame:
+        """The part of the work that can be planned on the stream itself."""
+        if len(self.specs) > 1 or self.filter_source is not None:
+            return messages
+        self.planned = True
+        return self._outcome(decode(messages, self.value), self.specs[0])
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         self._reload_filter(spark, batch_id)
+        if self.planned:
+            self._write(batch, self.specs[0], batch_id)
+            return
         decoded = decode(batch, self.value)
-        shared = len(self.specs) > 1
-        if shared:
-            decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _kept(decoded, len(self.specs) > 1):
             for spec in self.specs:
-                self._load(spec, decoded, batch_id)
-        finally:
-            if shared:
-                decoded.unpersist()
-
-    def _load(self, spec: LoadSpec, decoded: DataFrame, batch_id: int) -> None:
-        spark = decoded.sparkSession
-        started, written = time.monotonic(), Observation()
+                self._write(self._outcome(decoded, spec), spec, batch_id)
+
+    @staticmethod
+    def _outcome(decoded: DataFrame, spec: LoadSpec) -> DataFrame:
+        """Rows, or rows and rejects if the job keeps those."""
+        return classify(decoded, spec) if spec.sink.rejects_path else decoded_rows(decoded, spec)
+
+    def _write(self, outcome: DataFrame, spec: LoadSpec, batch_id: int) -> None:
+        started, counted = time.monotonic(), Observation()
+        count = F.count(F.lit(1)).alias("rows")
+        rejects_path = spec.sink.rejects_path
         try:
-            if spec.sink.rejects_path:
-                both = classify(decoded, spec).persist(StorageLevel.MEMORY_AND_DISK)
-                try:
-                    rows = rows_of(both, spec).observe(written, F.count(F.lit(1)).alias("rows"))
-                    sinks.append(rows, spec.sink, batch_id)
-                    seconds = time.monotonic() - started
-                    target = f"{spec.sink.rejects_path}/batch_id={batch_id}"
-                    rejects_of(both).write.mode("overwrite").parquet(target)
-                finally:
-                    both.unpersist()
-            else:
-                rows = decoded_rows(decoded, spec).observe(written, F.count(F.lit(1)).alias("rows"))
-                sinks.append(rows, spec.sink, batch_id)
+            with _kept(outcome, bool(rejects_path)):
+                rows = rows_of(outcome, spec) if rejects_path else outcome
+                sinks.append(rows.observe(counted, count), spec.sink, batch_id)
                 seconds = time.monotonic() - started
+                if rejects_path:
+                    target = f"{rejects_path}/batch_id={batch_id}"
+                    rejects_of(outcome).write.mode("overwrite").parquet(target)
         except Exception as e:
-            self._log(spark, spec.id, batch_id, 0, time.monotonic() - started, "insert", str(e))
+            spent = time.monotonic() - started
+            self._log(outcome.sparkSession, spec.id, batch_id, 0, spent, "insert", str(e))
             raise
-        count = written.get["rows"]
-        if count:  # a batch without rows is no insert
-            self._log(spark, spec.id, batch_id, count, seconds, None, None)
+        if counted.get["rows"]:  # a batch without rows is no insert
+            rows = counted.get["rows"]
+            self._log(outcome.sparkSession, spec.id, batch_id, rows, seconds, None, None)
 
     def _reload_filter(self, spark: SparkSession, batch_id: int) -> None:
         """Take up a changed filter at a batch boundary; keep the old one if it is invalid."""
@@ -127,6 +134,19 @@ class BatchLoader:
             line.write.mode("overwrite").parquet(target)
 
 
+@contextmanager
+def _kept(df: DataFrame, several: bool):
+    """Keep a frame while several outputs are written from it."""
+    if not several:
+        yield
+        return
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        df.unpersist()
+
+
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     """The run log as one frame."""
     reader = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
@@ -156,7 +176,7 @@ def start(
         messages = stream_messages(spark, lead.source, lead.sink.rows_per_trigger)
     loader = BatchLoader(specs, log_path, filter_source)
     writer = (
-        messages.writeStream.foreachBatch(loader)
+        loader.plan(messages).writeStream.foreachBatch(loader)
         .queryName("+".join(s.id for s in specs))
         .option("checkpointLocation", checkpoint)
     )

@@ -101,17 +101,55 @@ def spellings(path: str) -> list[tuple[str, ...]]:
     return sorted(chains, key=lambda chain: -len(chain))
 
 
-def other_spellings(path: str, doc: Column) -> Column | None:
+# A path of up to this many parts is looked up under each of its spellings, of which there
+# are at most eight. The number doubles with every part, so longer ones are searched for.
+SPELLED_PARTS = 4
+
+
+def other_spellings(path: str, doc_name: str) -> Column | None:
     """The leaf under a literal dotted key, or None if the path has no other spelling."""
-    found = [key_at(doc, chain) for chain in spellings(path)[1:]]
+    doc = F.col(doc_name)
     if path == "":  # a message that is not an object is itself the value at ""
-        found.append(doc)
+        return F.when(~is_object_kind(kind(doc)), doc)
+    if path.count(".") >= SPELLED_PARTS:
+        return searched(path, doc_name)
+    found = [key_at(doc, chain) for chain in spellings(path)[1:]]
     leaves = [F.when(~is_object_kind(kind(x)), x) for x in found]
     if not leaves:
         return None
     return F.coalesce(*leaves) if len(leaves) > 1 else leaves[0]
 
 
+# One step of the search: what was reached with something left of the path, and in it the
+# members whose key the rest starts with. The rest ends in a dot; it is empty at the end.
+SEARCH_STEP = """
+flatten(array_compact(transform({reached}, p -> CASE WHEN p.rest = '' THEN array(p) ELSE
+  transform(
+    filter(map_entries(try_variant_get(p.x, '$', 'map<string,variant>')),
+           m -> startswith(p.rest, concat(m.key, '.'))),
+    m -> named_struct('steps', p.steps + 1, 'x', m.value,
+                      'rest', substring(p.rest, char_length(m.key) + 2))) END)))
+"""
+
+SEARCH_END = """
+try_element_at(
+  array_sort(filter({reached}, p -> p.rest = '' AND NOT startswith(schema_of_variant(p.x), 'OBJECT')),
+             (a, b) -> b.steps - a.steps), 1).x
+"""
+
+
+def searched(path: str, doc: str) -> Column:
+    """The leaf at a path under any spelling, the most nested one first.
+
+    The expression grows with the length of the path only, not with its spellings.
+    """
+    rest = path.replace("\\", "\\\\").replace("'", "\\'")
+    reached = f"array(named_struct('steps', 0, 'x', {doc}, 'rest', '{rest}.'))"
+    for _ in path.split("."):
+        reached = SEARCH_STEP.format(reached=reached)
+    return F.expr(SEARCH_END.format(reached=reached))
+
+
 # Plain text of a double. 22 decimals hold every digit of a fractional one from 1e-6 on.
 DOUBLE_TEXT = """
 CASE WHEN abs({d}) < 1e21 AND {d} = rint({d}) THEN string(CAST({d} AS DECIMAL(38, 0)))

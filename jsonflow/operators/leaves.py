@@ -33,8 +33,8 @@ def with_leaves(
     def col(p: str, part: str):
         return F.col(names[p][part])
 
-    keys = {p: f.spellings(p)[0] for p in hows}
-    others = {p: o for p in hows if (o := f.other_spellings(p, doc)) is not None}
+    keys = {p: tuple(p.split(".")) for p in hows}
+    others = {p: o for p in hows if (o := f.other_spellings(p, DOC)) is not None}
     leaves = {
         p: f.Leaf(
             keys[p], doc, col(p, "o") if p in others else None, col(p, "k"), col(p, "t"), names[p]["n"]

@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 
+from jsonflow.functions.fields import searched, spellings
 from jsonflow.operators.decode import decode
 from jsonflow.operators.project import project
 from jsonflow.plans.load import classify, load_rows, rejects_of, rows_of
@@ -164,6 +165,44 @@ def test_paths(texts):
     }
 
 
+def spelled(keys, value):
+    for key in reversed(keys):
+        value = {key: value}
+    return value
+
+
+def test_long_paths_are_found_under_every_spelling(texts):
+    """All spellings of a path of six parts, one message each, and what is no spelling."""
+    path = "a.b.it's.d\\.e.f"
+    chains = spellings(path)
+    assert len(chains) == 32 and chains[0] == tuple(path.split("."))
+    docs = [spelled(chain, i) for i, chain in enumerate(chains)]
+    docs += [spelled(chains[0][:-1], 1), spelled(chains[0], {"deeper": 1}), spelled(["a.b"], 2), 5]
+    both = {"a": {"b.it's.d\\.e.f": 7, "b": spelled(chains[0][2:], 8)}, path: 9}
+    half = {"a": {"b": {"it's": {"d\\": {"e": {"f": {"object": 1}}}}}}, "a.b": spelled(chains[0][2:], 3), path: 4}
+    docs += [both, half]
+    field = read_mapping([{"fieldPath": path, "column": "c", "type": "Int64"}])
+    df = texts(*map(json.dumps, docs))
+    rows = {r.id: r.c for r in project(decode(df, keep=["id"]), field, ["id"]).collect()}
+    assert [rows[i] for i in range(len(docs))] == [*range(32), None, None, None, None, 8, 3]
+
+
+@pytest.mark.parametrize("path", ["a.b", "a.b.c", "a.b.c.d", "a..b", ".a", "a."])
+def test_search_agrees_with_lookup(spark, texts, path):
+    docs = [json.dumps(spelled(c, i)) for i, c in enumerate(spellings(path))]
+    df = decode(texts(*docs, '{"a":{"x":1}}', "[]"), keep=["id"])
+    found = df.select("id", searched(path, "_doc").cast("int").alias("n")).collect()
+    assert sorted((r.id, r.n) for r in found if r.n is not None) == [(i, i) for i in range(len(docs))]
+
+
+def test_deep_paths_make_small_plans(texts):
+    parts = [f"p{i}" for i in range(14)]
+    docs = [spelled(parts, 1), spelled([".".join(parts)], 2), {}]
+    field = read_mapping([{"fieldPath": ".".join(parts), "column": "c", "type": "Int64"}])
+    rows = project(decode(texts(*map(json.dumps, docs)), keep=["id"]), field, ["id"]).collect()
+    assert {r.id: r.c for r in rows} == {0: 1, 1: 2, 2: None}
+
+
 def test_rows_and_rejects_add_up(texts):
     df = texts('{"n":1}', '{"n":"x","m":true}', "bad", '{"other":1}', "[]")
     mapping = read_mapping(

@@ -20,6 +20,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
 
-def first_seen(stream: DataFrame, keys: Sequence[str], event_time: str, within: str) -> DataFrame:
-    """Drop repeats of a key on a stream that arrive within a bounded delay of each other."""
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
+def first_seen(
+    stream: DataFrame, keys: Sequence[str], event_time: str, within: str, salts: int = 16
+) -> DataFrame:
+    """Drop repeats of a key on a stream that arrive within a bounded delay of each other.
+
+    The copies of a key are first reduced per share of the input tasks, so that a key that
+    makes up much of the stream sends at most ``salts`` rows per delay to one place. Where
+    no key is that frequent, ``salts=1`` saves the first step and its state.
+    """
+    marked = stream.withWatermark(event_time, within)
+    if salts > 1:
+        share = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_share")
+        shared = marked.select("*", share).dropDuplicatesWithinWatermark([*keys, "_share"])
+        marked = shared.drop("_share")
+    return marked.dropDuplicatesWithinWatermark(list(keys))

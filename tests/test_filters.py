@@ -172,6 +172,38 @@ def test_sql_filters(docs, expression, fields, want):
     assert kept.columns == ["id", "_raw", "_doc"]
 
 
+FUNCTIONS = [
+    "char_length(s) = 5 AND contains(s, 'ell') AND startswith(s, 'h') AND endswith(s, 'o')",
+    "s || '!' = 'hello!' AND s RLIKE '^h.*o$' AND s IN ('hello', 'bye') AND s BETWEEN 'a' AND 'i'",
+    "try_add(i, 2) = 9 AND try_subtract(i, 2) = 5 AND try_multiply(i, 2) = 14 AND try_divide(i, 2) = 3.5",
+    "i % 4 = 3 AND -i = -7 AND CASE WHEN i > 5 THEN true ELSE false END",
+    "try_divide(i, 0) IS NULL AND try_add(9223372036854775807, i) IS NULL",
+    "CAST(d AS STRING) = '2.5' AND CAST(d AS INT) = 2 AND try_cast(s AS INT) IS NULL AND b",
+    "array_contains(l, 2) AND size(l) = 3 AND try_element_at(l, 1) = 1 AND try_element_at(l, 9) IS NULL",
+    "exists(l, x -> x > 2) AND forall(l, x -> x > 0) AND size(filter(l, x -> x = 2)) = 1",
+    "transform(l, x -> x * 2) = array(2, 4, 6) AND size(filter(l, x -> x > 1)) = 2",
+    "year(ts) = 2024 AND month(ts) - 1 = 1 AND dayofmonth(ts) = 29 AND dayofmonth(ts) - 1 = 28",
+    "dayofweek(ts) - 1 = 4 AND dayofyear(ts) - 1 = 59 AND hour(ts) = 13 AND minute(ts) = 14",
+    "second(ts) = 15 AND date_format(ts, 'SSS') = '250' AND ts + INTERVAL 1 HOUR > try_to_timestamp('2024-02-29 14:14:15')",
+    "ts - try_to_timestamp('2024-02-29 13:14:14.25') = INTERVAL '1' SECOND",
+    "schema_of_variant(v) = 'ARRAY<BIGINT>' AND here AND NOT nothing",
+]
+
+
+@pytest.mark.parametrize("expression", FUNCTIONS)
+def test_functions_of_sql_filters(texts, expression):
+    """The operations filters are made of: text, numbers, lists, time and kinds."""
+    df = texts('{"s":"hello","i":7,"d":2.5,"b":true,"l":[1,2,3],"t":"2024-02-29T13:14:15.250Z"}')
+    used = {
+        "s": "s", "i": {"path": "i", "as": "int"}, "d": {"path": "d", "as": "double"},
+        "b": {"path": "b", "as": "bool"}, "l": {"path": "l", "as": "array<int>"},
+        "ts": {"path": "t", "as": "timestamp"}, "v": {"path": "l", "as": "variant"},
+        "here": {"path": "s", "as": "present"}, "nothing": {"path": "s", "as": "is_null"},
+    }
+    [row] = evaluate_filter(decode(df), of_sql(expression, **used)).collect()
+    assert row.result and row.error is None
+
+
 @pytest.mark.parametrize(
     "d", [None, {}, {"enabled": False, "expression": "x ="}, {"enabled": True, "expression": " "}, {"enabled": True, "rules": {}}]
 )

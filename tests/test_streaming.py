@@ -256,15 +256,28 @@ def test_small_sources_are_spread(spark):
     assert spread(plenty, 4) is plenty
 
 
-def test_repeats_within_a_delay_are_dropped(spark, root):
-    rows = [(1, "2025-01-01 00:00:00"), (1, "2025-01-01 00:00:30"), (2, "2025-01-01 00:00:10")]
-    df = spark.createDataFrame(rows, "k int, at string").selectExpr("k", "CAST(at AS timestamp) AS at")
-    df.coalesce(1).write.parquet(f"{root}/keys")
-    stream = spark.readStream.schema(df.schema).parquet(f"{root}/keys")
-    out = first_seen(stream, ["k"], "at", "1 minute").writeStream.format("parquet")
-    query = out.option("checkpointLocation", f"{root}/cp").option("path", f"{root}/out").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert sorted(r.k for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2]
+@pytest.mark.parametrize("salts", [1, 4])
+def test_repeats_within_a_delay_are_dropped(spark, root, salts):
+    """One key holds most of the stream; its copies come in every task and in a later batch."""
+    schema = "k int, at timestamp"
+
+    def feed_keys(*rows):
+        df = spark.createDataFrame(list(rows), "k int, at string").selectExpr("k", "CAST(at AS timestamp) AS at")
+        df.repartition(4).write.mode("append").parquet(f"{root}/keys")
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{root}/keys")
+        out = first_seen(stream, ["k"], "at", "1 minute", salts).writeStream.format("parquet")
+        out = out.option("checkpointLocation", f"{root}/cp").option("path", f"{root}/out")
+        out.trigger(availableNow=True).start().awaitTermination()
+
+    feed_keys(*[(1, f"2025-01-01 00:00:{i % 60:02d}") for i in range(200)], (2, "2025-01-01 00:00:10"))
+    run()
+    feed_keys((1, "2025-01-01 00:00:30"), (3, "2025-01-01 00:00:59"))
+    run()
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert sorted(r.k for r in rows) == [1, 2, 3]
+    assert rows[0].asDict().keys() == {"k", "at"}
 
 
 class FakeSession:

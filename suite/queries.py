@@ -1,7 +1,7 @@
 """Registered queries over the given tables, with their SQL checks.
 
 Checks are written against the relational columns, never by reading JSON again.
-Timestamps are compared as microseconds since 1970.
+Timestamps are compared as microseconds since 1970; NULL shows as -1 or ``none``.
 """
 
 from __future__ import annotations
@@ -43,10 +43,6 @@ def group(op: str, *children: dict, negate: bool = False) -> dict:
 BIG_PURCHASES = rules(group("AND", rule("event.type", "equals", "purchase"), rule("event.value", "gt", 20)))
 
 
-def micros(name: str):
-    return F.unix_micros(name).alias(name)
-
-
 # --- the whole load -----------------------------------------------------------------
 
 
@@ -173,28 +169,36 @@ def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT event_id,
-      CASE WHEN event_id % 6 < 4 THEN user_id END AS n,
-      CASE event_id % 5 WHEN 0 THEN value WHEN 1 THEN value WHEN 2 THEN CAST(user_id AS DOUBLE) END AS f,
-      CASE event_id % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN user_id <> 0 END AS b,
+      CASE WHEN event_id % 6 < 4 THEN user_id ELSE -1 END AS n,
+      CASE event_id % 5 WHEN 0 THEN value WHEN 1 THEN value WHEN 2 THEN CAST(user_id AS DOUBLE) ELSE -1 END AS f,
+      CASE event_id % 6 WHEN 0 THEN 'true' WHEN 1 THEN 'true' WHEN 2 THEN 'false'
+        WHEN 3 THEN CASE WHEN user_id <> 0 THEN 'true' ELSE 'false' END ELSE 'none' END AS b,
       CASE event_id % 6 WHEN 0 THEN event_type WHEN 1 THEN CAST(user_id AS VARCHAR)
         WHEN 2 THEN CAST(user_id * 1000 AS VARCHAR) WHEN 3 THEN 'false'
-        WHEN 4 THEN '["' || event_type || '",' || user_id || ']' END AS s
+        WHEN 4 THEN '["' || event_type || '",' || user_id || ']' ELSE 'none' END AS s
     FROM events
     """
 )
 def map_project_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapped paths to Int64, Float64, Bool and String from numbers, texts and arrays."""
     spec = LoadSpec("mixed", m.MIXED_MAPPING)
-    return load_rows(m.mixed_messages(spark, sf_dir), spec, ["event_id"])
+    rows = load_rows(m.mixed_messages(spark, sf_dir), spec, ["event_id"])
+    return rows.select(
+        "event_id",
+        F.coalesce("n", F.lit(-1)).alias("n"),
+        F.coalesce("f", F.lit(-1.0)).alias("f"),
+        F.coalesce(F.col("b").cast("string"), F.lit("none")).alias("b"),
+        F.coalesce("s", F.lit("none")).alias("s"),
+    )
 
 
 @query(
     """
     SELECT o_orderkey,
-      CASE WHEN o_orderkey % 9 IN (7, 8) THEN NULL
+      CASE WHEN o_orderkey % 9 IN (7, 8) THEN -1
            WHEN o_orderkey % 9 = 5 THEN epoch_us(o_orderdate) + 1000000000000000
            ELSE epoch_us(o_orderdate) END AS at,
-      CASE WHEN o_orderkey % 9 IN (7, 8) THEN NULL
+      CASE WHEN o_orderkey % 9 IN (7, 8) THEN 'none'
            WHEN o_orderkey % 9 = 5 THEN CAST(CAST(make_timestamp(epoch_us(o_orderdate) + 1000000000000000) AS DATE) AS VARCHAR)
            ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day
     FROM orders
@@ -203,7 +207,11 @@ def map_project_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coerce_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zoned, plain and date-only text, epochs as text and as numbers, to DateTime and Date."""
     rows = load_rows(m.date_messages(spark, sf_dir), LoadSpec("dates", m.DATE_MAPPING), ["o_orderkey"])
-    return rows.withColumns({"at": F.unix_micros("at"), "day": F.col("day").cast("string")})
+    return rows.select(
+        "o_orderkey",
+        F.coalesce(F.unix_micros("at"), F.lit(-1)).alias("at"),
+        F.coalesce(F.col("day").cast("string"), F.lit("none")).alias("day"),
+    )
 
 
 @query(

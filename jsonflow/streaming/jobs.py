@@ -15,7 +15,7 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -61,6 +61,7 @@ class BatchLoader:
         self.filter_source = filter_source
         self.value = value
         self.planned = False
+        self.failed = False
         self._seen: FilterSpec | None = None
 
     def plan(self, messages: DataFrame) -> DataFrame:
@@ -99,12 +100,13 @@ class BatchLoader:
                     target = f"{rejects_path}/batch_id={batch_id}"
                     rejects_of(outcome).write.mode("overwrite").parquet(target)
         except Exception as e:
+            self.failed = True
             spent = time.monotonic() - started
-            self._log(outcome.sparkSession, spec.id, batch_id, 0, spent, "insert", str(e))
+            self.log(outcome.sparkSession, spec.id, batch_id, 0, spent, "insert", str(e))
             raise
         if counted.get["rows"]:  # a batch without rows is no insert
             rows = counted.get["rows"]
-            self._log(outcome.sparkSession, spec.id, batch_id, rows, seconds, None, None)
+            self.log(outcome.sparkSession, spec.id, batch_id, rows, seconds, None, None)
 
     def _reload_filter(self, spark: SparkSession, batch_id: int) -> None:
         """Take up a changed filter at a batch boundary; keep the old one if it is invalid."""
@@ -117,12 +119,12 @@ class BatchLoader:
             check_filter(spark, latest)
         except (FilterError, ValueError, PySparkException) as e:
             for spec in self.specs:
-                self._log(spark, spec.id, batch_id, 0, 0.0, "filter", str(e))
+                self.log(spark, spec.id, batch_id, 0, 0.0, "filter", str(e))
             return
         self._seen = latest
         self.specs = [replace(spec, filter=latest) for spec in self.specs]
 
-    def _log(self, spark, job, batch_id, rows, seconds, error, message) -> None:
+    def log(self, spark, job, batch_id, rows, seconds, error, message) -> None:
         if self.log_path is None:
             return
         row = (job, batch_id, rows, datetime.now(timezone.utc), seconds, error, message)
@@ -168,16 +170,42 @@ def start(
     allows. With ``drain`` the query loads what is there and stops.
     """
     specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
-    for spec in specs:
+    return _start(spark, BatchLoader(specs, log_path, filter_source), checkpoint, messages, drain)
+
+
+def run(
+    spark: SparkSession,
+    specs: LoadSpec | Sequence[LoadSpec],
+    checkpoint: str,
+    log_path: str | None = None,
+    filter_source: FilterSource | None = None,
+    messages: DataFrame | None = None,
+    drain: bool = False,
+) -> None:
+    """Start jobs and stay until they end. An end that no insert caused is a source error."""
+    specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
+    loader = BatchLoader(specs, log_path, filter_source)
+    try:
+        _start(spark, loader, checkpoint, messages, drain).awaitTermination()
+    except StreamingQueryException as e:
+        if not loader.failed:
+            for spec in specs:
+                loader.log(spark, spec.id, -1, 0, 0.0, "source", str(e))
+        raise
+
+
+def _start(
+    spark: SparkSession, loader: BatchLoader, checkpoint: str, messages: DataFrame | None, drain: bool
+) -> StreamingQuery:
+    for spec in loader.specs:
         check_filter(spark, spec.filter)
         sinks.ensure_table(spark, spec.sink, spec.mapping)
-    lead = specs[0]
+    lead = loader.specs[0]
     if messages is None:
         messages = stream_messages(spark, lead.source, lead.sink.rows_per_trigger)
-    loader = BatchLoader(specs, log_path, filter_source)
     writer = (
         loader.plan(messages).writeStream.foreachBatch(loader)
-        .queryName("+".join(s.id for s in specs))
+        .queryName("+".join(s.id for s in loader.specs))
         .option("checkpointLocation", checkpoint)
     )
     if drain:

@@ -767,7 +767,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = event_stream(spark, sf_dir, m.MIXED_MESSAGE, pathGlobFilter="events.parquet")
     drain(spark, spec, f"{root}/checkpoint", log_path=f"{root}/log", messages=stream)
     log = jobs.read_log(spark, f"{root}/log")
-    sums = log.groupBy(F.col("pipeline").alias("job")).agg(
+    sums = log.groupBy("job").agg(
         F.sum("rows").alias("rows"), F.count_if(F.col("error").isNotNull()).cast("int").alias("errors")
     )
     return sums.crossJoin(spark.read.parquet(f"{root}/rejects").agg(F.count("*").alias("rejects")))
@@ -778,7 +778,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Every event type stands for a job, every hour for a batch; dear events are errors.
 RUN_LOG = """
 run_log AS (
-  SELECT event_type AS pipeline, epoch_us(date_trunc('hour', ts)) // 3600000000 AS batch_id, count(*) AS n,
+  SELECT event_type AS job, epoch_us(date_trunc('hour', ts)) // 3600000000 AS batch_id, count(*) AS n,
          max(ts) AS logged, max(value) / 100 AS seconds, NULL AS error, NULL AS message
   FROM events GROUP BY 1, 2
   UNION ALL
@@ -792,7 +792,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     hour = F.floor(F.unix_seconds("ts") / 3600).alias("batch_id")
     none = F.lit(None).cast("string")
-    batches = events.groupBy(F.col("event_type").alias("pipeline"), hour).agg(
+    batches = events.groupBy(F.col("event_type").alias("job"), hour).agg(
         F.count("*").alias("rows"),
         F.max("ts").alias("at"),
         (F.max("value") / 100).alias("seconds"),
@@ -800,7 +800,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.alias("message"),
     )
     errors = events.filter("value > 30").select(
-        F.col("event_type").alias("pipeline"),
+        F.col("event_type").alias("job"),
         F.col("event_id").alias("batch_id"),
         F.lit(0).cast("bigint").alias("rows"),
         F.col("ts").alias("at"),
@@ -814,8 +814,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {RUN_LOG}
-    SELECT pipeline, count(*) AS batches_total, CAST(sum(n) AS BIGINT) AS rows_total
-    FROM run_log WHERE error IS NULL GROUP BY pipeline
+    SELECT job, count(*) AS batches_total, CAST(sum(n) AS BIGINT) AS rows_total
+    FROM run_log WHERE error IS NULL GROUP BY job
     """
 )
 def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -827,8 +827,8 @@ def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH {RUN_LOG},
     bounds AS (SELECT unnest(['0.005', '0.01', '0.025', '0.05', '0.1', '0.25', '0.5', '1', '2.5', '5', '10', '+Inf']) AS le)
-    SELECT pipeline, le, count(*) FILTER (le = '+Inf' OR seconds <= TRY_CAST(le AS DOUBLE)) AS count
-    FROM run_log CROSS JOIN bounds WHERE error IS NULL GROUP BY pipeline, le
+    SELECT job, le, count(*) FILTER (le = '+Inf' OR seconds <= TRY_CAST(le AS DOUBLE)) AS count
+    FROM run_log CROSS JOIN bounds WHERE error IS NULL GROUP BY job, le
     """
 )
 def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -839,7 +839,7 @@ def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH {RUN_LOG}
-    SELECT pipeline, error AS kind, count(*) AS errors FROM run_log WHERE error IS NOT NULL GROUP BY ALL
+    SELECT job, error AS kind, count(*) AS errors FROM run_log WHERE error IS NOT NULL GROUP BY ALL
     """
 )
 def error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -856,7 +856,7 @@ def error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
            coalesce(arg_max(n, row(logged, batch_id)) FILTER (error IS NULL), -1) AS last_batch,
            coalesce(epoch_us(max(logged) FILTER (error IS NULL)), -1) AS last_batch_at,
            coalesce(arg_max(message, row(logged, batch_id)) FILTER (error IS NOT NULL), '') AS last_error
-    FROM jobs j LEFT JOIN run_log l ON l.pipeline = j.id GROUP BY j.id, j.name
+    FROM jobs j LEFT JOIN run_log l ON l.job = j.id GROUP BY j.id, j.name
     """
 )
 def job_list(spark: SparkSession, sf_dir: str) -> DataFrame:

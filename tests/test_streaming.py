@@ -116,6 +116,26 @@ def test_batches_without_rows_are_no_inserts(spark, root, feed):
     assert not os.path.exists(f"{root}/log")
 
 
+def test_an_end_that_no_insert_caused_is_a_source_error(spark, root, feed):
+    feed(message(1))
+    os.makedirs(f"{root}/checkpoint/offsets")
+    with open(f"{root}/checkpoint/offsets/0", "w") as out:
+        out.write("no offsets")
+    with pytest.raises(StreamingQueryException):
+        jobs.run(spark, job(root), f"{root}/checkpoint", log_path=f"{root}/log", drain=True)
+    [row] = runlog.error_counts(jobs.read_log(spark, f"{root}/log")).collect()
+    assert (row.job, row.kind, row.errors) == ("job", "source", 1)
+
+
+@pytest.mark.parametrize("reloaded", [False, True])
+def test_a_filter_that_keeps_nothing(spark, root, feed, reloaded):
+    feed(message(1))
+    nothing = FilterSpec(True, rules={"op": "OR", "children": [], "not": True})
+    source_of = (lambda _: nothing) if reloaded else None
+    jobs.run(spark, job(root, filter=nothing), f"{root}/checkpoint", f"{root}/log", source_of, drain=True)
+    assert loaded(spark, root) == [] and not os.path.exists(f"{root}/log")
+
+
 def test_filter_file_is_followed(spark, root, feed, tmp_path):
     path = tmp_path / "filter.json"
 
@@ -158,7 +178,7 @@ def test_several_jobs_on_one_stream(spark, root, feed):
     assert [n for n, _ in loaded(spark, root, "all")] == [0, 1, 2, 3]
     assert [n for n, _ in loaded(spark, root, "low")] == [0, 1]
     totals = runlog.totals(jobs.read_log(spark, f"{root}/log")).collect()
-    assert sorted((r.pipeline, r.rows_total) for r in totals) == [("all", 4), ("low", 2)]
+    assert sorted((r.job, r.rows_total) for r in totals) == [("all", 4), ("low", 2)]
 
 
 def test_independent_jobs(spark, root, feed):

@@ -48,7 +48,10 @@ def _kafka(df: DataFrame) -> DataFrame:
 
 
 def _named(df: DataFrame, source: SourceSpec) -> DataFrame:
-    return df if source.value == "value" else df.withColumnRenamed(source.value, "value")
+    """Call the message column ``value``; a column that had the name before gives way."""
+    if source.value == "value":
+        return df
+    return df.drop("value").withColumnRenamed(source.value, "value")
 
 
 def spread(df: DataFrame, min_partitions: int) -> DataFrame:

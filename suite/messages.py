@@ -36,13 +36,16 @@ to_json(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, read with at least one task per core."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def messages(spark: SparkSession, sf_dir: str, name: str, keep: list[str], sql: str) -> DataFrame:
-    """``keep`` expressions and the message an SQL expression makes of each row."""
-    return table(spark, sf_dir, name).selectExpr(*keep, f"{sql} AS value")
+    """``keep`` expressions and the message an SQL expression makes of each row.
+
+    Messages are made, and later parsed, by at least one task per core.
+    """
+    rows = spread(table(spark, sf_dir, name), spark.sparkContext.defaultParallelism)
+    return rows.selectExpr(*keep, f"{sql} AS value")
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

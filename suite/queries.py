@@ -16,9 +16,11 @@ from jsonflow.operators.decode import DOC, decode
 from jsonflow.operators.filters import evaluate_filter, filter_summary, keep_matching
 from jsonflow.operators.project import project
 from jsonflow.plans.load import classify, load_rows, reject_counts, rejects_of
-from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, read_mapping
+from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, SourceSpec, read_mapping
 from jsonflow.session import shared_dir
 from jsonflow.sources.generate import test_messages
+from jsonflow.sources.readers import read_messages
+from jsonflow.sources.sampling import sample_topic
 from jsonflow.streaming import jobs, sinks
 from suite import messages as m
 from suite.registry import query
@@ -101,6 +103,20 @@ def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "lang", F.md5("text").alias("text_md5"), "chars")
 
 
+@query(
+    """
+    SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events
+    """
+)
+def load_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are stored in a column of the source, as the source spec names it."""
+    source = SourceSpec.from_dict({"format": "parquet", "path": f"{sf_dir}/events.parquet", "value": "props"})
+    mapping = read_mapping([{"fieldPath": "k", "column": "k", "type": "Int64"}])
+    # the table has a column "value" of its own, which the messages take the place of
+    events = read_messages(spark, source)
+    return load_rows(events, LoadSpec("props", mapping), ["event_id"])
+
+
 # --- decode, flatten, project, coerce -----------------------------------------------
 
 
@@ -166,6 +182,30 @@ def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT CASE WHEN event_id % 3 = 0 THEN 'l1.l2.l3.l4.l5.l6.l7.l8.l9.l10.l11.id'
+                WHEN event_id % 3 = 1 THEN 'l1.l2.id' ELSE 'id' END AS path,
+           count(*) AS n, CAST(sum(user_id) AS BIGINT) AS total
+    FROM events GROUP BY 1
+    """
+)
+def flatten_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves at very different depths; the depth is measured and none is cut off."""
+    opened = "".join(f'{{"l{i}":' for i in range(1, 12))
+    message = f"""
+    CASE event_id % 3
+      WHEN 0 THEN concat('{opened}{{"id":', user_id, '{"}" * 12}')
+      WHEN 1 THEN concat('{{"l1":{{"l2":{{"id":', user_id, '}}}}}}')
+      ELSE concat('{{"id":', user_id, '}}') END
+    """
+    leaves = flatten.flatten(decode(m.messages(spark, sf_dir, "events", [], message)))
+    number = F.try_variant_get("value", "$", "bigint").alias("number")
+    return leaves.select("path", number).groupBy("path").agg(
+        F.count("*").alias("n"), F.sum("number").alias("total")
+    )
+
+
 @query(
     """
     SELECT event_id,
@@ -542,17 +582,30 @@ def path_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH turns AS (SELECT event_id, user_id % 8 AS p,
+    WITH turns AS (SELECT event_id, user_id, user_id % 8 AS p,
                           row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) AS turn
                    FROM events)
-    SELECT p AS "partition", event_id AS "offset" FROM turns ORDER BY turn, p LIMIT 100
+    SELECT p AS "partition", event_id AS "offset", user_id FROM turns ORDER BY turn, p LIMIT 100
     """
 )
 def even_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """100 messages taken in turn from all partitions of a topic, users being spread over 8."""
+    """100 messages taken in turn from all partitions of a topic, users being spread over 8,
+    and loaded."""
     keep = ["user_id % 8 AS partition", "event_id AS offset"]
     raw = m.messages(spark, sf_dir, "events", keep, m.EVENT_MESSAGE)
-    return sample.sample_even(raw, 100).select("partition", "offset")
+    spec = LoadSpec("sample", m.EVENT_MAPPING[4:])
+    return load_rows(sample.sample_even(raw, 100), spec, ["partition", "offset"])
+
+
+@query("SELECT least(100, count(*)) AS messages, 1 AS paths FROM events")
+def topic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample taken off the start of a stream, and how many paths it shows."""
+    source = SourceSpec(
+        "parquet", {"pathGlobFilter": "events.parquet"}, sf_dir, value="props", schema="event_id long, props string"
+    )
+    decoded = decode(sample_topic(spark, source, 100, shared_dir(spark)))
+    leaves = flatten.flatten(decoded, depth=1)
+    return leaves.agg(F.count("*").alias("messages"), F.countDistinct("path").cast("int").alias("paths"))
 
 
 @query(
@@ -700,7 +753,7 @@ def stream_filter_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     part meets an invalid one, so the changed filter stays in force.
     """
     root = shared_dir(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = m.table(spark, sf_dir, "events")
     mapping = [c for c in m.EVENT_MAPPING if c.column in ("event_type", "user_id", "event_value")]
     first = rules(rule("event.type", "equals", "purchase"))
     spec = LoadSpec("events", mapping, sink=SinkSpec(path=f"{root}/rows"), filter=first)
@@ -789,7 +842,7 @@ run_log AS (
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = m.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     hour = F.floor(F.unix_seconds("ts") / 3600).alias("batch_id")
     none = F.lit(None).cast("string")
     batches = events.groupBy(F.col("event_type").alias("job"), hour).agg(
@@ -861,8 +914,8 @@ def error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def job_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All registered jobs with their status; nations are jobs that never ran."""
-    types = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("id")).distinct()
-    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("id"))
+    types = m.table(spark, sf_dir, "events").select(F.col("event_type").alias("id")).distinct()
+    nations = m.table(spark, sf_dir, "nation").select(F.col("n_name").alias("id"))
     specs = types.withColumn("name", F.concat(F.lit("type "), "id")).unionByName(
         nations.withColumn("name", F.concat(F.lit("nation "), "id"))
     )

@@ -47,6 +47,10 @@ def classify(decoded: DataFrame, spec: LoadSpec, keep: Sequence[str] = ()) -> Da
         spec.epoch_numbers,
         rejects=True,
     )
+    # As in decode: the explode keeps conditions on the rejects from being unfolded into all
+    # the conversions they came from.
+    carried = [c for c in typed.columns if c != REJECTS]
+    typed = typed.select(*map(quoted, carried), F.explode(F.array(REJECTS)).alias(REJECTS))
     stage = F.when(F.col("_bad"), "decode").when(F.size(REJECTS) > 0, "coerce")
     reasons = F.when(F.col("_bad"), F.array(F.lit("malformed JSON"))).otherwise(F.col(REJECTS))
     raw = F.when(stage.isNotNull(), F.col(RAW))

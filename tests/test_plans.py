@@ -9,7 +9,7 @@ import pytest
 
 from jsonflow.operators import infer
 from jsonflow.operators.decode import decode
-from jsonflow.plans.load import classify, load_rows
+from jsonflow.plans.load import classify, load_rows, reject_counts, rejects_of, rows_of
 from jsonflow.plans.spec import LoadSpec
 from suite import messages as m
 from suite.queries import BIG_PURCHASES, INFER_MESSAGE, sql
@@ -53,6 +53,15 @@ def test_classify_parses_once(events):
     assert text.count("parseJson") == 1 and "Exchange" not in text
 
 
+def test_conditions_on_rejects_do_not_unfold_the_conversions(events):
+    spec = LoadSpec("x", m.EVENT_MAPPING, filter=BIG_PURCHASES)
+    both = classify(decode(events), spec)
+    everything = len(physical(both))
+    for part in (rejects_of(both), rows_of(both, spec), reject_counts(both)):
+        text = physical(part)
+        assert text.count("parseJson") == 1 and len(text) < 1.5 * everything
+
+
 def test_only_needed_columns_are_read(spark):
     raw = spark.read.parquet(f"{SF}/conversations.parquet").withColumnRenamed("text", "value")
     text = plan(load_rows(raw, LoadSpec("x", m.EVENT_MAPPING)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import quality_rules
+from jsonflow.llm import minhash, quality_rules
 from jsonflow.llm.common import held_out, ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept votes".split()
     return judged.select(*names, F.round("p_quality", 4).alias("p_quality"))
+
+
+@query()
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its near copies."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)

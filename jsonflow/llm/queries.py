@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import minhash, quality_rules
+from jsonflow.llm import line_dedup, minhash, packing, quality_rules
 from jsonflow.llm.common import held_out, ready, table
 
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -40,3 +47,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its near copies."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query()
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks of lines that occurred before."""
+    return line_dedup.removals(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())

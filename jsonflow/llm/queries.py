@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import line_dedup, minhash, packing, quality_rules
+from jsonflow.llm import decontaminate, line_dedup, minhash, packing, quality_rules, toxicity
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -59,3 +59,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of a document that is within a benchmark item's edit budget."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, scored on its restored text."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import decontaminate, line_dedup, minhash, packing, quality_rules, toxicity
+from jsonflow.llm import decontaminate, line_dedup, minhash, packing, quality_rules, toxicity, warc
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -71,3 +71,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, scored on its restored text."""
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives give it back."""
+    read = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+    return read.select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to")
+    )

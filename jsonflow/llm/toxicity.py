@@ -36,6 +36,8 @@ STRETCHES, LEAST_DOCS, LEAST_ODDS, LEAST_G2 = 4000, 5, 1.2, 12.0
 SIZES = (4, 5, 6)
 READINGS = 4
 REMEMBERED = 200_000
+# Longer mixtures of letters and digits are keys and addresses, not disguised words.
+LONGEST = 30
 
 # Classes: 0 anything else, 1-26 a-z, then the small letters of Latin-1.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
@@ -51,7 +53,7 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = set(" .-_*~'`,:;/\\^")
-COST_SIGN, COST_SEPARATOR, COST_DROP, COST_REPEAT = 1.0, 0.3, 4.0, 0.3
+COST_SIGN, COST_SEPARATOR, COST_DROP, COST_REPEAT = 1.0, 0.3, 9.0, 0.3
 
 
 # --- language model -----------------------------------------------------------------
@@ -133,14 +135,14 @@ def disguised(word: str) -> bool:
     """Whether a lower-cased word without its edges is to be restored."""
     if word.isalpha():
         return _THRICE.search(word) is not None
-    return len(word) <= 40 and any(c.isalpha() for c in word) and sum(c in CLASS or c in STANDS_FOR or c in SEPARATORS for c in word) == len(word)
+    return len(word) <= LONGEST and any(c.isalpha() for c in word) and sum(c in CLASS or c in STANDS_FOR or c in SEPARATORS for c in word) == len(word)
 
 
 def restored(word: str, model: np.ndarray) -> list[str]:
     """What a word of a text may say; the first is the likeliest."""
     low = word.lower()
     core = low.strip(_EDGES)
-    if core.isalpha() and not _THRICE.search(core):
+    if core.isalpha() and not _THRICE.search(core) and low[0] not in STANDS_FOR:
         return [core]
     found = []
     # Signs at the edges may be letters too: both readings are tried.

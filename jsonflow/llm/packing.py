@@ -13,6 +13,7 @@ those of each row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -30,14 +31,20 @@ CAPACITY = 2048
 END_ID = 0
 GROUP = 100_000
 # Words whose ids a task remembers, and bytes of text that are split into words at a time.
-REMEMBERED, STRETCH = 300_000, 1 << 20
+REMEMBERED, STRETCH = 800_000, 1 << 20
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# Signs that may follow a word; the vocabulary's splitting rule keeps them apart from its letters.
+_SIGNS = b".,;:!?*$%&#|<>()"
+
+
 class WordIds:
     """Ids of whole texts, word by word: no token of this vocabulary crosses white space.
 
-    Ids are held as little-endian 32-bit bytes. Distinct words go through the tokenizer once.
+    Ids are held as little-endian 32-bit bytes. A word of letters, and signs after it, is looked up
+    as letters and signs, as the vocabulary's own splitting rule has it; letters not met yet are encoded many at a time
+    and told apart by the tokens that end a word. Any other word is encoded by itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,18 +52,78 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
-
-    def of(self, words: list[bytes]) -> bytes:
-        known = self._known
-        new = [w for w in set(words) if w not in known]
+        self._cores: dict[str, bytes] = {}
+
+    def _encode_cores(self, cores: list[str]) -> None:
+        for at in range(0, len(cores), 1000):
+            some = cores[at : at + 1000]
+            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(some):
+                self._cores.update((c, self._alone(c)) for c in some)
+                continue
+            raw, start = ids.tobytes(), 0
+            for core, end in zip(some, (4 * ends).tolist()):
+                self._cores[core] = raw[start:end]
+                start = end
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, cores = self._known, self._cores
+        if len(known) + len(words) > REMEMBERED:
+            known.clear()
+        if len(cores) > REMEMBERED:
+            cores.clear()
+        split, new = [], set()
+        for word in words:
+            letters = word.rstrip(_SIGNS)
+            core = letters.decode()
+            # Only the final sigma depends on its place when put in lower case.
+            if core.isalpha() and "Σ" not in core:
+                core, signs = core.lower(), word[len(letters) :].decode()
+                split.append((word, core, signs))
+                if core not in cores:
+                    new.add(core)
+                if signs and signs not in cores:
+                    cores[signs] = self._alone(signs)
+            else:
+                known[word] = self._alone(word.decode())
+        self._encode_cores(list(new))
+        for word, core, signs in split:
+            known[word] = cores[core] + cores[signs] if signs else cores[core]
+
+    def learn(self, texts: list[bytes]) -> None:
+        """Words of all these texts at once, so that few calls do the encoding."""
+        new: set[bytes] = set()
+        for text in texts:
+            new.update(set(text.split()).difference(self._known))
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            encoded = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, encoded))
-        return b"".join([known[w] for w in words])
+            self._learn(list(new))
+
+    def of(self, text: bytes) -> bytes:
+        words = text.split()
+        try:
+            return b"".join(map(self._known.__getitem__, words))
+        except KeyError:
+            # The table was emptied since, or these words are new.
+            self._learn(list(set(words).difference(self._known)))
+        try:
+            return b"".join(map(self._known.__getitem__, words))
+        except KeyError:
+            self._learn(list(set(words)))
+            return b"".join(map(self._known.__getitem__, words))
+
+
+@functools.lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One table for all tasks that a worker process runs."""
+    return WordIds(path)
 
 
 def _stretches(text: bytes) -> Iterator[bytes]:
@@ -72,15 +139,17 @@ def _stretches(text: bytes) -> Iterator[bytes]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    ids_of, end = WordIds(path), np.array([end_id], dtype="<u4").tobytes()
+    ids_of, end = _word_ids(path), np.array([end_id], dtype="<u4").tobytes()
     width = 4 * capacity
     for batch in batches:
         out: list[tuple] = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+        texts = as_bytes(batch.column(1))
+        ids_of.learn([t for t in texts if len(t) <= STRETCH])
+        for doc_id, text in zip(batch.column(0).to_pylist(), texts):
             # Ids of a stretch are cut off as soon as a piece is full.
             rest, piece = b"", 0
             for part in [*_stretches(text), None]:
-                rest += end if part is None else ids_of.of(part.split())
+                rest += end if part is None else ids_of.of(part)
                 whole = len(rest) // width if part is not None else -(-len(rest) // width)
                 for k in range(whole):
                     ids = rest[k * width : (k + 1) * width]

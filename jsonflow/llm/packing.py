@@ -84,9 +84,10 @@ class WordIds:
         for word in words:
             letters = word.rstrip(_SIGNS)
             core = letters.decode()
-            # Only the final sigma depends on its place when put in lower case.
-            if core.isalpha() and "Σ" not in core:
-                core, signs = core.lower(), word[len(letters) :].decode()
+            low = core.lower()
+            # The final sigma depends on its place when put in lower case; some capitals give a mark.
+            if core.isalpha() and low.isalpha() and "Σ" not in core:
+                core, signs = low, word[len(letters) :].decode()
                 split.append((word, core, signs))
                 if core not in cores:
                     new.add(core)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import decontaminate, line_dedup, minhash, packing, quality_rules, toxicity, urls, warc
+from jsonflow.llm import attention, decontaminate, line_dedup, minhash, packing, quality_rules, toxicity, urls, warc
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -87,3 +87,9 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, then by the words of its host and path."""
     judged = urls.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("odds", 4).alias("odds"))
+
+
+@query()
+def op5_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, scored on its attended passages."""
+    return attention.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

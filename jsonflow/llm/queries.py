@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import attention, decontaminate, line_dedup, minhash, packing, quality_rules, toxicity, urls, warc
+from jsonflow.llm import attention, decontaminate, line_dedup, minhash, packing, phrases, quality_rules, toxicity, urls, warc
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -93,3 +93,10 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, scored on its attended passages."""
     return attention.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 50 bytes that start in an earlier one."""
+    removed = phrases.remove_repeats(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

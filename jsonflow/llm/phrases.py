@@ -4,15 +4,17 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in
 smaller id. The order of all suffixes of a corpus would tell, but no task can hold it; parsing does
 the same piece by piece:
 
-* **Triggers.** A rolling hash over ``MER`` bytes triggers wherever it is the least of some window, so every
-  string of ``LENGTH`` bytes holds a trigger, the same one in all of its occurrences. Triggers cut texts into overlapping phrases.
-* **Dictionary and parse.** A trigger's phrase is all that strings of ``LENGTH`` bytes around it can reach.
+* **Triggers.** A rolling hash over ``MER`` bytes triggers wherever it is the least in a string of
+  ``LENGTH`` bytes, so every such string has a trigger, the same one in all of its occurrences. Triggers cut texts into
+  overlapping phrases.
+* **Dictionary and parse.** A trigger's phrase is all that the strings it stands for cover.
   The dictionary holds each phrase once, with the least document it is in; the parse is the sequence of phrases of a document.
-  Where a phrase occurs in an earlier document, every string around its trigger does too, whatever
+  Where a phrase occurs in an earlier document, every string of it does too, whatever
   the corpus's size, and nothing needs to be sorted.
-* **Suffixes of the dictionary.** Only phrases that share a trigger and differ can hold equal strings besides. Of
-  those phrases, once each, the suffixes cut to ``LENGTH`` bytes are brought in order, and in each run of
-  equal ones all but the least document's are repeats.
+* **Suffixes of the dictionary.** Only phrases that share a trigger and differ can hold equal strings
+  besides, and only if they agree on half of what is left of the trigger or half of what is right of it. Of
+  those phrases, once each, the suffixes on that side, cut to ``LENGTH`` bytes, are brought in order, and in
+  each run of equal ones all but the least document's are repeats.
 
 The corpus order is never needed beyond ``LENGTH`` bytes, so phrases and suffixes are compared by 128 bits of hash,
 and Spark's shuffle and sort by those do the ordering. Repeats within a stretch of a task are settled before the shuffle,
@@ -53,36 +55,48 @@ def _sliding(a: np.ndarray, width: int, op) -> np.ndarray:
 
 
 class Parse:
-    """Phrases of texts laid end to end: triggers' places, texts, and hashes of trigger and phrase."""
+    """Phrases of texts laid end to end: triggers' places, texts, and hashes of trigger and phrase.
+
+    Every string of ``length`` bytes inside a text has one trigger, the least hash of ``mer`` bytes in it;
+    a phrase is what neighbouring strings with the same trigger cover.
+    """
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int = LENGTH, mer: int = MER) -> None:
-        self.starts, self.ends, self.length, self.reach = starts, ends, length, length - mer
-        self.empty = len(data) < length
-        if self.empty:
-            self.at = self.text = np.empty(0, dtype=np.int64)
+        self.starts, self.ends, self.length, self.mer = starts, ends, length, mer
+        if len(data) < length:
+            self.at = self.text = self.first = self.last = np.empty(0, dtype=np.int64)
             self.trigger = self.phrase = np.empty(0, dtype=U)
             return
-        self.hashes = Rolling(data)
+        self.hashes, self.second = Rolling(data), Rolling(data, 1)
         keys = self.hashes.every(mer)
-        least = _sliding(keys, self.reach + 1, np.minimum)
-        # Strings that would cross into the next text trigger nothing.
+        # The low bits hold the place, so that of equal hashes the first counts.
+        bits = U(int(len(keys)).bit_length())
+        placed = keys >> bits << bits | np.arange(len(keys), dtype=U)
+        least = (_sliding(placed, length - mer + 1, np.minimum) & ((U(1) << bits) - U(1))).astype(np.int64)
+        # Strings that would cross into the next text have none.
         inside = np.zeros(len(least) + 1, dtype=np.int8)
         long = ends - starts >= length
-        np.add.at(inside, starts[long], 1)
-        np.add.at(inside, ends[long] - length + 1, -1)
-        least[np.cumsum(inside[:-1]) == 0] = 0
-        edge = np.zeros(self.reach, dtype=U)
-        most = _sliding(np.concatenate((edge, least, edge)), self.reach + 1, np.maximum)
-        self.at = np.flatnonzero(keys == most)
+        inside[starts[long]] += 1
+        inside[ends[long] - length + 1] -= 1
+        least[np.cumsum(inside[:-1]) == 0] = -1
+        self.first = np.flatnonzero((np.r_[-1, least[:-1]] != least) & (least >= 0))
+        self.last = np.flatnonzero((np.r_[least[1:], -1] != least) & (least >= 0))
+        self.at = least[self.first]
         self.text = np.searchsorted(ends, self.at, side="right")
         self.trigger = keys[self.at]
-        self.second = Rolling(data, 1)
         self.phrase = self.second.of(*self.spans(np.arange(len(self.at))))
 
     def spans(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the phrases of some triggers start and end."""
-        at, text = self.at[pick], self.text[pick]
-        return np.maximum(self.starts[text], at - self.reach), np.minimum(self.ends[text], at + self.length)
+        return self.first[pick], self.last[pick] + self.length
+
+    def halves(self, pick: np.ndarray) -> np.ndarray:
+        """16 bits of hash of a trigger with half its reach to the left, and to the right."""
+        lo, hi = self.spans(pick)
+        at, half = self.at[pick], (self.length - self.mer) // 2
+        left = self.second.of(np.maximum(lo, at - half), at + self.mer)
+        right = self.second.of(at, np.minimum(hi, at + self.mer + half))
+        return (left >> U(48) << U(16) | right >> U(48)).astype(np.int64)
 
 
 def _layouts(texts: list[bytes], block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -123,18 +137,27 @@ def _parsed(texts: list[bytes]) -> Iterator[tuple[Parse, np.ndarray, np.ndarray]
         yield p, mine, number
 
 
-def _batch(k, c, doc, known) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(known)], ["k", "c", "doc_id", "known"])
+_ROW = "k long, c long, doc_id long, known boolean, halves long"
+_FOUND = "doc_id long, c long, ask int"
 
 
-def _settle(k: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+def _settle(k: np.ndarray, c: np.ndarray, doc: np.ndarray, halves: np.ndarray) -> pa.RecordBatch:
     """One row for each key with the least document, and a known repeat for every other document."""
     order = np.lexsort((doc, c, k))
     k, c, doc = k[order], c[order], doc[order]
-    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])] if len(k) else np.empty(0, dtype=bool)
-    other = np.r_[True, doc[1:] != doc[:-1]] if len(k) else new
-    keep = new | other
-    return _batch(k[keep], c[keep], doc[keep], ~new[keep])
+    new = _changes(k, c)
+    keep = new | _changes(doc)
+    cols = k.view(np.int64), c.view(np.int64), doc, ~new, halves[order]
+    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in cols], ["k", "c", "doc_id", "known", "halves"])
+
+
+def _changes(*cols: np.ndarray) -> np.ndarray:
+    """Where a sorted column is other than a row before; the first row is."""
+    out = np.zeros(len(cols[0]), dtype=bool)
+    out[:1] = True
+    for c in cols:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +165,7 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, ids = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
         for p, mine, number in _parsed(texts):
-            held.append((p.trigger[mine], p.phrase[mine], ids[number[p.text[mine]]]))
+            held.append((p.trigger[mine], p.phrase[mine], ids[number[p.text[mine]]], p.halves(mine)))
             size += int(p.ends[-1])
             if size >= STRETCH:
                 yield _settle(*map(np.concatenate, zip(*held)))
@@ -156,7 +179,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
     held: list[list[np.ndarray]] = []
     size = 0
     for batch in batches:
-        held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+        held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
         size += batch.num_rows
         if size < ROWS:
             continue
@@ -169,40 +192,56 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
         yield [np.concatenate(c) for c in zip(*held)]
 
 
+RIGHT, LEFT = 1, 2
+
+
+def _sides(k: np.ndarray, halves: np.ndarray) -> np.ndarray:
+    """For distinct phrases sorted by trigger: the sides on which another phrase of it agrees."""
+    group = np.cumsum(_changes(k)).astype(np.int64) << 16
+    out = np.zeros(len(k), dtype=np.int32)
+    for side, half in ((LEFT, halves >> 16), (RIGHT, halves & 0xFFFF)):
+        _, at, n = np.unique(group | half, return_inverse=True, return_counts=True)
+        out |= np.where(n[at] > 1, side, 0).astype(np.int32)
+    return out
+
+
 def _repeats(batches: Iterator[pa.RecordBatch], requests: bool) -> Iterator[pa.RecordBatch]:
-    """Rows come by ``k, c, doc_id``. Repeated keys of later documents; with ``requests`` also the
-    first document of each phrase whose trigger has other phrases too (``ask``)."""
-    for k, c, doc, known in _whole_groups(batches):
-        known = known.astype(bool)
-        head = np.r_[True, k[1:] != k[:-1]]
-        new = head | np.r_[True, c[1:] != c[:-1]]
+    """Rows come by ``k, c, doc_id``. Repeated keys of later documents, with ``ask`` 0; with ``requests``
+    also the first document of each phrase that another phrase agrees with, and on which sides."""
+    for k, c, doc, known, halves in _whole_groups(batches):
+        new = _changes(k, c)
         first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        repeat = known | (doc > first)
-        ask = np.zeros(len(k), dtype=bool)
+        ask = np.zeros(len(k), dtype=np.int32)
         if requests:
-            phrases = np.add.reduceat(new.astype(np.int64), np.flatnonzero(head))
-            ask = new & (phrases > 1)[np.cumsum(head) - 1]
-        pick = repeat | ask
+            ask[new] = _sides(k[new], halves[new])
+        repeat = known.astype(bool) | (doc > first)
+        pick = repeat | (ask > 0)
         yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(c[pick]), pa.array(ask[pick])], ["doc_id", "c", "ask"])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes, cut to ``LENGTH`` bytes, of the phrases asked for."""
+    """Suffixes, cut to ``LENGTH`` bytes, of the phrases asked for, on the sides asked for."""
     held, size = [], 0
+    half = (LENGTH - MER) // 2
     for batch in batches:
-        texts, asks = as_bytes(batch.column(1)), batch.column(2).to_pylist()
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        sets = [np.array(a, dtype=np.int64).view(U) for a in asks]
+        texts, ids = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
+        sides = {side: [np.array(a or [], dtype=np.int64).view(U) for a in batch.column(i).to_pylist()] for i, side in ((2, RIGHT), (3, LEFT))}
         for p, mine, number in _parsed(texts):
-            wanted = _wanted(p, mine, number, sets)
-            if not len(wanted):
+            starts, text = [], []
+            for side, sets in sides.items():
+                wanted = _wanted(p, mine, number, sets)
+                lo, last = p.first[wanted], p.last[wanted]
+                # A string that reaches less than half to the left needs more than half to the right.
+                middle = p.at[wanted] - half
+                lo, last = (np.maximum(lo, middle), last) if side == RIGHT else (lo, np.minimum(last, middle))
+                count = np.maximum(last - lo + 1, 0)
+                starts.append(np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+                text.append(np.repeat(p.text[wanted], count))
+            s, once = np.unique(np.concatenate(starts), return_index=True)
+            if not len(s):
                 continue
-            lo, hi = p.spans(wanted)
-            count = hi - lo - LENGTH + 1
-            s = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            s, once = np.unique(s, return_index=True)
-            text = np.repeat(p.text[wanted], count)[once]
-            held.append((p.hashes.of(s, s + LENGTH), p.second.of(s, s + LENGTH), ids[number[text]]))
+            of = ids[number[np.concatenate(text)[once]]]
+            held.append((p.hashes.of(s, s + LENGTH), p.second.of(s, s + LENGTH), of, np.zeros(len(s), dtype=np.int64)))
             size += len(s)
             if size >= 1_000_000:
                 yield _settle(*map(np.concatenate, zip(*held)))
@@ -261,12 +300,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` and, if asked for, ``kept``, the
     remaining bytes; one row per document."""
     texts = texts_of(docs)
-    row = "k long, c long, doc_id long, known boolean"
-    parsed = texts.where("doc_id IS NOT NULL").mapInArrow(_phrases, row)
+    parsed = texts.where("doc_id IS NOT NULL").mapInArrow(_phrases, _ROW)
     parsed = parsed.repartition("k").sortWithinPartitions("k", "c", "doc_id")
-    found = stored(parsed.mapInArrow(lambda b: _repeats(b, True), "doc_id long, c long, ask boolean"))
+    found = stored(parsed.mapInArrow(lambda b: _repeats(b, True), _FOUND))
     by_doc = found.groupBy(F.col("doc_id").alias("id")).agg(
-        F.collect_list(F.when(~F.col("ask"), F.col("c"))).alias("marks"), F.collect_list(F.when(F.col("ask"), F.col("c"))).alias("asks")
+        F.collect_list(F.when(F.col("ask") == 0, F.col("c"))).alias("marks"),
+        F.collect_list(F.when(F.col("ask").bitwiseAND(RIGHT) > 0, F.col("c"))).alias("right"),
+        F.collect_list(F.when(F.col("ask").bitwiseAND(LEFT) > 0, F.col("c"))).alias("left"),
     )
     # Text is carried on only where something in it may go.
     whole = F.coalesce("text", F.lit("")).cast("binary")
@@ -277,16 +317,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
             "doc_id",
             F.when(touched, whole).alias("text"),
             "marks",
-            "asks",
+            "right",
+            "left",
             F.octet_length(whole).cast("long").alias("n_bytes"),
             F.sha2(whole, 256).alias("sha256"),
             touched.alias("touched"),
             *([whole.alias("kept")] if with_text else []),
         )
     )
-    asked = joined.where("touched AND size(asks) > 0").select("doc_id", "text", "asks")
-    suffixes = asked.mapInArrow(_suffixes, row).repartition("k").sortWithinPartitions("k", "c", "doc_id")
-    more = stored(suffixes.mapInArrow(lambda b: _repeats(b, False), "doc_id long, c long, ask boolean"))
+    asked = joined.where("touched AND size(right) + size(left) > 0").select("doc_id", "text", "right", "left")
+    suffixes = asked.mapInArrow(_suffixes, _ROW).repartition("k").sortWithinPartitions("k", "c", "doc_id")
+    more = stored(suffixes.mapInArrow(lambda b: _repeats(b, False), _FOUND))
     strings = more.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("c").alias("strings"))
     cut = joined.where("touched").join(strings, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "marks", "strings")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start long, end long>>, kept binary"

@@ -178,4 +178,4 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFr
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     bad = stored(matches(docs, benchmark, rate).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad_doc_id")).distinct())
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad_doc_id"], "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_bad_doc_id"), "left_anti")

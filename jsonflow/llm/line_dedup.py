@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jsonflow.llm.common import stored, texts_of
+from jsonflow.llm.common import as_row, from_row, stored, texts_of
 from jsonflow.llm.hashing import U, mix
 
 WINDOW = 2
@@ -132,8 +132,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     asked = stored(asked)
     wanted = asked.groupBy(F.col("doc_id").alias("asked_id")).agg(F.collect_set("line").alias("wanted"))
 
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    carried = docs.select(whole.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    carried = docs.select(as_row(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     carried = stored(carried.join(wanted, F.col("doc_id") == F.col("asked_id"), "left").select("row", "doc_id", "text", "wanted"))
     candidates = carried.where("wanted IS NOT NULL")
     bodies = candidates.select("doc_id", "text", "wanted").where("text IS NOT NULL").mapInArrow(_bodies, "hash long, doc_id long, line long, body string")
@@ -155,7 +154,12 @@ def _unchanged() -> list[Column]:
     return [F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed")]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its columns, its text without the chunks that occurred before."""
-    left = removals(docs, id_col, text_col)
-    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with its columns, its text without the chunks that occurred before.
+
+    A document of which nothing but blanks is left, though something went, goes as a whole.
+    ``length_col`` is set to the characters of what is left.
+    """
+    left = removals(docs, id_col, text_col).where(r"n_removed = 0 OR text RLIKE '[^\\s]'")
+    changed = {text_col: F.col("text")} | ({length_col: F.char_length("text").cast("long")} if length_col else {})
+    return from_row(left, docs, **changed)

@@ -249,3 +249,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     alone = made.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = some.join(classes, "digest").select("doc_id", "n_shingles", "component_id").union(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id."""
+    copies = near_duplicates(docs, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_copy_id")).distinct()
+    return docs.join(stored(copies), docs[id_col].cast("long") == F.col("_copy_id"), "left_anti")

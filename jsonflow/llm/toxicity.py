@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jsonflow.llm.common import held_out, learnable, stored, texts_of
+from jsonflow.llm.common import as_row, from_row, held_out, learnable, stored, texts_of
 
 TRAIN_ROWS = 20_000
 # Stretches kept, documents that one must be in, and how far it must stand out.
@@ -269,7 +269,7 @@ def _sum_rows(batches: Iterator[pa.RecordBatch], weights: dict[str, float], mode
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["sums", "label"])
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], weights: dict, model: np.ndarray, fitted: tuple | float) -> Iterator[pa.RecordBatch]:
+def _score_rows(batches: Iterator[pa.RecordBatch], name: str, weights: dict, model: np.ndarray, fitted: tuple | float) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(weights, model)
     for batch in batches:
         sums = [scorer.sums(t or "") for t in batch.column(1).to_pylist()]
@@ -279,7 +279,7 @@ def _score_rows(batches: Iterator[pa.RecordBatch], weights: dict, model: np.ndar
             mean, scale, w = fitted
             x = _with_interaction(np.array(sums).reshape(-1, 4))
             scores = 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], [name, "score"])
 
 
 class Model:
@@ -291,7 +291,16 @@ class Model:
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``doc_id, score`` of every row."""
         weights, language, fitted = self.weights, self.language, self.fitted
-        return texts_of(docs, id_col, text_col).mapInArrow(lambda b: _score_rows(b, weights, language, fitted), "doc_id long, score double")
+        return texts_of(docs, id_col, text_col).mapInArrow(lambda b: _score_rows(b, "doc_id", weights, language, fitted), "doc_id long, score double")
+
+
+    def keep(self, docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+        """``docs`` without the documents that score ``threshold`` or more."""
+        weights, language, fitted = self.weights, self.language, self.fitted
+        rows = docs.select(as_row(docs), F.col(text_col).cast("string").alias("text"))
+        kind = rows.schema["row"].dataType.simpleString()
+        scored = rows.mapInArrow(lambda b: _score_rows(b, "row", weights, language, fitted), f"row {kind}, score double")
+        return from_row(scored.where(F.col("score") < threshold), docs)
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import pytest
+
+from jsonflow.llm.common import ready
+
+SF = "/root/testdata/sf0.001"
+
+# Texts every operator must take: null, empty, blank, short, long, odd, repeated.
+ODD_TEXTS = [
+    None,
+    "",
+    " \n\t ",
+    "one",
+    "a b c d e",
+    "the same text twice, and long enough to count as one passage of more than fifty bytes",
+    "the same text twice, and long enough to count as one passage of more than fifty bytes",
+    "z" * 5000,
+    "ab " * 3000,
+    "İstanbul Σας naïve \U0001f600 日本語 \x00 \x1c",
+    "line one is here\nline two is here\n\nline one is here\nline two is here",
+]
+# Columns of documents and some whose names an operator may use itself.
+DOCS = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "score double, row string, component_id long, kept boolean, line long, hash long, words string, id long"
+)
+
+
+@pytest.fixture
+def llm(spark):
+    return ready(spark)
+
+
+@pytest.fixture
+def make_docs(llm):
+    """Documents numbered in the order given, or ``(id, text)`` pairs, with clashing columns."""
+
+    def make(*texts):
+        pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        rows = [(i, t, None, "s", None, 0.5, "r", 7, True, 1, 2, "w", 3) for i, t in pairs]
+        return llm.createDataFrame(rows, DOCS).repartition(3)
+
+    return make
+
+
+@pytest.fixture
+def odd_docs(make_docs):
+    """All odd texts, one of them under an id that occurs twice, one under no id."""
+    pairs = [*enumerate(ODD_TEXTS), (3, "one"), (5, "another text under an id that is taken"), (None, "no id at all")]
+    return make_docs(*pairs)
+
+
+@pytest.fixture
+def tables(llm):
+    """A table of the smallest scale as rows."""
+
+    def read(name):
+        return [tuple(r) for r in llm.read.parquet(f"{SF}/{name}.parquet").collect()]
+
+    return read

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import jsonflow.llm.queries as q
+from jsonflow.llm import urls as u
+from tests.llm.conftest import SF
+
+
+def parts(url):
+    host, path = "", ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(host, path):
+    fits = [(len(h + p), h + p, v) for v, h, p in u.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+ODD_URLS = [
+    None, "", "no scheme", "://", "HTTP://A.Example.ORG/es/1?x", "https://example.org/en/12", "https://xexample.org/en/12", "http://org", "http://org/",
+    "http://a.com/fr/", "http://a.com/de/2#y", "x://com/de/", "http://ÄB.com", "a://b://c/d", "http://h?q=/de/", "http://h#/de/", "http://" + "x" * 400 + ".com/en/",
+    "http://casinowin.net/en/5", "http://a.b/\n/c", "http://a.com/fr", "https://free-bets.example.net/9",
+]
+
+
+def frame(llm, urls):
+    rows = [(i if i != 3 else None, url, f"<p>casino win free bets {i}</p>" if i else None, "x", 1) for i, url in enumerate(urls)]
+    return llm.createDataFrame(rows, "page_id long, url string, html string, host string, n int")
+
+
+def test_query_host_path_and_rule(llm, tables):
+    rows = {r["page_id"]: r for r in q.QUERIES["op6_urls"](llm, SF).collect()}
+    pages = tables("pages")
+    assert len(rows) == len(pages)
+    for page_id, url, _ in pages:
+        r = rows[page_id]
+        assert (r["host"], r["path"]) == parts(url)
+        name, verdict = rule_of(r["host"], r["path"])
+        assert r["rule"] == name and r["verdict"] in ("allow", "block") and (verdict is None or r["verdict"] == verdict)
+
+
+def test_odd_urls(llm):
+    rows = u.judge(frame(llm, ODD_URLS)).collect()
+    got = sorted((r["host"], r["path"], r["rule"] or "") for r in rows)
+    assert got == sorted((*parts(x), rule_of(*parts(x))[0] or "") for x in ODD_URLS)
+    assert all(r["verdict"] in ("allow", "block") for r in rows)
+
+
+def test_junk_names_are_split_and_blocked(llm):
+    urls = [f"http://good{i}.example.org/fr/{i}" for i in range(20)] + ["http://casinowin.net/it/5", "http://good1.net/fr/7"]
+    got = {r["host"]: r["verdict"] for r in u.judge(frame(llm, urls)).collect()}
+    assert got["casinowin.net"] == "block" and got["good1.net"] == "allow"
+
+
+def brute_split(name, counts, total):
+    def score(words):
+        return sum(math.log(counts[w] / total) if counts.get(w) else -math.log(total) - len(w) * math.log(10.0) for w in words)
+
+    splits = [[]]
+    for k in range(2 ** (len(name) - 1)):
+        cuts = [i + 1 for i in range(len(name) - 1) if k >> i & 1]
+        splits.append([name[a:b] for a, b in zip([0, *cuts], [*cuts, len(name)])])
+    return max(score(s) for s in splits[1:]), score
+
+
+@pytest.mark.parametrize("name", ["theron", "casinowin", "xqzthe", "a", "freebets"])
+def test_viterbi_split_is_the_best(name):
+    counts = {"the": 50, "on": 40, "her": 5, "ther": 2, "casino": 3, "win": 4, "free": 3, "bets": 2, "be": 30, "a": 60, "sin": 1, "in": 50}
+    total = float(sum(counts.values()))
+    best, score = brute_split(name, counts, total)
+    assert score(u.best_split(name, counts, total)) == pytest.approx(best)
+    assert "".join(u.best_split(name, counts, total)) == name
+
+
+def test_segmentation_joins_every_stretch(llm):
+    counts = llm.createDataFrame([("free", 3), ("bets", 2), ("be", 30), ("ts", 1)], "word string, n long")
+    names = llm.createDataFrame([("freebets",), ("zz",)], "name string")
+    got = {r["name"]: r["words"] for r in u.segment(names, counts).collect()}
+    assert got == {"freebets": ["free", "bets"], "zz": ["zz"]}
+
+
+def test_odds_match_counts(llm):
+    shapes = llm.createDataFrame(
+        [("a", "p", "block", 2, ["de", "x"]), ("b", "p", "allow", 3, ["fr", "x"]), ("c", "p", None, 9, ["de"])],
+        "host string, pattern string, rule_verdict string, n long, words array<string>",
+    )
+    odds, prior, unseen = u._odds(shapes)
+    got = {r["word"]: r["odds"] for r in odds.collect()}
+    kinds, pseudo = 3 + len(u.JUNK_WORDS), 1.0
+    block, allow = 4 + pseudo * len(u.JUNK_WORDS) + kinds, 6 + kinds
+    assert got["de"] == pytest.approx(math.log(3 / block) - math.log(1 / allow))
+    assert got["x"] == pytest.approx(math.log(3 / block) - math.log(4 / allow))
+    assert prior == pytest.approx(math.log(3 / 4)) and unseen == pytest.approx(math.log(allow / block))
+
+
+def test_empty_table(llm):
+    assert u.judge(frame(llm, ["http://a/"]).limit(0)).count() == 0
+
+
+def test_longest_rule_wins(llm):
+    rules = [("allow", "com", "/"), ("block", "com", "/a"), ("allow", "b.com", "/a")]
+    urls = llm.createDataFrame([("x.com", "/a1"), ("b.com", "/a"), ("x.com", "/b"), ("com.x", "/a")], "host string, path string")
+    name, verdict = u.decide(F.col("host"), F.col("path"), rules)
+    rows = urls.select(name.alias("rule"), verdict.alias("verdict")).collect()
+    assert [tuple(r) for r in rows] == [("com/a", "block"), ("b.com/a", "allow"), ("com/", "allow"), (None, None)]

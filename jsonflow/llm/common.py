@@ -29,14 +29,17 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def as_row(docs: DataFrame) -> Column:
-    """All columns as one struct ``row``, which no name of an operator's own can clash with."""
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+def as_row(docs: DataFrame, leave: str | None = None) -> Column:
+    """All columns as one struct ``row``, which no name of an operator's own can clash with.
+
+    ``leave`` names a column whose values travel elsewhere; it stays behind.
+    """
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != leave]).alias("row")
 
 
 def from_row(df: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
     """The columns of ``docs`` out of ``row``, some of them changed."""
-    return df.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return df.select(*[(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:

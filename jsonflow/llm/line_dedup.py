@@ -121,7 +121,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row`` (all columns of ``docs`` as they were), ``doc_id``, ``text`` (what is left of it),
+    """``row`` (all other columns of ``docs``), ``doc_id``, ``text`` (what is left of it),
     ``n_lines`` and ``n_removed``; one row per row of ``docs``."""
     keys = stored(texts_of(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_keys, "hash long, doc_id long, line long"))
     firsts = keys.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -132,18 +132,19 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     asked = stored(asked)
     wanted = asked.groupBy(F.col("doc_id").alias("asked_id")).agg(F.collect_set("line").alias("wanted"))
 
-    carried = docs.select(as_row(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    carried = stored(carried.join(wanted, F.col("doc_id") == F.col("asked_id"), "left").select("row", "doc_id", "text", "wanted"))
+    carried = docs.select(as_row(docs, leave=text_col), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # Both sides grow with the corpus: neither is to be broadcast, at any size.
+    carried = stored(carried.hint("merge").join(wanted, F.col("doc_id") == F.col("asked_id"), "left").select("row", "doc_id", "text", "wanted"))
     candidates = carried.where("wanted IS NOT NULL")
     bodies = candidates.select("doc_id", "text", "wanted").where("text IS NOT NULL").mapInArrow(_bodies, "hash long, doc_id long, line long, body string")
-    found = bodies.join(asked, ["hash", "doc_id", "line"])
+    found = bodies.hint("merge").join(asked, ["hash", "doc_id", "line"])
     number = F.pmod(F.xxhash64("doc_id", "line"), "parts").cast("int")
     to = F.when(F.col("lead"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(number))
     dealt = found.select("hash", F.explode(to).alias("part"), "doc_id", "line", "body", "lead")
     dealt = dealt.repartition("hash", "part").sortWithinPartitions("hash", "part", F.desc("lead"))
     gone = dealt.mapInArrow(_same, "doc_id long, line long").groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone"))
 
-    cut = candidates.join(gone, F.col("doc_id") == F.col("gone_id"), "left").select("doc_id", "text", "gone", "row")
+    cut = candidates.hint("merge").join(gone, F.col("doc_id") == F.col("gone_id"), "left").select("doc_id", "text", "gone", "row")
     clean = carried.where("wanted IS NULL").select("row", "doc_id", "text", *_unchanged())
     kind = f"doc_id long, text string, n_lines long, n_removed long, row {carried.schema['row'].dataType.simpleString()}"
     return cut.mapInArrow(_cut, kind).select("row", "doc_id", "text", "n_lines", "n_removed").union(clean)

@@ -269,10 +269,15 @@ def _sum_rows(batches: Iterator[pa.RecordBatch], weights: dict[str, float], mode
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["sums", "label"])
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], name: str, weights: dict, model: np.ndarray, fitted: tuple | float) -> Iterator[pa.RecordBatch]:
+def _score_rows(
+    batches: Iterator[pa.RecordBatch], weights: dict, model: np.ndarray, fitted: tuple | float, row_text: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Scores next to the first column; the text is the second, or a field of the first."""
     scorer = Scorer(weights, model)
+    name = "row" if row_text else "doc_id"
     for batch in batches:
-        sums = [scorer.sums(t or "") for t in batch.column(1).to_pylist()]
+        texts = batch.column(0).field(row_text) if row_text else batch.column(1)
+        sums = [scorer.sums(t or "") for t in texts.to_pylist()]
         if isinstance(fitted, float):
             scores = np.full(len(sums), fitted)
         else:
@@ -291,15 +296,15 @@ class Model:
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``doc_id, score`` of every row."""
         weights, language, fitted = self.weights, self.language, self.fitted
-        return texts_of(docs, id_col, text_col).mapInArrow(lambda b: _score_rows(b, "doc_id", weights, language, fitted), "doc_id long, score double")
+        return texts_of(docs, id_col, text_col).mapInArrow(lambda b: _score_rows(b, weights, language, fitted), "doc_id long, score double")
 
 
     def keep(self, docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
         """``docs`` without the documents that score ``threshold`` or more."""
         weights, language, fitted = self.weights, self.language, self.fitted
-        rows = docs.select(as_row(docs), F.col(text_col).cast("string").alias("text"))
+        rows = docs.select(as_row(docs))
         kind = rows.schema["row"].dataType.simpleString()
-        scored = rows.mapInArrow(lambda b: _score_rows(b, "row", weights, language, fitted), f"row {kind}, score double")
+        scored = rows.mapInArrow(lambda b: _score_rows(b, weights, language, fitted, text_col), f"row {kind}, score double")
         return from_row(scored.where(F.col("score") < threshold), docs)
 
 

@@ -169,6 +169,18 @@ def _sql_fields(spec: FilterSpec, taken: list[str]) -> list[tuple[str, str, str]
     return fields
 
 
+def guarded(test: Column) -> Column:
+    """A predicate that is NULL for the rows on which evaluating it raises.
+
+    Divisions by zero, failed casts, overflows and bad indexes end a query in ANSI mode. The
+    ``try_`` functions give NULL instead; this one does so for whatever its argument raises. In
+    the lambda the predicate is evaluated in one piece: parts that it uses twice are not worked
+    out ahead of it, where nothing would catch what they raise.
+    """
+    text = F.try_to_binary((test & F.lit(True)).cast("string"), F.lit("utf-8"))
+    return F.get(F.transform(F.array(F.lit(0)), lambda _: text), F.lit(0)).cast("string") == "true"
+
+
 def is_off(spec: FilterSpec) -> bool:
     """Whether a filter keeps everything: disabled, or with nothing to test."""
     if not spec.enabled:
@@ -184,7 +196,7 @@ def with_verdict(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
     A SQL filter names the fields it uses: ``{"email": {"path": "user.email", "as":
     "string"}}``, where ``as`` is string (the default), double, int, bool, present,
     is_null, variant, or any Spark type such as ``array<string>``. A field that is missing
-    or unreadable as its type is NULL.
+    or unreadable as its type is NULL. A message on which the expression raises is not evaluable.
     """
     columns = decoded.columns
     if is_off(spec):
@@ -195,7 +207,7 @@ def with_verdict(decoded: DataFrame, spec: FilterSpec) -> DataFrame:
         fields = [(names[pair], *pair) for pair in reads]
         verdict = rule_predicate(spec.rules, lambda path, how: F.col(names[path, how]))
     elif spec.language == "sql":
-        fields, verdict = _sql_fields(spec, columns), F.expr(spec.expression)
+        fields, verdict = _sql_fields(spec, columns), guarded(F.expr(spec.expression))
     else:
         raise FilterError(f"unsupported filter language: {spec.language}")
     judged = with_fields(decoded, fields).select(*columns, verdict.alias("_judged"))

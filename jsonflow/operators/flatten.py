@@ -4,39 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.operators.decode import DOC, RAW
 
 MEMBERS = "map<string,variant>"
 
-# Messages with at most this many opening braces are not looked at any closer.
-SHALLOW = 8
-
-
-def nesting_depth(decoded: DataFrame) -> int:
-    """How many levels of objects the messages hold at most: one pass, no parsing.
-
-    The number of opening braces bounds the depth. Only messages with many of them are
-    measured: texts are blanked out and the running count of open braces is followed.
-    """
-    raw = F.col(RAW)
-    opened = F.length(raw) - F.length(F.replace(raw, F.lit("{"), F.lit("")))
-    no_texts = F.regexp_replace(raw, r'"(?:[^"\\]++|\\.)*+"', "")
-    braces = F.split(F.regexp_replace(no_texts, r"[^{}]++", ""), "")
-    steps = F.transform(braces, lambda b: F.when(b == "{", 1).when(b == "}", -1).otherwise(0))
-    state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    deepest = F.aggregate(
-        steps,
-        state,
-        lambda s, d: F.struct(
-            (s["now"] + d).alias("now"), F.greatest(s["most"], s["now"] + d).alias("most")
-        ),
-        lambda s: s["most"],
-    )
-    depth = F.when(opened <= SHALLOW, opened).otherwise(deepest)
-    return decoded.agg(F.max(depth)).first()[0] or 0
+# Levels of objects opened by explodes; what lies deeper is opened by one expression.
+LEVELS = 4
 
 
 def flatten(
@@ -52,14 +28,14 @@ def flatten(
     lists or as JSON text; a JSON null is a leaf. A message that is no object is one leaf
     at path ``""`` (left out without ``roots``).
 
-    ``depth`` is the number of object levels to open. By default it is measured first, so
-    that no leaf is lost; pass it where it is known, or on a stream. Anything nested deeper
+    ``depth`` is the number of object levels to open; by default all are. Anything nested deeper
     than a given ``depth`` comes out unopened, as an object value at its own path.
 
-    Each level is an explode of the object's members, which leaves other values as they
-    are. It needs no shuffle and all levels run in one codegen stage.
+    The first levels are explodes of the object's members, which leave other values as they are;
+    whatever is still an object then is opened to its end in its row, as often as it has braces. So the plan is
+    the same for every input, nothing is measured first, no message makes it grow, and there is no shuffle.
     """
-    depth = nesting_depth(decoded) if depth is None else depth
+    levels = LEVELS if depth is None else depth
     top = F.try_variant_get(DOC, "$", MEMBERS)
     whole = decoded.filter(F.col(DOC).isNotNull())
     opened = whole.select(*keep, F.col(DOC).alias("_value"), top.alias("_members")).select(
@@ -74,7 +50,7 @@ def flatten(
         F.col("_key").isNull().alias("_root"),
     )
     rows = (rows if roots else rows.filter(~F.col("_root"))).drop("_root")
-    for _ in range(depth - 1):
+    for _ in range(levels - 1):
         rows = (
             rows.select(*keep, "path", "value", F.try_variant_get("value", "$", MEMBERS).alias("_members"))
             .select(
@@ -86,6 +62,9 @@ def flatten(
             .select(*keep, _join("path", "_key").alias("path"), F.coalesce("_member", "value").alias("value"))
         )
     leaves = rows.filter(F.col("value").isNotNull())
+    if depth is None:
+        leaves = leaves.select(*keep, F.explode(_opened("path", "value")).alias("_leaf"))
+        leaves = leaves.select(*keep, "_leaf.path", "_leaf.value")
     if arrays_as_text:
         kind = F.schema_of_variant("value")
         as_text = F.try_variant_get("value", "$", "string").cast("variant")
@@ -95,6 +74,32 @@ def flatten(
     return leaves
 
 
+def _opened(path: str, value: str) -> Column:
+    """All leaves below a value as ``path, value`` structs; of a value that is no object, itself."""
+
+    def leaf(p: Column, v: Column) -> Column:
+        return F.struct(p.alias("path"), v.alias("value"))
+
+    def members(v: Column) -> Column:
+        return F.try_variant_get(v, "$", MEMBERS)
+
+    def open_one(x: Column) -> Column:
+        inner = F.transform(
+            F.map_entries(members(x["value"])), lambda e: leaf(F.concat(x["path"], F.lit("."), e["key"]), e["value"])
+        )
+        return F.coalesce(inner, F.array(leaf(x["path"], x["value"])))
+
+    def step(found: Column, _: Column) -> Column:
+        some = F.exists(found, lambda x: members(x["value"]).isNotNull())
+        return F.when(some, F.flatten(F.transform(found, open_one))).otherwise(found)
+
+    start = F.array(leaf(F.col(path), F.col(value)))
+    text = F.to_json(value)
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    deep = F.aggregate(F.sequence(F.lit(1), braces), start, step)
+    return F.when(members(F.col(value)).isNotNull(), deep).otherwise(start)
+
+
 def _join(path: str, key: str):
     joined = F.when(F.col(path) == "", F.col(key)).otherwise(F.concat(path, F.lit("."), key))
     return F.when(F.col(key).isNull(), F.col(path)).otherwise(joined)

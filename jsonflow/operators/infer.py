@@ -6,42 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.functions import fields as f
-from jsonflow.operators.flatten import flatten, nesting_depth
+from jsonflow.operators.flatten import flatten
 from jsonflow.plans.spec import Field, read_mapping
-from jsonflow.session import ensure_checkpoint_dir
 
 # Doubles in this range are whole numbers a 64-bit integer can hold.
 INT_MIN, INT_END = -float(2**63), float(2**63)
 
+# Columns that a mapping may have at most.
+MOST_COLUMNS = 10_000
+
 
 def column_name(path: Column) -> Column:
     return F.regexp_replace(path, "[^A-Za-z0-9]", "_")
 
 
-# Levels opened before it is known how deep the messages go; an unused level costs little.
-LEVELS = 8
-
-
 def path_votes(decoded: DataFrame, depth: int | None = None) -> DataFrame:
     """Per path: can every non-null value be Bool, Int64, Float64; was any value null.
 
     Values are reduced to flags before the shuffle and the flags aggregate on the map side,
-    so what travels is one row per task and path, however often a path occurs.
-
-    ``depth`` is the number of object levels in the messages. Left out, the votes are taken
-    at once for a usual depth; only if some message turns out deeper is the depth measured
-    and the vote repeated.
+    so what travels is one row per task and path, however often a path occurs. It is one pass,
+    however deep the messages are; ``depth`` is as in ``flatten``.
     """
-    if depth is not None:
-        return _votes(decoded, depth)
-    ensure_checkpoint_dir(decoded.sparkSession)
-    votes = _votes(decoded, LEVELS).checkpoint()  # one small row per path
-    if votes.filter("unopened").isEmpty():
-        return votes
-    return _votes(decoded, nesting_depth(decoded))
+    return _votes(decoded, depth)
 
 
-def _votes(decoded: DataFrame, depth: int) -> DataFrame:
+def _votes(decoded: DataFrame, depth: int | None) -> DataFrame:
     leaves = flatten(decoded, depth=depth, roots=False)
     k = F.col("_kind")
     kinds = leaves.select("path", "value", f.kind(F.col("value")).alias("_kind"))
@@ -95,11 +84,22 @@ def infer_mapping(decoded: DataFrame, depth: int | None = None) -> DataFrame:
 
 
 def name_clashes(inferred: DataFrame) -> DataFrame:
-    """Paths that were given the same column name; such a mapping cannot be loaded as is."""
-    shared = inferred.groupBy("column").agg(F.count("*").alias("paths")).filter("paths > 1")
-    return inferred.join(shared, "column").select("column", "fieldPath", "paths")
+    """Paths that were given the same column name; such a mapping cannot be loaded as is.
+
+    Names that differ only by case are the same to Spark.
+    """
+    same = F.lower("column").alias("_same")
+    shared = inferred.groupBy(same).agg(F.count("*").alias("paths")).filter("paths > 1")
+    return inferred.join(shared, F.lower("column") == F.col("_same")).select("column", "fieldPath", "paths")
 
 
-def accept(inferred: DataFrame) -> list[Field]:
-    """The proposed mapping as a spec: one small row per distinct path comes to the driver."""
-    return read_mapping([row.asDict() for row in inferred.collect()])
+def accept(inferred: DataFrame, most: int = MOST_COLUMNS) -> list[Field]:
+    """The proposed mapping as a spec: one small row per distinct path comes to the driver.
+
+    Objects keyed by ids give a path for every id. A proposal of more than ``most`` columns is
+    refused; nothing is cut.
+    """
+    rows = inferred.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} columns proposed; objects keyed by ids are no table's columns")
+    return read_mapping([row.asDict() for row in rows])

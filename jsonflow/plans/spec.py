@@ -15,6 +15,11 @@ from typing import Any
 DEFAULT_BATCH_SIZE = 500
 DEFAULT_FLUSH_INTERVAL = "2s"
 
+# Batches of rows that one micro-batch may read where no rate is set.
+MOST_FLUSHES = 1000
+# Names that the load uses itself.
+RESERVED = ("_doc", "_raw", "_stage", "_rejects", "_bad", "_verdict", "_judged")
+
 
 def quoted(name: str) -> str:
     """A column or table name as an SQL identifier."""
@@ -48,10 +53,14 @@ def read_mapping(columns: Sequence[Mapping[str, Any]] | Mapping[str, Any]) -> li
     if isinstance(columns, Mapping):
         columns = columns.get("columns") or []
     mapping = [Field.from_dict(c) for c in columns]
-    names = [m.column for m in mapping]
-    twice = sorted({n for n in names if names.count(n) > 1})
+    # To Spark, names that differ only by case are one.
+    names = [m.column.lower() for m in mapping]
+    twice = sorted({m.column for m in mapping if names.count(m.column.lower()) > 1})
     if twice:
         raise ValueError(f"columns mapped twice: {', '.join(twice)}")
+    reserved = sorted({m.column for m in mapping if m.column.lower() in RESERVED})
+    if reserved:
+        raise ValueError(f"columns named as the load's own: {', '.join(reserved)}")
     return mapping
 
 
@@ -164,10 +173,10 @@ class SinkSpec:
         return sum(float(n) * units[u] for n, u in parts)
 
     @property
-    def rows_per_trigger(self) -> int | None:
-        """Rows one micro-batch may read under the insert rate limit; None if unlimited."""
+    def rows_per_trigger(self) -> int:
+        """Rows one micro-batch may read: by the insert rate limit, else a bound on its size."""
         if not self.inserts_per_second:
-            return None
+            return self.batch_size * MOST_FLUSHES
         return max(1, int(self.batch_size * self.inserts_per_second * self.flush_seconds))
 
 

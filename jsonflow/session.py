@@ -48,9 +48,3 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder the whole cluster shares")
     return tempfile.mkdtemp(prefix="jsonflow-")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` a folder where the session names none."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

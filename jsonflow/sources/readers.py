@@ -10,6 +10,10 @@ from jsonflow.plans.spec import SourceSpec
 # Kafka columns handed on next to the message, for ordering, sampling and dedup.
 KAFKA_COLUMNS = ("topic", "partition", "offset", "timestamp")
 
+# Sources of files, and how much of their backlog a micro-batch takes at once.
+FILE_FORMATS = ("text", "json", "csv", "parquet", "orc", "xml")
+MOST_BYTES = str(10 << 30)
+
 
 def read_messages(spark: SparkSession, source: SourceSpec) -> DataFrame:
     """The whole source as a batch; a Kafka topic from its oldest to its newest message."""
@@ -28,8 +32,8 @@ def stream_messages(
 ) -> DataFrame:
     """The source as a stream; a Kafka job that starts anew begins at the newest message.
 
-    ``rows_per_trigger`` bounds a micro-batch on Kafka. File sources take
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` among their options.
+    ``rows_per_trigger`` bounds a micro-batch on Kafka. File sources take ``maxFilesPerTrigger``
+    or ``maxBytesPerTrigger`` among their options; without either, ``MOST_BYTES`` bounds them.
     """
     if source.format == "kafka":
         options = {"startingOffsets": "latest", **source.options}
@@ -38,7 +42,10 @@ def stream_messages(
         return _kafka(spark.readStream.format("kafka").options(**options).load())
     if source.table:
         return _named(spark.readStream.options(**source.options).table(source.table), source)
-    reader = spark.readStream.format(source.format).options(**source.options)
+    options = dict(source.options)
+    if source.format in FILE_FORMATS and not {"maxfilespertrigger", "maxbytespertrigger"} & {k.lower() for k in options}:
+        options["maxBytesPerTrigger"] = MOST_BYTES
+    reader = spark.readStream.format(source.format).options(**options)
     reader = reader.schema(source.schema) if source.schema else reader
     return _named(reader.load(source.path), source)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,32 +18,36 @@ POLL_SECONDS = 0.1
 def sample_topic(
     spark: SparkSession, source: SourceSpec, n: int, folder: str, timeout: float = 15.0
 ) -> DataFrame:
-    """About ``n`` of the oldest messages of a topic, written to ``folder`` and read back.
+    """The ``n`` oldest messages that a topic gives within ``timeout`` seconds.
 
-    A streaming query from the oldest offsets is stopped after its first micro-batch, which
-    Kafka bounds by ``maxOffsetsPerTrigger`` and shares out among the partitions. So only
-    the sample is read, from every partition, and no consumer group is left behind. If
-    nothing arrives in time the sample is empty; what has arrived counts.
+    A streaming query from the oldest offsets runs until ``n`` messages have come or the time
+    is over; what has come by then counts. On Kafka a micro-batch is bounded to ``n`` messages,
+    shared out among the partitions, so little more than the sample is read, and no consumer
+    group is left behind. Every call starts afresh in a folder of its own below ``folder``.
     """
     n = n if n > 0 else DEFAULT_SAMPLE
-    options = {"startingOffsets": "earliest", **source.options}
+    # A sample is of the oldest messages, wherever the job itself is to start.
+    options = {**source.options, "startingOffsets": "earliest"} if source.format == "kafka" else source.options
     messages = stream_messages(spark, replace(source, options=options), rows_per_trigger=n)
-    sampled = f"{folder}/sample"
-
-    def keep_first(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0:
-            batch.limit(n).write.mode("overwrite").parquet(sampled)
-            done.append(batch_id)
-
-    done: list[int] = []
-    writer = messages.writeStream.foreachBatch(keep_first)
-    query = writer.option("checkpointLocation", f"{folder}/checkpoint").start()
+    root = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    order = [c for c in ("partition", "offset") if c in messages.columns]
+    taken: dict[int, int] = {}
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        missing = n - sum(k for b, k in taken.items() if b != batch_id)
+        if missing > 0:
+            target = f"{root}/sample/batch_id={batch_id}"
+            (batch.orderBy(*order) if order else batch).limit(missing).write.mode("overwrite").parquet(target)
+            taken[batch_id] = spark.read.schema(batch.schema).parquet(target).count()
+
+    query = messages.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").start()
     deadline = time.monotonic() + timeout
-    while not done and query.isActive and time.monotonic() < deadline:
+    while sum(taken.values()) < n and query.isActive and time.monotonic() < deadline:
         time.sleep(POLL_SECONDS)
     query.stop()
     if query.exception():
         raise query.exception()
-    if done:
-        return spark.read.schema(messages.schema).parquet(sampled)
-    return spark.createDataFrame([], messages.schema)
+    if not taken:
+        return spark.createDataFrame([], messages.schema)
+    sampled = spark.read.schema(messages.schema).parquet(f"{root}/sample").select(*messages.columns)
+    return (sampled.orderBy(*order) if order else sampled).limit(n)

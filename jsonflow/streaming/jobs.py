@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import replace
+from dataclasses import asdict, replace
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -29,6 +29,8 @@ from jsonflow.sources.readers import stream_messages
 from jsonflow.streaming import sinks
 
 FilterSource = Callable[[SparkSession], FilterSpec]
+# One source for a single job, or a source for each job by its id.
+FilterSources = FilterSource | Mapping[str, FilterSource] | None
 
 
 def filter_file(path: str) -> FilterSource:
@@ -47,33 +49,40 @@ class BatchLoader:
     A single job whose filter does not change is planned once, on the stream; its batches
     are only written. Otherwise each batch is parsed once and planned per job. Frames are
     kept (in memory, else on disk) only if more than one output is written from them.
+
+    A filter source gives a job's filter anew at every batch. With a ``state`` folder the last valid
+    filter of each job is kept there and holds after a restart too.
     """
 
     def __init__(
         self,
         specs: Sequence[LoadSpec],
         log_path: str | None = None,
-        filter_source: FilterSource | None = None,
+        filter_source: FilterSources = None,
         value: str = "value",
+        state: str | None = None,
     ) -> None:
         self.specs = list(specs)
         self.log_path = log_path
-        self.filter_source = filter_source
+        self.filter_sources = _by_job(self.specs, filter_source)
         self.value = value
+        self.state = state
         self.planned = False
         self.failed = False
-        self._seen: FilterSpec | None = None
+        # Each job's filter in force, and what its source gave or said last.
+        self._seen: dict[str, FilterSpec] = {}
+        self._said: dict[str, str] = {}
 
     def plan(self, messages: DataFrame) -> DataFrame:
         """The part of the work that can be planned on the stream itself."""
-        if len(self.specs) > 1 or self.filter_source is not None:
+        if len(self.specs) > 1 or self.filter_sources:
             return messages
         self.planned = True
         return self._outcome(decode(messages, self.value), self.specs[0])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        self._reload_filter(spark, batch_id)
+        self._reload_filters(spark, batch_id)
         if self.planned:
             self._write(batch, self.specs[0], batch_id)
             return
@@ -98,7 +107,10 @@ class BatchLoader:
                 seconds = time.monotonic() - started
                 if rejects_path:
                     target = f"{rejects_path}/batch_id={batch_id}"
-                    rejects_of(outcome).write.mode("overwrite").parquet(target)
+                    rejects = rejects_of(outcome)
+                    if spec.sink.table:
+                        rejects = rejects.union(sinks.misfits(rows, spec.sink.table))
+                    rejects.write.mode("overwrite").parquet(target)
         except Exception as e:
             self.failed = True
             spent = time.monotonic() - started
@@ -108,21 +120,54 @@ class BatchLoader:
             rows = counted.get["rows"]
             self.log(outcome.sparkSession, spec.id, batch_id, rows, seconds, None, None)
 
-    def _reload_filter(self, spark: SparkSession, batch_id: int) -> None:
-        """Take up a changed filter at a batch boundary; keep the old one if it is invalid."""
-        if self.filter_source is None:
-            return
+    def _reload_filters(self, spark: SparkSession, batch_id: int) -> None:
+        """Take up changed filters at a batch boundary; keep a job's old one if its new one is invalid.
+
+        An invalid filter is logged once, not at every batch for as long as it stays.
+        """
+        for i, spec in enumerate(self.specs):
+            source = self.filter_sources.get(spec.id)
+            if source is None:
+                continue
+            try:
+                latest = source(spark)
+                if latest == self._seen.get(spec.id):
+                    self._said.pop(spec.id, None)
+                    continue
+                said = repr(latest)
+                if said == self._said.get(spec.id):
+                    continue
+                check_filter(spark, latest)
+            except (FilterError, ValueError, PySparkException) as e:
+                said = said if isinstance(e, FilterError) else str(e)
+                if self._said.get(spec.id) != said:
+                    self.log(spark, spec.id, batch_id, 0, 0.0, "filter", str(e))
+                self._said[spec.id] = said
+                if spec.id not in self._seen:
+                    self._take(i, self._restored(spark, spec.id) or spec.filter)
+                continue
+            self._said.pop(spec.id, None)
+            self._take(i, latest)
+            self._remember(spark, spec.id, latest)
+
+    def _take(self, i: int, latest: FilterSpec) -> None:
+        self._seen[self.specs[i].id] = latest
+        self.specs[i] = replace(self.specs[i], filter=latest)
+
+    def _remember(self, spark: SparkSession, job: str, latest: FilterSpec) -> None:
+        if self.state:
+            line = spark.createDataFrame([(json.dumps(asdict(latest)),)], "value string").coalesce(1)
+            line.write.mode("overwrite").text(f"{self.state}/filters/{job}")
+
+    def _restored(self, spark: SparkSession, job: str) -> FilterSpec | None:
+        """The last valid filter of a run before this one."""
+        if not self.state:
+            return None
         try:
-            latest = self.filter_source(spark)
-            if latest == self._seen:
-                return
-            check_filter(spark, latest)
-        except (FilterError, ValueError, PySparkException) as e:
-            for spec in self.specs:
-                self.log(spark, spec.id, batch_id, 0, 0.0, "filter", str(e))
-            return
-        self._seen = latest
-        self.specs = [replace(spec, filter=latest) for spec in self.specs]
+            row = spark.read.text(f"{self.state}/filters/{job}").first()
+        except PySparkException:  # none was kept yet
+            return None
+        return FilterSpec.from_dict(json.loads(row[0])) if row else None
 
     def log(self, spark, job, batch_id, rows, seconds, error, message) -> None:
         if self.log_path is None:
@@ -136,6 +181,35 @@ class BatchLoader:
             line.write.mode("overwrite").parquet(target)
 
 
+def _by_job(specs: Sequence[LoadSpec], sources: FilterSources) -> dict[str, FilterSource]:
+    if sources is None:
+        return {}
+    if isinstance(sources, Mapping):
+        unknown = sorted(set(sources) - {s.id for s in specs})
+        if unknown:
+            raise ValueError(f"filter sources of no job: {', '.join(unknown)}")
+        return dict(sources)
+    if len(specs) > 1:
+        raise ValueError("several jobs need their filter sources by job id")
+    return {specs[0].id: sources}
+
+
+def _check_shared(specs: Sequence[LoadSpec], given: bool) -> None:
+    """Refuse jobs that one query cannot serve as each of them asks."""
+    if len({s.id for s in specs}) < len(specs):
+        raise ValueError("jobs need ids of their own")
+    lead = specs[0]
+    for spec in specs[1:]:
+        if spec.source != lead.source and not given:
+            raise ValueError(f"{spec.id} reads another source than {lead.id}: start it as a query of its own")
+        if spec.sink.flush_seconds != lead.sink.flush_seconds:
+            raise ValueError(f"{spec.id} has another flush interval than {lead.id}: start it as a query of its own")
+        if spec.sink.rows_per_trigger != lead.sink.rows_per_trigger:
+            raise ValueError(f"{spec.id} has another rate than {lead.id}: start it as a query of its own")
+    if lead.sink.inserts_per_second and (given or lead.source is None or lead.source.format != "kafka"):
+        raise ValueError("an insert rate can be kept on Kafka only; bound other sources by files or bytes per trigger")
+
+
 @contextmanager
 def _kept(df: DataFrame, several: bool):
     """Keep a frame while several outputs are written from it."""
@@ -160,17 +234,20 @@ def start(
     specs: LoadSpec | Sequence[LoadSpec],
     checkpoint: str,
     log_path: str | None = None,
-    filter_source: FilterSource | None = None,
+    filter_source: FilterSources = None,
     messages: DataFrame | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """Start one streaming query for a job, or for several jobs on the same source.
 
-    A micro-batch starts every flush interval and reads at most what the insert rate
-    allows. With ``drain`` the query loads what is there and stops.
+    A micro-batch starts every flush interval and reads at most what the insert rate allows, or else
+    a bounded number of batches. With ``drain`` the query loads what is there, in such
+    micro-batches, and stops. Jobs that differ in source, flush interval or rate are refused.
+    ``filter_source`` is the job's, or a mapping from job ids.
     """
     specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
-    return _start(spark, BatchLoader(specs, log_path, filter_source), checkpoint, messages, drain)
+    loader = BatchLoader(specs, log_path, filter_source, state=f"{checkpoint.rstrip('/')}/jsonflow")
+    return _start(spark, loader, checkpoint, messages, drain)
 
 
 def run(
@@ -178,13 +255,13 @@ def run(
     specs: LoadSpec | Sequence[LoadSpec],
     checkpoint: str,
     log_path: str | None = None,
-    filter_source: FilterSource | None = None,
+    filter_source: FilterSources = None,
     messages: DataFrame | None = None,
     drain: bool = False,
 ) -> None:
     """Start jobs and stay until they end. An end that no insert caused is a source error."""
     specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
-    loader = BatchLoader(specs, log_path, filter_source)
+    loader = BatchLoader(specs, log_path, filter_source, state=f"{checkpoint.rstrip('/')}/jsonflow")
     try:
         _start(spark, loader, checkpoint, messages, drain).awaitTermination()
     except StreamingQueryException as e:
@@ -197,6 +274,7 @@ def run(
 def _start(
     spark: SparkSession, loader: BatchLoader, checkpoint: str, messages: DataFrame | None, drain: bool
 ) -> StreamingQuery:
+    _check_shared(loader.specs, messages is not None)
     for spec in loader.specs:
         check_filter(spark, spec.filter)
         sinks.ensure_table(spark, spec.sink, spec.mapping)

@@ -75,13 +75,28 @@ def append(rows: DataFrame, sink: SinkSpec, batch_id: int | None = None) -> None
 
 
 def _insert(rows: DataFrame, table: str) -> None:
+    """A value that does not fit its column of the table becomes NULL there; see ``misfits``."""
     fields = rows.sparkSession.table(table).schema.fields
-    unknown = sorted(set(rows.columns) - {fd.name for fd in fields})
+    given = {c.lower() for c in rows.columns}
+    unknown = sorted(given - {fd.name.lower() for fd in fields})
     if unknown:
         raise ValueError(f"columns missing in {table}: {', '.join(unknown)}")
-    given = set(rows.columns)
     aligned = [
-        (F.col(quoted(fd.name)) if fd.name in given else F.lit(None)).cast(fd.dataType).alias(fd.name)
+        (F.col(quoted(fd.name)).try_cast(fd.dataType) if fd.name.lower() in given else F.lit(None).cast(fd.dataType)).alias(fd.name)
         for fd in fields
     ]
     rows.select(*aligned).write.insertInto(table)
+
+
+def misfits(rows: DataFrame, table: str) -> DataFrame:
+    """Values that the table's narrower columns cannot hold: ``value`` (the row as JSON), ``stage`` and
+    ``reason``, one row per value."""
+    there = {fd.name.lower(): fd.dataType for fd in rows.sparkSession.table(table_name(table)).schema.fields}
+    wider = [(c, there[c.lower()]) for c, kind in rows.dtypes if c.lower() in there and there[c.lower()].simpleString() != kind]
+    reasons = [
+        F.when(F.col(quoted(c)).isNotNull() & F.col(quoted(c)).try_cast(kind).isNull(), F.lit(f"{c}: does not fit {kind.simpleString()}"))
+        for c, kind in wider
+    ]
+    found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    whole = F.to_json(F.struct(*[F.col(quoted(c)) for c in rows.columns])).alias("value")
+    return rows.select(whole, F.lit("insert").alias("stage"), F.explode(found).alias("reason"))

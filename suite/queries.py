@@ -182,6 +182,52 @@ def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT vec_id, 'vec' AS path, 'STRING' AS kind, len(embedding) - 1 AS commas, true AS bracketed FROM embeddings")
+def flatten_arrays_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays come out of messages as JSON text."""
+    raw = m.messages(spark, sf_dir, "embeddings", ["vec_id"], "to_json(named_struct('vec', embedding))")
+    leaves = flatten.flatten(decode(raw, keep=["vec_id"]), keep=["vec_id"], arrays_as_text=True)
+    text = F.try_variant_get("value", "$", "string")
+    commas = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+    return leaves.select(
+        "vec_id",
+        "path",
+        F.schema_of_variant("value").alias("kind"),
+        commas.cast("bigint").alias("commas"),
+        (text.startswith("[") & text.endswith("]")).alias("bracketed"),
+    )
+
+
+@query(
+    """
+    SELECT CASE WHEN event_id % 500 = 0 THEN 'deep' WHEN event_id % 500 = 1 THEN 'braces' ELSE 'plain' END AS kind,
+           CASE WHEN event_id % 500 = 0 THEN 500 WHEN event_id % 500 = 1 THEN 100000 ELSE 1 END AS size,
+           count(*) AS n, CAST(sum(user_id) AS BIGINT) AS total
+    FROM events WHERE event_id % 500 <> 2 GROUP BY ALL
+    """
+)
+def flatten_hostile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of 500 levels, texts of 100,000 braces and broken texts of as many among plain ones."""
+    message = f"""
+    CASE event_id % 500
+      WHEN 0 THEN concat(repeat('{{"d":', 500), user_id, repeat('}}', 500))
+      WHEN 1 THEN concat('{{"t":"', repeat('{{', 100000), '","u":', user_id, '}}')
+      WHEN 2 THEN repeat('{{', 100000)
+      ELSE concat('{{"id":', user_id, '}}') END
+    """
+    leaves = flatten.flatten(decode(m.messages(spark, sf_dir, "events", ["event_id"], message), keep=["event_id"]), keep=["event_id"])
+    text, number = F.try_variant_get("value", "$", "string"), F.try_variant_get("value", "$", "bigint")
+    rows = leaves.groupBy("event_id").agg(
+        F.max(F.length("path")).alias("path"),
+        F.max(F.when(F.col("path") == "t", F.length(text))).alias("braces"),
+        F.sum(F.when(F.col("path") != "t", number)).alias("id"),
+    )
+    kind = F.when(F.col("braces").isNotNull(), "braces").when(F.col("path") > 10, "deep").otherwise("plain")
+    levels = F.when(F.col("path") > 10, (F.col("path") + 1) / 2).otherwise(1)
+    sized = rows.select(kind.alias("kind"), F.coalesce("braces", levels.cast("int")).alias("size"), "id")
+    return sized.groupBy("kind", "size").agg(F.count("*").alias("n"), F.sum("id").alias("total"))
+
+
 @query(
     """
     SELECT CASE WHEN event_id % 3 = 0 THEN 'l1.l2.l3.l4.l5.l6.l7.l8.l9.l10.l11.id'
@@ -423,6 +469,76 @@ def filter_whatif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_summary(decode(m.sparse_messages(spark, sf_dir)), spec)
 
 
+# Dividing by zero, casting words, overflowing and looking past the end of a list all raise.
+RAISING = """
+CASE kind WHEN 0 THEN 100 / n > 1
+          WHEN 1 THEN int(word) > 50 OR int(word) < 10
+          WHEN 2 THEN n * 9223372036854775 > 0
+          ELSE array(1, 2, 3)[n % 5] > 0 END
+"""
+# By event_id % 4; NULL where the expression raises.
+RAISED = """
+CASE event_id % 4
+  WHEN 0 THEN CASE WHEN user_id % 100 = 0 THEN NULL ELSE 100.0 / (user_id % 100) > 1 END
+  WHEN 1 THEN CASE WHEN event_type = 'click' THEN NULL ELSE user_id > 50 OR user_id < 10 END
+  WHEN 2 THEN CASE WHEN user_id * 1000 * CAST(9223372036854775 AS HUGEINT) > 9223372036854775807 THEN NULL ELSE user_id > 0 END
+  ELSE CASE WHEN user_id % 5 > 2 THEN NULL ELSE true END END
+"""
+
+
+def raising_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FilterSpec]:
+    message = """
+    concat('{"kind":', event_id % 4, ',"n":',
+           CASE event_id % 4 WHEN 0 THEN user_id % 100 WHEN 2 THEN user_id * 1000 ELSE user_id END,
+           ',"word":"', CASE WHEN event_type = 'click' THEN 'abc' ELSE string(user_id) END, '"}')
+    """
+    whole = {"as": "int"}
+    return m.messages(spark, sf_dir, "events", ["event_id"], message), sql(RAISING, kind={"path": "kind", **whole}, n={"path": "n", **whole}, word="word")
+
+
+@query(f"SELECT event_id FROM events WHERE {RAISED}")
+def filter_sql_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages on which a SQL predicate raises are dropped; the load goes on."""
+    raw, spec = raising_messages(spark, sf_dir)
+    return kept_ids(raw, spec, "event_id")
+
+
+@query(
+    f"""
+    WITH tried AS (SELECT {RAISED} AS r FROM events)
+    SELECT count(*) FILTER (r) AS kept, count(*) FILTER (NOT r) AS dropped, count(*) FILTER (r IS NULL) AS errored FROM tried
+    """
+)
+def filter_sql_errors_whatif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages count as not evaluable."""
+    raw, spec = raising_messages(spark, sf_dir)
+    return filter_summary(decode(raw), spec)
+
+
+@query(
+    """
+    SELECT event_id FROM events
+    WHERE (user_id + 3) * 2 - 1 > 40 AND value / 2 + 0.5 < 20 AND user_id % 7 <> 3 AND -user_id < -5
+      AND round(value) >= 3 AND abs(user_id - 60) < 50
+      AND event_id % 6 IN (0, 1)
+    """
+)
+def filter_arithmetic_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arithmetic, conversions and a flag in many spellings, read as a boolean."""
+    spec = sql(
+        """(int(id) + 3) * 2 - 1 > 40 AND double(amount) / 2 + 0.5 < 20 AND bigint(id) % 7 <> 3 AND -int(id) < -5
+           AND round(double(amount)) >= 3 AND abs(try_subtract(int(id), 60)) < 50 AND flag AND string(int(id)) = id""",
+        id="id",
+        amount="v",
+        flag={"path": "flag", "as": "bool"},
+    )
+    message = """
+    concat('{"id":"', user_id, '","v":"', value, '","flag":',
+           CASE event_id % 6 WHEN 0 THEN 'true' WHEN 1 THEN '"T"' WHEN 2 THEN '"0"' WHEN 3 THEN 'false' WHEN 4 THEN '"yes"' ELSE 'null' END, '}')
+    """
+    return kept_ids(m.messages(spark, sf_dir, "events", ["event_id"], message), spec, "event_id")
+
+
 @query(
     """
     SELECT event_id, user_id FROM events
@@ -580,6 +696,49 @@ def path_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(exists, field, ["event_id", "result"]).withColumnRenamed("result", "a_b_exists")
 
 
+@query(
+    """
+    SELECT vec_id, CAST(list_sum([CAST(x * 100 AS BIGINT) FOR x IN embedding]) AS BIGINT) AS total, len(embedding) AS size,
+           list_max([CAST(x * 100 AS BIGINT) FOR x IN embedding]) AS most FROM embeddings
+    """
+)
+def coerce_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column declared as a Spark type of its own, here a list of whole numbers."""
+    mapping = read_mapping([{"fieldPath": "vec", "column": "vec", "type": "array<bigint>"}])
+    message = "to_json(named_struct('vec', transform(embedding, x -> bigint(rint(double(x * 100))))))"
+    rows = load_rows(m.messages(spark, sf_dir, "embeddings", ["vec_id"], message), LoadSpec("v", mapping), ["vec_id"])
+    return rows.select(
+        "vec_id",
+        F.aggregate("vec", F.lit(0).cast("bigint"), lambda t, x: t + x).alias("total"),
+        F.size("vec").cast("bigint").alias("size"),
+        F.array_max("vec").alias("most"),
+    )
+
+
+@query(
+    """
+    WITH names AS (SELECT DISTINCT 'k' || user_id % 40 || CASE WHEN user_id % 2 = 0 THEN '-a' ELSE '.b' END AS p FROM events)
+    SELECT row_number() OVER (ORDER BY regexp_replace(p, '[^A-Za-z0-9]', '_', 'g'), p) AS position, p AS "fieldPath" FROM names
+    """
+)
+def infer_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proposed columns come in the order of their names."""
+    message = """
+    concat('{"k', user_id % 40, CASE WHEN user_id % 2 = 0 THEN '-a":1' ELSE '":{"b":1}' END, '}')
+    """
+    paths = [r["fieldPath"] for r in infer.infer_mapping(decode(m.messages(spark, sf_dir, "events", [], message))).collect()]
+    return spark.createDataFrame(list(enumerate(paths, 1)), "position bigint, fieldPath string")
+
+
+@query("SELECT 0 AS paths, count(*) AS messages FROM events WHERE value < -1")
+def infer_empty_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No message, no proposal."""
+    raw = m.event_messages(spark, sf_dir)
+    none = raw.join(m.table(spark, sf_dir, "events").filter("value < -1").select("event_id"), "event_id", "left_semi")
+    paths = infer.infer_mapping(decode(none)).agg(F.count("*").cast("int").alias("paths"))
+    return paths.join(none.agg(F.count("*").alias("messages")))
+
+
 @query(
     """
     WITH turns AS (SELECT event_id, user_id, user_id % 8 AS p,
@@ -680,6 +839,111 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.latest_per_key(events.unionByName(again), ["event_id"], ["ts_micros"])
 
 
+@query(
+    """
+    SELECT CASE WHEN event_id % 4 <> 0 THEN event_id END AS id, user_id, copy
+    FROM events, (VALUES (1), (2)) AS c(copy) WHERE event_id % 4 = 0 OR copy = 2
+    """
+)
+def dedup_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event twice, a quarter of them without the key: those all stay."""
+    events = m.table(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_id % 4 <> 0 THEN event_id END AS id", "user_id", "explode(array(1, 2)) AS copy"
+    )
+    return dedup.latest_per_key(events, ["id"], ["copy"])
+
+
+@query(
+    """
+    SELECT * FROM (
+      SELECT 'rows' AS what, count(*) AS n, CAST(sum(CASE WHEN user_id <= 127 THEN user_id END) AS BIGINT) AS total FROM events
+      UNION ALL SELECT 'rejects', count(*), CAST(-1 AS BIGINT) FROM events WHERE user_id > 127)
+    WHERE n > 0
+    """
+)
+def load_narrow_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a narrower column than is mapped, named in other case: what does not fit is NULL and a reject."""
+    root, name = shared_dir(spark), f"jsonflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (USER_ID tinyint) USING parquet LOCATION '{root}/rows'")
+    sink = SinkSpec(table=name, rejects_path=f"{root}/rejects")
+    spec = LoadSpec("events", m.EVENT_MAPPING[4:], sink=sink)
+    drain(spark, spec, f"{root}/checkpoint", messages=event_stream(spark, sf_dir, pathGlobFilter="events.parquet"))
+    rows = spark.table(name).agg(F.count("*").alias("n"), F.sum("user_id").alias("total"))
+    rejects = spark.read.parquet(f"{root}/rejects").agg(F.count("*").alias("n"), F.lit(-1).cast("bigint").alias("total"))
+    both = rows.select(F.lit("rows").alias("what"), "n", "total").union(rejects.select(F.lit("rejects"), "n", "total"))
+    return both.filter("n > 0")
+
+
+@query(
+    """
+    SELECT 5 AS batches, count(*) AS "rows", CAST(sum(user_id) AS BIGINT) AS total FROM events
+    """
+)
+def load_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of ten files, loaded two at a time; together the batch load."""
+    root = shared_dir(spark)
+    m.event_messages(spark, sf_dir).select("value").repartition(10).write.parquet(f"{root}/in")
+    source = SourceSpec("parquet", {"maxFilesPerTrigger": "2"}, f"{root}/in", schema="value string")
+    spec = LoadSpec("events", m.EVENT_MAPPING[4:], source=source, sink=SinkSpec(path=f"{root}/rows"))
+    drain(spark, spec, f"{root}/checkpoint", log_path=f"{root}/log")
+    log = jobs.read_log(spark, f"{root}/log").groupBy("job").agg(F.count("*").cast("int").alias("batches"), F.sum("rows").alias("rows"))
+    loaded = spark.read.parquet(f"{root}/rows").select(F.lit("events").alias("job"), "user_id")
+    return log.join(loaded.groupBy("job").agg(F.sum("user_id").alias("total")), "job").drop("job")
+
+
+WIDE = [f"{kind}{i}" for i in range(25) for kind in ("l", "q", "d", "f")]
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, CAST({longs} AS BIGINT) AS longs, {flags} AS flags FROM lineitem
+    """.format(
+        longs=" + ".join(f"(l_partkey + {i})" for i in range(25)),
+        flags=" || ".join("l_returnflag" for _ in range(25)),
+    )
+)
+def load_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping of a hundred columns, all of them used."""
+    types = {"l": "Int64", "q": "Float64", "d": "DateTime", "f": "String"}
+    values = {"l": "l_partkey + {i}", "q": "l_quantity", "d": "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')", "f": "l_returnflag"}
+    members = ", ".join(f"'{c}', {values[c[0]].format(i=c[1:])}" for c in WIDE)
+    mapping = read_mapping([{"fieldPath": f"row.{c}", "column": c, "type": types[c[0]]} for c in WIDE])
+    raw = m.messages(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"], f"to_json(named_struct('row', named_struct({members})))")
+    rows = load_rows(raw, LoadSpec("wide", mapping), ["l_orderkey", "l_linenumber"])
+    whole = F.forall(F.array(*[F.col(c) for c in WIDE if c[0] == "d"]), lambda x: x.isNotNull())
+    longs = sum((F.col(c) for c in WIDE if c[0] == "l"), F.lit(0).cast("bigint"))
+    flags = F.concat(*[F.col(c) for c in WIDE if c[0] == "f"])
+    return rows.filter(whole).select("l_orderkey", "l_linenumber", longs.alias("longs"), flags.alias("flags"))
+
+
+@query(
+    """
+    SELECT 'a' AS job, user_id FROM events WHERE CASE WHEN ts < '2024-01-15' THEN user_id > 100 ELSE user_id < 10 END
+    UNION ALL
+    SELECT 'b', user_id FROM events WHERE user_id > 50
+    """
+)
+def fan_out_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs on one stream follow filters of their own: one changes, one becomes invalid at a restart."""
+    root = shared_dir(spark)
+
+    def bound(operator: str, value: int) -> FilterSpec:
+        return rules(rule("user.id", operator, value))
+
+    specs = [LoadSpec(name, m.EVENT_MAPPING[4:], sink=SinkSpec(path=f"{root}/{name}")) for name in "ab"]
+    events = m.table(spark, sf_dir, "events")
+    first, last = F.col("ts") < "2024-01-15", F.col("ts") >= "2024-01-15"
+    for part, a, b in (
+        (first, bound("gt", 100), bound("gt", 50)),
+        (last, bound("lt", 10), sql("id >< 3", id="user.id")),
+    ):
+        events.filter(part).write.mode("append").parquet(f"{root}/in")
+        sources = {"a": lambda _, spec=a: spec, "b": lambda _, spec=b: spec}
+        drain(spark, specs, f"{root}/checkpoint", messages=event_stream(spark, f"{root}/in"), filter_source=sources)
+    rows = [spark.read.parquet(f"{root}/{s.id}").select(F.lit(s.id).alias("job"), "user_id") for s in specs]
+    return rows[0].union(rows[1])
+
+
 @query(
     """
     SELECT * FROM (VALUES ('event_ts', 'timestamp', 1), ('event_type', 'string', 2),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jsonflow.operators.decode import decode, malformed, well_formed
-from jsonflow.operators.flatten import flatten, nesting_depth
+from jsonflow.operators.flatten import flatten
 
 MALFORMED = [
     "nope", "", " ", "NaN", "{'a':1}", '{"a":1', '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}',
@@ -71,13 +71,19 @@ def nest(depth: int) -> str:
     return json.dumps(doc)
 
 
-@pytest.mark.parametrize("depth", [1, 2, 7, 12, 30])
-def test_depth_is_measured_whatever_texts_hold(texts, depth):
-    df = texts(nest(depth), '{"a":"{{{{{{{{{{{{{{{{"}', '{"a":[{"b":{}},{},{},{},{},{},{},{},{}]}')
-    measured = nesting_depth(decode(df))
-    assert depth <= measured <= max(depth, 8)  # few braces are not looked at closely
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 6, 7, 12, 30, 500])
+def test_every_leaf_is_found_whatever_texts_hold(texts, depth):
+    df = texts(nest(depth), '{"a":"{{{{{{{{{{{{{{{{"}', '{"a":[{"b":{}},{},{},{},{},{},{},{},{}]}', "{" * 100_000)
     deepest = ".".join([f"k{i}" for i in range(1, depth)] + ["leaf"])
-    assert (0, deepest, '} { " {{{', "STRING") in leaves(df)
+    found = leaves(df)
+    assert (0, deepest, '} { " {{{', "STRING") in found
+    assert len([x for x in found if x[0] == 0]) == depth
+
+
+def test_texts_of_braces_in_deep_objects_are_quick(texts):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"f":{},"t":"' + "{" * 100_000 + '","n":null,"l":[{"x":1}]}}}}}}'
+    got = leaves(texts(deep, '{"a":{"b":{"c":{"d":{}}}}}'))
+    assert [x[1] for x in got] == ["a.b.c.d.e.l", "a.b.c.d.e.n", "a.b.c.d.e.t"]
 
 
 def test_deeper_objects_stay_unopened(texts):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from suite.registry import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -15,9 +16,9 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
-    assert compare(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], SF) is None
+    assert compare(spark, duck, name, QUERIES[name], ORACLES[name], SF) is None
 
 
 def test_entry(spark):

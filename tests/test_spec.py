@@ -9,7 +9,7 @@ from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, SourceSpec, read
 def test_defaults_are_always_applied():
     sink = SinkSpec.from_dict({"table": "t", "batchSize": 0, "insertRatePerSecond": -3})
     assert (sink.batch_size, sink.flush_interval, sink.inserts_per_second) == (500, "2s", 0)
-    assert sink.rows_per_trigger is None and not sink.create_if_missing
+    assert sink.rows_per_trigger == 500_000 and not sink.create_if_missing
     assert SinkSpec(table="t", batch_size=-1, flush_interval="").flush_seconds == 2.0
 
 

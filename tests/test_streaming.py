@@ -181,6 +181,72 @@ def test_several_jobs_on_one_stream(spark, root, feed):
     assert sorted((r.job, r.rows_total) for r in totals) == [("all", 4), ("low", 2)]
 
 
+def test_jobs_that_differ_in_source_interval_or_rate_are_refused(spark, root, feed):
+    from dataclasses import replace
+
+    feed(message(1))
+    a, b = job(root, "a"), job(root, "b")
+    others = [
+        replace(b, source=SourceSpec("parquet", path=f"{root}/other", schema="value string")),
+        replace(b, sink=SinkSpec(path=f"{root}/b", flush_interval="5s")),
+        replace(b, sink=SinkSpec(path=f"{root}/b", batch_size=7)),
+        replace(b, id="a"),
+    ]
+    for other in others:
+        with pytest.raises(ValueError):
+            jobs.start(spark, [a, other], f"{root}/checkpoint")
+    with pytest.raises(ValueError):
+        jobs.start(spark, replace(a, sink=SinkSpec(path=f"{root}/a", inserts_per_second=2)), f"{root}/checkpoint")
+    with pytest.raises(ValueError):
+        jobs.start(spark, [a, b], f"{root}/checkpoint", filter_source=lambda _: FilterSpec())
+
+
+def test_each_job_follows_its_own_filter_which_outlives_a_restart(spark, root, feed):
+    def above(n):
+        return FilterSpec(True, rules={"field": "n", "operator": "gt", "value": str(n)})
+
+    now = {"a": above(1), "b": above(100)}
+    sources = {name: (lambda _, name=name: now[name]) for name in now}
+    specs = [job(root, "a"), job(root, "b")]
+
+    def go():
+        drain(spark, specs, root, log_path=f"{root}/log", filter_source=sources)
+
+    feed(message(1), message(2), message(101))
+    go()
+    now["b"] = FilterSpec(True, "sql", expression="n ><> 1")
+    feed(message(3), message(103))
+    feed(message(4), message(104))
+    go()
+    assert [n for n, _ in loaded(spark, root, "a")] == [2, 3, 4, 101, 103, 104]
+    assert [n for n, _ in loaded(spark, root, "b")] == [101, 103, 104]
+    errors = runlog.error_counts(jobs.read_log(spark, f"{root}/log")).collect()
+    assert [(r.job, r.kind, r.errors) for r in errors] == [("b", "filter", 1)]
+
+
+def test_a_backlog_is_loaded_in_bounded_batches(spark, root, feed):
+    for i in range(6):
+        feed(message(i))
+    spec = LoadSpec("job", MAPPING, source=source(root, maxFilesPerTrigger="2"), sink=SinkSpec(path=f"{root}/job"))
+    drain(spark, spec, root, log_path=f"{root}/log")
+    sizes = [r["rows"] for r in jobs.read_log(spark, f"{root}/log").collect()]
+    assert sizes == [2, 2, 2] and [n for n, _ in loaded(spark, root)] == list(range(6))
+
+
+def test_a_filter_that_raises_drops_the_message_only(spark, root, feed):
+    from jsonflow.operators.decode import decode
+    from jsonflow.operators.filters import filter_summary
+
+    raising = FilterSpec(
+        True, "sql", expression="10 / v > 1 AND (int(t) > 1 OR int(t) < -1)", fields={"v": {"path": "n", "as": "int"}, "t": "t"}
+    )
+    feed(message(0, "5"), message(2, "abc"), message(2, "5"), message(50, "5"))
+    drain(spark, job(root, filter=raising), root)
+    assert loaded(spark, root) == [(2, "5")]
+    counts = filter_summary(decode(read_messages(spark, source(root))), raising).first()
+    assert (counts.kept, counts.dropped, counts.errored) == (1, 1, 2)
+
+
 def test_independent_jobs(spark, root, feed):
     feed(message(1))
     queries = jobs.start_all(spark, [job(root, "a"), job(root, "b")], f"{root}/cps", drain=True)
@@ -230,6 +296,17 @@ def test_tables(spark, root, table, feed):
         sinks.append(spark.createDataFrame([(1,)], "nope int"), sink)
 
 
+def test_values_that_a_narrow_table_cannot_hold(spark, root, table, feed):
+    spark.sql(f"CREATE TABLE {table} (T string, n tinyint) USING parquet LOCATION '{root}/narrow'")
+    feed(message(1), message(1000), message(None))
+    sink = SinkSpec(table=table, rejects_path=f"{root}/rejects")
+    drain(spark, LoadSpec("job", MAPPING, source=source(root), sink=sink), root)
+    assert sorted((r.n is None, r.n, r.T) for r in spark.table(table).collect() if r.n) == [(False, 1, "x")]
+    assert spark.table(table).count() == 3
+    rejects = [(r.stage, r.reason) for r in spark.read.parquet(f"{root}/rejects").collect()]
+    assert ("insert", "n: does not fit tinyint") in rejects
+
+
 def test_tables_need_a_name_and_columns(spark, root):
     for name, columns in (("", [("a", "Int64")]), ("x.", [("a", "Int64")]), ("x", [])):
         with pytest.raises(ValueError):
@@ -258,13 +335,17 @@ def test_sources(spark, root, feed, tmp_path):
     assert stream_messages(spark, SourceSpec("rate", value="timestamp")).isStreaming
 
 
-def test_topic_sample_reads_the_first_batch_only(spark, root, feed):
+def test_topic_sample_goes_on_until_it_is_whole(spark, root, feed):
     feed(*[message(i) for i in range(5)])
     feed(*[message(i) for i in range(5, 9)])
     topic = source(root, maxFilesPerTrigger="1")
-    first = sample_topic(spark, topic, 100, f"{root}/s1")
-    assert sorted(r.value for r in first.collect()) == [message(i) for i in range(5)]
-    assert sample_topic(spark, topic, 2, f"{root}/s2").count() == 2
+    first = sample_topic(spark, topic, 7, f"{root}/s")
+    assert first.count() == 7 and first.columns == ["value"]
+    assert {message(i) for i in range(5)} <= {r.value for r in first.collect()}
+    # A second call in the same folder starts afresh, and what has come counts.
+    again = sample_topic(spark, topic, 100, f"{root}/s", timeout=6)
+    assert sorted(r.value for r in again.collect()) == [message(i) for i in range(9)]
+    assert sample_topic(spark, topic, 2, f"{root}/s").count() == 2
     os.mkdir(f"{root}/empty")
     nothing = SourceSpec("parquet", path=f"{root}/empty", schema="value string")
     assert sample_topic(spark, nothing, 5, f"{root}/s3", timeout=1).collect() == []
@@ -276,6 +357,20 @@ def test_small_sources_are_spread(spark):
     assert spread(plenty, 4) is plenty
 
 
+def test_rows_without_a_key_are_no_copies(spark, root):
+    from jsonflow.operators.dedup import latest_per_key
+
+    rows = [(None, 1), (None, 1), (1, 1), (1, 2)]
+    df = spark.createDataFrame(rows, "k int, at int")
+    assert sorted(latest_per_key(df, ["k"], ["at"]).collect(), key=str) == sorted([(1, 2), (None, 1), (None, 1)], key=str)
+    assert latest_per_key(df, ["k"], ["at"], null_keys_equal=True).count() == 2
+    df.selectExpr("k", "timestamp_seconds(at) AS at").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("k int, at timestamp").parquet(f"{root}/in")
+    out = first_seen(stream, ["k"], "at", "1 minute").writeStream.format("parquet").option("path", f"{root}/out")
+    out.option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.k for r in spark.read.parquet(f"{root}/out").collect()), key=str) == [1, None, None]
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_repeats_within_a_delay_are_dropped(spark, root, salts):
     """One key holds most of the stream; its copies come in every task and in a later batch."""

@@ -14,9 +14,11 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on: Python gets few rows at a time, as texts may be long."""
+    """Session settings the operators rely on: Python gets a bounded number of bytes at a time, as
+    texts may be long, and many rows where they are short."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 

@@ -11,10 +11,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from jsonflow.functions import fields as f
+from jsonflow.functions.fields import Sql, literal
 
 # Accepted date text, the blanks trimmed around it, and the size above
 # which an epoch given as text counts milliseconds.
@@ -63,66 +61,58 @@ def is_date(target: TargetType) -> bool:
     return target.family in ("date", "datetime")
 
 
-def _int(leaf: f.Leaf) -> Column:
+def _int(leaf: f.Leaf) -> Sql:
     t = leaf.text
-    of_text = F.coalesce(f.text_to_int(t), f.text_to_double(t).try_cast("bigint"))
-    return F.when(f.is_number_kind(leaf.kind), leaf.get("bigint")).when(leaf.kind == "STRING", of_text)
+    of_text = f"coalesce({f.text_to_int(t)}, try_cast({f.text_to_double(t)} AS BIGINT))"
+    return f"""CASE WHEN {f.is_number_kind(leaf.kind)} THEN {leaf.get("bigint")}
+                    WHEN {leaf.kind} = 'STRING' THEN {of_text} END"""
 
 
-def _bool(leaf: f.Leaf) -> Column:
+def _bool(leaf: f.Leaf) -> Sql:
     t = leaf.text
-    of_text = (
-        F.when(t.isin("true", "TRUE", "1"), True)
-        .when(t.isin("false", "FALSE", "0"), False)
-        .otherwise(f.text_to_int(t) != 0)
-    )
-    return F.when(leaf.kind == "BOOLEAN", leaf.get("boolean")).otherwise(of_text)
+    return f"""CASE WHEN {leaf.kind} = 'BOOLEAN' THEN {leaf.get("boolean")}
+                    WHEN {t} IN ('true', 'TRUE', '1') THEN true
+                    WHEN {t} IN ('false', 'FALSE', '0') THEN false
+                    ELSE {f.text_to_int(t)} <> 0 END"""
 
 
-def _string(leaf: f.Leaf) -> Column:
-    return (
-        F.when(leaf.kind == "STRING", leaf.text)
-        .when(f.is_number_kind(leaf.kind), f.number_text(leaf))
-        .when(leaf.kind != "VOID", leaf.get("string"))
-    )
+def _string(leaf: f.Leaf) -> Sql:
+    return f"""CASE WHEN {leaf.kind} = 'STRING' THEN {leaf.text}
+                    WHEN {f.is_number_kind(leaf.kind)} THEN {f.number_text(leaf)}
+                    WHEN {leaf.kind} <> 'VOID' THEN {leaf.get("string")} END"""
 
 
-def _from_epoch(n: Column, millis_too: bool) -> Column:
+def _from_epoch(n: Sql, millis_too: bool) -> Sql:
     """A timestamp from whole seconds, or also from milliseconds; NULL if out of range."""
-    unit = F.lit(1_000_000).cast("bigint")
-    if millis_too:
-        unit = F.when(n > EPOCH_MILLIS_ABOVE, F.lit(1_000).cast("bigint")).otherwise(unit)
-    return F.timestamp_micros(F.try_multiply(n, unit))
+    unit = f"CASE WHEN {n} > {EPOCH_MILLIS_ABOVE} THEN 1000L ELSE 1000000L END" if millis_too else "1000000L"
+    return f"timestamp_micros(try_multiply({n}, {unit}))"
 
 
-def trimmed(t: Column) -> Column:
+def trimmed(t: Sql) -> Sql:
     """Date text without the blanks and quotes around it."""
-    return F.btrim(F.btrim(t, F.lit(BLANKS)), F.lit(QUOTES))
+    return f"btrim(btrim({t}, {literal(BLANKS)}), {literal(QUOTES)})"
 
 
-def text_to_timestamp(u: Column) -> Column:
+def text_to_timestamp(u: Sql) -> Sql:
     """Date text, or an epoch as text. Text without a zone is UTC whatever the session says."""
-    dotted = F.translate(u, ",", ".")
-    dated = (
-        F.when(u.rlike(ZONED_TEXT), dotted)
-        .when(u.rlike(PLAIN_TEXT), F.concat(dotted, F.lit("Z")))
-        .when(u.rlike(DATE_TEXT), F.concat(u, F.lit(" 00:00:00Z")))
-    )
-    return F.coalesce(dated.try_cast("timestamp"), _from_epoch(f.text_to_int(u), millis_too=True))
+    dotted = f"translate({u}, ',', '.')"
+    dated = f"""CASE WHEN {u} RLIKE {literal(ZONED_TEXT)} THEN {dotted}
+                     WHEN {u} RLIKE {literal(PLAIN_TEXT)} THEN concat({dotted}, 'Z')
+                     WHEN {u} RLIKE {literal(DATE_TEXT)} THEN concat({u}, ' 00:00:00Z') END"""
+    return f"coalesce(try_cast({dated} AS TIMESTAMP), {_from_epoch(f.text_to_int(u), millis_too=True)})"
 
 
-def _timestamp(leaf: f.Leaf, epoch_numbers: str) -> Column:
+def _timestamp(leaf: f.Leaf, epoch_numbers: str) -> Sql:
     of_number = _from_epoch(leaf.get("bigint"), millis_too=epoch_numbers == "auto")
-    return F.when(leaf.kind == "STRING", text_to_timestamp(leaf.text)).when(
-        f.is_number_kind(leaf.kind), of_number
-    )
+    return f"""CASE WHEN {leaf.kind} = 'STRING' THEN {text_to_timestamp(leaf.text)}
+                    WHEN {f.is_number_kind(leaf.kind)} THEN {of_number} END"""
 
 
-def _utc_date(ts: Column) -> Column:
-    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+def _utc_date(ts: Sql) -> Sql:
+    return f"date_from_unix_date(CAST(floor(unix_seconds({ts}) / 86400) AS INT))"
 
 
-def coerce(leaf: f.Leaf, target: TargetType, epoch_numbers: str = "seconds") -> Column:
+def coerce(leaf: f.Leaf, target: TargetType, epoch_numbers: str = "seconds") -> Sql:
     """Value of a field in its column type; NULL when absent, null or unfit.
 
     Date types expect the text of the leaf ``trimmed``. ``epoch_numbers="auto"`` reads large
@@ -146,15 +136,11 @@ def coerce(leaf: f.Leaf, target: TargetType, epoch_numbers: str = "seconds") ->
     return f.read_as(leaf, target.ddl)
 
 
-def reject_reason(value: Column, k: Column, target: TargetType) -> Column:
+def reject_reason(value: Sql, k: Sql, target: TargetType) -> Sql:
     """Why a present, non-null field gave no value, e.g. ``text->Int64``; else NULL."""
-    source = (
-        F.when(k == "STRING", "text")
-        .when(k == "BOOLEAN", "boolean")
-        .when(f.is_number_kind(k), "number")
-        .otherwise("array")
-    )
-    unfit = value.isNull() & k.isNotNull() & (k != "VOID")
-    if target.nullable and is_date(target):
-        unfit = F.lit(False)  # an unreadable nullable date is simply null
-    return F.when(unfit, F.concat(source, F.lit("->" + target.declared)))
+    if target.nullable and is_date(target):  # an unreadable nullable date is simply null
+        return "CAST(NULL AS STRING)"
+    source = f"""CASE WHEN {k} = 'STRING' THEN 'text' WHEN {k} = 'BOOLEAN' THEN 'boolean'
+                      WHEN {f.is_number_kind(k)} THEN 'number' ELSE 'array' END"""
+    unfit = f"{value} IS NULL AND {k} IS NOT NULL AND {k} <> 'VOID'"
+    return f"CASE WHEN {unfit} THEN concat({source}, {literal('->' + target.declared)}) END"

@@ -1,4 +1,4 @@
-"""Column expressions that read one field of a parsed message.
+"""SQL text that reads one field of a parsed message.
 
 A ``Leaf`` holds what was found at a path; ``jsonflow.operators.leaves`` makes it. Three
 states are kept apart, because filters depend on it:
@@ -9,6 +9,9 @@ states are kept apart, because filters depend on it:
 
 "Cannot be evaluated" is SQL NULL too, so AND, OR and NOT over these expressions
 follow three-valued logic and ``filter`` drops what could not be evaluated.
+
+Expressions are text until a step is put together, and parsed once each: built function by function, a
+wide mapping would spend most of its planning on calls into the JVM.
 """
 
 from __future__ import annotations
@@ -16,8 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Sql = str
 
 # Text forms taken as numbers, and as true / false by `as_bool`.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
@@ -26,49 +28,57 @@ TRUE_TEXT = ("1", "t", "T", "TRUE", "true", "True")
 FALSE_TEXT = ("0", "f", "F", "FALSE", "false", "False")
 
 
+def literal(text: str) -> Sql:
+    """A text as an SQL literal; ``${`` is parted, as Spark would put a variable there."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("${", "$' '{") + "'"
+
+
+def listed(texts: tuple[str, ...]) -> Sql:
+    return ", ".join(map(literal, texts))
+
+
 @dataclass(frozen=True)
 class Leaf:
-    """One field of a message: how to get it, and columns with its kind, text and number.
+    """One field of a message: how to get it, and the names of columns with its kind, text and number.
 
-    ``text`` is NULL unless the field is a string. ``number`` names a column with a number or
-    numeric text as a double; if the field is read as text only, that is NULL unless the
-    field is of kind DOUBLE.
+    ``text`` is NULL unless the field is a string. ``number`` is a number or numeric text as a
+    double; if the field is read as text only, that is NULL unless the field is of kind DOUBLE.
 
     The field itself is no column. A variant carries all key names of its message along, so
     a column of it per field would multiply the size of a row; it is looked up instead.
     """
 
     keys: tuple[str, ...]
-    doc: Column
-    other: Column | None
-    kind: Column
-    text: Column
-    number: str
+    doc: Sql
+    other: Sql | None
+    kind: Sql
+    text: Sql
+    number: Sql
 
-    def get(self, ddl: str) -> Column:
+    def get(self, ddl: str) -> Sql:
         """The field as a Spark type, from its other spelling if that is where it is."""
         nested = key_at(self.doc, self.keys, ddl)
-        return nested if self.other is None else F.coalesce(get(self.other, ddl), nested)
+        return nested if self.other is None else f"coalesce({get(self.other, ddl)}, {nested})"
 
 
-def kind(x: Column) -> Column:
+def kind(x: Sql) -> Sql:
     """BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
-    return F.schema_of_variant(x)
+    return f"schema_of_variant({x})"
 
 
-def is_number_kind(k: Column) -> Column:
-    return k.isin("BIGINT", "DOUBLE") | k.startswith("DECIMAL")
+def is_number_kind(k: Sql) -> Sql:
+    return f"({k} IN ('BIGINT', 'DOUBLE') OR startswith({k}, 'DECIMAL'))"
 
 
-def is_object_kind(k: Column) -> Column:
-    return k.startswith("OBJECT")
+def is_object_kind(k: Sql) -> Sql:
+    return f"startswith({k}, 'OBJECT')"
 
 
-def get(x: Column, ddl: str) -> Column:
-    return F.try_variant_get(x, "$", ddl)
+def get(x: Sql, ddl: str, path: str = "$") -> Sql:
+    return f"try_variant_get({x}, {literal(path)}, {literal(ddl)})"
 
 
-def key_at(doc: Column, keys: tuple[str, ...], ddl: str = "variant") -> Column:
+def key_at(doc: Sql, keys: tuple[str, ...], ddl: str = "variant") -> Sql:
     """What is under a chain of object keys; NULL when any key is absent."""
     here, path = doc, "$"
     for key in keys:
@@ -77,9 +87,9 @@ def key_at(doc: Column, keys: tuple[str, ...], ddl: str = "variant") -> Column:
         elif '"' not in key:
             path += f'["{key}"]'
         else:  # the path syntax cannot quote a key holding both quote marks
-            members = F.try_variant_get(here, path, "map<string,variant>")
-            here, path = F.try_element_at(members, F.lit(key)), "$"
-    return F.try_variant_get(here, path, ddl)
+            members = get(here, "map<string,variant>", path)
+            here, path = f"try_element_at({members}, {literal(key)})", "$"
+    return get(here, ddl, path)
 
 
 def spellings(path: str) -> list[tuple[str, ...]]:
@@ -106,18 +116,17 @@ def spellings(path: str) -> list[tuple[str, ...]]:
 SPELLED_PARTS = 4
 
 
-def other_spellings(path: str, doc_name: str) -> Column | None:
+def other_spellings(path: str, doc: Sql) -> Sql | None:
     """The leaf under a literal dotted key, or None if the path has no other spelling."""
-    doc = F.col(doc_name)
     if path == "":  # a message that is not an object is itself the value at ""
-        return F.when(~is_object_kind(kind(doc)), doc)
+        return f"CASE WHEN NOT {is_object_kind(kind(doc))} THEN {doc} END"
     if path.count(".") >= SPELLED_PARTS:
-        return searched(path, doc_name)
+        return searched(path, doc)
     found = [key_at(doc, chain) for chain in spellings(path)[1:]]
-    leaves = [F.when(~is_object_kind(kind(x)), x) for x in found]
+    leaves = [f"CASE WHEN NOT {is_object_kind(kind(x))} THEN {x} END" for x in found]
     if not leaves:
         return None
-    return F.coalesce(*leaves) if len(leaves) > 1 else leaves[0]
+    return f"coalesce({', '.join(leaves)})" if len(leaves) > 1 else leaves[0]
 
 
 # One step of the search: what was reached with something left of the path, and in it the
@@ -138,16 +147,15 @@ try_element_at(
 """
 
 
-def searched(path: str, doc: str) -> Column:
+def searched(path: str, doc: Sql) -> Sql:
     """The leaf at a path under any spelling, the most nested one first.
 
     The expression grows with the length of the path only, not with its spellings.
     """
-    rest = path.replace("\\", "\\\\").replace("'", "\\'")
-    reached = f"array(named_struct('steps', 0, 'x', {doc}, 'rest', '{rest}.'))"
+    reached = f"array(named_struct('steps', 0, 'x', {doc}, 'rest', {literal(path + '.')}))"
     for _ in path.split("."):
         reached = SEARCH_STEP.format(reached=reached)
-    return F.expr(SEARCH_END.format(reached=reached))
+    return SEARCH_END.format(reached=reached)
 
 
 # Plain text of a double. 22 decimals hold every digit of a fractional one from 1e-6 on.
@@ -159,65 +167,66 @@ CASE WHEN abs({d}) < 1e21 AND {d} = rint({d}) THEN string(CAST({d} AS DECIMAL(38
 """
 
 
-def number_text(leaf: Leaf) -> Column:
+def number_text(leaf: Leaf) -> Sql:
     """A JSON number as plain text: 12.0 and 1.2e1 are both ``12``.
 
     An exponent is written only below 1e-6 and from 1e21 on.
     """
-    of_double = F.expr(DOUBLE_TEXT.format(d=leaf.number))
-    return F.when(leaf.kind == "DOUBLE", of_double).otherwise(leaf.get("string"))
+    of_double = DOUBLE_TEXT.format(d=leaf.number)
+    return f"CASE WHEN {leaf.kind} = 'DOUBLE' THEN {of_double} ELSE {leaf.get('string')} END"
 
 
-def text_to_int(t: Column) -> Column:
+def text_to_int(t: Sql) -> Sql:
     """Whole-number text to bigint; anything else, or out of range, is NULL."""
-    return F.when(t.rlike(INT_TEXT), t.try_cast("bigint"))
+    return f"CASE WHEN {t} RLIKE {literal(INT_TEXT)} THEN try_cast({t} AS BIGINT) END"
 
 
-def text_to_double(t: Column) -> Column:
+def text_to_double(t: Sql) -> Sql:
     """Decimal text to a double, infinite if too large. Blanks, hex, words are NULL."""
-    return F.when(t.rlike(NUMBER_TEXT), t.try_cast("double"))
+    return f"CASE WHEN {t} RLIKE {literal(NUMBER_TEXT)} THEN try_cast({t} AS DOUBLE) END"
 
 
-def present(leaf: Leaf) -> Column:
+def present(leaf: Leaf) -> Sql:
     """True for any leaf, JSON null included; false for objects and absent keys."""
-    return leaf.kind.isNotNull()
+    return f"{leaf.kind} IS NOT NULL"
 
 
-def is_null(leaf: Leaf) -> Column:
+def is_null(leaf: Leaf) -> Sql:
     """Whether the leaf is JSON null; NULL when the path is missing."""
-    return leaf.kind == "VOID"
+    return f"{leaf.kind} = 'VOID'"
 
 
-def as_string(leaf: Leaf) -> Column:
+def as_string(leaf: Leaf) -> Sql:
     """Text of a scalar leaf; NULL for null, arrays and missing paths."""
-    return (
-        F.when(leaf.kind == "STRING", leaf.text)
-        .when(is_number_kind(leaf.kind), number_text(leaf))
-        .when(leaf.kind == "BOOLEAN", leaf.get("string"))
-    )
+    return f"""CASE WHEN {leaf.kind} = 'STRING' THEN {leaf.text}
+                    WHEN {is_number_kind(leaf.kind)} THEN {number_text(leaf)}
+                    WHEN {leaf.kind} = 'BOOLEAN' THEN {leaf.get("string")} END"""
 
 
-def as_double(leaf: Leaf) -> Column:
+def as_double(leaf: Leaf) -> Sql:
     """Numbers and numeric text, if finite."""
-    d = F.col(leaf.number)
-    return F.when(F.abs(d) < float("inf"), d)
+    return f"CASE WHEN abs({leaf.number}) < double('infinity') THEN {leaf.number} END"
 
 
-def as_int(leaf: Leaf) -> Column:
+def as_int(leaf: Leaf) -> Sql:
     """Numbers cut toward zero, or whole-number text."""
-    return F.when(leaf.kind == "STRING", text_to_int(leaf.text)).when(
-        is_number_kind(leaf.kind), leaf.get("bigint")
-    )
+    return f"""CASE WHEN {leaf.kind} = 'STRING' THEN {text_to_int(leaf.text)}
+                    WHEN {is_number_kind(leaf.kind)} THEN {leaf.get("bigint")} END"""
 
 
-def as_bool(leaf: Leaf) -> Column:
+def as_bool(leaf: Leaf) -> Sql:
     """Booleans and the usual words for them."""
-    of_text = F.when(leaf.text.isin(*TRUE_TEXT), True).when(leaf.text.isin(*FALSE_TEXT), False)
-    return F.when(leaf.kind == "BOOLEAN", leaf.get("boolean")).otherwise(of_text)
+    return f"""CASE WHEN {leaf.kind} = 'BOOLEAN' THEN {leaf.get("boolean")}
+                    WHEN {leaf.text} IN ({listed(TRUE_TEXT)}) THEN true
+                    WHEN {leaf.text} IN ({listed(FALSE_TEXT)}) THEN false END"""
+
+
+def as_variant(leaf: Leaf) -> Sql:
+    return read_as_type(leaf, "variant")
 
 
-def as_variant(leaf: Leaf) -> Column:
-    return F.when(leaf.kind.isNotNull(), leaf.get("variant"))
+def read_as_type(leaf: Leaf, ddl: str) -> Sql:
+    return f"CASE WHEN {leaf.kind} IS NOT NULL THEN {leaf.get(ddl)} END"
 
 
 READERS = {
@@ -231,7 +240,7 @@ READERS = {
 }
 
 
-def read_as(leaf: Leaf, how: str) -> Column:
+def read_as(leaf: Leaf, how: str) -> Sql:
     """A leaf read by a named reader, or as the Spark type ``how`` names (NULL if unfit)."""
     reader = READERS.get(how)
-    return reader(leaf) if reader else F.when(leaf.kind.isNotNull(), leaf.get(how))
+    return reader(leaf) if reader else read_as_type(leaf, how)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jsonflow.functions import fields as f
 from jsonflow.operators.flatten import flatten
 from jsonflow.plans.spec import Field, read_mapping
 
@@ -33,9 +32,9 @@ def path_votes(decoded: DataFrame, depth: int | None = None) -> DataFrame:
 def _votes(decoded: DataFrame, depth: int | None) -> DataFrame:
     leaves = flatten(decoded, depth=depth, roots=False)
     k = F.col("_kind")
-    kinds = leaves.select("path", "value", f.kind(F.col("value")).alias("_kind"))
+    kinds = leaves.select("path", "value", F.schema_of_variant("value").alias("_kind"))
     # Whole numbers are told by value: 1.0 and 1e3 are integers too.
-    number = F.when(k.startswith("DECIMAL") | (k == "DOUBLE"), f.get(F.col("value"), "double"))
+    number = F.when(k.startswith("DECIMAL") | (k == "DOUBLE"), F.try_variant_get(F.col("value"), "$", "double"))
     numbers = kinds.select("path", "_kind", number.alias("_number"))
     n, null = F.col("_number"), k == "VOID"
     whole = (n == F.rint(n)) & (n >= INT_MIN) & (n < INT_END)
@@ -45,7 +44,7 @@ def _votes(decoded: DataFrame, depth: int | None) -> DataFrame:
         (null | (k == "BOOLEAN")).alias("_bool"),
         (null | (k == "BIGINT") | F.coalesce(whole, F.lit(False))).alias("_int"),
         (null | (k == "BIGINT") | n.isNotNull()).alias("_float"),
-        f.is_object_kind(k).alias("_object"),
+        k.startswith("OBJECT").alias("_object"),
     )
     return flags.groupBy("path").agg(
         F.bool_or("_null").alias("nullable"),

@@ -28,39 +28,30 @@ def with_leaves(
     for path, how in reads:
         hows.setdefault(path, set()).add(how)
     names = {p: {part: f"_{part}{i}" for part in "kotn"} for i, p in enumerate(hows)}
-    doc = F.col(DOC)
-
-    def col(p: str, part: str):
-        return F.col(names[p][part])
-
     keys = {p: tuple(p.split(".")) for p in hows}
     others = {p: o for p in hows if (o := f.other_spellings(p, DOC)) is not None}
     leaves = {
-        p: f.Leaf(
-            keys[p], doc, col(p, "o") if p in others else None, col(p, "k"), col(p, "t"), names[p]["n"]
-        )
-        for p in hows
+        p: f.Leaf(keys[p], DOC, n["o"] if p in others else None, n["k"], n["t"], n["n"]) for p, n in names.items()
     }
 
-    df = df.select("*", *[f.kind(f.key_at(doc, keys[p])).alias(names[p]["k"]) for p in hows])
-    is_leaf = {p: ~f.is_object_kind(col(p, "k")) for p in hows}
+    df = df.select("*", *[F.expr(f"{f.kind(f.key_at(DOC, keys[p]))} AS {names[p]['k']}") for p in hows])
     # Other spellings are looked at only where the nested one has no leaf.
-    found = {names[p]["o"]: F.when(is_leaf[p], None).otherwise(o) for p, o in others.items()}
-    kinds = {}
-    for p in hows:
-        k = F.when(is_leaf[p], col(p, "k"))
-        kinds[names[p]["k"]] = k.otherwise(f.kind(col(p, "o"))) if p in others else k
-    texts, numbers = {}, {}
+    found, kinds, texts, numbers = {}, {}, {}, {}
     for p, leaf in leaves.items():
+        n, is_leaf = names[p], f"NOT {f.is_object_kind(leaf.kind)}"
+        if p in others:
+            found[n["o"]] = f"CASE WHEN {is_leaf} THEN NULL ELSE {others[p]} END"
+        rest = f"ELSE {f.kind(n['o'])}" if p in others else ""
+        kinds[n["k"]] = f"CASE WHEN {is_leaf} THEN {leaf.kind} {rest} END"
         if hows[p] - {"present", "is_null", "variant"}:
-            texts[names[p]["t"]] = F.when(leaf.kind == "STRING", leaf.get("string"))
+            texts[n["t"]] = f"CASE WHEN {leaf.kind} = 'STRING' THEN {leaf.get('string')} END"
         if "double" in hows[p]:
-            number = F.when(f.is_number_kind(leaf.kind), leaf.get("double"))
-            numbers[names[p]["n"]] = number.otherwise(f.text_to_double(leaf.text))
+            numbers[n["n"]] = f"""CASE WHEN {f.is_number_kind(leaf.kind)} THEN {leaf.get("double")}
+                                       ELSE {f.text_to_double(leaf.text)} END"""
         elif "string" in hows[p]:
-            numbers[names[p]["n"]] = F.when(leaf.kind == "DOUBLE", leaf.get("double"))
+            numbers[n["n"]] = f"CASE WHEN {leaf.kind} = 'DOUBLE' THEN {leaf.get('double')} END"
     for step in (found, kinds, texts, numbers):
-        df = df.withColumns(step) if step else df
+        df = df.withColumns({name: F.expr(text) for name, text in step.items()}) if step else df
     return df, leaves
 
 
@@ -72,5 +63,5 @@ def with_fields(df: DataFrame, fields: Sequence[tuple[str, str, str]]) -> DataFr
     """
     found, leaves = with_leaves(df, [(path, how) for _, path, how in fields])
     return found.select(
-        *df.columns, *[f.read_as(leaves[path], how).alias(name) for name, path, how in fields]
+        *df.columns, *[F.expr(f.read_as(leaves[path], how)).alias(name) for name, path, how in fields]
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.functions import coerce as c
+from jsonflow.functions.fields import literal
 from jsonflow.operators.decode import DOC
 from jsonflow.operators.leaves import with_leaves
 from jsonflow.plans.spec import Field, quoted
@@ -36,21 +37,22 @@ def project(
     found, leaves = with_leaves(decoded.select(*keep, DOC), reads)
     dated = {m.path: f"_u{i}" for i, (m, ty) in enumerate(zip(mapping, targets)) if c.is_date(ty)}
     if dated:
-        found = found.withColumns({u: c.trimmed(leaves[p].text) for p, u in dated.items()})
+        found = found.withColumns({u: F.expr(c.trimmed(leaves[p].text)) for p, u in dated.items()})
 
     def value(m: Field, ty: c.TargetType):
         leaf = leaves[m.path]
         if c.is_date(ty):
-            leaf = replace(leaf, text=F.col(dated[m.path]))
-        return c.coerce(leaf, ty, epoch_numbers).alias(m.column)
+            leaf = replace(leaf, text=dated[m.path])
+        return F.expr(f"{c.coerce(leaf, ty, epoch_numbers)} AS {quoted(m.column)}")
 
     kinds = [leaf.kind for leaf in leaves.values()] if rejects else []
     typed = found.select(*keep, *kinds, *[value(m, ty) for m, ty in zip(mapping, targets)])
     if not rejects:
         return typed
-    columns = [F.col(quoted(m.column)) for m in mapping]
+    columns = [quoted(m.column) for m in mapping]
     reasons = [
-        F.concat(F.lit(m.column + ": "), c.reject_reason(col, leaves[m.path].kind, ty))
+        f"concat({literal(m.column + ': ')}, {c.reject_reason(col, leaves[m.path].kind, ty)})"
         for m, ty, col in zip(mapping, targets, columns)
     ]
-    return typed.select(*keep, *columns, F.array_compact(F.array(*reasons)).alias(REJECTS))
+    listed = f"array_compact(array({', '.join(reasons)})) AS {REJECTS}"
+    return typed.select(*keep, *columns, F.expr(listed))

@@ -518,16 +518,16 @@ def filter_sql_errors_whatif(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT event_id FROM events
-    WHERE (user_id + 3) * 2 - 1 > 40 AND value / 2 + 0.5 < 20 AND user_id % 7 <> 3 AND -user_id < -5
-      AND round(value) >= 3 AND abs(user_id - 60) < 50
+    WHERE (user_id + 3) * 2 - 1 > 4 AND value / 2 + 0.5 < 200 AND user_id % 7 <> 3 AND -user_id < -2
+      AND round(value) >= 1 AND abs(user_id - 60) < 500
       AND event_id % 6 IN (0, 1)
     """
 )
 def filter_arithmetic_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arithmetic, conversions and a flag in many spellings, read as a boolean."""
     spec = sql(
-        """(int(id) + 3) * 2 - 1 > 40 AND double(amount) / 2 + 0.5 < 20 AND bigint(id) % 7 <> 3 AND -int(id) < -5
-           AND round(double(amount)) >= 3 AND abs(try_subtract(int(id), 60)) < 50 AND flag AND string(int(id)) = id""",
+        """(int(id) + 3) * 2 - 1 > 4 AND double(amount) / 2 + 0.5 < 200 AND bigint(id) % 7 <> 3 AND -int(id) < -2
+           AND round(double(amount)) >= 1 AND abs(try_subtract(int(id), 60)) < 500 AND flag AND string(int(id)) = id""",
         id="id",
         amount="v",
         flag={"path": "flag", "as": "bool"},

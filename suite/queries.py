@@ -601,42 +601,10 @@ concat(
 """
 
 
-@query(
-    """
-    SELECT * FROM (VALUES
-      ('event.count', 'event_count', 'Int64', false),
-      ('event.none', 'event_none', 'Nullable(Bool)', true),
-      ('event.value', 'event_value', 'Float64', false),
-      ('flag', 'flag', 'Nullable(Bool)', true),
-      ('mixed', 'mixed', 'String', false),
-      ('props.k', 'props_k', 'Int64', false),
-      ('seen-by', 'seen_by', 'Int64', false),
-      ('tags', 'tags', 'String', false),
-      ('user.email', 'user_email', 'Nullable(String)', true),
-      ('user.id', 'user_id', 'Int64', false)
-    ) AS t("fieldPath", "column", "type", "nullable")
-    """
-)
-def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mapping proposed from a whole table: nulls, whole doubles, mixed kinds, absent keys."""
-    return infer.infer_mapping(decode(m.messages(spark, sf_dir, "events", [], INFER_MESSAGE)))
-
-
-@query(
-    """
-    SELECT 'event.type' AS path, count(*) AS values, false AS nullable, false AS is_int FROM events
-    UNION ALL SELECT 'value', count(*) FILTER (event_id % 5 <> 4), true, false FROM events
-    """
-)
-def infer_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts behind a proposal, where a key is absent from part of the messages."""
-    votes = infer.path_votes(decode(m.sparse_messages(spark, sf_dir)))
-    return votes.select("path", "values", "nullable", "is_int")
-
-
-@query(
-    """
-    WITH oldest AS (SELECT * FROM events ORDER BY ts, event_id LIMIT 200),
+def proposed(rows: str) -> str:
+    """The mapping that the messages of some events propose, told from the events themselves."""
+    return f"""
+    WITH oldest AS ({rows}),
     facts AS (SELECT bool_or(event_type = 'error') AS null_email, bool_or(event_type = 'view') AS seen,
                      bool_or(event_type = 'click') AS click, bool_or(event_type <> 'click') AS other,
                      bool_and(value = trunc(value)) AS whole FROM oldest),
@@ -654,7 +622,27 @@ def infer_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT p AS "fieldPath", regexp_replace(p, '[^A-Za-z0-9]', '_', 'g') AS "column",
            CASE WHEN n THEN 'Nullable(' || t || ')' ELSE t END AS "type", n AS "nullable" FROM fields
     """
+
+
+@query(proposed("SELECT * FROM events"))
+def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping proposed from a whole table: nulls, whole doubles, mixed kinds, absent keys."""
+    return infer.infer_mapping(decode(m.messages(spark, sf_dir, "events", [], INFER_MESSAGE)))
+
+
+@query(
+    """
+    SELECT 'event.type' AS path, count(*) AS values, false AS nullable, false AS is_int FROM events
+    UNION ALL SELECT 'value', count(*) FILTER (event_id % 5 <> 4), true, false FROM events
+    """
 )
+def infer_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts behind a proposal, where a key is absent from part of the messages."""
+    votes = infer.path_votes(decode(m.sparse_messages(spark, sf_dir)))
+    return votes.select("path", "values", "nullable", "is_int")
+
+
+@query(proposed("SELECT * FROM events ORDER BY ts, event_id LIMIT 200"))
 def infer_from_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mapping proposed from the 200 oldest messages."""
     raw = m.messages(spark, sf_dir, "events", ["ts", "event_id"], INFER_MESSAGE)

@@ -13,11 +13,17 @@ A null text has no lines and stays null; an empty text has one empty line. Rows
 are one document: what goes from a place in one of them goes from that place in all that have the
 chunk there. A row with a null id comes back unchanged and removes nothing. Columns that are
 neither id nor text are carried along as they are, whatever their names.
+
+Chunks miss most short repeats, as the chunk with a passage's first or last lines also holds foreign
+ones. With ``pieces=_windows`` every two neighbouring lines with text are compared instead (blank lines
+between them included), so that every repeated run of two lines or more goes whole, to its last line.
+A line goes if a pair of lines it is in occurs earlier in the corpus as it was given; so of a line
+that stands many times in a row one is left. Single repeated lines stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,28 +68,44 @@ def _chunks(text: str) -> list[tuple[int, int, str, int]]:
     return out
 
 
+def _windows(text: str) -> list[tuple[int, int, str, int]]:
+    """``first line, lines, text, hash`` from each line with text to the next one; they overlap."""
+    import xxhash
+
+    lines = text.split("\n")
+    solid = [i for i, x in enumerate(lines) if x.strip()]
+    out = []
+    for a, b in zip(solid, solid[1:]):
+        body = "\n".join(lines[a : b + 1])
+        out.append((a, b + 1 - a, body, xxhash.xxh3_64_intdigest(body) - (1 << 63)))
+    return out
+
+
+Pieces = Callable[[str], list[tuple[int, int, str, int]]]
+
+
 def _with_text(body: str) -> int:
     return sum(1 for x in body.split("\n") if x.strip())
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for first, lines, body, h in _chunks(text):
+            for first, lines, body, h in pieces(text):
                 if lines >= LEAST_LINES and _with_text(body) >= LEAST_LINES:
                     out.append((h, doc_id, first))
         cols = list(zip(*out)) if out else [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["hash", "doc_id", "line"])
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the chunks asked for: ``doc_id, text, wanted`` (lines where they start)."""
+def _bodies(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
+    """Texts of the pieces asked for: ``doc_id, text, wanted`` (lines where they start)."""
     for batch in batches:
         out = []
         for doc_id, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
             wanted = set(wanted)
-            out += [(h, doc_id, first, body) for first, _, body, h in _chunks(text) if first in wanted]
+            out += [(h, doc_id, first, body) for first, _, body, h in pieces(text) if first in wanted]
         cols = list(zip(*out)) if out else [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["hash", "doc_id", "line", "body"])
@@ -103,7 +125,7 @@ def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int64())], ["doc_id", "line"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -111,19 +133,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((None, 0, 0))
                 continue
             gone = set(gone or ())
-            chunks = _chunks(text)
-            left = [body for first, _, body, _ in chunks if first not in gone]
-            n = sum(lines for first, lines, _, _ in chunks if first in gone)
-            out.append(("\n".join(left), text.count("\n") + 1, n))
+            lines = text.split("\n")
+            cut = {i for first, n, _, _ in pieces(text) if first in gone for i in range(first, first + n)}
+            left = [x for i, x in enumerate(lines) if i not in cut]
+            out.append(("\n".join(left), len(lines), len(cut)))
         cols = list(zip(*out)) if out else [[]] * 3
         cut = [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))]
         yield pa.RecordBatch.from_arrays([batch.column(0), *cut, batch.column(3)], ["doc_id", "text", "n_lines", "n_removed", "row"])
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pieces: Pieces = _chunks) -> DataFrame:
     """``row`` (all other columns of ``docs``), ``doc_id``, ``text`` (what is left of it),
     ``n_lines`` and ``n_removed``; one row per row of ``docs``."""
-    keys = stored(texts_of(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_keys, "hash long, doc_id long, line long"))
+    keys = stored(texts_of(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(lambda b: _keys(b, pieces), "hash long, doc_id long, line long"))
     firsts = keys.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     # The part that each copy is dealt to; a first occurrence goes to all parts of its chunk.
     parts = F.ceil(F.col("n") / PART).cast("int")
@@ -136,7 +158,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # Both sides grow with the corpus: neither is to be broadcast, at any size.
     carried = stored(carried.hint("merge").join(wanted, F.col("doc_id") == F.col("asked_id"), "left").select("row", "doc_id", "text", "wanted"))
     candidates = carried.where("wanted IS NOT NULL")
-    bodies = candidates.select("doc_id", "text", "wanted").where("text IS NOT NULL").mapInArrow(_bodies, "hash long, doc_id long, line long, body string")
+    bodies = candidates.select("doc_id", "text", "wanted").where("text IS NOT NULL").mapInArrow(lambda b: _bodies(b, pieces), "hash long, doc_id long, line long, body string")
     found = bodies.hint("merge").join(asked, ["hash", "doc_id", "line"])
     number = F.pmod(F.xxhash64("doc_id", "line"), "parts").cast("int")
     to = F.when(F.col("lead"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(number))
@@ -147,7 +169,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     cut = candidates.hint("merge").join(gone, F.col("doc_id") == F.col("gone_id"), "left").select("doc_id", "text", "gone", "row")
     clean = carried.where("wanted IS NULL").select("row", "doc_id", "text", *_unchanged())
     kind = f"doc_id long, text string, n_lines long, n_removed long, row {carried.schema['row'].dataType.simpleString()}"
-    return cut.mapInArrow(_cut, kind).select("row", "doc_id", "text", "n_lines", "n_removed").union(clean)
+    return cut.mapInArrow(lambda b: _cut(b, pieces), kind).select("row", "doc_id", "text", "n_lines", "n_removed").union(clean)
 
 
 def _unchanged() -> list[Column]:

@@ -55,6 +55,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removals(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query()
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of two lines or more that occurred before."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.removals(docs, pieces=line_dedup._windows).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @query()
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of at most 2048 tokens."""

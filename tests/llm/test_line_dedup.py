@@ -75,3 +75,46 @@ def test_a_whole_copy_goes(make_docs):
 
 def test_empty_table(make_docs):
     assert ld.removals(make_docs("x").limit(0)).count() == 0
+
+
+def repeated_lines(docs):
+    """Lines of the runs of two lines with text, or more, that occur earlier, place by place."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs):
+        lines = text.split("\n")
+        solid = [i for i, x in enumerate(lines) if x.strip()]
+        gone = set()
+        for a, b in zip(solid, solid[1:]):
+            pair = tuple(lines[a : b + 1])
+            if pair in seen:
+                gone.update(range(a, b + 1))
+            seen.add(pair)
+        out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return out
+
+
+def test_every_repeated_run_goes(llm, tables):
+    want = repeated_lines([(d, t) for d, t, *_ in tables("documents")])
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in q.QUERIES["op4_line_runs"](llm, SF).collect()}
+    assert got == want
+    assert sum(n for *_, n in want.values()) > sum(n for *_, n in brute([(d, t) for d, t, *_ in tables("documents")]).values())
+
+
+def test_runs_of_any_length_go_whole(make_docs):
+    passages = ["\n".join(f"passage {n} line {i}" for i in range(n)) for n in range(1, 9)]
+    first = [f"own {n}\n{p}\nend {n}" for n, p in enumerate(passages)]
+    again = [f"other {n}\nforeign {n}\n{p}\nrest {n}" for n, p in enumerate(passages)]
+    blank = ["x one\n\n \nx two", "new\nx one\n\n \nx two\nmore"]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in ld.removals(make_docs(*first, *again, *blank), pieces=ld._windows).collect()}
+    assert all(got[n] == (t, 0) for n, t in enumerate(first))
+    assert got[8] == (again[0], 0)
+    assert [got[8 + n] for n in range(1, 8)] == [(f"other {n}\nforeign {n}\nrest {n}", n + 1) for n in range(1, 8)]
+    assert got[17] == ("new\nmore", 4)
+
+
+def test_hot_run_is_dealt_out(make_docs, monkeypatch):
+    monkeypatch.setattr(ld, "PART", 3)
+    passage = "\n".join(f"common line {i}" for i in range(30))
+    docs = [(i, f"own {i}\n{passage}\nend {i}") for i in range(40)]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in ld.removals(make_docs(*docs), pieces=ld._windows).collect()}
+    assert got[0] == (docs[0][1], 0) and all(got[i] == (f"own {i}\nend {i}", 30) for i in range(1, 40))

@@ -5,7 +5,8 @@
 * **Restoring.** Words with digits or signs inside, words with a letter thrice in a row, and runs of
   single characters are read as lattices: each character stands for itself, for the letters
   it may replace, or for nothing (a separator, a repetition). The Viterbi algorithm finds the likeliest readings
-  under the language model and the channel's costs. All other words stand as they are.
+  under the language model and the channel's costs, whatever their length. A run of single characters
+  counts as one word and as the words it is most likely made of. All other words stand as they are.
 * **Scores.** Stretches of characters that set toxic documents apart are selected on labelled
   documents outside the held-out fifth (at most ``TRAIN_ROWS``); a word weighs as much as its
   strongest stretch. A logistic regression over a document's sums gives the score. Labels, language,
@@ -36,8 +37,8 @@ STRETCHES, LEAST_DOCS, LEAST_ODDS, LEAST_G2 = 4000, 5, 1.2, 12.0
 SIZES = (4, 5, 6)
 READINGS = 4
 REMEMBERED = 200_000
-# Longer mixtures of letters and digits are keys and addresses, not disguised words.
-LONGEST = 30
+# Letters of a reading that are held as one piece, so that a word's cost grows with its length alone.
+PIECE = 64
 
 # Classes: 0 anything else, 1-26 a-z, then the small letters of Latin-1.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
@@ -54,6 +55,7 @@ STANDS_FOR = {
 }
 SEPARATORS = set(" .-_*~'`,:;/\\^")
 COST_SIGN, COST_SEPARATOR, COST_DROP, COST_REPEAT = 1.0, 0.3, 9.0, 0.3
+EDGE = " "
 
 
 # --- language model -----------------------------------------------------------------
@@ -110,19 +112,41 @@ def _options(word: str, i: int) -> list[tuple[str, float]]:
     return out
 
 
-def readings(word: str, model: np.ndarray, n: int = READINGS) -> list[str]:
-    """The likeliest restored words, best first: Viterbi over the lattice, ``n`` paths a state."""
-    states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
+def readings(word: str, model: np.ndarray, n: int = READINGS, split: bool = False) -> list[str]:
+    """The likeliest restored words, best first: Viterbi over the lattice, ``n`` paths a state.
+
+    With ``split``, a word edge may stand before any letter, and what is given back is the word as it
+    stands with blanks at the edges.
+    """
+    # A path is its score, the number of its pieces so far, and the letters after them.
+    pieces: dict[tuple[int, str], int] = {}
+    states: dict[tuple[int, int], list[tuple[float, int, str]]] = {(0, 0): [(0.0, 0, "")]}
     for i in range(len(word)):
-        after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        after: dict[tuple[int, int], list[tuple[float, int, str]]] = {}
         for letter, cost in _options(word, i):
             c = CLASS.get(letter, 0)
+            said = word[i] if split else letter
             for (a, b), paths in states.items():
                 to, gain = ((b, c), float(model[a, b, c]) - cost) if letter else ((a, b), -cost)
-                after.setdefault(to, []).extend((s + gain, t + letter) for s, t in paths)
+                after.setdefault(to, []).extend((s + gain, p, t + said) for s, p, t in paths)
+                if split and letter and b:
+                    gain = float(model[a, b, 0]) + float(model[b, 0, c]) - cost
+                    after.setdefault((0, c), []).extend((s + gain, p, t + EDGE + said) for s, p, t in paths)
         states = {k: sorted(set(v), reverse=True)[:n] for k, v in after.items()}
-    ended = [(s + float(model[a, b, 0]), t) for (a, b), paths in states.items() for s, t in paths if t]
-    return list(dict.fromkeys(t for _, t in sorted(ended, reverse=True)))[:n]
+        if i % PIECE == PIECE - 1:
+            states = {k: [(s, pieces.setdefault((p, t), len(pieces) + 1), "") for s, p, t in v] for k, v in states.items()}
+    before = {at: (p, t) for (p, t), at in pieces.items()}
+
+    def whole(p: int, t: str) -> str:
+        parts = [t]
+        while p:
+            p, t = before[p]
+            parts.append(t)
+        return "".join(reversed(parts))
+
+    ended = [(s + float(model[a, b, 0]), p, t) for (a, b), paths in states.items() for s, p, t in paths if p or t]
+    best = [text for text in (whole(p, t) for _, p, t in sorted(ended, reverse=True)) if text]
+    return list(dict.fromkeys(best))[:n]
 
 
 _EDGES = " .,;:!?\"'`()[]{}<>*$%&#|=~^-_/\\"
@@ -135,7 +159,7 @@ def disguised(word: str) -> bool:
     """Whether a lower-cased word without its edges is to be restored."""
     if word.isalpha():
         return _THRICE.search(word) is not None
-    return len(word) <= LONGEST and any(c.isalpha() for c in word) and sum(c in CLASS or c in STANDS_FOR or c in SEPARATORS for c in word) == len(word)
+    return any(c.isalpha() for c in word) and sum(c in CLASS or c in STANDS_FOR or c in SEPARATORS for c in word) == len(word)
 
 
 def restored(word: str, model: np.ndarray) -> list[str]:
@@ -154,6 +178,19 @@ def restored(word: str, model: np.ndarray) -> list[str]:
     return list(dict.fromkeys(found))
 
 
+def held_apart(text: str) -> list[str]:
+    """The runs of single characters, each without its blanks."""
+    return [m.group().replace(" ", "").replace("\t", "") for m in _APART.finditer(text)]
+
+
+def phrase(run: str, model: np.ndarray) -> list[str]:
+    """A run of single characters as one word, and as the words it most likely is, if several."""
+    low = run.lower()
+    found = readings(low, model, split=True)[:1] if any(c.isalpha() for c in low) else []
+    words = found[0].split(EDGE) if found else []
+    return [run, *words] if len(words) > 1 else [run]
+
+
 # --- features -----------------------------------------------------------------------
 
 
@@ -171,6 +208,7 @@ class Scorer:
     def __init__(self, weights: dict[str, float], model: np.ndarray) -> None:
         self.weights, self.model = weights, model
         self.known: dict[str, float] = {}
+        self.phrases: dict[str, list[str]] = {}
         self.longest = max((len(s) for s in weights), default=0)
 
     def _weigh(self, word: str) -> float:
@@ -188,8 +226,12 @@ class Scorer:
 
     def sums(self, text: str) -> tuple[float, float, float, float]:
         words = text.split()
-        for m in _APART.finditer(text):
-            words.append(m.group().replace(" ", "").replace("\t", ""))
+        for run in held_apart(text):
+            if run not in self.phrases:
+                if len(self.phrases) > REMEMBERED // 10:
+                    self.phrases.clear()
+                self.phrases[run] = phrase(run, self.model)
+            words += self.phrases[run]
         known = self.known
         found = list(map(known.get, words))
         if None in found:
@@ -211,7 +253,7 @@ def _labelled_stretches(batches: Iterator[pa.RecordBatch], model: np.ndarray) ->
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found: set[str] = set()
             words = set((text or "").split())
-            words.update(m.group().replace(" ", "").replace("\t", "") for m in _APART.finditer(text or ""))
+            words.update(w for run in held_apart(text or "") for w in phrase(run, model))
             for w in words:
                 if w not in known:
                     if len(known) > 20_000:

@@ -102,3 +102,42 @@ def test_without_labels_or_rows(llm, odd_docs):
     none = llm.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in t.judge(odd_docs, none).collect()} == {0.5}
     assert t.judge(odd_docs.limit(0), none).count() == 0
+
+
+LONG = ["s...t...u...p...i...d...i...o...t", "st" + "u" * 40 + "p1d", "y0uareast" + "-" * 30 + "up1d"]
+
+
+@pytest.mark.parametrize("word, meant", list(zip(LONG, ["stupidiot", "stupid", "youareastupid"])))
+def test_long_disguises_are_restored(language, word, meant):
+    assert meant in t.restored(word, language)
+
+
+def test_long_words_cost_no_more_a_letter(language):
+    import time
+
+    took = []
+    for n in (200, 20_000):
+        start = time.perf_counter()
+        (best, *_) = t.readings("m0r0nic" * n, language)
+        took.append((time.perf_counter() - start) / n)
+        assert best == "moronic" * n
+    assert took[1] < 5 * took[0]
+
+
+def test_runs_of_single_characters_are_split_into_words(language):
+    run = "y 0 u a r e t h e w 0 r t h l e s s m 0 r o n o f t h e h o u s e"
+    (joined,) = t.held_apart(run)
+    assert len(joined) > 20 and t.phrase(joined, language)[0] == joined
+    assert {"are", "the", "m0ron", "of"} <= set(t.phrase(joined, language))
+    assert any("worthless" in w for w in t.restored(joined, language))
+
+
+def test_long_disguises_score_as_plain_ones(llm, make_docs):
+    docs, labels = (llm.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    model = t.learn(docs, labels)
+    prose = "the ones that were here and the other " * 10
+    long = " ".join("...".join(w) + "..." * 10 + "1" for w in ("idiot", "moron", "scum", "loser"))
+    apart = " ".join("1d10tandm0ronandscumandloserandidiot")
+    texts = [prose, f"{prose} {long}", f"{prose} {apart}"]
+    got = {r["doc_id"]: r["score"] for r in model.score(make_docs(*texts)).collect()}
+    assert got[0] < 0.5 <= min(got[1], got[2]), got

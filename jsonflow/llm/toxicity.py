@@ -7,6 +7,8 @@
   it may replace, or for nothing (a separator, a repetition). The Viterbi algorithm finds the likeliest readings
   under the language model and the channel's costs, whatever their length. A run of single characters
   counts as one word and as the words it is most likely made of. All other words stand as they are.
+  Texts are read in NFC; signs of any script are edges of words, and a word with other signs inside (a dash,
+  ``#``, an ellipsis) is read as a whole without them and part by part.
 * **Scores.** Stretches of characters that set toxic documents apart are selected on labelled
   documents outside the held-out fifth (at most ``TRAIN_ROWS``); a word weighs as much as its
   strongest stretch. A logistic regression over a document's sums gives the score. Labels, language,
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -65,7 +68,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(K**3, dtype=np.int64)
     for batch in batches:
         # Two blanks between texts keep trigrams from crossing them.
-        joined = "  ".join(t for t in batch.column(0).to_pylist() if t)
+        joined = "  ".join(composed(t) for t in batch.column(0).to_pylist() if t)
         for at in range(0, len(joined), 1 << 20):
             part = f" {joined[max(0, at - 2) : at + (1 << 20)].lower()} " if not at else joined[at - 2 : at + (1 << 20)].lower()
             c = _TABLE[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
@@ -99,10 +102,28 @@ class LanguageModel:
 # --- channel ------------------------------------------------------------------------
 
 
+def _is_letter(c: str) -> bool:
+    """Letters of any script, and the marks that scripts write them with."""
+    return c.isalpha() or (c > "\x7f" and unicodedata.category(c)[0] == "M")
+
+
+def _is_sign(c: str) -> bool:
+    return c > "\x7f" and unicodedata.category(c)[0] in "PSZC"
+
+
+# What is not seen, and accents left alone after letters and accents were put together.
+_UNSEEN = re.compile("[\u00ad\u0300-\u036f\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
+
+
+def composed(text: str) -> str:
+    """The text in NFC, without unseen characters and accents that no letter takes."""
+    return text if text.isascii() else _UNSEEN.sub("", unicodedata.normalize("NFC", text))
+
+
 def _options(word: str, i: int) -> list[tuple[str, float]]:
     """Letters that the character may stand for, and their costs; empty for nothing."""
     c = word[i]
-    if c in CLASS:
+    if c in CLASS or _is_letter(c):
         out = [(c, 0.0)]
         if i and word[i - 1] == c:
             out.append(("", COST_REPEAT))
@@ -155,27 +176,54 @@ _THRICE = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 
 
-def disguised(word: str) -> bool:
-    """Whether a lower-cased word without its edges is to be restored."""
-    if word.isalpha():
-        return _THRICE.search(word) is not None
-    return any(c.isalpha() for c in word) and sum(c in CLASS or c in STANDS_FOR or c in SEPARATORS for c in word) == len(word)
+def _spelled(word: str) -> bool:
+    """Letters only, none of them thrice in a row."""
+    return (word.isalpha() or (not word.isascii() and all(map(_is_letter, word)))) and not _THRICE.search(word)
 
 
-def restored(word: str, model: np.ndarray) -> list[str]:
-    """What a word of a text may say; the first is the likeliest."""
-    low = word.lower()
+def disguised(word: str) -> bool:
+    """Whether a lower-cased word without its edges is to be restored."""
+    return not _spelled(word) and any(map(str.isalpha, word))
+
+
+def _parts(word: str) -> list[str]:
+    """What stands between signs that are neither letters in disguise nor separators."""
+    kept = (c if _is_letter(c) or c in STANDS_FOR or c in SEPARATORS else " " for c in word)
+    return [p for p in (p.strip(_EDGES) for p in "".join(kept).split(" ")) if p]
+
+
+def forms(word: str, model: np.ndarray) -> list[list[str]]:
+    """What a word of a text may say, likeliest first; one list for the whole, and one for each of
+    the parts that foreign signs cut it into."""
+    low = composed(word.lower())
+    if not low.isascii():
+        a, b = 0, len(low)
+        while a < b and _is_sign(low[a]) and low[a] not in STANDS_FOR:
+            a += 1
+        while a < b and _is_sign(low[b - 1]) and low[b - 1] not in STANDS_FOR:
+            b -= 1
+        low = low[a:b]
     core = low.strip(_EDGES)
-    if core.isalpha() and not _THRICE.search(core) and low[0] not in STANDS_FOR:
-        return [core]
+    while core and (_is_sign(core[0]) or _is_sign(core[-1])):
+        core = core[1:] if _is_sign(core[0]) else core[:-1]
+        core = core.strip(_EDGES)
+    if core and _spelled(core) and low[0] not in STANDS_FOR:
+        return [[core]]
     found = []
     # Signs at the edges may be letters too: both readings are tried.
     for w in dict.fromkeys((core, low.strip(" .,;:?\"'"))):
-        if w and w.isalpha() and not _THRICE.search(w):
+        if w and _spelled(w):
             found.append(w)
         elif w and disguised(w):
             found += readings(w, model)
-    return list(dict.fromkeys(found))
+    parts = _parts(core)
+    cut = [[p] if _spelled(p) else readings(p, model) for p in parts if any(map(str.isalpha, p))] if len(parts) > 1 else []
+    return [x for x in ([*dict.fromkeys(found)], *cut) if x]
+
+
+def restored(word: str, model: np.ndarray) -> list[str]:
+    """What a word of a text may say; the first is the likeliest."""
+    return list(dict.fromkeys(w for found in forms(word, model) for w in found))
 
 
 def held_apart(text: str) -> list[str]:
@@ -225,6 +273,7 @@ class Scorer:
         return best
 
     def sums(self, text: str) -> tuple[float, float, float, float]:
+        text = composed(text)
         words = text.split()
         for run in held_apart(text):
             if run not in self.phrases:
@@ -252,13 +301,14 @@ def _labelled_stretches(batches: Iterator[pa.RecordBatch], model: np.ndarray) ->
         seen = Counter(), Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found: set[str] = set()
-            words = set((text or "").split())
-            words.update(w for run in held_apart(text or "") for w in phrase(run, model))
+            text = composed(text or "")
+            words = set(text.split())
+            words.update(w for run in held_apart(text) for w in phrase(run, model))
             for w in words:
                 if w not in known:
                     if len(known) > 20_000:
                         known.clear()
-                    known[w] = frozenset(s for r in restored(w, model)[:1] for s in stretches(r))
+                    known[w] = frozenset(s for found in forms(w, model) for s in stretches(found[0]))
                 found |= known[w]
             seen[1 if label else 0].update(found)
         names = list(seen[0].keys() | seen[1].keys())

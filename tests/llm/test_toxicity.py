@@ -141,3 +141,26 @@ def test_long_disguises_score_as_plain_ones(llm, make_docs):
     texts = [prose, f"{prose} {long}", f"{prose} {apart}"]
     got = {r["doc_id"]: r["score"] for r in model.score(make_docs(*texts)).collect()}
     assert got[0] < 0.5 <= min(got[1], got[2]), got
+
+
+ODD_SIGNS = [
+    ("“stupid”", "stupid"), ("stupid…", "stupid"), ("stupid—he", "stupid"), ("he…stupid", "stupid"), ("s#t#u#p#i#d", "stupid"),
+    ("s—t—u—p—i—d", "stupid"), ("&stup1d%or", "stupid"), ("café", "café"), ("s̶t̶u̶p̶i̶d̶", "stupid"),
+    ("stu​pid", "stupid"), ("ид-иот", "идиот"), ("白痴，真", "白痴"), ("«идиот»", "идиот"),
+    ("głupi3c", "głupiec"), ("मूर्ख", "मूर्ख"), ("f#ck", "fck"), ("wé#", "wé"),
+]
+
+
+@pytest.mark.parametrize("word, meant", ODD_SIGNS)
+def test_words_with_any_sign_are_read(language, word, meant):
+    assert meant in t.restored(word, language)
+
+
+def test_signs_do_not_hide_words(llm, make_docs):
+    docs, labels = (llm.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    model = t.learn(docs, labels)
+    prose = "the ones that were here and the other " * 10
+    words = ("idiot", "moron", "scum", "loser")
+    texts = [prose, *(prose + " ".join(f.format(w) for w in words) for f in ("“{}”", "{}…", "he—{}", "&{}#1"))]
+    got = {r["doc_id"]: r["score"] for r in model.score(make_docs(*texts)).collect()}
+    assert got[0] < 0.5 <= min(got[i] for i in range(1, 5)), got

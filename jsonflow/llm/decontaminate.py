@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jsonflow.llm.common import stored, texts_of
+from jsonflow.llm.common import as_row, from_row, stored, texts_of
 
-RATE = 0.07
+RATE = 0.085
 LEAST = 40
 BLOCK = 1_000_000
 
@@ -175,7 +175,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFr
     return found if found is not None else texts.sparkSession.createDataFrame([], schema)
 
 
+def _clean_rows(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], rate: float) -> Iterator[pa.RecordBatch]:
+    """The rows (``row, text``) that hold none of the items."""
+    finder = Finder(items, rate)
+    for batch in batches:
+        spaced = (plain(t) if t else "" for t in batch.column(1).to_pylist())
+        yield batch.filter(pa.array([not (t and finder.find(t)) for t in spaced], pa.bool_()))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    bad = stored(matches(docs, benchmark, rate).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad_doc_id")).distinct())
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_bad_doc_id"), "left_anti")
+    """``docs`` without the documents that hold a benchmark item.
+
+    An id that holds one goes with all of its rows; a row with a null id is judged by its own text.
+    """
+    id_col = docs["doc_id"].cast("long")
+    bad = stored(matches(docs.where(id_col.isNotNull()), benchmark, rate).select(F.col("doc_id").alias("_bad_doc_id")).distinct())
+    left = docs.where(id_col.isNotNull()).join(bad, id_col == F.col("_bad_doc_id"), "left_anti")
+    nameless = docs.where(id_col.isNull()).select(as_row(docs), F.col("text").cast("string").alias("text"))
+    kind = f"row {nameless.schema['row'].dataType.simpleString()}, text string"
+    for block in item_blocks(benchmark):
+        nameless = nameless.mapInArrow(lambda b, items=block: _clean_rows(b, items, rate), kind)
+    return left.union(from_row(nameless, docs))

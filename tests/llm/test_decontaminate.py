@@ -95,3 +95,18 @@ def test_empty_tables(llm, make_docs):
     assert d.matches(docs.limit(0), items).count() == 0
     assert d.matches(docs, items.limit(0)).count() == 0
     assert d.decontaminate(docs, items.limit(0)).count() == 1
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(llm, make_docs):
+    items = llm.createDataFrame([(1, ITEM), (2, "one")], "item_id long, text string")
+    docs = make_docs((None, ITEM), (None, "clean"), (None, "only one"), (None, None), (4, ITEM), (5, "clean too"))
+    left = d.decontaminate(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r["text"] or "") for r in left.collect()) == ["", "clean", "clean too"]
+
+
+def test_two_words_replaced_are_found():
+    """An item of 17 words with two of them replaced by others."""
+    item = "the quick answer to this question was given by the second speaker at the annual meeting in town"
+    copy = item.replace("quick", "short").replace("given", "taken")
+    assert [x[0] for x in d.Finder([(7, item)], d.RATE).find(f" before {copy} after ")] == [7]

@@ -37,7 +37,6 @@ RULES = [
 JUNK_WORDS = ("ads", "adult", "bet", "bets", "casino", "cheap", "farm", "free", "pills", "porn", "spam", "track", "win", "xxx")
 JUNK_SHARE = 0.01
 SMOOTHING = 1.0
-LONGEST = 20
 
 
 def host_of(url: Column) -> Column:
@@ -68,7 +67,7 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``word, n`` of all words of the pages' texts, tags left out."""
     text = F.regexp_replace(F.col(html_col), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;", " ")
     words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    counted = pages.select(F.explode(words).alias("word")).where(f"word <> '' AND char_length(word) <= {LONGEST}")
+    counted = pages.select(F.explode(words).alias("word")).where("word <> ''")
     return counted.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -77,7 +76,7 @@ def best_split(name: str, counts: dict[str, int], total: float) -> list[str]:
     best: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(name) + 1):
         options = []
-        for start in range(max(0, end - LONGEST), end):
+        for start in range(end):
             n, size = counts.get(name[start:end], 0), end - start
             # An unknown word is ten times less likely with each letter.
             p = math.log(n / total) if n else -math.log(total) - size * math.log(10.0)
@@ -103,11 +102,12 @@ def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``name, words`` for distinct names, split by the counts of ``word, n``."""
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
     size = F.char_length("name")
-    starts = F.sequence(F.lit(1), size)
-    parts = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - i + 1)), lambda n: F.substring("name", i, n))))
-    asked = names.select("name", F.explode(F.array_distinct(parts)).alias("part"))
+    # Two generators in a row, so that a long name's stretches are never held as one list.
+    starts = names.select("name", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+    asked = starts.select("name", "at", F.explode(F.sequence(F.lit(1), size - F.col("at") + 1)).alias("n_chars"))
+    asked = asked.select("name", F.expr("substring(name, at, n_chars)").alias("part"))
     known = asked.join(counts.withColumnRenamed("word", "part"), "part", "left")
-    gathered = known.groupBy("name").agg(F.collect_list(F.struct("part", "n")).alias("known"))
+    gathered = known.groupBy("name").agg(F.collect_set(F.when(F.col("n").isNotNull(), F.struct("part", "n"))).alias("known"))
     return gathered.mapInArrow(lambda b: _split(b, total), "name string, words array<string>")
 
 

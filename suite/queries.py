@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jsonflow.operators import dedup, flatten, infer, resolve, runlog, sample
@@ -714,8 +714,11 @@ def infer_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = """
     concat('{"k', user_id % 40, CASE WHEN user_id % 2 = 0 THEN '-a":1' ELSE '":{"b":1}' END, '}')
     """
-    paths = [r["fieldPath"] for r in infer.infer_mapping(decode(m.messages(spark, sf_dir, "events", [], message))).collect()]
-    return spark.createDataFrame(list(enumerate(paths, 1)), "position bigint, fieldPath string")
+    proposal = infer.infer_mapping(decode(m.messages(spark, sf_dir, "events", [], message)))
+    # Numbered as they come, not sorted anew.
+    placed = proposal.select("fieldPath", F.monotonically_increasing_id().alias("place"))
+    position = F.row_number().over(Window.orderBy("place")).cast("bigint")
+    return placed.select(position.alias("position"), "fieldPath")
 
 
 @query("SELECT 0 AS paths, count(*) AS messages FROM events WHERE value < -1")

@@ -112,3 +112,13 @@ def test_longest_rule_wins(llm):
     name, verdict = u.decide(F.col("host"), F.col("path"), rules)
     rows = urls.select(name.alias("rule"), verdict.alias("verdict")).collect()
     assert [tuple(r) for r in rows] == [("com/a", "block"), ("b.com/a", "allow"), ("com/", "allow"), (None, None)]
+
+
+def test_long_compounds_are_words(llm):
+    long = "donaudampfschifffahrtsgesellschaft"
+    pages = llm.createDataFrame([(1, f"<p>{long} {long} die</p>")], "page_id long, html string")
+    counts = u.word_counts(pages)
+    assert {r["word"]: r["n"] for r in counts.collect()} == {long: 2, "die": 1}
+    names = llm.createDataFrame([(f"die{long}",), ("q" * 30,)], "name string")
+    got = {r["name"]: r["words"] for r in u.segment(names, counts).collect()}
+    assert got == {f"die{long}": ["die", long], "q" * 30: ["q" * 30]}

@@ -177,12 +177,12 @@ def _unchanged() -> list[Column]:
     return [F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed")]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """``docs`` with its columns, its text without the chunks that occurred before.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, pieces: Pieces = _chunks) -> DataFrame:
+    """``docs`` with its columns, its text without the pieces that occurred before.
 
     A document of which nothing but blanks is left, though something went, goes as a whole.
     ``length_col`` is set to the characters of what is left.
     """
-    left = removals(docs, id_col, text_col).where(r"n_removed = 0 OR text RLIKE '[^\\s]'")
+    left = removals(docs, id_col, text_col, pieces).where(r"n_removed = 0 OR text RLIKE '[^\\s]'")
     changed = {text_col: F.col("text")} | ({length_col: F.char_length("text").cast("long")} if length_col else {})
     return from_row(left, docs, **changed)

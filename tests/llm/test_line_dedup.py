@@ -118,3 +118,9 @@ def test_hot_run_is_dealt_out(make_docs, monkeypatch):
     docs = [(i, f"own {i}\n{passage}\nend {i}") for i in range(40)]
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in ld.removals(make_docs(*docs), pieces=ld._windows).collect()}
     assert got[0] == (docs[0][1], 0) and all(got[i] == (f"own {i}\nend {i}", 30) for i in range(1, 40))
+
+
+def test_documents_without_repeated_runs(make_docs):
+    docs = make_docs("own\none line\ntwo line\nend", "other\none line\ntwo line\nrest", "one line\ntwo line")
+    out = ld.dedup_lines(docs, length_col="n_chars", pieces=ld._windows)
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()} == {0: ("own\none line\ntwo line\nend", 25), 1: ("other\nrest", 10)}

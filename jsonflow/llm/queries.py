@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import attention, decontaminate, line_dedup, minhash, packing, phrases, quality_rules, toxicity, urls, warc
+from jsonflow.llm import attention, decontaminate, line_dedup, minhash, packing, phrases, quality_rules, spellings, toxicity, urls, warc
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -107,3 +107,9 @@ def op9_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the strings of 50 bytes that start in an earlier one."""
     removed = phrases.remove_repeats(table(spark, sf_dir, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query(spellings.sql_check())
+def op11_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its form, its root and its near words."""
+    return spellings.group_spellings(table(spark, sf_dir, "documents"))

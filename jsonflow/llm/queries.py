@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonflow.llm import alignment, attention, decontaminate, line_dedup, minhash, packing, phrases, quality_rules, spellings, toxicity, urls, warc
+from jsonflow.llm import alignment, attention, decontaminate, licenses, line_dedup, minhash, packing, phrases, quality_rules, spellings, toxicity, urls, warc
 from jsonflow.llm.common import held_out, ready, table
 
 
@@ -120,3 +120,9 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens of two kinds, aligned, with the corpus-wide counts of its links."""
     made = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(licenses.sql_check())
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses that its notices name."""
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import jsonflow.llm.queries as q
+from jsonflow.llm import licenses as li
+from tests.llm.conftest import ODD_TEXTS, SF
+from tests.oracle import compare, connect
+
+LOWERED = str.maketrans(li.UPPER, li.LOWER)
+MIT = next(text for label, text in li.TEMPLATES if label == "mit" and len(text) > 300)
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWERED))
+
+
+def brute_base(text):
+    w = words(text)
+    places = [(i, name) for phrase, name in li.BASE for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in places]
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({name for _, name in places}))
+
+
+def check_base(docs):
+    texts = sorted(((r["doc_id"], brute_base(r["text"])) for r in docs.select("doc_id", "text").collect()), key=repr)
+    got = li.scan(docs).collect()
+    assert sorted(((r["doc_id"], tuple(r)[1:6]) for r in got), key=repr) == texts
+    assert all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in got)
+    return {r["doc_id"]: r for r in got}
+
+
+def test_query_matches_its_sql(llm):
+    assert compare(llm, connect(SF), "op13", q.QUERIES["op13_licenses"], q.ORACLES["op13_licenses"], SF) is None
+
+
+def test_odd_documents(odd_docs):
+    check_base(odd_docs)
+    assert li.scan(odd_docs).count() == len(ODD_TEXTS) + 3
+
+
+def test_base_phrases(make_docs):
+    rows = check_base(
+        make_docs(
+            "CC BY", "cc, by cc/BY", "ccby", "by cc", "all rights\nreserved. All rights reserved", "All rights, we reserved", "ALL_RIGHTS-RESERVED",
+            "GNU General Public License", "général public license", "general public licenſe", "all rights reserveKd", "cc", "KC by CC by",
+        )
+    )
+    assert rows[1]["n_base"] == 2 and rows[4]["base_labels"] == "reserved" and rows[6]["n_base"] == 1
+
+
+def edited(text, every):
+    w = text.split()
+    return " ".join("changed" if i % every == every - 1 else x for i, x in enumerate(w))
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (MIT, "mit"),
+        ("prose before it " * 50 + MIT.upper().replace(" ", "\n * ") + " and after it" * 50, "mit"),
+        (edited(MIT, 20), "mit"),
+        (MIT[: len(MIT) // 2] + " with two more words " + MIT[len(MIT) // 2 :], "mit"),
+        (MIT[: len(MIT) // 2], ""),
+        (edited(MIT, 3), ""),
+        (" ".join(sorted(MIT.split())), ""),
+        ("Released under the MIT License. " * 400, "mit"),
+        ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+        ("Licensed under the Apache License, Version 2.0. All rights reserved", "apache-2.0,reserved"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-3.0"),
+        ("This is licensed under the terms of the owner and released under the", ""),
+    ],
+)
+def test_notices(make_docs, text, labels):
+    (row,) = li.scan(make_docs(text)).collect()
+    assert row["labels"] == labels
+    assert (row["score"] >= li.LEAST) == bool(set(labels.split(",")) - {"", row["base_labels"]})
+
+
+def test_spans_tell_where(make_docs):
+    docs = make_docs("x " * 7 + MIT + " y" * 5 + " " + MIT)
+    hits = li.stored(li._hits(li.texts_of(docs), li.template_grams(docs.sparkSession), li.K))
+    sizes = docs.sparkSession.createDataFrame([(i, label, words(t), len(words(t))) for i, (label, t) in enumerate(li.TEMPLATES)], "template int, label string, words array<string>, size int")
+    found = li.spans(hits, sizes).where("score = 1 AND n > 50").sort("start").collect()
+    size = len(words(MIT))
+    assert [(r["start"], r["n"], r["votes"]) for r in found] == [(7, size, size - 2), (7 + size + 5, size, size - 2)]
+    # Of each run of hits one row alone carries words.
+    assert hits.where("follow IS NOT NULL").count() < hits.where("pos >= 0").count() / 4
+
+
+def test_templates_in_blocks(make_docs, monkeypatch):
+    docs = make_docs(*[text for _, text in li.TEMPLATES], None, "nothing here")
+    whole = sorted(map(tuple, li.scan(docs).collect()))
+    monkeypatch.setattr(li, "TEMPLATE_GRAMS", 50)
+    assert len(li._blocks(li.TEMPLATES, li.K)) > 5
+    assert sorted(map(tuple, li.scan(docs).collect())) == whole
+    assert all(label in row[6].split(",") for row, (label, _) in zip(whole, li.TEMPLATES))
+
+
+def test_no_python_in_the_plan(make_docs):
+    plan = li.scan(make_docs("x"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_empty_table(make_docs):
+    assert li.scan(make_docs("x").limit(0)).count() == 0

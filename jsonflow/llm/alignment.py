@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 
 from jsonflow.llm.common import stored, texts_of
 
-# Bytes of text and documents in a block; bits of a token id in a pair and of a document's number.
-BLOCK, DOCS = 8 << 20, 1 << 13
+# Characters of text and documents in a block, and characters aligned at a time; bits of a token id in
+# a pair and of a document's number.
+BLOCK, DOCS, PART = 8 << 20, 1 << 13, 1 << 19
 ID_BITS, DOC_BITS = 20, 13
 # Fixed value: how a byte-level BPE parts a text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -88,14 +89,14 @@ def byte_level(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
     return lambda text: library.encode(text, add_special_tokens=False).ids, tokens
 
 
-def pieces(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-    """Encoder of texts and bytes of every id of a sentencepiece model."""
+def pieces(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
+    """Encoder and bytes of every id of a sentencepiece model."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     tokens = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-    return lambda texts: model.encode(texts, num_threads=1), tokens
+    return model.encode, tokens
 
 
 class Aligner:
@@ -124,22 +125,20 @@ class Aligner:
 
     def tokens(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both kinds for each text; none where either does not give the bytes back."""
-        some = self.encode_b([t for t in texts if t])
-        none, at = np.empty(0, dtype=np.int64), 0
+        none = np.empty(0, dtype=np.int64)
         for text in texts:
             if not text:
                 yield none, none
                 continue
-            b, at = some[at], at + 1
-            a, want = self.encode_a(" " + text), (" " + text).encode()
+            a, b, want = self.encode_a(" " + text), self.encode_b(text), (" " + text).encode()
             if b"".join(map(self.a_bytes.__getitem__, a)) == want == b"".join(map(self.b_bytes.__getitem__, b)):
                 yield np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
             else:
                 yield none, none
 
 
-class Block:
-    """The alignment of documents laid end to end."""
+class Part:
+    """The alignment of a few documents laid end to end."""
 
     def __init__(self, aligner: Aligner, tokens: list[tuple[np.ndarray, np.ndarray]]) -> None:
         self.aligner, self.n_docs = aligner, len(tokens)
@@ -192,16 +191,20 @@ class Block:
             lo = hi
         return out
 
-    def postings(self) -> pa.Table:
-        """``pair, plane, n, bits``: the documents of each pair (plane 0) and its multiplicity planes (from 1 on)."""
-        keys = np.sort(self.pair << DOC_BITS | self.doc)
-        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, dtype=np.int64)
-        more = np.diff(np.r_[new, len(keys)]) - 1
-        keys = keys[new]
-        planes = [_bitmaps(keys, 0, self.n_docs)]
-        for j in range(int(more.max(initial=0)).bit_length()):
-            planes.append(_bitmaps(keys[(more >> j & 1).astype(bool)], j + 1, self.n_docs))
-        return pa.concat_tables(planes)
+
+def postings(keys: np.ndarray, n_docs: int) -> pa.Table:
+    """``pair, plane, n, bits``: the documents of each pair (plane 0) and its multiplicity planes (from 1 on).
+
+    ``keys`` holds pair and document of every link of a block.
+    """
+    keys.sort()
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, dtype=np.int64)
+    more = np.diff(np.r_[new, len(keys)]) - 1
+    keys = keys[new]
+    planes = [_bitmaps(keys, 0, n_docs)]
+    for j in range(int(more.max(initial=0)).bit_length()):
+        planes.append(_bitmaps(keys[(more >> j & 1).astype(bool)], j + 1, n_docs))
+    return pa.concat_tables(planes)
 
 
 def _bitmaps(keys: np.ndarray, plane: int, n_docs: int) -> pa.Table:
@@ -247,32 +250,51 @@ def _blocks(batches: Iterator[pa.RecordBatch], paths: tuple[str, str], limit: in
     from pyspark import TaskContext
 
     aligner, number = Aligner.of(*paths), TaskContext.get().partitionId() << 32
+    # Documents whose tokens wait to be aligned, and of the block so far facts and keys of links.
     ids: list = []
     tokens: list = []
-    size = 0
+    facts: list[pa.Table] = []
+    keys: list[np.ndarray] = []
+    waiting = size = n_docs = 0
+
+    def align_part() -> None:
+        nonlocal waiting, n_docs
+        if not ids:
+            return
+        part = Part(aligner, tokens)
+        ordinal = pa.array(range(n_docs, n_docs + len(ids)), pa.int32())
+        told = [pa.array(ids, pa.int64()), ordinal, part.n_a, part.n_b, part.n_groups, part.n_links, pa.array(part.digests, pa.string())]
+        facts.append(pa.table(told, names=_FACTS))
+        keys.append(part.pair << DOC_BITS | (part.doc + n_docs))
+        n_docs += len(ids)
+        ids.clear()
+        tokens.clear()
+        waiting = 0
 
     def written() -> Iterator[pa.RecordBatch]:
-        block = Block(aligner, tokens)
-        facts = {
-            "doc_id": pa.array(ids, pa.int64()), "ordinal": pa.array(range(len(ids)), pa.int32()), "n_a": block.n_a, "n_b": block.n_b,
-            "n_groups": block.n_groups, "n_links": block.n_links, "groups_sha256": pa.array(block.digests, pa.string()),
-        }
-        for part in (pa.table(facts), block.postings()):
+        nonlocal size, n_docs, number
+        align_part()
+        links = np.concatenate(keys)
+        keys.clear()
+        for part in (pa.concat_tables(facts), postings(links, n_docs)):
             cols = [part[c] if c in part.column_names else pa.nulls(part.num_rows, _TYPES.get(c, pa.int64())) for c in _ROW[1:]]
             whole = pa.table([pa.array(np.full(part.num_rows, number)), *cols], names=_ROW)
             yield from whole.cast(pa.schema([(c, _TYPES.get(c, pa.int64())) for c in _ROW])).to_batches(max_chunksize=50_000)
+        facts.clear()
+        size, n_docs, number = 0, 0, number + 1
 
     for batch in batches:
         texts = batch.column(1).to_pylist()
         for doc_id, text, pair in zip(batch.column(0).to_pylist(), texts, aligner.tokens(texts)):
             more = len(text or "")
-            if ids and (size + more > limit or len(ids) == most):
+            if n_docs + len(ids) and (size + more > limit or n_docs + len(ids) == most):
                 yield from written()
-                ids, tokens, size, number = [], [], 0, number + 1
+            elif waiting + more > PART:
+                align_part()
             ids.append(doc_id)
             tokens.append(pair)
-            size += more
-    if ids:
+            size, waiting = size + more, waiting + more
+    if n_docs + len(ids):
         yield from written()
 
 

@@ -228,6 +228,25 @@ def flatten_hostile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("kind", "size").agg(F.count("*").alias("n"), F.sum("id").alias("total"))
 
 
+@query(
+    """
+    SELECT 'a.b.c.d{"e.k' || event_id || '.' || leaf AS path, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS total
+    FROM events, (VALUES ('id'), ('o.id'), ('l')) AS v(leaf) GROUP BY 1
+    """
+)
+def flatten_wide_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of up to 4,000 objects beside each other at level six, with braces and quotes in keys, texts and lists."""
+    events = m.table(spark, sf_dir, "events")
+    member = F.expr(
+        """concat('"k', event_id, '":{"id":', user_id, ',"o":{"id":', user_id, ',"e":{}},"l":[', user_id, ',"}{","\\\\\\"{",{"x":{"y":{}}}]}')"""
+    )
+    wide = events.groupBy(F.floor(F.col("event_id") / 4000)).agg(F.array_join(F.collect_list(member), ",").alias("members"))
+    value = F.concat(F.lit('{"a":{"b":{"c":{"d{\\"e":{'), "members", F.lit("}}}}}"))
+    leaves = flatten.flatten(decode(wide.select(value.alias("value"))))
+    whole, first = F.try_variant_get("value", "$", "bigint"), F.try_variant_get("value", "$[0]", "bigint")
+    return leaves.groupBy("path").agg(F.count("*").alias("n"), F.sum(F.coalesce(whole, first)).alias("total"))
+
+
 @query(
     """
     SELECT CASE WHEN event_id % 3 = 0 THEN 'l1.l2.l3.l4.l5.l6.l7.l8.l9.l10.l11.id'

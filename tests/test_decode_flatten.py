@@ -107,3 +107,33 @@ def test_flatten_agrees_with_a_plain_walk(texts):
     rows = flatten(decode(texts(*map(json.dumps, docs)), keep=["id"]), keep=["id"])
     got = sorted((r.id, r.path, r.t) for r in rows.select("id", "path", F.to_json("value").alias("t")).collect())
     assert got == want
+
+
+@pytest.mark.parametrize(
+    "text, levels",
+    [
+        ("1", 0), ("[]", 0), ("{}", 1), ('{"a":{"b":{}},"c":{}}', 3), ('{"a":[{"b":{"c":{}}}],"d":{}}', 2), ('[{"a":{}}]', 0),
+        (r'{"{\"{":"}\\"}', 1), (r'{"a\\":{"b\\\"{":{}}}', 3), (r'{"a":"\\\\","b":{"c":"\\\"}{"}}', 2),
+    ],
+)
+def test_levels_are_counted_outside_texts_and_lists(spark, text, levels):
+    from jsonflow.operators.flatten import _levels
+
+    assert spark.createDataFrame([(text,)], "t string").select(_levels(F.col("t"))).first()[0] == levels
+
+
+def test_wide_deep_objects_take_time_by_size(spark):
+    """As many objects beside each other as took minutes when every brace was a pass over all of them."""
+    import time
+
+    members = {f"k{i}": {"x": i} for i in range(32_000)}
+    flat, deep = json.dumps(members), json.dumps({"a": {"b": {"c": {"d": {"e": members}}}}})
+
+    def seconds(text):
+        df = flatten(decode(spark.createDataFrame([(text,)], "value string"))).agg(F.count("*"), F.max(F.length("path")))
+        df.collect()
+        started = time.monotonic()
+        assert df.first()[0] == 32_000
+        return time.monotonic() - started
+
+    assert seconds(deep) < 4 * seconds(flat) + 2

@@ -2,12 +2,13 @@
 
 A job is one streaming query whose micro-batches go through the same plan as a batch load.
 Progress is committed after the batch was written, so a failure repeats the batch and
-loses nothing; sinks on a path replace a repeated batch.
+loses nothing. A batch that was inserted before the failure is not inserted again (``journal``).
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
@@ -22,11 +23,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jsonflow.operators.decode import decode
 from jsonflow.operators.filters import FilterError, check_filter
-from jsonflow.operators.runlog import LOG_SCHEMA
 from jsonflow.plans.load import classify, decoded_rows, rejects_of, rows_of
 from jsonflow.plans.spec import FilterSpec, LoadSpec
 from jsonflow.sources.readers import stream_messages
-from jsonflow.streaming import sinks
+from jsonflow.streaming import journal, sinks
+from jsonflow.streaming.journal import read_log  # noqa: F401
 
 FilterSource = Callable[[SparkSession], FilterSpec]
 # One source for a single job, or a source for each job by its id.
@@ -51,7 +52,7 @@ class BatchLoader:
     kept (in memory, else on disk) only if more than one output is written from them.
 
     A filter source gives a job's filter anew at every batch. With a ``state`` folder the last valid
-    filter of each job is kept there and holds after a restart too.
+    filter of each job is kept there and holds after a restart too, and so are the batches each job has inserted.
     """
 
     def __init__(
@@ -69,6 +70,9 @@ class BatchLoader:
         self.state = state
         self.planned = False
         self.failed = False
+        self._ending = threading.Lock()
+        self._log: journal.RunLog | None = None
+        self._inserted: dict[str, journal.Inserted] = {}
         # Each job's filter in force, and what its source gave or said last.
         self._seen: dict[str, FilterSpec] = {}
         self._said: dict[str, str] = {}
@@ -97,28 +101,47 @@ class BatchLoader:
         return classify(decoded, spec) if spec.sink.rejects_path else decoded_rows(decoded, spec)
 
     def _write(self, outcome: DataFrame, spec: LoadSpec, batch_id: int) -> None:
+        """Rejects, which replace those of a first attempt, then rows, then the note that they are in."""
+        spark, done = outcome.sparkSession, self._inserted_by(outcome.sparkSession, spec.id)
+        if done and done.line(batch_id):
+            return
         started, counted = time.monotonic(), Observation()
         count = F.count(F.lit(1)).alias("rows")
         rejects_path = spec.sink.rejects_path
         try:
             with _kept(outcome, bool(rejects_path)):
                 rows = rows_of(outcome, spec) if rejects_path else outcome
-                sinks.append(rows.observe(counted, count), spec.sink, batch_id)
-                seconds = time.monotonic() - started
                 if rejects_path:
                     target = f"{rejects_path}/batch_id={batch_id}"
                     rejects = rejects_of(outcome)
                     if spec.sink.table:
                         rejects = rejects.union(sinks.misfits(rows, spec.sink.table))
                     rejects.write.mode("overwrite").parquet(target)
+                    started = time.monotonic()
+                sinks.append(rows.observe(counted, count), spec.sink, batch_id)
+                seconds = time.monotonic() - started
         except Exception as e:
             self.failed = True
-            spent = time.monotonic() - started
-            self.log(outcome.sparkSession, spec.id, batch_id, 0, spent, "insert", str(e))
+            self.log(spark, spec.id, batch_id, 0, time.monotonic() - started, "insert", str(e))
             raise
-        if counted.get["rows"]:  # a batch without rows is no insert
-            rows = counted.get["rows"]
-            self.log(outcome.sparkSession, spec.id, batch_id, rows, seconds, None, None)
+        line = (spec.id, batch_id, counted.get["rows"], datetime.now(timezone.utc), seconds, None, None)
+        if done:
+            done.add(line)
+        # A batch without rows is no insert.
+        written = self._add(spark, line) if line[2] and self.log_path else True
+        if done and (written or self.log_path is None):
+            done.forget(batch_id)
+
+    def _inserted_by(self, spark: SparkSession, job: str) -> journal.Inserted | None:
+        """What a job has inserted; lines of batches that a lost driver did not log are logged first."""
+        if not self.state:
+            return None
+        if job not in self._inserted:
+            self._inserted[job] = journal.Inserted(spark, f"{self.state}/inserted/{job}")
+            for line in self._inserted[job].lines() if self.log_path else ():
+                if line[2]:
+                    self._add(spark, line)
+        return self._inserted[job]
 
     def _reload_filters(self, spark: SparkSession, batch_id: int) -> None:
         """Take up changed filters at a batch boundary; keep a job's old one if its new one is invalid.
@@ -170,15 +193,28 @@ class BatchLoader:
         return FilterSpec.from_dict(json.loads(row[0])) if row else None
 
     def log(self, spark, job, batch_id, rows, seconds, error, message) -> None:
-        if self.log_path is None:
-            return
-        row = (job, batch_id, rows, datetime.now(timezone.utc), seconds, error, message)
-        line = spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-        if error:
-            line.write.mode("append").parquet(f"{self.log_path}/errors")
-        else:
-            target = f"{self.log_path}/batches/{job}/{batch_id}"
-            line.write.mode("overwrite").parquet(target)
+        if self.log_path is not None:
+            self._add(spark, (job, batch_id, rows, datetime.now(timezone.utc), seconds, error, message))
+
+    def _add(self, spark: SparkSession, line: tuple) -> bool:
+        if self._log is None:
+            self._log = journal.RunLog(spark.getActiveSession() or spark, self.log_path)
+        return self._log.add(line)
+
+    def tick(self) -> None:
+        """Progress was made, or there is nothing to do."""
+        if self._log is not None:
+            self._log.tick()
+
+    def ended(self, spark: SparkSession, failure: str | None) -> None:
+        """The query is over. An end that no insert caused is a source error; whoever tells it first is heard."""
+        with self._ending:
+            news, self.failed = bool(failure) and not self.failed, self.failed or bool(failure)
+        if news:
+            for spec in self.specs:
+                self.log(spark, spec.id, -1, 0, 0.0, "source", failure)
+        if self._log is not None:
+            self._log.flush()
 
 
 def _by_job(specs: Sequence[LoadSpec], sources: FilterSources) -> dict[str, FilterSource]:
@@ -223,12 +259,6 @@ def _kept(df: DataFrame, several: bool):
         df.unpersist()
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The run log as one frame."""
-    reader = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
-    return reader.parquet(log_path)
-
-
 def start(
     spark: SparkSession,
     specs: LoadSpec | Sequence[LoadSpec],
@@ -259,16 +289,15 @@ def run(
     messages: DataFrame | None = None,
     drain: bool = False,
 ) -> None:
-    """Start jobs and stay until they end. An end that no insert caused is a source error."""
+    """Start jobs and stay until they end."""
     specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
     loader = BatchLoader(specs, log_path, filter_source, state=f"{checkpoint.rstrip('/')}/jsonflow")
     try:
         _start(spark, loader, checkpoint, messages, drain).awaitTermination()
     except StreamingQueryException as e:
-        if not loader.failed:
-            for spec in specs:
-                loader.log(spark, spec.id, -1, 0, 0.0, "source", str(e))
+        loader.ended(spark, str(e))
         raise
+    loader.ended(spark, None)
 
 
 def _start(
@@ -286,9 +315,13 @@ def _start(
         .queryName("+".join(s.id for s in loader.specs))
         .option("checkpointLocation", checkpoint)
     )
+    ends = journal.ends_of(spark)
     if drain:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{lead.sink.flush_seconds} seconds").start()
+        query = writer.trigger(availableNow=True).start()
+    else:
+        query = writer.trigger(processingTime=f"{lead.sink.flush_seconds} seconds").start()
+    ends.watch(str(query.runId), loader)
+    return query
 
 
 def start_all(

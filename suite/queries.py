@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from jsonflow.plans.load import classify, load_rows, reject_counts, rejects_of
 from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, SourceSpec, read_mapping
 from jsonflow.session import shared_dir
 from jsonflow.sources.generate import test_messages
-from jsonflow.sources.readers import read_messages
+from jsonflow.sources.readers import read_messages, stream_messages
 from jsonflow.sources.sampling import sample_topic
 from jsonflow.streaming import jobs, sinks
 from suite import messages as m
@@ -1001,6 +1002,48 @@ def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("event_ts", F.unix_micros("event_ts"))
 
 
+@query(
+    """
+    SELECT what, n, total FROM (
+      SELECT 'rows' AS what, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS total FROM events
+      UNION ALL SELECT 'log', 5, count(*) FROM events)
+    """
+)
+def stream_table_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a table that is lost after every insert, before its progress is committed: every row is there once."""
+    root, name = shared_dir(spark), f"jsonflow_{uuid.uuid4().hex}"
+    m.event_messages(spark, sf_dir).select("value").repartition(10).write.parquet(f"{root}/in")
+    source = SourceSpec("parquet", {"maxFilesPerTrigger": "2"}, f"{root}/in", schema="value string")
+    sink = SinkSpec(table=name, path=f"{root}/rows", create_if_missing=True)
+    spec = LoadSpec("events", m.EVENT_MAPPING[4:], source=source, sink=sink)
+    sinks.ensure_table(spark, sink, spec.mapping)
+    lost: set[int] = set()
+
+    def run_once() -> None:
+        loader = jobs.BatchLoader([spec], f"{root}/log", state=f"{root}/checkpoint/jsonflow")
+
+        def insert(batch: DataFrame, batch_id: int) -> None:
+            loader(batch, batch_id)
+            if batch_id not in lost:
+                lost.add(batch_id)
+                raise RuntimeError("lost before the commit")
+
+        messages = loader.plan(stream_messages(spark, source))
+        writer = messages.writeStream.foreachBatch(insert).option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    while True:
+        try:
+            run_once()
+            break
+        except StreamingQueryException as e:
+            if "lost before the commit" not in str(e):
+                raise
+    rows = spark.table(name).select(F.lit("rows").alias("what"), F.count("*").alias("n"), F.sum("user_id").alias("total"))
+    log = jobs.read_log(spark, f"{root}/log")
+    return rows.union(log.select(F.lit("log"), F.count("*"), F.sum("rows")))
+
+
 @query("SELECT event_id, event_type FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message delivered twice on a stream; repeats within a day are dropped."""

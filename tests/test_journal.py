@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import glob
+import os
+import time
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from jsonflow.operators import runlog
+from jsonflow.plans.spec import LoadSpec, SinkSpec, SourceSpec, read_mapping
+from jsonflow.streaming import jobs, journal, sinks
+
+MAPPING = read_mapping([{"fieldPath": "n", "column": "n", "type": "Int64"}])
+TABLES = iter(range(100))
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path)
+
+
+def feed(spark, root, *numbers):
+    df = spark.createDataFrame([(f'{{"n":{n}}}',) for n in numbers], "value string").coalesce(1)
+    df.write.mode("append").parquet(f"{root}/in")
+
+
+def table_job(spark, root):
+    name = f"journal_{os.getpid()}_{next(TABLES)}"
+    sink = SinkSpec(table=name, path=f"{root}/rows", create_if_missing=True)
+    return name, LoadSpec("job", MAPPING, SourceSpec("parquet", path=f"{root}/in", schema="value string"), sink)
+
+
+def drain(spark, spec, root, **options):
+    query = jobs.start(spark, spec, f"{root}/checkpoint", drain=True, **options)
+    query.awaitTermination()
+
+
+def line(i, job="job", rows=2, error=None):
+    return (job, i, rows, datetime.now(timezone.utc), 0.5, error, "why" if error else None)
+
+
+def test_a_table_takes_a_repeated_batch_once(spark, root, monkeypatch):
+    name, spec = table_job(spark, root)
+    feed(spark, root, 1, 2, 3)
+    call = jobs.BatchLoader.__call__
+
+    def lost(self, batch, batch_id):
+        call(self, batch, batch_id)
+        raise RuntimeError("lost before the commit")
+
+    monkeypatch.setattr(jobs.BatchLoader, "__call__", lost)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            drain(spark, spec, root, log_path=f"{root}/log")
+    monkeypatch.setattr(jobs.BatchLoader, "__call__", call)
+    drain(spark, spec, root, log_path=f"{root}/log")
+    feed(spark, root, 4)
+    drain(spark, spec, root, log_path=f"{root}/log")
+    assert sorted(r.n for r in spark.table(name).collect()) == [1, 2, 3, 4]
+    totals = runlog.totals(jobs.read_log(spark, f"{root}/log")).collect()
+    assert [tuple(r) for r in totals] == [("job", 2, 4)]
+    assert len(journal.names(spark, f"{root}/checkpoint/jsonflow/inserted/job")) <= 2
+
+
+def test_a_failed_insert_is_no_inserted_batch(spark, root, monkeypatch):
+    name, spec = table_job(spark, root)
+    feed(spark, root, 1)
+    append = sinks.append
+    monkeypatch.setattr(sinks, "append", lambda *_: (_ for _ in ()).throw(OSError("no connection")))
+    with pytest.raises(StreamingQueryException):
+        drain(spark, spec, root)
+    monkeypatch.setattr(sinks, "append", append)
+    drain(spark, spec, root)
+    assert [r.n for r in spark.table(name).collect()] == [1]
+
+
+def test_a_thousand_lines_are_a_handful_of_files(spark, root):
+    log = journal.RunLog(spark, f"{root}/log")
+    for i in range(1000):
+        log.add(line(i))
+    log.add(line(5, error="insert"))
+    whole = jobs.read_log(spark, f"{root}/log")
+    assert [tuple(r) for r in runlog.totals(whole).collect()] == [("job", 1000, 2000)]
+    assert [(r.kind, r.errors) for r in runlog.error_counts(whole).collect()] == [("insert", 1)]
+    files = glob.glob(f"{root}/log/**/*.parquet", recursive=True)
+    assert len(files) == 2
+    day = datetime.now(timezone.utc).date().isoformat()
+    for _ in range(2):
+        journal.compact(spark, f"{root}/log", day)
+    assert len(glob.glob(f"{root}/log/**/*.parquet", recursive=True)) == 1
+    assert [tuple(r) for r in runlog.totals(jobs.read_log(spark, f"{root}/log")).collect()] == [("job", 1000, 2000)]
+
+
+def test_lines_are_written_after_a_while(spark, root, monkeypatch):
+    log = journal.RunLog(spark, f"{root}/log")
+    assert not log.add(line(1)) and not os.path.exists(f"{root}/log")
+    monkeypatch.setattr(journal, "MOST_SECONDS", 0.0)
+    assert log.tick() and os.path.exists(f"{root}/log")
+
+
+def test_lines_of_a_lost_driver_are_found_again(spark, root):
+    """The batch was inserted, its line was gathered, and nothing of it was written."""
+    done = journal.Inserted(spark, f"{root}/state/inserted/job")
+    for i in (7, 8):
+        done.add(line(i))
+    spec = LoadSpec("job", MAPPING, sink=SinkSpec(path=f"{root}/rows"))
+    for _ in range(2):
+        loader = jobs.BatchLoader([spec], f"{root}/log", state=f"{root}/state")
+        messages = spark.createDataFrame([('{"n":1}',)], "value string")
+        loader(messages, 8)
+        loader(messages, 9)
+    assert [tuple(r) for r in runlog.totals(jobs.read_log(spark, f"{root}/log")).collect()] == [("job", 3, 5)]
+
+
+def test_small_files_are_whole_or_not_there(spark, root):
+    path = f"{root}/some/where/7"
+    assert journal.get(spark, path) is None and journal.names(spark, f"{root}/some") == []
+    journal.put(spark, path, "één")
+    journal.put(spark, path, "later")
+    assert journal.get(spark, path) == "één"
+    assert [n for n in journal.names(spark, f"{root}/some/where") if n.isdigit()] == ["7"]
+    journal.remove(spark, path)
+    assert journal.get(spark, path) is None
+
+
+def test_source_errors_are_logged_without_run(spark, root):
+    _, spec = table_job(spark, root)
+    feed(spark, root, 1)
+    os.makedirs(f"{root}/checkpoint/offsets")
+    with open(f"{root}/checkpoint/offsets/0", "w") as out:
+        out.write("no offsets")
+    with pytest.raises(StreamingQueryException):
+        drain(spark, spec, root, log_path=f"{root}/log")
+    deadline = time.monotonic() + 20
+    while not os.path.exists(f"{root}/log") and time.monotonic() < deadline:
+        time.sleep(0.1)
+    time.sleep(0.5)
+    [row] = runlog.error_counts(jobs.read_log(spark, f"{root}/log")).collect()
+    assert (row.job, row.kind, row.errors) == ("job", "source", 1)

@@ -137,8 +137,12 @@ class SinkSpec:
     flush_interval: str = DEFAULT_FLUSH_INTERVAL
     inserts_per_second: int = 0
     rejects_path: str | None = None
+    latest_keys: Sequence[str] = ()
+    latest_order: Sequence[str] = ()
 
     def __post_init__(self) -> None:
+        if self.latest_keys and (self.table or not self.path or not self.latest_order):
+            raise ValueError("to keep the latest row of a key a sink needs a path and an order")
         if not self.table and not self.path and self.format in ("parquet", "orc", "json"):
             raise ValueError("a sink needs a table or a path")
         if self.batch_size <= 0:
@@ -161,6 +165,8 @@ class SinkSpec:
             flush_interval=str(d.get("batchFlushInterval") or ""),
             inserts_per_second=int(d.get("insertRatePerSecond") or 0),
             rejects_path=d.get("rejectsPath"),
+            latest_keys=tuple((d.get("latestBy") or {}).get("keys") or ()),
+            latest_order=tuple((d.get("latestBy") or {}).get("order") or ()),
         )
 
     @property

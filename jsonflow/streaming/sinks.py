@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jsonflow.functions.coerce import target_type
 from jsonflow.plans.spec import Field, SinkSpec, quoted
+from jsonflow.streaming.latest import LatestTable
 
 
 def table_name(name: str) -> str:
@@ -61,10 +62,15 @@ def append(rows: DataFrame, sink: SinkSpec, batch_id: int | None = None) -> None
     * a table takes them by column name; columns the rows lack are NULL there
     * a path takes each micro-batch into a folder of its own, named by the batch. A batch
       that is run again after a failure replaces its folder, so it counts once
+    * a path with ``latest_keys`` keeps the latest row of each key; see ``latest``
     * any other format (JDBC, a connector) gets the sink's options and a plain append
     """
     if sink.table:
         _insert(rows, table_name(sink.table))
+    elif sink.latest_keys:
+        if batch_id is None:
+            raise ValueError("the latest row of a key is kept by numbered batches; use dedup on a batch load")
+        latest_table(sink).merge(rows, batch_id)
     elif sink.path and batch_id is not None:
         writer = rows.write.format(sink.format).options(**sink.options)
         writer.mode("overwrite").save(f"{sink.path}/batch_id={batch_id}")
@@ -74,6 +80,10 @@ def append(rows: DataFrame, sink: SinkSpec, batch_id: int | None = None) -> None
         writer.save(sink.path) if sink.path else writer.save()
 
 
+def latest_table(sink: SinkSpec) -> LatestTable:
+    return LatestTable(sink.path, sink.latest_keys, sink.latest_order, sink.format)
+
+
 def _insert(rows: DataFrame, table: str) -> None:
     """A value that does not fit its column of the table becomes NULL there; see ``misfits``."""
     fields = rows.sparkSession.table(table).schema.fields

@@ -1044,6 +1044,31 @@ def stream_table_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.union(log.select(F.lit("log"), F.count("*"), F.sum("rows")))
 
 
+@query(
+    """
+    SELECT event_id, epoch_us(ts) + 7200000000 AS ts_micros, event_type, value + 1 AS value FROM events
+    """
+)
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event three times on a stream, in any order over four batches: the latest state of each is kept."""
+    root = shared_dir(spark)
+    event = "to_json(struct(event_id, unix_micros(CAST(ts AS timestamp)) + copy * 3600000000 AS ts, event_type, value + copy - 1 AS value)) AS value"
+    copies = m.table(spark, sf_dir, "events").selectExpr("*", "explode(array(2, 0, 1)) AS copy")
+    copies.selectExpr("event_id", "copy", event).repartition(16, F.xxhash64("event_id", "copy")).write.parquet(f"{root}/in")
+    mapping = read_mapping(
+        [
+            {"fieldPath": "event_id", "column": "event_id", "type": "Int64"},
+            {"fieldPath": "ts", "column": "ts_micros", "type": "Int64"},
+            {"fieldPath": "event_type", "column": "event_type", "type": "String"},
+            {"fieldPath": "value", "column": "value", "type": "Float64"},
+        ]
+    )
+    source = SourceSpec("parquet", {"maxFilesPerTrigger": "4"}, f"{root}/in", schema="value string")
+    sink = SinkSpec(path=f"{root}/latest", latest_keys=["event_id"], latest_order=["ts_micros"])
+    drain(spark, LoadSpec("events", mapping, source=source, sink=sink), f"{root}/checkpoint")
+    return sinks.latest_table(sink).read(spark)
+
+
 @query("SELECT event_id, event_type FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message delivered twice on a stream; repeats within a day are dropped."""

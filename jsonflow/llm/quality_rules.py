@@ -4,6 +4,10 @@ Each rule votes good, votes bad or abstains on a document. Expectation-maximisat
 counts of vote patterns estimates how often each rule casts each vote on good and on bad
 documents, and the posterior probability of being good replaces "all rules must pass".
 
+Rules of this kind depend on each other: nearly every document is called good by most of them, and several
+such votes together would outweigh the one rule that tells. Good votes are therefore heard only where no rule
+votes bad; they count in what is estimated about a rule all the same.
+
 The patterns of all documents are counted by a partial aggregation (at most 3^rules rows, however
 large the corpus); each EM step is one aggregation over those counts.
 
@@ -28,7 +32,7 @@ STEPS = 20
 # share, it acts alike at every size.
 PRIOR_GOOD = 0.8
 PRIOR_VOTES = {"good": (0.002, 0.998), "bad": (0.3, 0.7)}
-PRIOR_SHARE = 0.2
+PRIOR_SHARE = 0.01
 
 # name, bad when, good when; between them a rule abstains. Integer arithmetic keeps engines alike.
 RULES = [
@@ -100,7 +104,7 @@ def votes_of(counts: DataFrame, rules=RULES) -> DataFrame:
 
 
 def _score(rules, model: dict) -> Column:
-    """Log odds of good against bad. An abstention says nothing. The model enters as one array, so
+    """Log odds of good against bad. An abstention says nothing, nor does a good vote beside a bad one. The model enters as one array, so
     that the plans of all steps share their generated code."""
     flat = [math.log(model["p"]) - math.log1p(-model["p"])]
     for j in range(len(rules)):
@@ -110,7 +114,7 @@ def _score(rules, model: dict) -> Column:
     votes = F.split("votes", "")
     cast = F.transform(
         votes,
-        lambda digit, j: F.when(digit == "0", F.get(odds, 1 + 2 * j)).when(digit == "2", F.get(odds, 2 + 2 * j)).otherwise(0.0),
+        lambda digit, j: F.when(digit == "0", F.get(odds, 1 + 2 * j)).when((digit == "2") & ~F.contains("votes", F.lit("0")), F.get(odds, 2 + 2 * j)).otherwise(0.0),
     )
     return F.aggregate(cast, F.get(odds, F.lit(0)), lambda t, x: t + x)
 
@@ -165,7 +169,8 @@ def sql_check(rules=RULES, steps: int = STEPS, threshold: float = 0.5) -> str:
     odds = " + ".join(
         ["ln(m.p / (1 - m.p))"]
         + [
-            f"CASE substr(votes, {j + 1}, 1) WHEN '0' THEN ln(m.g{j}0 / m.b{j}0) WHEN '2' THEN ln(m.g{j}2 / m.b{j}2) ELSE 0 END"
+            f"CASE WHEN substr(votes, {j + 1}, 1) = '0' THEN ln(m.g{j}0 / m.b{j}0)"
+            f" WHEN substr(votes, {j + 1}, 1) = '2' AND NOT contains(votes, '0') THEN ln(m.g{j}2 / m.b{j}2) ELSE 0 END"
             for j in range(len(rules))
         ]
     )

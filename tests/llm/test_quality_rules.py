@@ -72,3 +72,29 @@ def test_junk_goes_and_prose_stays(llm):
 def test_threshold(odd_docs, make_docs, threshold):
     long = make_docs(" ".join(f"word{i}" for i in range(200)))
     assert [r["kept"] for r in qr.judge(long, threshold=threshold).collect()] == [threshold == 0.0]
+
+
+def test_shares_of_junk_and_prose_at_scale(llm):
+    """Of labelled documents that pass the base checks over 90 % of the bad ones go and under 1 % of the good ones."""
+    sf = "/root/testdata/sf0.1"
+    labels = llm.read.parquet(f"{sf}/labels.parquet")
+    judged = qr.judge(llm.read.parquet(f"{sf}/documents.parquet")).where("NOT base_failed").join(labels, "doc_id")
+    shares = judged.selectExpr("quality", "CAST(NOT kept AS int) AS gone").groupBy("quality").agg({"gone": "avg"})
+    gone = {r["quality"]: r["avg(gone)"] for r in shares.collect()}
+    assert gone[0] > 0.9 and gone[1] < 0.01
+
+
+def test_a_common_good_vote_does_not_outweigh_a_bad_one(llm):
+    rows = [("22222", 900), ("02222", 60), ("20222", 40)]
+    patterns = llm.createDataFrame(rows, "votes string, n long")
+    model = qr.learn_rules(patterns)
+    scored = {r["votes"]: r["p"] for r in patterns.select("votes", qr.posterior(qr.RULES, model).alias("p")).collect()}
+    assert scored["02222"] < 0.5 and scored["20222"] < 0.5 < scored["22222"]
+
+
+def test_good_votes_count_where_none_is_bad(llm):
+    rows = [("21111", 200), ("11111", 700), ("00111", 80), ("20111", 10)]
+    patterns = llm.createDataFrame(rows, "votes string, n long")
+    model = qr.learn_rules(patterns)
+    scored = {r["votes"]: r["p"] for r in patterns.select("votes", qr.posterior(qr.RULES, model).alias("p")).collect()}
+    assert scored["00111"] < scored["20111"] < 0.5 < scored["11111"] < scored["21111"]

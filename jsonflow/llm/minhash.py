@@ -7,17 +7,19 @@ for sets larger than the sketch, and the last rounds fill each bin for certain,
 coordinate is ever left empty and estimates are as concentrated as those of independent minima.
 
 1. One pass over the texts makes sketches and band keys. Documents with equal shingle sets are one
-   class from here on; its smallest id stands for it.
+   class from here on, numbered for the joins that follow; the text of its smallest id stands for it.
 2. Each member of a band bucket is verified on full sets against the bucket's smallest id. This is
    linear in the bucket and joins what belongs together in all but border cases.
 3. Where candidates of one cluster still lie in different components, what is outside the
    cluster's main component is compared with everything in it, in blocks of bounded size: by
    sketch first, then on full sets, leaving out what is joined meanwhile.
 
-Members of a hot bucket are dealt out in parts, blocks are dealt by hash, and no bucket is cut.
+Members of a hot bucket are dealt out in parts, blocks are dealt by hash, and no bucket is cut. Joins with
+whole texts are merge joins at every size.
 
 A document without words, or null, has an empty set and is linked with nothing. Rows that repeat
-an id are judged as documents of their own; a row with a null id has component null and is kept.
+an id are judged as documents of their own, by id and text; a row with a null id has component null and is kept.
+Of equal sets the smallest id counts as the class's. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jsonflow.llm.common import stored, texts_of
@@ -79,19 +81,20 @@ def _sketches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
     bands = COORDS // rows
     for batch in batches:
         out: list[tuple] = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+        for doc_id, text, text_hash in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()):
             s = shingle_set(text)
             if not len(s):
-                out.append((doc_id, 0, None, None, None))
+                out.append((doc_id, 0, text_hash, None, None, None))
                 continue
             k = sketch(s)
             keys = np.zeros(bands, dtype=U)
             for r in range(rows):
                 keys = mix(keys + k[r : bands * rows : rows], 20 + r)
-            out.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), mix(keys + np.arange(bands, dtype=U), 5).view(np.int64), (mix(k, 9) & U(0xFFFF)).astype(np.uint16).tobytes()))
-        cols = list(zip(*out)) if out else [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+            out.append((doc_id, len(s), text_hash, xxhash.xxh3_128_digest(s.tobytes()), mix(keys + np.arange(bands, dtype=U), 5).view(np.int64), (mix(k, 9) & U(0xFFFF)).astype(np.uint16).tobytes()))
+        cols = list(zip(*out)) if out else [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+        names = ["doc_id", "n_shingles", "text_hash", "digest", "bands", "sketch"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,31 +209,35 @@ def _hard_links(star: DataFrame, links: DataFrame, sets: DataFrame, sketches: Da
     return dealt.groupBy("cluster", "main", "x", "y").applyInArrow(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: one row per document.
+def _hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
-    Documents with 100 * |A and B| >= percent * |A or B| are linked; a component is what links
-    connect, and the document whose id is the component's smallest is kept.
-    """
-    texts = texts_of(docs, id_col, text_col)
+
+def _judged(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, digest, first``: one row per document; ``first`` is the text that
+    stands for the component, among those of its smallest id."""
+    texts = texts_of(docs, id_col, text_col).withColumn("text_hash", _hash(F.col("text")))
     rows = band_rows(percent)
-    made = texts.mapInArrow(lambda b: _sketches(b, rows), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary")
-    made = stored(made)
+    schema = "doc_id long, n_shingles long, text_hash long, digest binary, bands array<long>, sketch binary"
+    made = stored(texts.mapInArrow(lambda b: _sketches(b, rows), schema))
     some = made.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(some.groupBy("digest").agg(F.min("doc_id").alias("rep")))
+    # Equal sets have equal bands and sketches, so any will do.
+    classes = some.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()))
 
-    reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "digest"])
-    # An id may stand on several different texts; its first digest's row is the one that links.
-    keyed = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
+    keyed = classes.select("rep", F.explode("bands").alias("key"))
     leaders = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     star = stored(keyed.join(leaders, "key").where("rep <> leader").select("leader", "rep").distinct())
     if star.isEmpty():
         linked = None
     else:
         some_rep = star.select("rep").union(star.select("leader")).distinct()
-        wanted = texts.join(some_rep.withColumnRenamed("rep", "doc_id"), "doc_id")
+        wanted = classes.join(some_rep, "rep").select("rep", "first.doc_id", "first.text_hash").hint("merge")
+        wanted = texts.where("doc_id IS NOT NULL").join(wanted, ["doc_id", "text_hash"]).select("rep", "text")
         sets = stored(wanted.mapInArrow(_sets, "rep long, elements binary").dropDuplicates(["rep"]))
-        sketches = reps.select(F.col("doc_id").alias("rep"), "sketch").dropDuplicates(["rep"])
+        sketches = classes.select("rep", "sketch")
         parts = star.groupBy("leader").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
         members = star.join(parts, "leader").select("leader", F.pmod(F.xxhash64("rep"), "parts").cast("int").alias("part"), "rep")
         own = parts.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("rep"))
@@ -241,17 +248,43 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         linked = components(stored(links.union(more)))
 
     # Back to documents: class, then component. Hot classes are split by the adaptive skew join.
-    classes = classes.select("digest", F.col("rep").alias("component_id"))
+    classes = classes.select("digest", "rep", "first")
     if linked is not None:
-        classes = classes.join(linked, classes["component_id"] == linked["node"], "left").select(
-            "digest", F.coalesce("component", "component_id").alias("component_id")
-        )
-    alone = made.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = some.join(classes, "digest").select("doc_id", "n_shingles", "component_id").union(alone)
+        classes = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
+        classes = stored(classes.select("digest", "first", F.coalesce("component", "rep").alias("component")))
+        least = classes.groupBy("component").agg(F.min("first").alias("first"))
+        classes = classes.select("digest", "component").join(least, "component")
+    classes = classes.select("digest", "first")
+    told = some.join(classes, "digest").select("doc_id", "text_hash", "n_shingles", F.col("first.doc_id").alias("component_id"), F.col("first.text_hash").alias("first"))
+    alone = made.where("doc_id IS NULL OR n_shingles = 0")
+    return told.union(alone.select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.col("text_hash").alias("first")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``: one row per document.
+
+    Documents with 100 * |A and B| >= percent * |A or B| are linked; a component is what links
+    connect, and the document whose id is the component's smallest is kept.
+    """
+    out = _judged(docs, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id."""
-    copies = near_duplicates(docs, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(stored(copies), docs[id_col].cast("long") == F.col("_copy_id"), "left_anti")
+    """``docs`` with one document of each component: a text of the smallest id.
+
+    Rows are told apart by id and text. Of rows that repeat both, one stays.
+    """
+    judged = stored(_judged(docs, percent, id_col, text_col).where("doc_id IS NOT NULL"))
+    key = [F.col("doc_id").alias("_copy_id"), F.col("text_hash").alias("_copy_hash")]
+    is_first = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("first"))
+    copies = stored(judged.where(~is_first).select(*key).distinct())
+    same = (docs[id_col].cast("long") == F.col("_copy_id")) & (_hash(docs[text_col]) == F.col("_copy_hash"))
+    kept = docs.join(copies, same, "left_anti")
+    again = judged.where(is_first & (F.col("n_shingles") > 0)).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    again = stored(again)
+    if again.isEmpty():
+        return kept
+    # Rows that repeat id and text: one of each, whatever their other columns hold.
+    once = kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, same, "left_anti").union(once)

@@ -122,3 +122,25 @@ def test_components(llm):
     edges = llm.createDataFrame(chain, "a long, b long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 150: 100, 200: 100}
+
+
+A = "alpha " + " ".join(f"a{i}" for i in range(60))
+B = "beta " + " ".join(f"b{i}" for i in range(60))
+
+
+def test_repeated_ids_keep_the_links_of_each_text(make_docs):
+    """Two texts under one id: a near copy of either finds it."""
+    rows = mh.near_duplicates(make_docs((1, A), (1, B), (2, B + " more"), (3, A + " more"), (4, "something else")), 85).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True),
+    ]
+
+
+def test_copies_go_by_id_and_text(make_docs):
+    def left(*pairs):
+        return sorted((r["doc_id"], r["text"]) for r in mh.drop_copies(make_docs(*pairs)).collect())
+
+    assert left((1, A), (5, A), (5, B)) == [(1, A), (5, B)]
+    assert left((1, A), (1, B), (2, B + " more")) == [(1, A), (1, B)]
+    # Equal rows are one document, and texts without words are nobody's copies.
+    assert left((1, A), (1, A), (1, A), (2, B), (3, ""), (3, "")) == [(1, A), (2, B), (3, ""), (3, "")]

@@ -13,7 +13,8 @@ text into groups.
 3. Postings meet the counts of their pair and return to their block, where every bitmap and plane adds
    its weight to its documents' scores.
 
-All shuffles carry postings, not texts; a hot pair sends one row a block and plane. A document is never
+All shuffles carry postings, not texts; a hot pair sends one row a block and plane. Joins are merge joins
+at every size. A document is never
 cut, so a block is ``BLOCK`` bytes or one document.
 
 Nulls and edge cases: null and empty texts, and texts that either tokenizer does not give back byte
@@ -316,13 +317,13 @@ def pair_counts(made: DataFrame) -> DataFrame:
     counts = stored(made.where("plane = 0").groupBy("pair").agg(F.sum("n").alias("docs")))
     a = F.shiftright("pair", ID_BITS).alias("a")
     most = counts.groupBy(a).agg(F.max("docs").alias("most"))
-    return counts.select("pair", "docs", a).join(most, "a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
+    return counts.select("pair", "docs", a).join(most.hint("merge"), "a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, **blocks: int) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum``, one row per document."""
     made = index(docs, a_path, b_path, **blocks)
-    postings = made.where("pair IS NOT NULL").select("block", *_POSTING).join(pair_counts(made), "pair")
+    postings = made.where("pair IS NOT NULL").select("block", *_POSTING).join(pair_counts(made).hint("merge"), "pair")
     facts = made.where("ordinal IS NOT NULL").select("block", *_FACTS)
     dealt = postings.unionByName(facts, allowMissingColumns=True)
     out = [c for c in _FACTS if c != "ordinal"] + ["n_best", "count_sum"]

@@ -767,6 +767,21 @@ def even_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_rows(sample.sample_even(raw, 100), spec, ["partition", "offset"])
 
 
+@query(
+    """
+    WITH topic AS (SELECT event_id, user_id, CASE WHEN user_id % 8 < 5 THEN 0 ELSE user_id % 8 END AS p FROM events),
+    turns AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY event_id) AS turn FROM topic)
+    SELECT p AS "partition", event_id AS "offset", user_id FROM turns ORDER BY turn, p LIMIT 4000
+    """
+)
+def even_sample_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4,000 messages taken in turn from partitions of which one has most of the topic, and gaps, and loaded."""
+    keep = ["CASE WHEN user_id % 8 < 5 THEN 0 ELSE user_id % 8 END AS partition", "event_id AS offset"]
+    raw = m.messages(spark, sf_dir, "events", keep, m.EVENT_MESSAGE)
+    spec = LoadSpec("sample", m.EVENT_MAPPING[4:])
+    return load_rows(sample.sample_even(raw, 4000), spec, ["partition", "offset"])
+
+
 @query("SELECT least(100, count(*)) AS messages, 1 AS paths FROM events")
 def topic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample taken off the start of a stream, and how many paths it shows."""

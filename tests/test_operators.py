@@ -190,3 +190,24 @@ def test_generated_messages(spark):
     assert rows[119]["user"]["email"] == "user120@example.com"
     assert rows[7]["event"]["type"] == "test" and rows[7]["event"]["value"] == 7.0
     datetime.strptime(rows[0]["event"]["ts"], "%Y-%m-%d %H:%M:%S.%f")
+
+
+def test_shares_fill_from_below():
+    assert sample.shares([900, 90, 10], 40) == [15, 15, 10]
+    assert sample.shares([3, 0, 1], 10) == [3, 0, 1]
+    assert sample.shares([5, 5, 5], 7) == [3, 2, 2] and sample.shares([], 7) == [] and sample.shares([2, 9], 0) == [0, 0]
+
+
+@pytest.mark.parametrize("offset", ["id", "id * id * 1000003", "CASE WHEN id = 7 THEN 8 ELSE id END", "id DIV 3", "double(id)"])
+def test_a_large_even_sample_equals_a_ranking(spark, offset):
+    """Offsets with and without gaps by counting, others by ranking; partitions may be missing."""
+    topic = spark.range(20_000).selectExpr("CASE WHEN id % 50 < 44 THEN 1 WHEN id % 50 < 49 THEN 2 END AS partition", f"{offset} AS offset", "id")
+    turns = topic.selectExpr("*", "row_number() OVER (PARTITION BY partition ORDER BY offset, id) AS turn")
+    want = {(r.partition, r.offset) for r in turns.orderBy("turn", "partition").limit(5000).collect()}
+    got = sample.sample_even(topic.repartition(4), 5000)
+    rows = got.collect()
+    assert got.columns == topic.columns and len(rows) == 5000 and len({r.id for r in rows}) == 5000
+    assert {(r.partition, r.offset) for r in rows} == want
+    if offset.startswith("id") and "DIV" not in offset:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "hashpartitioning" not in plan and "Window" not in plan

@@ -5,12 +5,14 @@ from counts of its bytes, byte pairs and words; a small network learns from docu
 (gated attention) and scores the attention-weighted mean of their encodings.
 
 Passages are encoded and scored inside the row's task, in numpy over whole batches; nothing is shuffled.
-The network is fitted on the driver on at most ``TRAIN_ROWS`` labelled documents outside the held-out
-fifth and at most ``TRAIN_PASSAGES`` evenly spaced passages of each, which bounds what is collected.
+The network is fitted on the driver on all passages of a bounded sample of labelled documents outside the
+held-out fifth: at most ``TRAIN_ROWS`` of them in the order of a hash of their ids, without those of more than
+``LONGEST_BAG`` passages, as far as they have ``TRAIN_PASSAGES`` passages together. That bounds what is collected.
 Labels, language, source and id never enter a score.
 
-A null or empty text is one passage without words. Rows that repeat an id are scored one by one.
-Without labels of both kinds every score is the share of good labels (0.5 if there are none).
+A null or empty text is one passage without words. Rows that repeat an id are scored one by one, and a text's
+score does not depend on the rows beside it, so equal texts get equal scores. Without labels of both kinds every
+score is the share of good labels (0.5 if there are none). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,14 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jsonflow.llm.common import held_out, learnable, stored, texts_of
 from jsonflow.llm.hashing import BLANK, Rolling, as_bytes, mix, word_spans
 
 PASSAGE = 64
-TRAIN_ROWS, TRAIN_PASSAGES = 4000, 48
+TRAIN_ROWS, TRAIN_PASSAGES, LONGEST_BAG = 4000, 100_000, 5000
 PAIRS = 128
 HIDDEN, ATTENTION = 32, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.003, 1e-4
@@ -73,7 +75,10 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = np.bincount(of_byte, minlength=total).astype(float)
     kinds = np.bincount(of_byte * KINDS + _KIND[data], minlength=total * KINDS).reshape(total, KINDS)
     pair = (data[:-1].astype(np.int64) * 31 + data[1:]) * 2654435761 >> 7 & (PAIRS - 1)
-    pairs = np.bincount(of_byte[:-1] * PAIRS + pair, minlength=total * PAIRS).reshape(total, PAIRS)
+    # The byte after a text's end belongs to the next text.
+    inside = np.ones(len(pair), dtype=bool)
+    inside[ends[:-1] - 1] = False
+    pairs = np.bincount((of_byte[:-1] * PAIRS + pair)[inside], minlength=total * PAIRS).reshape(total, PAIRS)
 
     words = np.bincount(of_word, minlength=total).astype(float)
     letters = np.bincount(of_word, weights=stops - starts, minlength=total)
@@ -126,7 +131,10 @@ class Network:
         return [x.T @ dh, dh.sum(axis=0), h.T @ dt, h.T @ dg, (t * g).T @ ds, z.T @ dl, np.array([dl.sum()])]
 
     def score(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.forward(x, counts)[-1]
+        """One score a text. Texts go through the network one by one: the order in which a matrix
+        product adds depends on its shape, and so would the last digits on the rows beside."""
+        ends = np.cumsum(counts)
+        return np.array([self.forward(x[b - n : b], np.array([n]))[-1][0] for b, n in zip(ends, counts)])
 
 
 def fit(bags: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Network:
@@ -162,15 +170,24 @@ def _stretches(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield group
 
 
-def _bags(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
+        out, sizes = [], []
         for group in _stretches(as_bytes(batch.column(1))):
             x, counts = passages(group)
-            for bag in np.split(x, np.cumsum(counts)[:-1]):
-                pick = np.unique(np.linspace(0, len(bag) - 1, min(len(bag), most)).astype(int))
-                out.append(bag[pick].astype(np.float16).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], ["doc_id", "label", "bag"])
+            out += [bag.astype(np.float16).tobytes() for bag in np.split(x, np.cumsum(counts)[:-1])]
+            sizes += counts.tolist()
+        columns = [batch.column(0), batch.column(2), pa.array(out, pa.binary()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "bag", "n"])
+
+
+def _sample(bags: DataFrame, most: int, longest: int) -> DataFrame:
+    """The bags of whole documents, in the order of a hash of their ids, as far as they have ``most`` passages."""
+    sizes = bags.groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") <= longest)
+    # As many rows as labelled documents were asked for, a few bytes each.
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = sizes.select(F.col("doc_id").alias("chosen_id"), upto.alias("upto")).where(F.col("upto") <= most)
+    return bags.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"), "left_semi")
 
 
 def _scores(batches: Iterator[pa.RecordBatch], net: Network | float) -> Iterator[pa.RecordBatch]:
@@ -187,8 +204,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     # At most ``rows`` ids of a few bytes: small enough to be sent to every task.
     known = F.broadcast(learnable(labels, label, rows).withColumnRenamed("doc_id", "labelled_id"))
     train = texts_of(docs).join(known, F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "label")
-    bags = stored(train.mapInArrow(lambda b: _bags(b, TRAIN_PASSAGES), "doc_id long, label int, bag binary"))
-    got = sorted(bags.collect(), key=lambda r: (r["doc_id"], bytes(r["bag"])))
+    bags = stored(train.mapInArrow(_bags, "doc_id long, label int, bag binary, n long"))
+    got = sorted(_sample(bags, TRAIN_PASSAGES, LONGEST_BAG).collect(), key=lambda r: (r["doc_id"], bytes(r["bag"])))
     y = np.array([r["label"] for r in got], dtype=float)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5

@@ -66,12 +66,65 @@ def test_passages_cover_the_text_and_stand_alone():
     for t, n in zip(texts, counts):
         alone, m = at.passages([t])
         assert m.tolist() == [n]
-        # Only the pair of bytes at a text's end sees what comes after.
-        assert np.abs(alone[:, : at.KINDS] - together[begin : begin + n, : at.KINDS]).max() < 1e-6
-        assert np.abs(alone[:, -4:] - together[begin : begin + n, -4:]).max() < 1e-6
+        assert (alone == together[begin : begin + n]).all()
         begin += n
 
 
+def test_scores_do_not_depend_on_the_rows_beside():
+    net = at.Network(np.zeros(at.WIDTH), np.ones(at.WIDTH))
+    texts = [(t or "").encode() for t in ODD_TEXTS]
+    alone = [net.score(*at.passages([t]))[0] for t in texts]
+    assert net.score(*at.passages(texts)).tolist() == alone
+    assert net.score(*at.passages(texts[::-1])).tolist() == alone[::-1]
+    assert net.score(*at.passages(texts[3:4] * 50)).tolist() == alone[3:4] * 50
+
+
+def slow_score(net, text):
+    """A text's score passage by passage and byte by byte."""
+    data = text + b"\n"
+    spans, at_ = [], None
+    for i, c in enumerate(data):
+        if not at.BLANK[c] and at_ is None:
+            at_ = i
+        elif at.BLANK[c] and at_ is not None:
+            spans.append((at_, i))
+            at_ = None
+    groups = [spans[k : k + at.PASSAGE] for k in range(0, len(spans), at.PASSAGE)] or [[]]
+    begins = [0, *(g[0][0] for g in groups[1:]), len(data)]
+    rows = []
+    for g, lo, hi in zip(groups, begins, begins[1:]):
+        kinds, pairs = np.zeros(at.KINDS), np.zeros(at.PAIRS)
+        for i in range(lo, hi):
+            kinds[at._KIND[data[i]]] += 1
+            if i + 1 < len(data):
+                pairs[((data[i] * 31 + data[i + 1]) * 2654435761 >> 7) % at.PAIRS] += 1
+        words = [data[a:b] for a, b in g]
+        n = max(len(words), 1)
+        again = sum(a == b for a, b in zip(words, words[1:]))
+        extra = [sum(map(len, words)) / n, len(set(words)) / n, again / n, np.log1p(len(words))]
+        rows.append(np.r_[np.sqrt(kinds / (hi - lo)), np.sqrt(pairs / (hi - lo)), extra])
+    e, be, v, u, w, c, b = net.p
+    hidden = [np.tanh((x - net.mean) / net.scale @ e + be) for x in rows]
+    weight = np.array([np.exp((np.tanh(h @ v) / (1 + np.exp(-(h @ u)))) @ w) for h in hidden])
+    z = sum(a * h for a, h in zip(weight / weight.sum(), hidden))
+    return 1 / (1 + np.exp(-(z @ c + b[0])))
+
+
+def test_scores_match_a_plain_scorer(tables):
+    net = at.Network(np.full(at.WIDTH, 0.1), np.full(at.WIDTH, 0.7), seed=5)
+    texts = [(t or "").encode() for t in ODD_TEXTS] + [(t or "").encode() for _, t, *_ in tables("documents")[:30]]
+    assert net.score(*at.passages(texts)) == pytest.approx([slow_score(net, t) for t in texts], abs=1e-5)
+
+
+def test_the_sample_is_of_whole_documents(llm):
+    rows = [(i, i % 2, bytes(2 * n), n) for i, n in enumerate([5, 3, 4, 900, 2, 6])]
+    bags = llm.createDataFrame([*rows, rows[0]], "doc_id long, label int, bag binary, n long")
+    everything = {r["doc_id"] for r in at._sample(bags, 1000, 100).collect()}
+    some = at._sample(bags, 12, 100).collect()
+    assert everything == {0, 1, 2, 4, 5} and 0 < sum(r["n"] for r in some) <= 12
+    assert {r["doc_id"] for r in some} < everything
+
+
 def test_odd_rows_and_no_labels(llm, odd_docs):
     labels = llm.createDataFrame([(5, 1), (6, 0), (None, 1), (7, None)], "doc_id long, quality int")
     rows = at.judge(odd_docs, labels).collect()

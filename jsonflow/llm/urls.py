@@ -3,7 +3,7 @@
 * **Rules** name a host suffix and a path prefix; of those that fit, the longest decides.
 * **Segmentation.** A host name like ``casinowin`` is split into the words that explain it best: a
   Viterbi search over word probabilities. Those are counts of all words of the pages themselves. Only
-  the stretches of host names are looked up, by a join, so the vocabulary is never cut nor sent about.
+  stretches of host names are looked up, by joins, so the vocabulary is never cut nor sent about.
 * **Naive Bayes.** URLs that a rule decides teach a multinomial model which words go with each
   verdict; a few words known to name junk are added as pseudo-counts. It judges the URLs that no
   rule covers.
@@ -11,11 +11,14 @@
 URLs are first counted by shape (host, and path with its numbers made equal), and words are joined
 for each distinct shape, so hot hosts cost no more than rare ones; the join back is split by the
 adaptive skew join. A URL that is null or without ``://`` has an empty host and path, fits no rule and is judged
-by the prior alone. Repeated rows and ids are judged one by one.
+by the prior alone. Repeated rows and ids are judged one by one. Odds of nought, a tie, allow. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -33,10 +36,12 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-# Words that name junk sites, and what each weighs as a share of all blocked words.
+# Fixed values, and a parameter of ``judge``: words that name junk sites, and what each weighs as a share of all words.
 JUNK_WORDS = ("ads", "adult", "bet", "bets", "casino", "cheap", "farm", "free", "pills", "porn", "spam", "track", "win", "xxx")
 JUNK_SHARE = 0.01
 SMOOTHING = 1.0
+# Words of up to so many characters are looked up whole, longer ones by how they begin.
+PREFIX = 8
 
 
 def host_of(url: Column) -> Column:
@@ -72,15 +77,28 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 def best_split(name: str, counts: dict[str, int], total: float) -> list[str]:
-    """The likeliest words of a name; letters that no word explains stay together as one."""
+    """The likeliest words of a name; letters that no word explains stay together as one.
+
+    Of equally likely splits the one with the later last word wins. Unknown letters in a row cost the same each, so
+    only the best place for such a run to begin is carried along: time grows with the name and with the number of
+    different lengths its words have.
+    """
+    sizes = sorted({len(w) for w in counts})
+    # An unknown word is ten times less likely with each letter.
+    letter, unknown = math.log(10.0), math.log(total)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    run, run_at = 0.0, 0
     for end in range(1, len(name) + 1):
-        options = []
-        for start in range(end):
-            n, size = counts.get(name[start:end], 0), end - start
-            # An unknown word is ten times less likely with each letter.
-            p = math.log(n / total) if n else -math.log(total) - size * math.log(10.0)
-            options.append((best[start][0] + p, start))
+        fresh = best[end - 1][0] + (end - 1) * letter
+        if fresh > run + 1e-9:
+            run, run_at = fresh, end - 1
+        options = [(run - end * letter - unknown, run_at)]
+        for size in sizes:
+            if size > end:
+                break
+            n = counts.get(name[end - size : end], 0)
+            if n:
+                options.append((best[end - size][0] + math.log(n / total), end - size))
         best.append(max(options))
     words, end = [], len(name)
     while end:
@@ -98,20 +116,76 @@ def _split(batches: Iterator[pa.RecordBatch], total: float) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["name", "words"])
 
 
-def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
-    """``name, words`` for distinct names, split by the counts of ``word, n``."""
-    total = float(counts.agg(F.sum("n")).first()[0] or 1)
-    size = F.char_length("name")
-    # Two generators in a row, so that a long name's stretches are never held as one list.
-    starts = names.select("name", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-    asked = starts.select("name", "at", F.explode(F.sequence(F.lit(1), size - F.col("at") + 1)).alias("n_chars"))
-    asked = asked.select("name", F.expr("substring(name, at, n_chars)").alias("part"))
-    known = asked.join(counts.withColumnRenamed("word", "part"), "part", "left")
-    gathered = known.groupBy("name").agg(F.collect_set(F.when(F.col("n").isNotNull(), F.struct("part", "n"))).alias("known"))
-    return gathered.mapInArrow(lambda b: _split(b, total), "name string, words array<string>")
+def _key(name: str) -> bytes:
+    return hashlib.md5(name.encode()).digest()
+
+
+def _in_parts(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    while part := list(itertools.islice(rows, 10_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names)
+
+
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, part``: a name's distinct stretches of up to ``PREFIX`` characters."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                key = _key(name)
+                for size in range(1, PREFIX + 1):
+                    yield from ((key, part) for part in {name[i : i + size] for i in range(len(name) - size + 1)})
+
+    return _in_parts(rows(), ["key", "part"], [pa.binary(), pa.string()])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, at, room, part``: where a longer word may begin, the characters left, and the first of them."""
 
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                key = _key(name)
+                yield from ((key, i, len(name) - i, name[i : i + PREFIX]) for i in range(len(name) - PREFIX))
 
-def _odds(shapes: DataFrame) -> tuple[DataFrame, float, float]:
+    return _in_parts(rows(), ["key", "at", "room", "part"], [pa.binary(), pa.int32(), pa.int32(), pa.string()])
+
+
+def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, part`` of the places and lengths asked for."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for key, name, stretches in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                yield from ((key, part) for part in {name[s["at"] : s["at"] + s["n_chars"]] for s in stretches})
+
+    return _in_parts(rows(), ["key", "part"], [pa.binary(), pa.string()])
+
+
+def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """``name, words`` for distinct names, split by the counts of ``word, n``.
+
+    Each place of a name asks for the words of up to ``PREFIX`` characters there, and whether longer words
+    begin like that; if so, for the lengths that such words have. What is asked for carries a digest of the
+    name and not the name, so a name of any length gives a few short rows a character.
+    """
+    total = float(counts.agg(F.sum("n")).first()[0] or 1)
+    names = names.select("name")
+    named = names.select(F.unhex(F.md5("name")).alias("key"), "name")
+    short = names.mapInArrow(_short, "key binary, part string")
+    begins = counts.where(F.char_length("word") > PREFIX)
+    begins = begins.select(F.substring("word", 1, PREFIX).alias("part"), F.char_length("word").alias("n_chars")).distinct()
+    places = names.mapInArrow(_places, "key binary, at int, room int, part string")
+    fitting = places.join(begins, "part").where("n_chars <= room")
+    stretches = fitting.groupBy("key").agg(F.collect_set(F.struct("at", "n_chars")).alias("stretches"))
+    long = named.join(stretches, "key").select("key", "name", "stretches").mapInArrow(_long, "key binary, part string")
+
+    known = short.union(long).join(counts.withColumnRenamed("word", "part"), "part")
+    gathered = known.groupBy("key").agg(F.collect_list(F.struct("part", "n")).alias("known"))
+    whole = named.join(gathered, "key", "left").select("name", "known")
+    return whole.mapInArrow(lambda b: _split(b, total), "name string, words array<string>")
+
+
+def _odds(shapes: DataFrame, junk_words=JUNK_WORDS) -> tuple[DataFrame, float, float]:
     """``word, odds`` (log odds of block), of the prior, and of a word never seen."""
     judged = shapes.where("rule_verdict IS NOT NULL")
     is_block = F.col("rule_verdict") == "block"
@@ -122,10 +196,10 @@ def _odds(shapes: DataFrame) -> tuple[DataFrame, float, float]:
     size = counted.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("words")).first()
     block, allow = float(size["block"] or 0), float(size["allow"] or 0)
     pseudo = max(1.0, JUNK_SHARE * (block + allow))
-    junk = counted.sparkSession.sql("SELECT explode(array({})) AS junk".format(", ".join(f"'{w}'" for w in JUNK_WORDS)))
+    junk = counted.sparkSession.createDataFrame([(w,) for w in junk_words], "junk string")
     both = counted.join(junk, counted["word"] == junk["junk"], "full")
-    kinds = float(size["words"]) + len(JUNK_WORDS)
-    block_mass = block + pseudo * len(JUNK_WORDS) + SMOOTHING * kinds
+    kinds = float(size["words"]) + len(junk_words)
+    block_mass = block + pseudo * len(junk_words) + SMOOTHING * kinds
     allow_mass = allow + SMOOTHING * kinds
     extra = F.when(F.col("junk").isNotNull(), F.lit(pseudo)).otherwise(0.0)
     odds = F.log((F.coalesce("block", F.lit(0)) + extra + SMOOTHING) / block_mass) - F.log((F.coalesce("allow", F.lit(0)) + SMOOTHING) / allow_mass)
@@ -133,7 +207,9 @@ def _odds(shapes: DataFrame) -> tuple[DataFrame, float, float]:
     return both.select(F.coalesce("word", "junk").alias("word"), odds.alias("odds")), prior, math.log(allow_mass / block_mass)
 
 
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def judge(
+    pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", junk_words=JUNK_WORDS
+) -> DataFrame:
     """``page_id, host, path, rule, verdict, odds`` of every page; odds are null where a rule decides."""
     urls = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
     urls = urls.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -155,7 +231,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     shapes = shapes.withColumn("words", F.concat(F.coalesce("host_words", F.array().cast("array<string>")), parts("pattern")))
     shapes = stored(shapes.select("host", "pattern", "rule_verdict", "n", "words"))
 
-    odds, prior, unseen = _odds(shapes)
+    odds, prior, unseen = _odds(shapes, junk_words)
     open_shapes = shapes.where("rule_verdict IS NULL").select("host", "pattern", F.explode_outer("words").alias("word"))
     scored = open_shapes.join(odds, "word", "left").groupBy("host", "pattern")
     # A shape without words is judged by the prior.

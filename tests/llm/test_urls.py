@@ -122,3 +122,87 @@ def test_long_compounds_are_words(llm):
     names = llm.createDataFrame([(f"die{long}",), ("q" * 30,)], "name string")
     got = {r["name"]: r["words"] for r in u.segment(names, counts).collect()}
     assert got == {f"die{long}": ["die", long], "q" * 30: ["q" * 30]}
+
+
+def test_an_endless_name(llm):
+    """A broken URL of 100,000 letters, with words at its start, in its middle and at its end."""
+    long = "donaudampfschifffahrt"
+    counts = llm.createDataFrame([("free", 3), (long, 2), ("xxxxxxxxx", 1), ("bets", 2)], "word string, n long")
+    name = "free" + "q" * 50_000 + long + "q" * 50_000 + "bets"
+    (row,) = u.segment(llm.createDataFrame([(name,)], "name string"), counts).collect()
+    assert row["words"] == ["free", "q" * 50_000, long, "q" * 50_000, "bets"]
+    rows = u.judge(frame(llm, [f"http://{name}.net/", "http://a.example.org/fr/"])).collect()
+    assert len(rows) == 2 and {len(r["host"]) for r in rows} == {len(name) + 4, 13}
+
+
+def test_verdicts_match_brute_force(llm, tables):
+    import regex
+
+    pages = tables("pages")
+    counts = {}
+    for _, _, html in pages:
+        text = re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[a-zA-Z_0-9]+;", " ", html or "").lower()
+        for w in filter(None, regex.split(r"[^\p{L}\p{N}]+", text)):
+            counts[w] = counts.get(w, 0) + 1
+    total, split = float(sum(counts.values())), {}
+
+    def words_of(host, path):
+        names = [x for x in regex.split(r"[^\p{L}\p{N}]+", host) if x]
+        for x in names:
+            if x not in split:
+                # Every stretch is asked for, the plain way.
+                split[x] = u.best_split(x, {x[i:j]: counts[x[i:j]] for i in range(len(x)) for j in range(i + 1, len(x) + 1) if x[i:j] in counts}, total)
+        path = regex.sub("[0-9]+", "0", path.lower())
+        return [w for x in names for w in split[x]] + [x for x in regex.split(r"[^\p{L}\p{N}]+", path) if x]
+
+    judged = {}
+    for page_id, url, _ in pages:
+        host, path = parts(url)
+        judged[page_id] = (words_of(host, path), rule_of(host, path)[1])
+    n = {v: {} for v in ("block", "allow")}
+    for words, verdict in judged.values():
+        for w in words if verdict else ():
+            n[verdict][w] = n[verdict].get(w, 0) + 1
+    seen = n["block"].keys() | n["allow"].keys()
+    block, allow = sum(n["block"].values()), sum(n["allow"].values())
+    pseudo, kinds = max(1.0, u.JUNK_SHARE * (block + allow)), len(seen) + len(u.JUNK_WORDS)
+    block_mass, allow_mass = block + pseudo * len(u.JUNK_WORDS) + kinds, allow + kinds
+    urls = [v for _, v in judged.values()]
+    prior = math.log((urls.count("block") + 1) / (urls.count("allow") + 1))
+    checked = 0
+    for r in u.judge(llm.read.parquet(f"{SF}/pages.parquet")).collect():
+        words, verdict = judged[r["page_id"]]
+        if verdict:
+            assert r["verdict"] == verdict and r["odds"] is None
+            continue
+        odds = prior
+        for w in words:
+            junk = pseudo if w in u.JUNK_WORDS else 0
+            odds += math.log((n["block"].get(w, 0) + junk + 1) / block_mass) - math.log((n["allow"].get(w, 0) + 1) / allow_mass)
+        assert r["odds"] == pytest.approx(odds, abs=1e-6) and r["verdict"] == ("block" if odds > 0 else "allow")
+        checked += 1
+    assert checked
+
+
+def test_split_is_that_of_all_stretches():
+    """The same words as by trying every beginning of every stretch."""
+    import random
+
+    def plain_split(name, counts, total):
+        best = [(0.0, 0)]
+        for end in range(1, len(name) + 1):
+            tries = []
+            for start in range(end):
+                n, size = counts.get(name[start:end], 0), end - start
+                tries.append((best[start][0] + (math.log(n / total) if n else -math.log(total) - size * math.log(10.0)), start))
+            best.append(max(tries))
+        return best[-1][0]
+
+    r = random.Random(4)
+    for _ in range(300):
+        counts = {"".join(r.choices("abc", k=r.randint(1, 4))): r.randint(1, 50) for _ in range(r.randint(0, 8))}
+        total = float(sum(counts.values()) + 3)
+        name = "".join(r.choices("abcd", k=r.randint(1, 14)))
+        words = u.best_split(name, counts, total)
+        score = sum(math.log(counts[w] / total) if w in counts else -math.log(total) - len(w) * math.log(10.0) for w in words)
+        assert "".join(words) == name and score == pytest.approx(plain_split(name, counts, total))

@@ -6,6 +6,31 @@ from tests.llm.conftest import ODD_TEXTS, SF
 
 
 def brute(docs):
+    """Chunks and joints that came before go, followed into the chunks around a joint."""
+    first, out = {}, {}
+    for doc_id, text in sorted(docs):
+        lines, gone = text.split("\n"), set()
+        for at, n, body, _, before, after in ld._joints(text):
+            assert body == "\n".join(lines[at : at + n])
+            if body not in first:
+                first[body] = lines, at, before, after
+                continue
+            there, start, b, a = first[body]
+            low, high = at, at + n
+            for k in range(1, min(b, before) + 1):
+                if lines[at - k] != there[start - k]:
+                    break
+                low = at - k if lines[at - k].strip() else low
+            for k in range(min(a, after)):
+                if lines[at + n + k] != there[start + n + k]:
+                    break
+                high = at + n + k + 1 if lines[at + n + k].strip() else high
+            gone |= set(range(low, high))
+        out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return out
+
+
+def brute_chunks(docs):
     """Chunks of at least two lines with text stay where they come first."""
     seen, out = set(), {}
     for doc_id, text in sorted(docs):
@@ -27,6 +52,29 @@ def test_query_matches_brute_force(llm, tables):
     assert got == want and any(n for _, _, n in want.values())
 
 
+def test_chunks_alone_match_brute_force(llm, tables):
+    docs = [(d, t) for d, t, *_ in tables("documents")]
+    rows = ld.removals(llm.read.parquet(f"{SF}/documents.parquet"), pieces=ld._chunks).collect()
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in rows} == brute_chunks(docs)
+
+
+def test_recall_against_all_repeated_runs(llm):
+    """Nine in ten of the lines in repeated runs of two lines or more go, and no others."""
+    sf = "/root/testdata/sf0.1"
+    docs = [(r["doc_id"], r["text"]) for r in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    want = {d: n for d, (_, _, n) in repeated_lines(docs).items()}
+    got = {r["doc_id"]: r["n_removed"] for r in q.QUERIES["op4_line_dedup"](llm, sf).select("doc_id", "n_removed").collect()}
+    assert all(got[d] <= n for d, n in want.items())
+    assert sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_ids_that_repeat_are_told_apart_by_text(make_docs):
+    passage = "\n".join(f"passage line {i}" for i in range(12))
+    docs = make_docs((1, f"own\n{passage}"), (2, f"a\n{passage}\nend of a"), (2, f"b\n{passage[:40]}"), (2, "a text\nof its own\nand long"))
+    got = sorted((r["doc_id"], r["text"]) for r in ld.removals(docs).collect())
+    assert got[0] == (1, f"own\n{passage}") and (2, "a\nend of a") in got and (2, "a text\nof its own\nand long") in got
+
+
 def test_boundaries_come_back_after_shifts():
     lines = [f"line number {i}" for i in range(200)]
     plain = {c[2] for c in ld._chunks("\n".join(lines))}
@@ -46,14 +94,16 @@ def test_hot_chunk_is_dealt_out(make_docs, monkeypatch):
     docs = [(i, f"own {i}\n{passage}\nend {i}") for i in range(40)]
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in ld.removals(make_docs(*docs)).collect()}
     assert got == brute(docs) and got[39][2] > 15
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in ld.removals(make_docs(*docs), pieces=ld._chunks).collect()}
+    assert got == brute_chunks(docs) and got[39][2] > 15
 
 
 def test_equal_hashes_of_different_bytes_stay(make_docs):
     """A row whose hash is that of other bytes is no copy."""
     import pyarrow as pa
 
-    rows = [(1, 0, 1, 0, "a\nb", True), (1, 0, 2, 0, "a\nc", False), (1, 0, 3, 0, "a\nb", False)]
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["hash", "part", "doc_id", "line", "body", "lead"])
+    rows = [(1, 0, 1, 0, "a\nb", True, 7, 0, 2), (1, 0, 2, 0, "a\nc", False, 8, 0, 2), (1, 0, 3, 0, "a\nb", False, 9, 0, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], "hash part doc_id line body lead mark skip n".split())
     (out,) = ld._same(iter([batch]))
     assert out.column(0).to_pylist() == [3]
 
@@ -97,7 +147,7 @@ def test_every_repeated_run_goes(llm, tables):
     want = repeated_lines([(d, t) for d, t, *_ in tables("documents")])
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in q.QUERIES["op4_line_runs"](llm, SF).collect()}
     assert got == want
-    assert sum(n for *_, n in want.values()) > sum(n for *_, n in brute([(d, t) for d, t, *_ in tables("documents")]).values())
+    assert sum(n for *_, n in want.values()) > sum(n for *_, n in brute_chunks([(d, t) for d, t, *_ in tables("documents")]).values())
 
 
 def test_runs_of_any_length_go_whole(make_docs):

@@ -56,8 +56,25 @@ def _votes(decoded: DataFrame, depth: int | None) -> DataFrame:
     )
 
 
+def merge_votes(votes: DataFrame) -> DataFrame:
+    """The votes of several parts of the messages, put together: those of all the messages.
+
+    Parts may be days, topics or micro-batches, in any order; each message must be in one part. Flags are
+    joined by and/or and counts added, on the map side first, so old messages are never read again.
+    """
+    any_of = [F.bool_or(c).alias(c) for c in ("nullable", "unopened")]
+    all_of = [F.bool_and(c).alias(c) for c in ("is_bool", "is_int", "is_float")]
+    merged = votes.groupBy("path").agg(*any_of, *all_of, F.sum("values").alias("values"))
+    return merged.select("path", "nullable", "is_bool", "is_int", "is_float", "unopened", "values")
+
+
 def infer_mapping(decoded: DataFrame, depth: int | None = None) -> DataFrame:
-    """``fieldPath, column, type, nullable`` per path, ordered by column name.
+    """``fieldPath, column, type, nullable`` per path of the messages, as ``propose`` gives it."""
+    return propose(path_votes(decoded, depth))
+
+
+def propose(votes: DataFrame) -> DataFrame:
+    """``fieldPath, column, type, nullable`` per path that was voted on, ordered by column name.
 
     Bool, Int64, Float64 and String are tried in this order; one value that does not fit
     degrades the path. Only an explicit null makes a path Nullable, absence does not. A
@@ -71,8 +88,7 @@ def infer_mapping(decoded: DataFrame, depth: int | None = None) -> DataFrame:
     )
     wrapped = F.concat(F.lit("Nullable("), plain, F.lit(")"))
     return (
-        path_votes(decoded, depth)
-        .select(
+        votes.select(
             F.col("path").alias("fieldPath"),
             column_name(F.col("path")).alias("column"),
             F.when(F.col("nullable"), wrapped).otherwise(plain).alias("type"),

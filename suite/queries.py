@@ -22,7 +22,7 @@ from jsonflow.session import shared_dir
 from jsonflow.sources.generate import test_messages
 from jsonflow.sources.readers import read_messages, stream_messages
 from jsonflow.sources.sampling import sample_topic
-from jsonflow.streaming import jobs, sinks
+from jsonflow.streaming import jobs, sinks, votes
 from suite import messages as m
 from suite.registry import query
 
@@ -658,8 +658,29 @@ def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def infer_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts behind a proposal, where a key is absent from part of the messages."""
-    votes = infer.path_votes(decode(m.sparse_messages(spark, sf_dir)))
-    return votes.select("path", "values", "nullable", "is_int")
+    counted = infer.path_votes(decode(m.sparse_messages(spark, sf_dir)))
+    return counted.select("path", "values", "nullable", "is_int")
+
+
+@query(proposed("SELECT * FROM events"))
+def infer_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping of two parts of the messages whose votes were taken apart and merged."""
+    raw = m.messages(spark, sf_dir, "events", ["ts"], INFER_MESSAGE)
+    early = F.col("ts") < "2024-01-15"
+    parts = [infer.path_votes(decode(raw.filter(part))) for part in (early, ~early)]
+    return infer.propose(infer.merge_votes(parts[0].unionByName(parts[1])))
+
+
+@query(proposed("SELECT * FROM events"))
+def stream_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping proposed from a stream, which is stopped, goes on, and votes on new messages only."""
+    root = shared_dir(spark)
+    raw = m.messages(spark, sf_dir, "events", ["ts"], INFER_MESSAGE)
+    for part in (F.col("ts") < "2024-01-15", F.col("ts") >= "2024-01-15"):
+        raw.filter(part).select("value").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema("value string").parquet(f"{root}/in")
+        votes.keep(stream, f"{root}/votes", f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return infer.propose(votes.read(spark, f"{root}/votes"))
 
 
 @query(proposed("SELECT * FROM events ORDER BY ts, event_id LIMIT 200"))

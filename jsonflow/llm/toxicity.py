@@ -24,9 +24,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +39,9 @@ TRAIN_ROWS = 20_000
 STRETCHES, LEAST_DOCS, LEAST_ODDS, LEAST_G2 = 4000, 5, 1.2, 12.0
 SIZES = (4, 5, 6)
 READINGS = 4
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+# Distinct stretches, and distinct words, of labelled documents that a task holds before it sends on what it counted.
+HELD_STRETCHES, HELD_WORDS = 400_000, 100_000
 # Letters of a reading that are held as one piece, so that a word's cost grows with its length alone.
 PIECE = 64
 
@@ -254,24 +256,43 @@ class Scorer:
     """Sums over a text's words of what each weighs, at most once looked up per distinct word."""
 
     def __init__(self, weights: dict[str, float], model: np.ndarray) -> None:
-        self.weights, self.model = weights, model
+        self.model = model
         self.known: dict[str, float] = {}
+        self.before: dict[str, float] = {}
         self.phrases: dict[str, list[str]] = {}
-        self.longest = max((len(s) for s in weights), default=0)
+        self.marks = ahocorasick.Automaton()
+        for stretch, weight in weights.items():
+            self.marks.add_word(stretch, weight)
+        self.marks.make_automaton()
 
-    def _weigh(self, word: str) -> float:
+    def _strongest(self, word: str) -> float:
+        """Of a word of letters alone. Stretches hold edges, so whole words are found as such."""
         best = 0.0
-        get = self.weights.get
-        for w in restored(word, self.model):
-            w = f"^{w}$"
-            best = max(best, get(w, 0.0))
-            for n in SIZES:
-                for i in range(len(w) - n + 1):
-                    x = get(w[i : i + n])
-                    if x is not None and x > best:
-                        best = x
+        for _, weight in self.marks.iter(f"^{word}$") if self.marks else ():
+            if weight > best:
+                best = weight
         return best
 
+    def _weigh(self, word: str) -> float:
+        low = word.lower()
+        core = low.strip(_EDGES)
+        plain = core.isalpha() and low[0] not in STANDS_FOR and not _THRICE.search(core)
+        if plain and (low.isascii() or unicodedata.is_normalized("NFC", low)):
+            return self._strongest(core)
+        return max(map(self._strongest, restored(word, self.model)), default=0.0)
+
+    def _weight(self, word: str) -> float:
+        """Words of late are remembered, and those before them as long as they come again."""
+        weight = self.known.get(word)
+        if weight is None:
+            weight = self.before.get(word)
+            if weight is None:
+                weight = self._weigh(word)
+            if len(self.known) >= REMEMBERED // 2:
+                self.before, self.known = self.known, {}
+            self.known[word] = weight
+        return weight
+
     def sums(self, text: str) -> tuple[float, float, float, float]:
         text = composed(text)
         words = text.split()
@@ -281,40 +302,68 @@ class Scorer:
                     self.phrases.clear()
                 self.phrases[run] = phrase(run, self.model)
             words += self.phrases[run]
-        known = self.known
-        found = list(map(known.get, words))
+        found = list(map(self.known.get, words))
         if None in found:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in set(words):
-                if w not in known:
-                    known[w] = self._weigh(w)
-            found = [known[w] for w in words]
+            found = [self._weight(w) if x is None else x for w, x in zip(words, found)]
         total, most, n = sum(found), max(found, default=0.0), len(words)
         return math.log1p(total), most, math.log1p(n), total / (n + 20.0)
 
 
+class StretchCounts:
+    """In how many toxic and clean documents each stretch is. Words and stretches are numbered as they come, so that a
+    document is an array of numbers."""
+
+    def __init__(self, model: np.ndarray) -> None:
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.words: dict[str, np.ndarray] = {}
+        self.last = np.zeros(0, dtype=np.int64)
+        self.counts = np.zeros((2, 0), dtype=np.int64)
+
+    def full(self) -> bool:
+        return len(self.number) > HELD_STRETCHES or len(self.words) > HELD_WORDS
+
+    def _numbers(self, word: str) -> np.ndarray:
+        number = self.number
+        offered = {s for found in forms(word, self.model) for s in stretches(found[0])}
+        return np.fromiter((number.setdefault(s, len(number)) for s in offered), dtype=np.int64, count=len(offered))
+
+    def add(self, text: str, toxic: bool) -> None:
+        text = composed(text)
+        words = set(text.split())
+        words.update(w for run in held_apart(text) for w in phrase(run, self.model))
+        for w in words:
+            if w not in self.words:
+                self.words[w] = self._numbers(w)
+        if not words:
+            return
+        if len(self.number) > len(self.last):
+            more = 2 * len(self.number) - len(self.last)
+            self.last = np.pad(self.last, (0, more))
+            self.counts = np.pad(self.counts, ((0, 0), (0, more)))
+        found = np.concatenate([self.words[w] for w in words])
+        # Of equal numbers the one that was put down last stands for all.
+        place = np.arange(len(found))
+        self.last[found] = place
+        self.counts[int(toxic), found[self.last[found] == place]] += 1
+
+    def rows(self) -> pa.RecordBatch:
+        names, n = pa.array(list(self.number), pa.string()), len(self.number)
+        return pa.RecordBatch.from_arrays([names, *(pa.array(self.counts[k, :n]) for k in (1, 0))], ["stretch", "toxic", "clean"])
+
+
 def _labelled_stretches(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
-    # What a distinct word offers is worked out once and held for as long as there is room.
-    known: dict[str, frozenset[str]] = {}
+    counts = StretchCounts(model)
     for batch in batches:
-        seen = Counter(), Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found: set[str] = set()
-            text = composed(text or "")
-            words = set(text.split())
-            words.update(w for run in held_apart(text) for w in phrase(run, model))
-            for w in words:
-                if w not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    known[w] = frozenset(s for found in forms(w, model) for s in stretches(found[0]))
-                found |= known[w]
-            seen[1 if label else 0].update(found)
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *(pa.array([seen[k][s] for s in names], pa.int64()) for k in (1, 0))], ["stretch", "toxic", "clean"]
-        )
+            counts.add(text or "", bool(label))
+            if counts.full():
+                yield counts.rows()
+                counts.clear()
+    yield counts.rows()
 
 
 def select_stretches(train: DataFrame, model: np.ndarray) -> dict[str, float]:

@@ -6,6 +6,7 @@ always filled in, however the spec was made.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -87,6 +88,26 @@ class FilterSpec:
         )
 
 
+def topic_offsets(topic: str, offsets: str | Mapping[Any, Any]) -> str:
+    """Where to start or end on a topic, as Spark's Kafka options take it: ``earliest``, ``latest``, or an offset for
+    each partition, which may be one of these words too."""
+    # Kafka's own numbers for the ends of a partition.
+    ends = {"earliest": -2, "latest": -1}
+    if isinstance(offsets, str):
+        if offsets not in ends:
+            raise ValueError(f"offsets are earliest, latest or given by partition: {offsets!r}")
+        return offsets
+    by_partition = {}
+    for partition, offset in offsets.items():
+        number = ends.get(offset, offset)
+        if int(partition) < 0 or int(number) < -2:
+            raise ValueError(f"no such offset: {partition}: {offset}")
+        by_partition[int(partition)] = int(number)
+    if not by_partition or "," in topic:
+        raise ValueError("offsets by partition need one topic and all of its partitions")
+    return json.dumps({topic: {str(p): by_partition[p] for p in sorted(by_partition)}})
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """Where messages come from: a Spark reader format, its options and the value column."""
@@ -110,6 +131,9 @@ class SourceSpec:
             }
             if d.get("groupId"):
                 options["groupIdPrefix"] = d["groupId"]
+            for name in ("startingOffsets", "endingOffsets"):
+                if d.get(name):
+                    options[name] = topic_offsets(d["topic"], d[name])
             options.update(d.get("options") or {})
             return cls("kafka", options)
         if not d.get("format") and not d.get("table"):
@@ -139,12 +163,15 @@ class SinkSpec:
     rejects_path: str | None = None
     latest_keys: Sequence[str] = ()
     latest_order: Sequence[str] = ()
+    cut_inserts: bool = False
 
     def __post_init__(self) -> None:
         if self.latest_keys and (self.table or not self.path or not self.latest_order):
             raise ValueError("to keep the latest row of a key a sink needs a path and an order")
         if not self.table and not self.path and self.format in ("parquet", "orc", "json"):
             raise ValueError("a sink needs a table or a path")
+        if self.cut_inserts and self.latest_keys:
+            raise ValueError("the latest row of a key is merged, not inserted: there is nothing to cut")
         if self.batch_size <= 0:
             object.__setattr__(self, "batch_size", DEFAULT_BATCH_SIZE)
         if not self.flush_interval:
@@ -167,6 +194,7 @@ class SinkSpec:
             rejects_path=d.get("rejectsPath"),
             latest_keys=tuple((d.get("latestBy") or {}).get("keys") or ()),
             latest_order=tuple((d.get("latestBy") or {}).get("order") or ()),
+            cut_inserts=bool(d.get("cutInserts")),
         )
 
     @property

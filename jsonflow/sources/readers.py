@@ -15,11 +15,24 @@ FILE_FORMATS = ("text", "json", "csv", "parquet", "orc", "xml")
 MOST_BYTES = str(10 << 30)
 
 
+def kafka_batch_options(source: SourceSpec) -> dict[str, str]:
+    """The whole topic, unless the source says where to start and end."""
+    return {"startingOffsets": "earliest", "endingOffsets": "latest", **source.options}
+
+
+def kafka_stream_options(source: SourceSpec, rows_per_trigger: int | None = None) -> dict[str, str]:
+    """From the newest message on, unless the source says where to start. A stream has no end, and takes none."""
+    options = {"startingOffsets": "latest", **source.options}
+    options.pop("endingOffsets", None)
+    if rows_per_trigger:
+        options.setdefault("maxOffsetsPerTrigger", str(rows_per_trigger))
+    return options
+
+
 def read_messages(spark: SparkSession, source: SourceSpec) -> DataFrame:
     """The whole source as a batch; a Kafka topic from its oldest to its newest message."""
     if source.format == "kafka":
-        options = {"startingOffsets": "earliest", "endingOffsets": "latest", **source.options}
-        return _kafka(spark.read.format("kafka").options(**options).load())
+        return _kafka(spark.read.format("kafka").options(**kafka_batch_options(source)).load())
     if source.table:
         return _named(spark.read.options(**source.options).table(source.table), source)
     reader = spark.read.format(source.format).options(**source.options)
@@ -36,10 +49,7 @@ def stream_messages(
     or ``maxBytesPerTrigger`` among their options; without either, ``MOST_BYTES`` bounds them.
     """
     if source.format == "kafka":
-        options = {"startingOffsets": "latest", **source.options}
-        if rows_per_trigger:
-            options.setdefault("maxOffsetsPerTrigger", str(rows_per_trigger))
-        return _kafka(spark.readStream.format("kafka").options(**options).load())
+        return _kafka(spark.readStream.format("kafka").options(**kafka_stream_options(source, rows_per_trigger)).load())
     if source.table:
         return _named(spark.readStream.options(**source.options).table(source.table), source)
     options = dict(source.options)

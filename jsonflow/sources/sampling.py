@@ -15,6 +15,13 @@ from jsonflow.sources.readers import stream_messages
 POLL_SECONDS = 0.1
 
 
+def from_oldest(source: SourceSpec) -> SourceSpec:
+    """A sample is of the oldest messages, wherever the job itself is to start."""
+    if source.format != "kafka":
+        return source
+    return replace(source, options={**source.options, "startingOffsets": "earliest"})
+
+
 def sample_topic(
     spark: SparkSession, source: SourceSpec, n: int, folder: str, timeout: float = 15.0
 ) -> DataFrame:
@@ -26,9 +33,7 @@ def sample_topic(
     group is left behind. Every call starts afresh in a folder of its own below ``folder``.
     """
     n = n if n > 0 else DEFAULT_SAMPLE
-    # A sample is of the oldest messages, wherever the job itself is to start.
-    options = {**source.options, "startingOffsets": "earliest"} if source.format == "kafka" else source.options
-    messages = stream_messages(spark, replace(source, options=options), rows_per_trigger=n)
+    messages = stream_messages(spark, from_oldest(source), rows_per_trigger=n)
     root = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
     order = [c for c in ("partition", "offset") if c in messages.columns]
     taken: dict[int, int] = {}

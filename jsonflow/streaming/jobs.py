@@ -109,7 +109,7 @@ class BatchLoader:
         count = F.count(F.lit(1)).alias("rows")
         rejects_path = spec.sink.rejects_path
         try:
-            with _kept(outcome, bool(rejects_path)):
+            with _kept(outcome, bool(rejects_path) or spec.sink.cut_inserts):
                 rows = rows_of(outcome, spec) if rejects_path else outcome
                 if rejects_path:
                     target = f"{rejects_path}/batch_id={batch_id}"
@@ -120,15 +120,16 @@ class BatchLoader:
                     started = time.monotonic()
                 sinks.append(rows.observe(counted, count), spec.sink, batch_id)
                 seconds = time.monotonic() - started
+                sizes = sinks.insert_sizes(rows, spec.sink) if spec.sink.cut_inserts else []
         except Exception as e:
             self.failed = True
             self.log(spark, spec.id, batch_id, 0, time.monotonic() - started, "insert", str(e))
             raise
         line = (spec.id, batch_id, counted.get["rows"], datetime.now(timezone.utc), seconds, None, None)
         if done:
-            done.add(line)
+            done.add(line, sizes)
         # A batch without rows is no insert.
-        written = self._add(spark, line) if line[2] and self.log_path else True
+        written = self._add(spark, *journal.parts(line, sizes)) if line[2] and self.log_path else True
         if done and (written or self.log_path is None):
             done.forget(batch_id)
 
@@ -196,10 +197,10 @@ class BatchLoader:
         if self.log_path is not None:
             self._add(spark, (job, batch_id, rows, datetime.now(timezone.utc), seconds, error, message))
 
-    def _add(self, spark: SparkSession, line: tuple) -> bool:
+    def _add(self, spark: SparkSession, *lines: tuple) -> bool:
         if self._log is None:
             self._log = journal.RunLog(spark.getActiveSession() or spark, self.log_path)
-        return self._log.add(line)
+        return self._log.add(*lines)
 
     def tick(self) -> None:
         """Progress was made, or there is nothing to do."""

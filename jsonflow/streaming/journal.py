@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import threading
 import time
+from collections.abc import Sequence
 from datetime import datetime, timezone
 from weakref import WeakSet
 
@@ -22,6 +23,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from jsonflow.operators.runlog import LOG_SCHEMA
 
+# In the files of the log a batch that was cut into several inserts has a line for each, told apart by its number.
+LINE_SCHEMA = f"{LOG_SCHEMA}, part int"
+
 # Lines and seconds after which what was gathered is written.
 MOST_LINES, MOST_SECONDS = 1000, 60.0
 
@@ -80,14 +84,17 @@ class Inserted:
     def line(self, batch_id: int) -> tuple | None:
         """The log line of an inserted batch."""
         text = get(self.spark, f"{self.folder}/{batch_id}")
-        return _row(text) if text is not None else None
+        return _row(text)[0] if text is not None else None
 
-    def add(self, line: tuple) -> None:
+    def add(self, line: tuple, sizes: Sequence[int] = ()) -> None:
         job, batch_id, rows, at, seconds, error, message = line
-        put(self.spark, f"{self.folder}/{batch_id}", json.dumps([job, batch_id, rows, at.isoformat(), seconds, error, message]))
+        note = [job, batch_id, rows, at.isoformat(), seconds, error, message, list(sizes)]
+        put(self.spark, f"{self.folder}/{batch_id}", json.dumps(note))
 
     def lines(self) -> list[tuple]:
-        return [line for name in names(self.spark, self.folder) if name.isdigit() and (line := self.line(int(name)))]
+        """What is to be in the log: a line for each insert of each batch."""
+        notes = [get(self.spark, f"{self.folder}/{name}") for name in names(self.spark, self.folder) if name.isdigit()]
+        return [line for text in notes if text is not None for line in parts(*_row(text))]
 
     def forget(self, before: int) -> None:
         """All batches before one; Spark does not come back to them."""
@@ -96,9 +103,18 @@ class Inserted:
                 remove(self.spark, f"{self.folder}/{name}")
 
 
-def _row(text: str) -> tuple:
-    job, batch_id, rows, at, seconds, error, message = json.loads(text)
-    return job, batch_id, rows, datetime.fromisoformat(at), seconds, error, message
+def _row(text: str) -> tuple[tuple, list[int]]:
+    job, batch_id, rows, at, seconds, error, message, *sizes = json.loads(text)
+    return (job, batch_id, rows, datetime.fromisoformat(at), seconds, error, message), sizes[0] if sizes else []
+
+
+def parts(line: tuple, sizes: Sequence[int] = ()) -> list[tuple]:
+    """The line of a batch, or the lines of the inserts it was cut into. These went on side by side, so each took as
+    long as the batch."""
+    if not sizes:
+        return [(*line, None)]
+    job, batch_id, _, at, seconds, error, message = line
+    return [(job, batch_id, n, at, seconds, error, message, i) for i, n in enumerate(sizes)]
 
 
 # --- the run log ----------------------------------------------------------------------
@@ -114,10 +130,10 @@ class RunLog:
         self._lock = threading.RLock()
         _open.add(self)
 
-    def add(self, line: tuple) -> bool:
-        """True if all lines up to this one are written."""
+    def add(self, *lines: tuple) -> bool:
+        """True if all lines up to these are written."""
         with self._lock:
-            self._lines.append(line)
+            self._lines += [line if len(line) == 8 else (*line, None) for line in lines]
             return self.tick()
 
     def tick(self) -> bool:
@@ -129,7 +145,7 @@ class RunLog:
     def flush(self) -> None:
         with self._lock:
             if self._lines:
-                made = self.spark.createDataFrame(self._lines, LOG_SCHEMA).coalesce(1)
+                made = self.spark.createDataFrame(self._lines, LINE_SCHEMA).coalesce(1)
                 day = datetime.now(timezone.utc).date().isoformat()
                 made.write.mode("append").parquet(f"{self.path}/day={day}")
                 self._lines = []
@@ -141,7 +157,7 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     for log in list(_open):
         if log.path == log_path.rstrip("/"):
             log.flush()
-    reader = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
+    reader = spark.read.schema(LINE_SCHEMA).option("recursiveFileLookup", "true")
     return reader.parquet(log_path).distinct()
 
 
@@ -150,7 +166,7 @@ def compact(spark: SparkSession, log_path: str, day: str) -> None:
     path = log_path.rstrip("/")
     if f"day={day}" not in names(spark, path):
         return
-    whole = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{path}/day={day}")
+    whole = spark.read.schema(LINE_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{path}/day={day}")
     whole.distinct().coalesce(1).write.mode("append").parquet(f"{path}/whole/day={day}")
     remove(spark, f"{path}/day={day}")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +66,14 @@ def append(rows: DataFrame, sink: SinkSpec, batch_id: int | None = None) -> None
       that is run again after a failure replaces its folder, so it counts once
     * a path with ``latest_keys`` keeps the latest row of each key; see ``latest``
     * any other format (JDBC, a connector) gets the sink's options and a plain append
+
+    With ``cut_inserts`` no file holds more than ``batch_size`` rows: a task begins a new one when that many are
+    in. Connectors take the size as their ``batchsize`` anyway.
     """
-    if sink.table:
+    if sink.cut_inserts:
+        with _rows_a_file(rows.sparkSession, sink.batch_size):
+            append(rows, replace(sink, cut_inserts=False), batch_id)
+    elif sink.table:
         _insert(rows, table_name(sink.table))
     elif sink.latest_keys:
         if batch_id is None:
@@ -80,6 +88,29 @@ def append(rows: DataFrame, sink: SinkSpec, batch_id: int | None = None) -> None
         writer.save(sink.path) if sink.path else writer.save()
 
 
+@contextmanager
+def _rows_a_file(spark: SparkSession, n: int):
+    """The session of a streaming query is its own, so nothing else is written under the setting."""
+    name = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def insert_sizes(rows: DataFrame, sink: SinkSpec) -> list[int]:
+    """Rows of each insert that ``rows``, which must be kept, are cut into: a task is a worker that inserts when
+    ``batch_size`` rows are in, and what it has left at its end. One count per task comes to the driver."""
+    counted = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    sizes: list[int] = []
+    for row in sorted(counted.collect()):
+        whole, rest = divmod(row["n"], sink.batch_size)
+        sizes += [sink.batch_size] * whole + [rest] * (rest > 0)
+    return sizes
+
+
 def latest_table(sink: SinkSpec) -> LatestTable:
     return LatestTable(sink.path, sink.latest_keys, sink.latest_order, sink.format)
 

@@ -588,6 +588,43 @@ def filter_expr_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(kept, m.EVENT_MAPPING[4:], ["event_id"])
 
 
+@query(
+    """
+    SELECT event_id FROM events
+    WHERE year(ts) = 2024 AND month(ts) - 1 = 0 AND dayofmonth(ts) BETWEEN 3 AND 27 AND dayofyear(ts) - 1 <> 13
+      AND dayofweek(ts) IN (0, 1, 3) AND hour(ts) % 2 = 1 AND minute(ts) < 45 AND second(ts) >= 10
+      AND (epoch_us(ts) // 1000) % 1000 < 900 AND ts + INTERVAL 36 HOUR < TIMESTAMP '2024-01-27 12:00:00'
+      AND date_diff('second', TIMESTAMP '2024-01-01 00:00:00', date_trunc('second', ts)) > 200000
+    """
+)
+def filter_time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of a time, a time moved by an interval, and the time between two."""
+    spec = sql(
+        """year(t) = 2024 AND month(t) - 1 = 0 AND dayofmonth(t) BETWEEN 3 AND 27 AND dayofyear(t) - 1 <> 13
+           AND dayofweek(t) - 1 IN (0, 1, 3) AND hour(t) % 2 = 1 AND minute(t) < 45 AND second(t) >= 10
+           AND unix_millis(t) % 1000 < 900 AND t + INTERVAL 36 HOURS < TIMESTAMP '2024-01-27 12:00:00'
+           AND timestampdiff(SECOND, TIMESTAMP '2024-01-01 00:00:00', date_trunc('second', t)) > 200000""",
+        t={"path": "event.ts", "as": "timestamp"},
+    )
+    return kept_ids(m.event_messages(spark, sf_dir), spec, "event_id")
+
+
+@query(
+    """
+    SELECT event_id FROM events WHERE event_id % 5 = 3 OR (event_id % 5 IN (0, 1) AND value > 20)
+    """
+)
+def filter_null_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that is null, one that is there and not null, and one that is absent."""
+    spec = sql(
+        "nothing OR (here AND NOT nothing AND amount > 20)",
+        nothing={"path": "value", "as": "is_null"},
+        here={"path": "value", "as": "present"},
+        amount={"path": "value", "as": "double"},
+    )
+    return kept_ids(m.sparse_messages(spark, sf_dir), spec, "event_id")
+
+
 @query(
     """
     SELECT vec_id, label FROM embeddings
@@ -938,6 +975,28 @@ def load_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(loaded.groupBy("job").agg(F.sum("user_id").alias("total")), "job").drop("job")
 
 
+@query(
+    """
+    SELECT count(*) AS "rows", CAST(sum(user_id) AS BIGINT) AS total, least(count(*), 500) AS most, true AS told FROM events
+    """
+)
+def load_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog cut into inserts of at most 500 rows; the log has the size of each, as the files have."""
+    root = shared_dir(spark)
+    m.event_messages(spark, sf_dir).select("value").coalesce(1).write.parquet(f"{root}/in")
+    source = SourceSpec("parquet", path=f"{root}/in", schema="value string")
+    sink = SinkSpec(path=f"{root}/rows", batch_size=500, cut_inserts=True)
+    drain(spark, LoadSpec("cut", m.EVENT_MAPPING[4:], source=source, sink=sink), f"{root}/checkpoint", log_path=f"{root}/log")
+    logged = jobs.read_log(spark, f"{root}/log").groupBy("rows").agg(F.count("*").alias("inserts"))
+    files = spark.read.parquet(f"{root}/rows").groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("size"), F.sum("user_id").alias("ids"))
+    sizes = files.groupBy("size").agg(F.count("*").alias("files"), F.sum("ids").alias("ids"))
+    both = logged.join(sizes, F.col("rows") == F.col("size"), "full")
+    return both.agg(
+        F.sum(F.col("size") * F.col("files")).alias("rows"), F.sum("ids").alias("total"), F.max("rows").alias("most"),
+        F.every(F.coalesce(F.col("inserts") == F.col("files"), F.lit(False))).alias("told"),
+    )
+
+
 WIDE = [f"{kind}{i}" for i in range(25) for kind in ("l", "q", "d", "f")]
 
 

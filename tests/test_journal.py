@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import os
 import time
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -139,3 +140,51 @@ def test_source_errors_are_logged_without_run(spark, root):
     time.sleep(0.5)
     [row] = runlog.error_counts(jobs.read_log(spark, f"{root}/log")).collect()
     assert (row.job, row.kind, row.errors) == ("job", "source", 1)
+
+
+def sizes_of(spark, root):
+    return sorted((r.part, r.rows) for r in jobs.read_log(spark, f"{root}/log").collect())
+
+
+def test_a_batch_is_cut_into_inserts_of_its_size(spark, root):
+    sink = SinkSpec(path=f"{root}/rows", batch_size=10, cut_inserts=True, rejects_path=f"{root}/rejects")
+    spec = LoadSpec("job", MAPPING, SourceSpec("parquet", path=f"{root}/in", schema="value string"), sink)
+    feed(spark, root, *range(25))
+    drain(spark, spec, root, log_path=f"{root}/log")
+    assert sizes_of(spark, root) == [(0, 10), (1, 10), (2, 5)]
+    feed(spark, root, *range(25, 35))
+    drain(spark, spec, root, log_path=f"{root}/log")
+    assert sizes_of(spark, root) == [(0, 10), (0, 10), (1, 10), (2, 5)]
+    files = spark.read.parquet(f"{root}/rows").groupBy("_metadata.file_path").count().collect()
+    assert sorted(r["count"] for r in files) == [5, 10, 10, 10]
+    totals = runlog.totals(jobs.read_log(spark, f"{root}/log")).collect()
+    assert [tuple(r) for r in totals] == [("job", 4, 35)]
+
+
+def test_inserts_into_a_table_are_cut_and_found_again(spark, root, monkeypatch):
+    name, spec = table_job(spark, root)
+    spec = replace(spec, sink=replace(spec.sink, batch_size=4, cut_inserts=True))
+    feed(spark, root, *range(11))
+    add = journal.RunLog.add
+
+    def lost(self, *lines):
+        raise RuntimeError("lost before the log")
+
+    monkeypatch.setattr(journal.RunLog, "add", lost)
+    with pytest.raises(StreamingQueryException):
+        drain(spark, spec, root, log_path=f"{root}/log")
+    monkeypatch.setattr(journal.RunLog, "add", add)
+    drain(spark, spec, root, log_path=f"{root}/log")
+    assert sorted(r.n for r in spark.table(name).collect()) == list(range(11))
+    assert sizes_of(spark, root) == [(0, 4), (1, 4), (2, 3)]
+    files = spark.read.parquet(f"{root}/rows").groupBy("_metadata.file_path").count().collect()
+    assert sorted(r["count"] for r in files) == [3, 4, 4]
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == "0"
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_notes_of_an_older_version_are_read(spark, root):
+    done = journal.Inserted(spark, f"{root}/state")
+    journal.put(spark, f"{root}/state/3", '["job", 3, 7, "2024-01-01T00:00:00+00:00", 0.5, null, null]')
+    assert done.line(3)[:3] == ("job", 3, 7)
+    assert [found[2::5] for found in done.lines()] == [(7, None)]

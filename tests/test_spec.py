@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from jsonflow.functions.coerce import target_type
 from jsonflow.plans.spec import FilterSpec, LoadSpec, SinkSpec, SourceSpec, read_mapping
+from jsonflow.sources.readers import kafka_batch_options, kafka_stream_options
+from jsonflow.sources.sampling import from_oldest
 
 
 def test_defaults_are_always_applied():
@@ -78,3 +82,45 @@ def test_whole_spec():
 def test_types(declared, ddl, nullable):
     target = target_type(declared)
     assert (target.ddl, target.nullable) == (ddl, nullable)
+
+
+def kafka(**more):
+    return SourceSpec.from_dict({"brokers": "a:9092", "topic": "events", **more})
+
+
+def test_kafka_offsets_by_partition():
+    given = kafka(startingOffsets={"1": "earliest", 0: 12}, endingOffsets={0: 40, 1: "latest"})
+    assert json.loads(given.options["startingOffsets"]) == {"events": {"0": 12, "1": -2}}
+    assert json.loads(given.options["endingOffsets"]) == {"events": {"0": 40, "1": -1}}
+    assert kafka(startingOffsets="latest").options["startingOffsets"] == "latest"
+    for bad in ("yesterday", {0: -3}, {-1: 5}, {"a": 5}, {0: "soon"}):
+        with pytest.raises(ValueError):
+            kafka(startingOffsets=bad)
+    with pytest.raises(ValueError):
+        SourceSpec.from_dict({"brokers": "a:9092", "topic": "a,b", "startingOffsets": {0: 1}})
+
+
+def test_kafka_options_of_a_batch_a_stream_and_a_sample():
+    whole = kafka_batch_options(kafka())
+    assert (whole["startingOffsets"], whole["endingOffsets"]) == ("earliest", "latest")
+    part = kafka(startingOffsets={0: 5}, endingOffsets={0: 9})
+    assert kafka_batch_options(part)["endingOffsets"] == '{"events": {"0": 9}}'
+    assert kafka_stream_options(kafka())["startingOffsets"] == "latest"
+    assert "maxOffsetsPerTrigger" not in kafka_stream_options(kafka())
+    going = kafka_stream_options(part, 700)
+    assert "endingOffsets" not in going and going["startingOffsets"] == '{"events": {"0": 5}}'
+    assert going["maxOffsetsPerTrigger"] == "700"
+    own = kafka(options={"maxOffsetsPerTrigger": "50"})
+    assert kafka_stream_options(own, 700)["maxOffsetsPerTrigger"] == "50"
+    assert kafka_stream_options(from_oldest(kafka(startingOffsets="latest")), 100)["startingOffsets"] == "earliest"
+
+
+def test_an_insert_rate_bounds_what_a_trigger_reads():
+    sink = SinkSpec.from_dict({"path": "p", "batchSize": 200, "batchFlushInterval": "1500ms", "insertRatePerSecond": 2})
+    assert kafka_stream_options(kafka(), sink.rows_per_trigger)["maxOffsetsPerTrigger"] == "600"
+
+
+def test_latest_rows_are_not_cut():
+    assert SinkSpec.from_dict({"path": "p", "cutInserts": True}).cut_inserts
+    with pytest.raises(ValueError):
+        SinkSpec.from_dict({"path": "p", "cutInserts": True, "latestBy": {"keys": ["k"], "order": ["at"]}})

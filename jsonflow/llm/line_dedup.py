@@ -138,21 +138,22 @@ def _keys(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.Reco
 
 
 def _bodies(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
-    """Texts of the pieces asked for (``wanted``: lines where they start) with the lines around them:
+    """Texts of the pieces asked for (``wanted``: what is known of each) with the lines around them:
     ``skip`` lines come before the piece, which has ``n`` lines."""
-    names = ["hash", "doc_id", "line", "mark", "body", "skip", "n"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    names = ["hash", "doc_id", "line", "mark", "body", "skip", "n", "parts", "lead"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
     for batch in batches:
         out = []
         for doc_id, text, mark, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            wanted = set(wanted)
+            # Rows that repeat an id have different pieces, so the hash counts too.
+            wanted = {(w["hash"], w["line"]): (w["parts"], w["lead"]) for w in wanted}
             lines = text.split("\n")
             for first, n, body, h, *around in pieces(text):
-                if first in wanted:
+                if (known := wanted.get((h, first))) is not None:
                     before, after = around or (0, 0)
                     whole = "\n".join(lines[first - before : first + n + after]) if before or after else body
-                    out.append((h, doc_id, first, mark, whole, before, n))
-        cols = list(zip(*out)) if out else [[]] * 7
+                    out.append((h, doc_id, first, mark, whole, before, n, *known))
+        cols = list(zip(*out)) if out else [[]] * 9
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
 
@@ -213,8 +214,8 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pi
     parts = F.ceil(F.col("n") / PART).cast("int")
     is_first = F.struct("doc_id", "line") == F.col("first")
     asked = keys.join(firsts, "hash").select("hash", "doc_id", "line", parts.alias("parts"), is_first.alias("lead")).distinct()
-    asked = stored(asked)
-    wanted = asked.groupBy(F.col("doc_id").alias("asked_id")).agg(F.collect_set("line").alias("wanted"))
+    # What is known of a candidate goes to its document, so texts travel once, to where they are compared.
+    wanted = asked.groupBy(F.col("doc_id").alias("asked_id")).agg(F.collect_list(F.struct("hash", "line", "parts", "lead")).alias("wanted"))
 
     carried = docs.select(as_row(docs, leave=text_col), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Both sides grow with the corpus: neither is to be broadcast, at any size.
@@ -222,8 +223,8 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pi
     candidates = carried.where("wanted IS NOT NULL")
     # Rows that repeat an id are told apart by their text.
     marked = candidates.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("mark"), "wanted")
-    bodies = marked.mapInArrow(lambda b: _bodies(b, pieces), "hash long, doc_id long, line long, mark long, body string, skip long, n long")
-    found = bodies.hint("merge").join(asked, ["hash", "doc_id", "line"])
+    kind = "hash long, doc_id long, line long, mark long, body string, skip long, n long, parts int, lead boolean"
+    found = marked.mapInArrow(lambda b: _bodies(b, pieces), kind)
     number = F.pmod(F.xxhash64("doc_id", "line"), "parts").cast("int")
     to = F.when(F.col("lead"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(number))
     dealt = found.select("hash", F.explode(to).alias("part"), "doc_id", "line", "body", "lead", "mark", "skip", "n")

@@ -174,3 +174,16 @@ def test_documents_without_repeated_runs(make_docs):
     docs = make_docs("own\none line\ntwo line\nend", "other\none line\ntwo line\nrest", "one line\ntwo line")
     out = ld.dedup_lines(docs, length_col="n_chars", pieces=ld._windows)
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()} == {0: ("own\none line\ntwo line\nend", 25), 1: ("other\nrest", 10)}
+
+
+def test_texts_travel_once_to_where_they_are_compared(make_docs):
+    """One join of texts, with the lines to go; the candidates' texts are in none."""
+    docs = make_docs((1, "a b\nc d\ne f"), (2, "a b\nc d\ng h"))
+    plan = ld.removals(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Python") == 0
+
+
+def test_an_id_with_two_texts_that_have_other_candidates_at_the_same_line(make_docs):
+    docs = make_docs((1, "a b\nc d"), (2, "e f\ng h"), (3, "a b\nc d"), (3, "e f\ng h"), (3, "i j\nk l"))
+    left = sorted((r["doc_id"], r["text"], r["n_removed"]) for r in ld.removals(docs).collect())
+    assert left == [(1, "a b\nc d", 0), (2, "e f\ng h", 0), (3, "", 2), (3, "", 2), (3, "i j\nk l", 0)]

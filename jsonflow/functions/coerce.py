@@ -95,10 +95,11 @@ def trimmed(t: Sql) -> Sql:
 
 def text_to_timestamp(u: Sql) -> Sql:
     """Date text, or an epoch as text. Text without a zone is UTC whatever the session says."""
-    dotted = f"translate({u}, ',', '.')"
-    dated = f"""CASE WHEN {u} RLIKE {literal(ZONED_TEXT)} THEN {dotted}
-                     WHEN {u} RLIKE {literal(PLAIN_TEXT)} THEN concat({dotted}, 'Z')
-                     WHEN {u} RLIKE {literal(DATE_TEXT)} THEN concat({u}, ' 00:00:00Z') END"""
+    # What stands after the day is looked at first: a pattern that cannot match is not tried.
+    dotted, after = f"replace({u}, ',', '.')", f"substring({u}, 11, 1)"
+    dated = f"""CASE WHEN {after} = 'T' AND {u} RLIKE {literal(ZONED_TEXT)} THEN {dotted}
+                     WHEN {after} = ' ' AND {u} RLIKE {literal(PLAIN_TEXT)} THEN concat({dotted}, 'Z')
+                     WHEN {after} = '' AND {u} RLIKE {literal(DATE_TEXT)} THEN concat({u}, ' 00:00:00Z') END"""
     return f"coalesce(try_cast({dated} AS TIMESTAMP), {_from_epoch(f.text_to_int(u), millis_too=True)})"
 
 

@@ -45,7 +45,9 @@ class Leaf:
     double; if the field is read as text only, that is NULL unless the field is of kind DOUBLE.
 
     The field itself is no column. A variant carries all key names of its message along, so
-    a column of it per field would multiply the size of a row; it is looked up instead.
+    a column of it per field would multiply the size of a row; it is looked up instead. Where many
+    fields are members of one object, ``doc`` is the field alone, found under either spelling, and
+    ``keys`` are empty.
     """
 
     keys: tuple[str, ...]
@@ -92,6 +94,12 @@ def key_at(doc: Sql, keys: tuple[str, ...], ddl: str = "variant") -> Sql:
     return get(here, ddl, path)
 
 
+def members_at(doc: Sql, parent: tuple[str, ...], names: list[str]) -> Sql:
+    """Members of the object under ``parent`` as a struct of variants, from one pass over the object."""
+    members = ", ".join(f"`{name.replace('`', '``')}`: variant" for name in names)
+    return key_at(doc, parent, f"struct<{members}>")
+
+
 def spellings(path: str) -> list[tuple[str, ...]]:
     """Every key chain that flattens to ``path``, the fully nested one first.
 

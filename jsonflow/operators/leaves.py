@@ -8,6 +8,7 @@ what the JVM compiles.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,28 @@ from pyspark.sql import functions as F
 
 from jsonflow.functions import fields as f
 from jsonflow.operators.decode import DOC
+from jsonflow.plans.spec import quoted
+
+# So many fields that are members of one object are read together. Looked up one by one, each copies
+# the message and searches its names, so a wide mapping would cost its width times the message.
+TOGETHER = 12
+# Ways to read a field that look at its kind first; other types are looked up in the message.
+BY_KIND = {"string", "double", "int", "bool", "date", "datetime", "present", "is_null", "variant"}
+
+
+def together(chains: Iterable[tuple[str, ...]]) -> dict[tuple[str, ...], list[str]]:
+    """Objects of which many members are read: their keys, and the members' names."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for *parent, name in chains:
+        groups.setdefault(tuple(parent), []).append(name)
+    found = {}
+    for parent, names in groups.items():
+        # A struct cannot name a member "", and takes names that differ only by case for one.
+        folded = Counter(name.casefold() for name in names)
+        plain = [name for name in names if name and folded[name.casefold()] == 1]
+        if len(plain) >= TOGETHER:
+            found[parent] = plain
+    return found
 
 
 def with_leaves(
@@ -30,11 +53,22 @@ def with_leaves(
     names = {p: {part: f"_{part}{i}" for part in "kotn"} for i, p in enumerate(hows)}
     keys = {p: tuple(p.split(".")) for p in hows}
     others = {p: o for p in hows if (o := f.other_spellings(p, DOC)) is not None}
+    objects = together(keys[p] for p in hows if hows[p] <= BY_KIND)
+    members = {(*parent, name): f"_m{i}.{quoted(name)}" for i, (parent, group) in enumerate(objects.items()) for name in group}
+    wide = {p: members[keys[p]] for p in hows if keys[p] in members}
     leaves = {
-        p: f.Leaf(keys[p], DOC, n["o"] if p in others else None, n["k"], n["t"], n["n"]) for p, n in names.items()
+        p: f.Leaf((), f"_x{n['k']}", None, n["k"], n["t"], n["n"])
+        if p in wide
+        else f.Leaf(keys[p], DOC, n["o"] if p in others else None, n["k"], n["t"], n["n"])
+        for p, n in names.items()
     }
 
-    df = df.select("*", *[F.expr(f"{f.kind(f.key_at(DOC, keys[p]))} AS {names[p]['k']}") for p in hows])
+    if wide:
+        read = [f"{f.members_at(DOC, parent, group)} AS _m{i}" for i, (parent, group) in enumerate(objects.items())]
+        df = df.select("*", *map(F.expr, read))
+        fields = {leaves[p].doc: f"CASE WHEN NOT {f.is_object_kind(f.kind(x))} THEN {x} ELSE {others.pop(p, 'NULL')} END" for p, x in wide.items()}
+        df = df.withColumns({name: F.expr(text) for name, text in fields.items()})
+    df = df.select("*", *[F.expr(f"{f.kind(leaves[p].doc if p in wide else f.key_at(DOC, keys[p]))} AS {names[p]['k']}") for p in hows])
     # Other spellings are looked at only where the nested one has no leaf.
     found, kinds, texts, numbers = {}, {}, {}, {}
     for p, leaf in leaves.items():
@@ -42,7 +76,8 @@ def with_leaves(
         if p in others:
             found[n["o"]] = f"CASE WHEN {is_leaf} THEN NULL ELSE {others[p]} END"
         rest = f"ELSE {f.kind(n['o'])}" if p in others else ""
-        kinds[n["k"]] = f"CASE WHEN {is_leaf} THEN {leaf.kind} {rest} END"
+        if p not in wide:
+            kinds[n["k"]] = f"CASE WHEN {is_leaf} THEN {leaf.kind} {rest} END"
         if hows[p] - {"present", "is_null", "variant"}:
             texts[n["t"]] = f"CASE WHEN {leaf.kind} = 'STRING' THEN {leaf.get('string')} END"
         if "double" in hows[p]:

@@ -39,14 +39,20 @@ def project(
     if dated:
         found = found.withColumns({u: F.expr(c.trimmed(leaves[p].text)) for p, u in dated.items()})
 
-    def value(m: Field, ty: c.TargetType):
+    def value(i: int, m: Field, ty: c.TargetType):
         leaf = leaves[m.path]
         if c.is_date(ty):
             leaf = replace(leaf, text=dated[m.path])
-        return F.expr(f"{c.coerce(leaf, ty, epoch_numbers)} AS {quoted(m.column)}")
+        return F.expr(f"{c.coerce(leaf, ty, epoch_numbers)} AS _v{i}")
 
     kinds = [leaf.kind for leaf in leaves.values()] if rejects else []
-    typed = found.select(*keep, *kinds, *[value(m, ty) for m, ty in zip(mapping, targets)])
+    typed = found.select(*keep, *kinds, *[value(i, m, ty) for i, (m, ty) in enumerate(zip(mapping, targets))])
+    # A later condition is moved below the columns it names, each mention of one unfolded into its whole
+    # conversion. Hung on a generated column, conversions are computed once; conditions on ``keep`` columns
+    # still reach the source, and what is not used is still left out.
+    typed = typed.select("*", F.explode(F.array(F.lit(True))).alias("_once"))
+    hung = [F.when(F.col("_once"), F.col(f"_v{i}")).alias(m.column) for i, m in enumerate(mapping)]
+    typed = typed.select(*keep, *kinds, *hung)
     if not rejects:
         return typed
     columns = [quoted(m.column) for m in mapping]

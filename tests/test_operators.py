@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from jsonflow.operators import dedup, infer, resolve, runlog, sample
+from jsonflow.operators import dedup, infer, leaves, resolve, runlog, sample
 from jsonflow.operators.decode import decode
+from jsonflow.operators.project import project
 from jsonflow.plans.load import load_rows
 from jsonflow.plans.spec import Field, LoadSpec
 from jsonflow.sources.generate import test_messages as generate
@@ -211,3 +212,33 @@ def test_a_large_even_sample_equals_a_ranking(spark, offset):
     if offset.startswith("id") and "DIV" not in offset:
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "Sort" not in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+KINDS = ["Int64", "Float64", "Bool", "String", "DateTime", "Date"]
+MEMBERS = [
+    "1", "-2.5", "1e3", "12345678901234567890", "true", "null", '"text"', '"7"', '" 8.5"', '"2024-01-02"', '" 2024-01-02 03:04:05,5"',
+    '"2024-01-02T3:04:05+02:00"', '"2024-01-02 03:04"', '"20240102030"', '"1700000000000"', "[1]", "{}", '{"deep": 1}', '""', '"\\"2024-01-02\\""',
+]
+
+
+def test_fields_read_together_are_as_each_alone(texts, monkeypatch):
+    """Members of one object: of every kind, under either spelling or both, with names a struct cannot hold."""
+    paths = [*(f"row.m{i}" for i in range(len(MEMBERS))), "row.odd` '\"name", "row.Case", "row.case", "row.", "row.gone", "row.a.b"]
+    mapping = [Field(p, f"c{i}_{j}", k) for i, p in enumerate(paths) for j, k in enumerate(KINDS)]
+    mapping.append(Field("row.m99", "map", "map<string,int>"))
+    nested = ", ".join(f'"m{i}": {v}' for i, v in enumerate(MEMBERS))
+    dotted = ", ".join(f'"row.m{i}": {v}' for i, v in enumerate(reversed(MEMBERS)))
+    more = '"odd` \'\\"name": 5, "Case": 1, "case": 2, "": 3, "a.b": 4, "m99": {"x": 1}'
+    messages = texts(
+        f'{{"row": {{{nested}, {more}}}}}', f"{{{dotted}}}", f'{{"row": {{{nested}}}, {dotted}}}', '{"row": null}', '{"row": [1]}', '{"row": {}}', "3",
+        f'{{"row": {{"a": {{"b": 6}}}}, {dotted}}}', "broken",
+    )
+
+    def read():
+        rows = project(decode(messages, keep=["id"]), mapping, ["id"], rejects=True)
+        return sorted(tuple(map(str, r)) for r in rows.collect()), "$['row']['m1']" in rows._jdf.queryExecution().executedPlan().toString()
+
+    together, looked_up = read()
+    monkeypatch.setattr(leaves, "TOGETHER", 1000)
+    assert (together, looked_up) == (read()[0], False) and read()[1]
+    assert sum(x != "None" for row in together for x in row[1:-1]) > 150

@@ -10,7 +10,7 @@ import pytest
 from jsonflow.operators import infer
 from jsonflow.operators.decode import decode
 from jsonflow.plans.load import classify, load_rows, reject_counts, rejects_of, rows_of
-from jsonflow.plans.spec import LoadSpec
+from jsonflow.plans.spec import LoadSpec, read_mapping
 from suite import messages as m
 from suite.queries import BIG_PURCHASES, INFER_MESSAGE, sql
 
@@ -78,3 +78,23 @@ def test_inference_shuffles_votes_only(spark):
     raw = spark.read.parquet(f"{SF}/events.parquet").selectExpr(f"{INFER_MESSAGE} AS value")
     text = physical(infer.path_votes(decode(raw), depth=3))
     assert text.count("Exchange") == 1 and "partial_" in text and text.count("parseJson") == 1
+
+
+WIDE = read_mapping([{"fieldPath": f"row.d{i}", "column": f"d{i}", "type": "DateTime"} for i in range(30)])
+
+
+def test_conditions_on_loaded_columns_do_not_unfold_the_conversions(texts):
+    rows = load_rows(texts("{}"), LoadSpec("x", WIDE))
+    everything = len(physical(rows))
+    for condition in ("d3 IS NOT NULL", "forall(array(d1, d2, d3), x -> x IS NOT NULL)", "d1 > d2 AND d2 > d3"):
+        text = physical(rows.filter(condition))
+        assert text.count("parseJson") == 1 and len(text) < 1.1 * everything
+
+
+def test_members_of_one_object_are_read_in_one_pass(texts):
+    text = physical(load_rows(texts("{}"), LoadSpec("x", WIDE)))
+    assert "$['row']['d" not in text and text.count("try_variant_get(_doc") - text.count("$['row.d") == 1
+
+
+def test_columns_that_are_not_used_are_not_converted(texts):
+    assert "_u7" not in physical(load_rows(texts("{}"), LoadSpec("x", WIDE)).select("d1"))

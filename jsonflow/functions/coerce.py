@@ -9,6 +9,7 @@ A value that does not fit gives NULL and a reject reason, never a text in a type
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from jsonflow.functions import fields as f
@@ -137,6 +138,44 @@ def coerce(leaf: f.Leaf, target: TargetType, epoch_numbers: str = "seconds") ->
     return f.read_as(leaf, target.ddl)
 
 
+# How a field is read straight from the text of a message, by the families of the columns it fills.
+PLAIN_TYPES = {"int": "bigint", "float": "double", "bool": "boolean"}
+TEXT_FAMILIES = {"string", "date", "datetime"}
+# Characters a number, array or object begins with, as the ranges between them (a number too large for a
+# double is read as text in quotes); and numbers that are the same text as strings.
+NOT_TEXT_FROM, TEXT_FROM = ('"', "-", "0", "[", "{"), ("#", ".", ":", "\\", "|")
+PLAIN_NUMBER = r"\A-?[0-9]{1,18}\z"
+
+
+def plain_type(targets: Iterable[TargetType]) -> str | None:
+    """The Spark type ``from_json`` reads a field as for all its columns; None if there is no such type."""
+    families = {target.family for target in targets}
+    if families <= TEXT_FAMILIES:
+        return "string"
+    return PLAIN_TYPES.get(families.pop()) if len(families) == 1 else None
+
+
+def plain(x: Sql, target: TargetType) -> Sql:
+    """The value of a field from what ``from_json`` read; NULL if it does not follow from that alone.
+
+    It is strict with numbers and booleans, but gives the text of whatever it finds as a string. A text
+    tells its kind if no number, array or object is written so, and of dates only those in a pattern do.
+    """
+    if target.family == "float":  # of a zero the sign depends on how it is written
+        return f"CASE WHEN abs({x}) < double('infinity') AND ({x} <> 0 OR string({x}) = '0.0') THEN {x} END"
+    if target.family == "string":
+        between = [f"{x} >= {literal(a)} AND {x} < {literal(b)}" for a, b in zip(TEXT_FROM, NOT_TEXT_FROM[1:])]
+        text = " OR ".join([*reversed(between), f"{x} < {literal(NOT_TEXT_FROM[0])}", f"{x} >= {literal(TEXT_FROM[-1])}"])
+        return f"CASE WHEN {text} OR {x} RLIKE {literal(PLAIN_NUMBER)} THEN {x} END"
+    if not is_date(target):
+        return x
+    zoned_text, plain_text = (literal(text.replace("[.,]", r"\.")) for text in (ZONED_TEXT, PLAIN_TEXT))
+    text = f"""CASE WHEN {x} RLIKE {plain_text} THEN concat({x}, 'Z') WHEN {x} RLIKE {zoned_text} THEN {x}
+                    WHEN {x} RLIKE {literal(DATE_TEXT)} THEN concat({x}, ' 00:00:00Z') END"""
+    ts = f"try_cast({text} AS TIMESTAMP)"
+    return _utc_date(ts) if target.family == "date" else ts
+
+
 def reject_reason(value: Sql, k: Sql, target: TargetType) -> Sql:
     """Why a present, non-null field gave no value, e.g. ``text->Int64``; else NULL."""
     if target.nullable and is_date(target):  # an unreadable nullable date is simply null

@@ -10,30 +10,34 @@ from pyspark.sql import functions as F
 RAW = "_raw"
 DOC = "_doc"
 
-# Closes the envelope each message is parsed in. Fixed text that no message holds.
+# Closes the envelope a message is looked at in. Fixed text that no message holds.
 END = "jsonflow:end-of-message"
+# The parser stops after the first JSON value, so ``{"a":1} x`` would pass. A message is whole only if
+# END is the second element of ``[message, END]``. That is read without building a tree of the message.
+WHOLE = f"""get_json_object(concat('[', {RAW}, ',"{END}"]'), '$[1]') = '{END}'"""
 
 
 def decode(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Parse the message column once: ``keep`` columns, ``_raw`` text, ``_doc`` variant.
 
-    ``_doc`` is NULL for a malformed message. The parser stops after the first JSON
-    value, so ``{"a":1} x`` would pass; each message is therefore parsed inside
-    ``[message, END]`` and is whole only if END is the second element.
+    ``_doc`` is NULL for a malformed message.
+    """
+    return parsed(raw_messages(df, value, keep), WHOLE)
+
+
+def raw_messages(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns and the message as ``_raw`` text."""
+    return df.select(*keep, F.col(value).cast("string").alias(RAW))
+
+
+def parsed(raw: DataFrame, wanted: str) -> DataFrame:
+    """Add ``_doc``, the parsed message, where the condition holds.
 
     The one-element explode costs next to nothing and keeps the optimizer from pushing
     later filters below the parse, which would parse every message again per condition.
     """
-    raw = F.col(value).cast("string")
-    envelope = F.concat(F.lit("["), F.col(RAW), F.lit(f',"{END}"]'))
-    whole = F.try_variant_get("_envelope", "$[1]", "string") == END
-    doc = F.when(whole, F.try_variant_get("_envelope", "$[0]", "variant"))
-    return (
-        df.select(*keep, raw.alias(RAW))
-        .select(*keep, RAW, F.try_parse_json(envelope).alias("_envelope"))
-        .select(*keep, RAW, doc.alias("_parsed"))
-        .select(*keep, RAW, F.explode(F.array("_parsed")).alias(DOC))
-    )
+    doc = F.expr(f"CASE WHEN {wanted} THEN try_parse_json({RAW}) END")
+    return raw.select("*", doc.alias("_parsed")).select("*", F.explode(F.array("_parsed")).alias(DOC)).drop("_parsed")
 
 
 def well_formed(decoded: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jsonflow.operators import filters
 from jsonflow.operators.decode import DOC, RAW, decode
-from jsonflow.operators.project import REJECTS, project
+from jsonflow.operators.project import REJECTS, project, project_messages
 from jsonflow.plans.spec import LoadSpec, quoted
 
 STAGE = "_stage"
@@ -19,6 +19,8 @@ def load_rows(
     messages: DataFrame, spec: LoadSpec, keep: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:
     """Typed rows of the messages that parse and pass the filter; a single narrow stage."""
+    if filters.is_off(spec.filter):
+        return project_messages(messages, spec.mapping, keep, spec.epoch_numbers, value)
     return decoded_rows(decode(messages, value, keep), spec, keep)
 
 

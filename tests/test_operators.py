@@ -242,3 +242,56 @@ def test_fields_read_together_are_as_each_alone(texts, monkeypatch):
     monkeypatch.setattr(leaves, "TOGETHER", 1000)
     assert (together, looked_up) == (read()[0], False) and read()[1]
     assert sum(x != "None" for row in together for x in row[1:-1]) > 150
+
+
+# Written so that the text tells the value; and what it may be instead.
+PLAIN = {
+    "Int64": "7", "Float64": "0.5", "Bool": "true", "String": '"text"', "DateTime": '"2024-01-02 03:04:05"', "Date": '"2024-01-02"',
+}
+ODD = [
+    *MEMBERS, "0", "-0", "-0.0", "-0.0e0", "0.0", "1e400", "-1e400", "1e-400", "9007199254740993", "0.1000000000000000055511151231257827", "12.50", "1E22",
+    "9223372036854775807", "9223372036854775808", "1700000000", "1700000000000", "false", '"NaN"', '"Infinity"', '"true"', '"TRUE"', '"007"', '"-0"', '"-0.0"', '"1.50"',
+    '"1e3"', '"-"', '"-x"', '"[x"', '"{x"', '"."', '"/"', '":"', '"@"', '"\\\\"', '"|"', '"~"', '"\\u00e9"', '"\\ud800"', '" "', '"1700000000"', '"2024-01-02T03:04:05Z"',
+    '"2024-01-02T03:04:05.123456789+02:30"', '"2024-01-02 03:04:05.5"', '"2024-13-45"', '"2024-01-02\\n"', '"2024-01-02 03:04:05Z"', '[ 1,  2 ]', '{"a": [1]}',
+]
+# Beside plain fields: what makes a message malformed, and what does not.
+BESIDE = [
+    "1", "NaN", "Infinity", "+1", "01", ".5", "1.", "1e400", "1" * 999, "1" * 1001, "'x'", '"\x01"', '"\\q"', '"\\ud800"', "[1,]", "[1,,2]", "/* */ 1", "// 1", "tru", "nul",
+    *("[" * n + "]" * n for n in (997, 998, 999, 1000, 1001)), '"' + "x" * 1_100_000 + '"', '{"a": 1, "a": 2}', '{"": {"": 1}}', "{'a': 1}", "{a: 1}",
+]
+
+
+def test_fields_read_from_the_text_are_as_in_the_parsed_message(texts, monkeypatch):
+    kinds = [k for k in KINDS for _ in range(3)]
+    mapping = [Field(f"row.m{i}", f"c{i}", k) for i, k in enumerate(kinds)]
+    mapping.append(Field("row.m17", "text", "String"))
+
+    def row(at=None, value="", **more):
+        members = {f"m{i}": value if i == at else PLAIN[k] for i, k in enumerate(kinds)} | more
+        return "{" + ", ".join(f'"{k}": {v}' for k, v in members.items()) + "}"
+
+    plain = f'{{"row": {row()}}}'
+    twice = [f'{{"row": {row()[:-1]}, "m{i}": {v}}}}}' for i in (0, 3, 6, 9, 12) for v in ("null", "8", '"9"', "[]", "{}")]
+    messages = texts(
+        plain, *(f'{{"row": {row(at, v)}}}' for v in ODD for at in range(0, len(kinds), 3)), *(f'{{"row": {row()}, "z": {v}}}' for v in BESIDE),
+        *(f'{{"z": {v}, "row": {row()}}}' for v in BESIDE), *twice, *(f'{{"row": {row()}, "row": {v}}}' for v in ("5", "null", "[]", "{}", '{"m0": 8}', "'x'")),
+        f'{{"row": 5, "row": {row()}}}', f'{{"row.m0": 8, "row": {row()}}}', f'{{"row.m0": 8, "row": {row(0, "null")}}}', f'{{"row.m0": 8, "row": {row(0, "{}")}}}',
+        '{"row": {}, "row.m0": 8}', f'{{"\\u0072ow": {row()}}}', f'{{"ROW": {row()}}}', f'{{"_unfit": "x", "row": {row()}}}', f'{{"z": "_unfit", "row": {row()}}}',
+        *(plain + x for x in (" ", "\n", " x", ",", ",1", "]", "}", plain, ",[", "],[")), *(x + plain for x in (" ", "﻿", "1,", "[", "x")),
+        f"[{plain}]", plain[:-1], plain.replace('"', "'"), "", " ", "null", "3", '"x"', "[]", "{}", "broken", None,
+    )
+
+    def seen(df):
+        return sorted(tuple(map(repr, r)) for r in df.select([F.col(c).cast("string") for c in df.columns]).collect())
+
+    def read():
+        return seen(load_rows(messages, LoadSpec("x", mapping), ["id"])), seen(project(decode(messages, keep=["id"]), mapping, ["id"], rejects=True))
+
+    from_text = read()
+    assert "from_json" in load_rows(messages, LoadSpec("x", mapping))._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(leaves, "TOGETHER", 1000)
+    looked_up = read()
+    for got, expected in zip(from_text, looked_up, strict=True):
+        assert [x for x in got if x not in expected] == [] and got == expected
+    loaded, every = map(len, looked_up)
+    assert 0.8 * every < loaded < every - 30

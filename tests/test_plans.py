@@ -98,3 +98,12 @@ def test_members_of_one_object_are_read_in_one_pass(texts):
 
 def test_columns_that_are_not_used_are_not_converted(texts):
     assert "_u7" not in physical(load_rows(texts("{}"), LoadSpec("x", WIDE)).select("d1"))
+
+
+def test_wide_messages_are_parsed_only_where_fields_are_left_over(texts):
+    """Values are read straight from the text; the parse, and what is looked up in it, wait for a field that is not plain."""
+    plain = ", ".join(f'"d{i}": "2024-01-02 03:04:05"' for i in range(30))
+    rows = load_rows(texts(f'{{"row": {{{plain}}}}}'), LoadSpec("x", WIDE))
+    text = physical(rows)
+    assert text.count("parseJson") == 1 and "CASE WHEN (_rest" in text
+    assert {str(x) for x in rows.first()} == {"2024-01-02 03:04:05"}
